@@ -54,7 +54,7 @@ def disease_forest_pipeline(features: Sequence[str] = K.DISEASE_FEATURES,
 def disease_training_rows(spark):
     """The five literal training rows (a test fixture, not a data source)."""
     return spark.createDataFrame(
-        [tuple(r) for r in K.DISEASE_TRAINING_ROWS],
+        [(float(n), float(h), float(w), int(c)) for n, h, w, c in K.DISEASE_TRAINING_ROWS],
         "ndvi double, humidity double, leaf_wetness double, disease_risk int")
 
 

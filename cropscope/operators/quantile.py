@@ -1,31 +1,38 @@
-"""Exact per-group median without gathering a group in one task.
+"""Exact per-group median (plus moments) without gathering a group in one task.
 
 Spark's exact ``median``/``percentile`` keep every distinct value of a group in
 one aggregation buffer, so a scene holding a third of all pixels would end up
 in a single task. This operator finds the middle value(s) by counting instead:
 
-1. Every value gets a coarse bucket computed from the value alone (sign,
-   binary exponent and the top mantissa bits: monotone in the value, about
-   2,000 buckets per power of two). ``groupBy(key, bucket)`` counts are
-   partially aggregated before the shuffle, so a hot group ships one small row
-   per bucket and task.
-2. A running count over the (bounded) buckets of each group locates the bucket
-   holding each wanted rank. A bucket whose min equals its max, or a rank at
-   its first or last row, is answered directly from the bucket min/max.
+1. One scan assigns every value a coarse bucket computed from the value alone
+   (sign, binary exponent and the top mantissa bits: monotone in the value,
+   2**11 buckets per power of two) and aggregates ``(group, bucket)`` to
+   count / sum / min / max / M2. The aggregation is partial before the shuffle,
+   so a hot group ships one small row per bucket and task. A group has a
+   bounded number of buckets, whatever its size.
+2. One window over each group's buckets gives the group size, mean and the
+   running count; the buckets holding the middle rank(s) are picked directly.
+   Min, max, mean and the population standard deviation are merged from the
+   bucket rows (parallel-variance formula), so no second scan is needed.
+   A bucket whose min equals its max, or a rank at its first or last row, is
+   answered from the bucket's min/max.
 3. Still-open ranks are refined on the rows of their bucket only (value range
-   filter, a small broadcast side when its size allows), splitting the range
+   filter against a small, size-checked broadcast side), splitting the range
    into equal-width sub-buckets, until a bucket is small enough to sort.
 
-Each round touches a shrinking subset, so a few passes suffice even for one
-very large group; only bucket counts, never rows, are ever grouped per key.
+The bounded bucket histogram is persisted; rows kept for a further round are
+written once to the shared checkpoint folder and read back
+(``session.materialize``), which cuts lineage and keeps a lost executor from
+redoing earlier rounds.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 MANTISSA_BITS = 11          # coarse buckets per power of two: 2**11
 REFINE_BINS = 2048          # equal-width sub-buckets per refinement round
@@ -51,55 +58,41 @@ def coarse_bucket(v: Column) -> Column:
             .otherwise(F.signum(v) * code)).cast("long")
 
 
-def _locate(hist: DataFrame, part_cols: list[str], order_col: str,
-            targets: DataFrame, rank_col: str) -> DataFrame:
-    """Join each wanted rank to the bucket that holds it (running count per
-    group over its buckets; a group has a bounded number of buckets)."""
-    w = Window.partitionBy(*part_cols).orderBy(order_col).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    h = hist.withColumn("_end", F.sum("_c").over(w)).withColumn("_start", F.col("_end") - F.col("_c"))
-    return (targets.join(h, part_cols, "inner")
-            .where((F.col(rank_col) >= F.col("_start")) & (F.col(rank_col) < F.col("_end")))
-            .select(*part_cols, *(["_rank"] if "_rank" not in part_cols else []),
-                    (F.col(rank_col) - F.col("_start")).alias("_within"),
-                    "_c", "_lo", "_hi"))
-
-
-def _split(state: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Resolved ranks -> (_k, _rank, _val); the rest stay open."""
-    resolved_cond = ((F.col("_lo") == F.col("_hi")) | (F.col("_within") == 0)
-                     | (F.col("_within") == F.col("_c") - 1))
-    val = (F.when((F.col("_lo") == F.col("_hi")) | (F.col("_within") == 0), F.col("_lo"))
-           .otherwise(F.col("_hi")))
-    done = state.where(resolved_cond).select("_k", "_rank", val.alias("_val"))
-    open_ = state.where(~resolved_cond).select("_k", "_rank", "_within", "_c", "_lo", "_hi")
+def _bucket_stats(rows: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
+    return (rows.withColumn("_b", bucket).groupBy(*keys, "_b")
+            .agg(F.count(F.lit(1)).alias("_c"), F.sum("_v").alias("_s"),
+                 F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
+                 (F.var_pop("_v") * F.count(F.lit(1))).alias("_m2")))
+
+
+def _resolve(state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split located ranks into answered ones (_k, _rank, _val) and open ones."""
+    lo, hi, within, c = F.col("_lo"), F.col("_hi"), F.col("_within"), F.col("_c")
+    resolved = (lo == hi) | (within == 0) | (within == c - 1)
+    val = F.when((lo == hi) | (within == 0), lo).otherwise(hi)
+    done = state.where(resolved).select("_k", "_rank", val.alias("_val"))
+    open_ = state.where(~resolved).select("_k", "_rank", "_within", "_c", "_lo", "_hi")
     return done, open_
 
 
-def exact_quantile_values(df: DataFrame, key: str, value: str,
-                          ranks: DataFrame) -> DataFrame:
-    """Value at each 0-based ``_rank`` (ascending, NULLs ignored) per group.
+def _open_info(open_: DataFrame) -> tuple[int, int]:
+    row = open_.agg(F.count(F.lit(1)).alias("n"), F.max("_c").alias("c")).first()
+    return int(row["n"]), int(row["c"] or 0)
+
+
+def _refine(rows: DataFrame, open_: DataFrame) -> list[DataFrame]:
+    """Answer every open rank by narrowing its bucket until it can be sorted.
 
-    ``ranks`` has columns ``(_k, _rank)``. Returns ``(_k, _rank, _val)``.
-    Small per-round state tables are checkpointed to the shared checkpoint
-    folder, which cuts lineage and keeps each round's work from being redone.
+    One small job per round reads the number of open ranks and their largest
+    bucket. When every open bucket is small enough to sort, the ranks are
+    picked inside the caller's final plan (no extra job); otherwise the rows of
+    the big buckets are written once to shared storage and split again.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    rows = (df.select(F.col(key).alias("_k"), F.col(value).cast("double").alias("_v"))
-            .where(F.col("_v").isNotNull()))
-    hist = (rows.withColumn("_b", coarse_bucket(F.col("_v")))
-            .groupBy("_k", "_b")
-            .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")))
-    state = _locate(hist, ["_k"], "_b", ranks, "_rank").checkpoint(eager=True)
-    done, open_ = _split(state)
-    results = [done]
+    results = []
     current, keys = rows, ["_k"]
-    while True:
-        n_open = open_.count()
-        if n_open == 0:
-            break
+    n_open, max_c = _open_info(open_)
+    while n_open:
         side = F.broadcast(open_) if n_open <= BROADCAST_TARGET_ROWS else open_
-        # rows of each open rank's bucket: same group, value inside [lo, hi]
         members = (current.join(side, keys, "inner")
                    .where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
                    .select("_k", "_rank", "_v", "_within", "_c", "_lo", "_hi"))
@@ -108,34 +101,78 @@ def exact_quantile_values(df: DataFrame, key: str, value: str,
                   .agg(F.sort_array(F.collect_list("_v")).alias("_vals"))
                   .select("_k", "_rank",
                           F.element_at("_vals", (F.col("_within") + 1).cast("int")).alias("_val")))
-        results.append(picked.checkpoint(eager=True))
+        if max_c <= FINAL_SORT_ROWS:
+            results.append(picked)
+            break
+        results.append(materialize(picked, "median_picked"))
         span = F.col("_hi") / 2.0 - F.col("_lo") / 2.0
         sub = F.least(F.lit(REFINE_BINS - 1),
                       F.floor((F.col("_v") / 2.0 - F.col("_lo") / 2.0) / span * REFINE_BINS))
-        big = (members.where(F.col("_c") > FINAL_SORT_ROWS)
-               .withColumn("_sb", sub.cast("long"))
-               .checkpoint(eager=True))
-        hist2 = (big.groupBy("_k", "_rank", "_sb")
-                 .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"),
-                      F.max("_v").alias("_hi")))
-        targets2 = (open_.where(F.col("_c") > FINAL_SORT_ROWS)
-                    .select("_k", "_rank", F.col("_within").alias("_w0")))
-        state = _locate(hist2, ["_k", "_rank"], "_sb", targets2, "_w0").checkpoint(eager=True)
-        done, open_ = _split(state)
+        big = materialize(members.where(F.col("_c") > FINAL_SORT_ROWS)
+                          .select("_k", "_rank", "_within", "_v", sub.cast("long").alias("_sb")),
+                          "median_rows")
+        hist = (big.groupBy("_k", "_rank", "_within", "_sb")
+                .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"),
+                     F.max("_v").alias("_hi")))
+        w = Window.partitionBy("_k", "_rank").orderBy("_sb").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        located = (hist.withColumn("_end", F.sum("_c").over(w))
+                   .withColumn("_start", F.col("_end") - F.col("_c"))
+                   .where((F.col("_within") >= F.col("_start"))
+                          & (F.col("_within") < F.col("_end")))
+                   .select("_k", "_rank", (F.col("_within") - F.col("_start")).alias("_within"),
+                           "_c", "_lo", "_hi"))
+        done, open_ = _resolve(materialize(located, "median_state"))
         results.append(done)
         current, keys = big.select("_k", "_rank", "_v"), ["_k", "_rank"]
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    return out
+        n_open, max_c = _open_info(open_)
+    return results
+
+
+def group_summary(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Per group, over the non-NULL values: ``n``, ``min``, ``max``, ``mean``,
+    population ``std`` and the exact ``median`` (average of the two middle
+    values for an even count). NaN is not skipped (it makes mean/std NaN).
+
+    The bucket histogram (bounded rows per group) is persisted: it feeds the
+    moments, the rank search and the final answer. A lost executor recomputes
+    its cached partitions from the scan.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = (df.select(F.col(key).alias("_k"), F.col(value).cast("double").alias("_v"))
+            .where(F.col("_v").isNotNull()))
+    hist = _bucket_stats(rows, ["_k"], coarse_bucket(F.col("_v")))
+    whole = Window.partitionBy("_k")
+    running = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    h = (hist.withColumn("_n", F.sum("_c").over(whole))
+         .withColumn("_mean", F.sum("_s").over(whole) / F.col("_n"))
+         .withColumn("_end", F.sum("_c").over(running))
+         .withColumn("_start", F.col("_end") - F.col("_c"))
+         .persist(StorageLevel.MEMORY_AND_DISK))
+
+    dev = F.col("_s") / F.col("_c") - F.col("_mean")
+    stats = h.groupBy("_k").agg(
+        F.first("_n").alias("n"), F.min("_lo").alias("min"), F.max("_hi").alias("max"),
+        F.first("_mean").alias("mean"),
+        F.sqrt(F.sum(F.col("_m2") + F.col("_c") * dev * dev) / F.first("_n")).alias("std"))
+
+    lo_rank = F.floor((F.col("_n") - 1) / 2)
+    hi_rank = F.floor(F.col("_n") / 2)
+    ranks = F.array_distinct(F.array(lo_rank, hi_rank))
+    state = (h.select("_k", "_c", "_lo", "_hi", "_start", "_end",
+                      F.explode(ranks).alias("_rank"))
+             .where((F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_end")))
+             .select("_k", "_rank", (F.col("_rank") - F.col("_start")).alias("_within"),
+                     "_c", "_lo", "_hi"))
+    done, open_ = _resolve(state)
+    answered = [done] + _refine(rows, open_)
+    vals = answered[0]
+    for r in answered[1:]:
+        vals = vals.unionByName(r)
+    med = vals.groupBy("_k").agg(F.avg("_val").alias("median"))
+    return stats.join(med, "_k", "left").withColumnRenamed("_k", key)
 
 
 def exact_median(df: DataFrame, key: str, value: str, out: str = "median") -> DataFrame:
-    """Exact median per group (average of the two middle values for an even
-    count, NULLs ignored): ``(key, out)``."""
-    counts = (df.where(F.col(value).isNotNull()).groupBy(F.col(key).alias("_k"))
-              .agg(F.count(F.lit(1)).alias("_n")))
-    ranks = counts.select("_k", F.explode(F.array_distinct(F.array(
-        F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)))).alias("_rank"))
-    vals = exact_quantile_values(df, key, value, ranks)
-    return vals.groupBy("_k").agg(F.avg("_val").alias(out)).withColumnRenamed("_k", key)
+    """Exact median per group: ``(key, out)``."""
+    return group_summary(df, key, value).select(key, F.col("median").alias(out))

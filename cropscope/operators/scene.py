@@ -73,16 +73,17 @@ def scene_ndvi_stats_with_median(pixels: DataFrame, key: str = "scene_id",
     if skip_masked:
         px = px.filter(~F.col("is_masked"))
     px = px.select(key, clip(F.col(ndvi), K.NDVI_MIN, K.NDVI_MAX).alias("_v"))
-    stats = px.groupBy(key).agg(
-        F.min("_v").alias("min_ndvi"), F.max("_v").alias("max_ndvi"),
-        F.avg("_v").alias("mean_ndvi"), F.stddev_pop("_v").alias("std_ndvi"),
-        F.count("_v").alias("pixels"))
     if approximate:
-        med = px.groupBy(key).agg(F.percentile_approx("_v", 0.5, 10000).cast("double")
-                                  .alias("median_ndvi"))
-    else:
-        med = quantile.exact_median(px, key, "_v", out="median_ndvi")
-    return stats.join(med, key, "left")
+        return px.groupBy(key).agg(
+            F.min("_v").alias("min_ndvi"), F.max("_v").alias("max_ndvi"),
+            F.avg("_v").alias("mean_ndvi"), F.stddev_pop("_v").alias("std_ndvi"),
+            F.count("_v").alias("pixels"),
+            F.percentile_approx("_v", 0.5, 10000).cast("double").alias("median_ndvi"))
+    # one scan: moments and the exact median come from the same bucket histogram
+    s = quantile.group_summary(px, key, "_v")
+    return s.select(key, F.col("min").alias("min_ndvi"), F.col("max").alias("max_ndvi"),
+                    F.col("mean").alias("mean_ndvi"), F.col("std").alias("std_ndvi"),
+                    F.col("n").alias("pixels"), F.col("median").alias("median_ndvi"))
 
 
 def masked_pixel_summary(pixels_with_flag: DataFrame, key: str = "scene_id",

@@ -82,3 +82,13 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         tail.append(uuid.uuid4().hex[:12])
     return "/".join([root, "cropscope", *tail])
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet below the shared checkpoint folder and read
+    it back: cuts lineage like ``checkpoint()`` but computes the plan only once
+    (an eager checkpoint of an unpersisted plan runs it twice), and survives a
+    lost executor because the files live on shared storage."""
+    path = shared_path(df.sparkSession, "tables", name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
