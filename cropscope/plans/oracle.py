@@ -436,6 +436,70 @@ FROM s"""
 
 SQL["stream_latest_state"] = SQL["latest_observation"]
 
+SQL["field_report_ndvi"] = _with(BAND_SAMPLES, GUARDED, SCENE_STATS, SCENE_LABELS, CLIMATE,
+                                 TRAIN_FRAME, MASKED) + f""",
+coef AS (SELECT regr_slope(yield, mean_ndvi) AS s, regr_intercept(yield, mean_ndvi) AS i
+         FROM train_frame),
+ms AS (SELECT scene_id, min(ndvi) AS min_ndvi, max(ndvi) AS max_ndvi, avg(ndvi) AS mean_ndvi,
+              median(ndvi) AS median_ndvi, stddev_pop(ndvi) AS std_ndvi
+       FROM masked GROUP BY scene_id),
+env AS (SELECT l.scene_id, c.temperature, c.fertilizer
+        FROM scene_labels l JOIN climate c ON l.nation_id = c.nation_id),
+r AS (SELECT ms.*, (mean_ndvi + 1) / 2 AS h, coef.i + coef.s * mean_ndvi AS pred,
+             env.temperature, env.fertilizer
+      FROM ms CROSS JOIN coef JOIN env ON ms.scene_id = env.scene_id),
+q AS (SELECT *, {_f(BASIC_STRESS, n='mean_ndvi', t='temperature')} AS ws,
+             {_f(RISK_SCORE, n='mean_ndvi', h='65.0', w='5.0', t='temperature')} AS score,
+             {_f(ROI_GUARDED, y='pred', f='fertilizer', p='180')} AS roi
+      FROM r)
+SELECT scene_id, round(min_ndvi, 6) AS min_ndvi, round(max_ndvi, 6) AS max_ndvi,
+       round(mean_ndvi, 6) AS mean_ndvi, round(median_ndvi, 6) AS median_ndvi,
+       round(std_ndvi, 6) AS std_ndvi, round(h, 6) AS health_index,
+       round(pred, 6) AS predicted_yield, round(ws, 6) AS water_stress,
+       round(score, 6) AS risk_score, {_f(HEALTH_CLASS, h='h')} AS health_class,
+       {_f(STRESS_CLASS, s='ws')} AS stress_class, {_f(RISK_CLASS, s='score')} AS risk_class,
+       round({_f(PROFIT_FLOORED, y='pred', f='fertilizer', l='150', p='180')}, 6) AS profit,
+       round(roi, 6) AS roi,
+       CASE WHEN roi > 200 THEN 'excellent' WHEN roi > 100 THEN 'good' ELSE 'low' END
+         AS roi_class
+FROM q"""
+
+SQL["history_report"] = _with(OBSERVATIONS) + f""",
+latest AS (SELECT field_id, n_obs, ts, event_id, ndvi FROM (
+  SELECT *, row_number() OVER (PARTITION BY field_id ORDER BY ts DESC, event_id DESC) AS rn,
+         count(*) OVER (PARTITION BY field_id) AS n_obs FROM observations) WHERE rn = 1),
+yr AS (SELECT field_id,
+              coalesce(regr_slope(ndvi, datediff('day', DATE '1970-01-01', CAST(ts AS DATE))),
+                       0.0) * 365 AS t
+       FROM observations GROUP BY field_id),
+ft AS (SELECT field_id,
+              coalesce(regr_slope(ndvi, datediff('day', DATE '1970-01-01', CAST(ts AS DATE))),
+                       0.0) * 365 AS t10
+       FROM (SELECT *, row_number() OVER (PARTITION BY field_id ORDER BY ts, event_id) AS rn
+             FROM observations) WHERE rn <= 10 GROUP BY field_id)
+SELECT l.field_id, l.n_obs, {_f(TS_TEXT, c='l.ts')} AS ts, l.event_id, round(l.ndvi, 6) AS ndvi,
+       round(yr.t, 6) AS trend_per_year,
+       CASE WHEN yr.t > 0 THEN 'improving' ELSE 'declining' END AS direction,
+       round(abs(yr.t), 6) AS abs_trend, round(ft.t10, 6) AS trend_first_ten
+FROM latest l JOIN yr ON l.field_id = yr.field_id JOIN ft ON l.field_id = ft.field_id
+WHERE l.n_obs >= 2"""
+
+SQL["band_diagnostic"] = _with(BAND_SAMPLES) + """,
+band_long AS (
+  SELECT l_suppkey AS scene_id, 1 AS band, l_discount AS value FROM lineitem
+  UNION ALL SELECT l_suppkey, 2, l_tax FROM lineitem
+  UNION ALL SELECT l_suppkey, 3, l_quantity FROM lineitem
+  UNION ALL SELECT l_suppkey, 4, l_extendedprice FROM lineitem),
+bs AS (SELECT scene_id, band, min(value) AS min_value, max(value) AS max_value,
+              avg(value) AS mean_value FROM band_long GROUP BY scene_id, band),
+bc AS (SELECT scene_id, count(DISTINCT band) AS band_count FROM band_long GROUP BY scene_id),
+meta AS (SELECT scene_id, CAST(max(pixel_col) - min(pixel_col) + 1 AS INTEGER) AS width,
+                CAST(max(pixel_row) - min(pixel_row) + 1 AS INTEGER) AS height
+         FROM band_samples GROUP BY scene_id)
+SELECT bs.scene_id, bs.band, round(min_value, 6) AS min_value, round(max_value, 6) AS max_value,
+       round(mean_value, 6) AS mean_value, band_count, width, height
+FROM bs JOIN bc ON bs.scene_id = bc.scene_id LEFT JOIN meta ON bs.scene_id = meta.scene_id"""
+
 
 def _no_negative_zero(sql: str) -> str:
     """Wrap every ``round(...)`` as ``(round(...) + 0.0)``: rounding a tiny

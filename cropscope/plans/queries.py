@@ -298,6 +298,41 @@ def q_disease_forest(spark, d):
     return present(models.score_risk(models.load(path), train, ["field_id", "disease_risk"]))
 
 
+# --- composite page reports ----------------------------------------------------------------
+
+def scene_env(spark, d) -> DataFrame:
+    """Per-scene environment: the scene's nation parameters (25-row table)."""
+    return (B.scene_labels(spark, d).join(F.broadcast(B.climate(spark, d)), "nation_id")
+            .select("scene_id", "rainfall", "temperature", "soil_ph", "fertilizer"))
+
+
+def q_field_report_raw(spark, d):
+    """5-feature linear yield model fitted on the training frame."""
+    from . import jobs
+    tf = train_frame(spark, d).withColumn("ndvi", F.col("mean_ndvi")).cache()
+    model = models.linear_yield_pipeline(list(K.YIELD_FEATURES_5)).fit(tf)
+    return present(jobs.field_report_raw(B.band_samples(spark, d), scene_env(spark, d), model))
+
+
+def q_field_report_ndvi(spark, d):
+    """Masked NDVI images, 1-feature linear yield model."""
+    from . import jobs
+    tf = train_frame(spark, d).cache()
+    model = models.linear_yield_pipeline(["mean_ndvi"]).fit(tf)
+    px = scene.with_ndvi_masked(B.band_samples(spark, d))
+    return present(jobs.field_report_ndvi(px, model, scene_env(spark, d)))
+
+
+def q_history_report(spark, d):
+    from . import jobs
+    return present(jobs.history_report(B.observations(spark, d)))
+
+
+def q_band_diagnostic(spark, d):
+    from . import jobs
+    return present(jobs.band_diagnostic(B.band_long(spark, d), B.band_samples(spark, d)))
+
+
 # --- streaming ---------------------------------------------------------------------------
 
 def q_stream_scored_history(spark, d):
@@ -347,6 +382,10 @@ QUERIES: dict[str, Query] = {
     "yield_linear_5": q_yield_linear_5,
     "yield_forest": q_yield_forest,
     "disease_forest": q_disease_forest,
+    "field_report_raw": q_field_report_raw,
+    "field_report_ndvi": q_field_report_ndvi,
+    "history_report": q_history_report,
+    "band_diagnostic": q_band_diagnostic,
     "stream_scored_history": q_stream_scored_history,
     "stream_latest_state": q_stream_latest_state,
 }
