@@ -436,6 +436,20 @@ FROM s"""
 
 SQL["stream_latest_state"] = SQL["latest_observation"]
 
+SQL["water_stress_csv"] = _with(FIELDS) + f"""
+SELECT CAST(field_id AS VARCHAR) AS field_id, round(mean_ndvi, 6) AS mean_ndvi,
+       round(temperature, 6) AS temperature,
+       round({_f(BASIC_STRESS, n='mean_ndvi', t='temperature')}, 6) AS water_stress
+FROM fields"""
+
+SQL["economics_csv"] = _with(YIELDS) + """
+SELECT CAST(field_id AS VARCHAR) AS field_id, round(yield, 6) AS yield,
+       round(fertilizer_cost, 6) AS fertilizer_cost,
+       round(yield * 180 - (fertilizer_cost + 150), 6) AS profit,
+       round(CASE WHEN fertilizer_cost = 0 THEN NULL
+                  ELSE (yield * 180 - fertilizer_cost) / fertilizer_cost * 100 END, 6) AS roi
+FROM yields"""
+
 SQL["field_report_ndvi"] = _with(BAND_SAMPLES, GUARDED, SCENE_STATS, SCENE_LABELS, CLIMATE,
                                  TRAIN_FRAME, MASKED) + f""",
 coef AS (SELECT regr_slope(yield, mean_ndvi) AS s, regr_intercept(yield, mean_ndvi) AS i

@@ -298,6 +298,31 @@ def q_disease_forest(spark, d):
     return present(models.score_risk(models.load(path), train, ["field_id", "disease_risk"]))
 
 
+# --- CSV jobs (S6): Spark writes the table as CSV, the job reads it back ------------------------
+
+def q_water_stress_csv(spark, d):
+    """G4 over a CSV field table written from the part table."""
+    from . import jobs
+    from .. import schemas
+    path = shared_path(spark, "field_data_csv")
+    (B.fields(spark, d).select(F.col("field_id").cast("string").alias("field_id"),
+                               "mean_ndvi", "temperature")
+     .write.mode("overwrite").option("header", True).csv(path))
+    return present(jobs.water_stress_job(spark, path, schemas.FIELDS))
+
+
+def q_economics_csv(spark, d):
+    """G5 over a CSV yield table written from lineitem: profit/ROI per field."""
+    from . import jobs
+    from .. import schemas
+    path = shared_path(spark, "yield_data_csv")
+    (B.yields(spark, d).select(F.col("field_id").cast("string").alias("field_id"),
+                               "yield", "fertilizer_cost")
+     .write.mode("overwrite").option("header", True).csv(path))
+    econ, _hist = jobs.economics_job(spark, path, schemas.YIELDS)
+    return present(econ)
+
+
 # --- composite page reports ----------------------------------------------------------------
 
 def scene_env(spark, d) -> DataFrame:
@@ -382,6 +407,8 @@ QUERIES: dict[str, Query] = {
     "yield_linear_5": q_yield_linear_5,
     "yield_forest": q_yield_forest,
     "disease_forest": q_disease_forest,
+    "water_stress_csv": q_water_stress_csv,
+    "economics_csv": q_economics_csv,
     "field_report_raw": q_field_report_raw,
     "field_report_ndvi": q_field_report_ndvi,
     "history_report": q_history_report,

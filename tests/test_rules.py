@@ -145,3 +145,10 @@ def test_domain_violations(spark):
     got = [r[0] for r in df.select(domain_violations(
         {"rainfall": "rainfall", "temperature": "temperature"})).collect()]
     assert got == [[], ["rainfall", "temperature"], ["rainfall"]]
+
+
+def test_formatting(spark):
+    from cropscope.functions import formatting as fmt
+    df = spark.createDataFrame([(0.625, 110.0, 0.12344)], "s double, m double, v double")
+    r = df.select(fmt.percent("s").alias("p"), fmt.money("m").alias("d"), fmt.fixed("v").alias("f")).first()
+    assert (r.p, r.d, r.f) == ("62.5%", "$110.00", "0.1234")
