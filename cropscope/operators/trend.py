@@ -1,8 +1,9 @@
 """Trends and observation history.
 
-Least-squares slopes use ``regr_slope``, an algebraic aggregate with a
-partial/final split, so a field with a third of all observations still folds
-its points in every task before the shuffle. "Latest" uses ``max_by`` (also
+Least-squares slopes are solved from per-(field, day) partial sums with the
+days centred per field, so a field with a third of all observations still
+folds its points in every task before the shuffle, and day numbers near
+20,000 do not cancel the significant digits. "Latest" uses ``max_by`` (also
 algebraic); "first N" uses ``row_number() <= N``, which Spark plans with a
 partial WindowGroupLimit before the shuffle, so at most N rows per field and
 task ever cross the network.
@@ -32,12 +33,35 @@ def image_means(pixels: DataFrame, field: str = "scene_id", image=("capture_date
 def slope_per(points: DataFrame, field: str, date: str, value: str,
               days: float, out: str) -> DataFrame:
     """Least-squares slope of ``value`` over the day number of ``date``, scaled
-    to ``days``; fewer than two usable points, or all on one day -> 0.0."""
-    x = day_number(date).cast("double")
-    return points.groupBy(field).agg(
-        F.count(F.lit(1)).alias("n_points"),
-        (F.coalesce(F.regr_slope(F.col(value).cast("double"), x), F.lit(0.0)) * days).alias(out),
-    )
+    to ``days``; fewer than two usable points, or all on one day -> 0.0.
+
+    Points are first folded per (field, day) - partial aggregation, so a hot
+    field ships one row per day and task. Days are then centred on the
+    field's first day (a window over that field's distinct days, bounded by
+    the calendar) and the normal equations are solved from the centred sums:
+    day numbers around 20,000 would otherwise cancel most of the digits.
+    ``n_points`` counts every row of the field, usable or not.
+    """
+    v = F.col(value).cast("double")
+    d = day_number(date)
+    ok = v.isNotNull() & d.isNotNull()
+    per_day = points.groupBy(F.col(field).alias(field), d.alias("_day")).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count(F.when(ok, v)).cast("double").alias("_c"),
+        F.sum(F.when(ok, v)).alias("_s"))
+    x = (F.col("_day") - F.min("_day").over(Window.partitionBy(field))).cast("double")
+    centred = per_day.withColumn("_x", x)
+    use = F.col("_x").isNotNull() & (F.col("_c") > 0)
+    c, s, xx = F.col("_c"), F.col("_s"), F.col("_x")
+    sums = centred.groupBy(field).agg(
+        F.sum("_rows").alias("n_points"),
+        F.sum(F.when(use, c)).alias("_n"), F.sum(F.when(use, c * xx)).alias("_sx"),
+        F.sum(F.when(use, c * xx * xx)).alias("_sxx"), F.sum(F.when(use, s)).alias("_sy"),
+        F.sum(F.when(use, s * xx)).alias("_sxy"))
+    den = F.col("_n") * F.col("_sxx") - F.col("_sx") * F.col("_sx")
+    num = F.col("_n") * F.col("_sxy") - F.col("_sx") * F.col("_sy")
+    slope = F.when(den > 0, num / den).otherwise(F.lit(0.0))
+    return sums.select(field, "n_points", (slope * days).alias(out))
 
 
 def field_trend_per_1000_days(pixels: DataFrame, field: str = "scene_id",

@@ -90,6 +90,35 @@ chosen AS (
   FROM band_choice)"""
 
 
+def _slope(name: str, src: str, field: str, day: str, value: str, scale: str) -> str:
+    """CTEs computing ``name(field, n_points, t)``: least-squares slope of value
+    over day (centred per field) times ``scale``; 0 without two usable days."""
+    return f"""{name}_pd AS (
+  SELECT {field} AS field, d AS day, count(*) AS n_rows,
+         CAST(count(CASE WHEN v IS NOT NULL AND d IS NOT NULL THEN v END) AS DOUBLE) AS c,
+         sum(CASE WHEN v IS NOT NULL AND d IS NOT NULL THEN v END) AS s
+  FROM (SELECT *, {day} AS d, CAST({value} AS DOUBLE) AS v FROM {src}) GROUP BY {field}, d),
+{name}_ce AS (
+  SELECT *, CAST(day - min(day) OVER (PARTITION BY field) AS DOUBLE) AS x FROM {name}_pd),
+{name}_su AS (
+  SELECT field, sum(n_rows) AS n_points,
+         sum(CASE WHEN x IS NOT NULL AND c > 0 THEN c END) AS n,
+         sum(CASE WHEN x IS NOT NULL AND c > 0 THEN c * x END) AS sx,
+         sum(CASE WHEN x IS NOT NULL AND c > 0 THEN c * x * x END) AS sxx,
+         sum(CASE WHEN x IS NOT NULL AND c > 0 THEN s END) AS sy,
+         sum(CASE WHEN x IS NOT NULL AND c > 0 THEN s * x END) AS sxy
+  FROM {name}_ce GROUP BY field),
+{name} AS (
+  SELECT field AS {field}, CAST(n_points AS BIGINT) AS n_points,
+         CASE WHEN n * sxx - sx * sx > 0 THEN (n * sxy - sx * sy) / (n * sxx - sx * sx)
+              ELSE 0.0 END * {scale} AS t
+  FROM {name}_su)"""
+
+
+DAY_TS = "datediff('day', DATE '1970-01-01', CAST(ts AS DATE))"
+DAY_CAPTURE = "datediff('day', DATE '1970-01-01', capture_date)"
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -206,29 +235,24 @@ FROM masked GROUP BY scene_id, capture_date"""
 SQL["trend_per_1000_days"] = _with(BAND_SAMPLES, MASKED) + """,
 pts AS (SELECT scene_id, capture_date, avg(ndvi) AS mean_ndvi FROM masked
         GROUP BY scene_id, capture_date),
-tr AS (SELECT scene_id, count(*) AS n_points,
-              coalesce(regr_slope(mean_ndvi, datediff('day', DATE '1970-01-01', capture_date)),
-                       0.0) * 1000 AS ndvi_trend
-       FROM pts GROUP BY scene_id)
-SELECT scene_id, n_points, round(ndvi_trend, 6) AS ndvi_trend,
-       CASE WHEN ndvi_trend > 0 THEN 'green' ELSE 'red' END AS colour
+""" + _slope("tr", "pts", "scene_id", DAY_CAPTURE, "mean_ndvi", "1000") + """
+SELECT scene_id, n_points, round(t, 6) AS ndvi_trend,
+       CASE WHEN t > 0 THEN 'green' ELSE 'red' END AS colour
 FROM tr"""
 
 _TREND_YEAR = """
 SELECT field_id, n_points, round(t, 6) AS trend_per_year,
        CASE WHEN t > 0 THEN 'improving' ELSE 'declining' END AS direction,
        round(abs(t), 6) AS abs_trend, n_points >= 2 AS shown
-FROM (SELECT field_id, count(*) AS n_points,
-             coalesce(regr_slope(ndvi, datediff('day', DATE '1970-01-01', CAST(ts AS DATE))),
-                      0.0) * 365 AS t
-      FROM {src} GROUP BY field_id)"""
+FROM ty"""
 
-SQL["trend_per_year"] = _with(OBSERVATIONS) + _TREND_YEAR.format(src="observations")
+SQL["trend_per_year"] = _with(OBSERVATIONS, _slope("ty", "observations", "field_id", DAY_TS,
+                                                   "ndvi", "365")) + _TREND_YEAR
 
-SQL["trend_first_ten"] = _with(OBSERVATIONS) + """,
-first_ten AS (SELECT * FROM (
+SQL["trend_first_ten"] = _with(OBSERVATIONS, """first_ten AS (SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY field_id ORDER BY ts, event_id) AS rn
-  FROM observations) WHERE rn <= 10)""" + _TREND_YEAR.format(src="first_ten")
+  FROM observations) WHERE rn <= 10)""", _slope("ty", "first_ten", "field_id", DAY_TS,
+                                              "ndvi", "365")) + _TREND_YEAR
 
 SQL["latest_observation"] = _with(OBSERVATIONS) + f"""
 SELECT field_id, n_obs, {_f(TS_TEXT, c='ts')} AS ts, event_id, round(ndvi, 6) AS ndvi
@@ -478,23 +502,18 @@ SELECT scene_id, round(min_ndvi, 6) AS min_ndvi, round(max_ndvi, 6) AS max_ndvi,
          AS roi_class
 FROM q"""
 
-SQL["history_report"] = _with(OBSERVATIONS) + f""",
+SQL["history_report"] = _with(OBSERVATIONS, """first_ten AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY field_id ORDER BY ts, event_id) AS rn
+  FROM observations) WHERE rn <= 10)""",
+    _slope("yr", "observations", "field_id", DAY_TS, "ndvi", "365"),
+    _slope("ft", "first_ten", "field_id", DAY_TS, "ndvi", "365")) + f""",
 latest AS (SELECT field_id, n_obs, ts, event_id, ndvi FROM (
   SELECT *, row_number() OVER (PARTITION BY field_id ORDER BY ts DESC, event_id DESC) AS rn,
-         count(*) OVER (PARTITION BY field_id) AS n_obs FROM observations) WHERE rn = 1),
-yr AS (SELECT field_id,
-              coalesce(regr_slope(ndvi, datediff('day', DATE '1970-01-01', CAST(ts AS DATE))),
-                       0.0) * 365 AS t
-       FROM observations GROUP BY field_id),
-ft AS (SELECT field_id,
-              coalesce(regr_slope(ndvi, datediff('day', DATE '1970-01-01', CAST(ts AS DATE))),
-                       0.0) * 365 AS t10
-       FROM (SELECT *, row_number() OVER (PARTITION BY field_id ORDER BY ts, event_id) AS rn
-             FROM observations) WHERE rn <= 10 GROUP BY field_id)
+         count(*) OVER (PARTITION BY field_id) AS n_obs FROM observations) WHERE rn = 1)
 SELECT l.field_id, l.n_obs, {_f(TS_TEXT, c='l.ts')} AS ts, l.event_id, round(l.ndvi, 6) AS ndvi,
        round(yr.t, 6) AS trend_per_year,
        CASE WHEN yr.t > 0 THEN 'improving' ELSE 'declining' END AS direction,
-       round(abs(yr.t), 6) AS abs_trend, round(ft.t10, 6) AS trend_first_ten
+       round(abs(yr.t), 6) AS abs_trend, round(ft.t, 6) AS trend_first_ten
 FROM latest l JOIN yr ON l.field_id = yr.field_id JOIN ft ON l.field_id = ft.field_id
 WHERE l.n_obs >= 2"""
 
@@ -515,20 +534,31 @@ SELECT bs.scene_id, bs.band, round(min_value, 6) AS min_value, round(max_value,
 FROM bs JOIN bc ON bs.scene_id = bc.scene_id LEFT JOIN meta ON bs.scene_id = meta.scene_id"""
 
 
-def _no_negative_zero(sql: str) -> str:
-    """Wrap every ``round(...)`` as ``(round(...) + 0.0)``: rounding a tiny
-    negative value gives -0.0 in DuckDB but 0.0 in Spark; adding +0.0 turns
-    -0.0 into 0.0 and leaves every other value unchanged."""
+def _split_last_arg(args: str) -> tuple[str, str]:
+    depth = 0
+    for i in range(len(args) - 1, -1, -1):
+        ch = args[i]
+        if ch == ")":
+            depth += 1
+        elif ch == "(":
+            depth -= 1
+        elif ch == "," and depth == 0:
+            return args[:i], args[i + 1:]
+    raise ValueError(f"round() without digits: {args}")
+
+
+def _output_rounding(sql: str) -> str:
+    """Rewrite every ``round(e, d)`` as the output rounding of ``queries.round6``:
+    snap ``e`` to 12 significant digits, round to ``d`` decimals, add 0.0
+    (turns -0.0 into 0.0)."""
     out, i = [], 0
     while True:
         j = sql.find("round(", i)
-        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
-            if j < 0:
-                out.append(sql[i:])
-                return "".join(out)
-            out.append(sql[i:j + 6])
-            i = j + 6
-            continue
+        while j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            j = sql.find("round(", j + 6)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
         depth, k = 0, j + 5
         while True:
             if sql[k] == "(":
@@ -538,9 +568,13 @@ def _no_negative_zero(sql: str) -> str:
                 if depth == 0:
                     break
             k += 1
+        expr, digits = _split_last_arg(_output_rounding(sql[j + 6:k]))
+        e = f"CAST(({expr}) AS DOUBLE)"
+        snapped = (f"(CASE WHEN {e} = 0 OR isnan({e}) OR isinf({e}) THEN {e} "
+                   f"ELSE round({e}, 11 - CAST(floor(log10(abs({e}))) AS INTEGER)) END)")
         out.append(sql[i:j])
-        out.append("(round(" + _no_negative_zero(sql[j + 6:k]) + ") + 0.0)")
+        out.append(f"(round({snapped}, {digits.strip()}) + 0.0)")
         i = k + 1
 
 
-SQL = {k: _no_negative_zero(v) for k, v in SQL.items()}
+SQL = {k: _output_rounding(v) for k, v in SQL.items()}

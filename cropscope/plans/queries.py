@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,17 +28,51 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # --- output conventions --------------------------------------------------------
 
-def present(df: DataFrame) -> DataFrame:
-    """Round doubles to 6 decimals; dates and timestamps as text.
+_TWO_52 = 4503599627370496.0  # from here on every double is an integer
+
+
+def _round_half_away(y: Column) -> Column:
+    """Nearest integer, halves away from zero, in plain double arithmetic
+    (``|y| - floor(|y|)`` is exact), so it stays in generated code."""
+    a = F.abs(y)
+    fl = F.floor(a).cast("double")
+    r = F.signum(y) * (fl + F.when(a - fl >= 0.5, F.lit(1.0)).otherwise(F.lit(0.0)))
+    return F.when(a >= _TWO_52, y).otherwise(r)
+
+
+def round_digits(x: Column, digits) -> Column:
+    """Round the binary value of ``x`` to ``digits`` decimals (negative digits
+    round to tens, hundreds, ...): scale, round half away from zero, unscale."""
+    x = x.cast("double")
+    k = digits if isinstance(digits, Column) else F.lit(int(digits))
+    up = F.pow(F.lit(10.0), k)
+    down = F.pow(F.lit(10.0), -k)
+    r = F.when(k >= 0, _round_half_away(x * up) / up).otherwise(_round_half_away(x / down) * down)
+    return F.when(F.isnan(r) | (F.abs(r) == float("inf")), x).otherwise(r)
+
 
-    Rounding acts on the binary value (scale by 1e6, round half away from
-    zero, scale back), so exact ties round the same way in every engine.
-    """
+def snap12(x: Column) -> Column:
+    """Round to 12 significant digits: removes last-bit differences between
+    engines (summation order, algorithms) before the value is rounded for
+    output, so an exact decimal tie rounds the same way everywhere."""
+    x = x.cast("double")
+    k = F.lit(11) - F.floor(F.log10(F.abs(x)))
+    return F.when((x == 0) | F.isnan(x) | (F.abs(x) == float("inf")), x) \
+        .otherwise(round_digits(x, k))
+
+
+def round6(x: Column) -> Column:
+    """Output rounding: 12 significant digits, then 6 decimals; -0.0 -> 0.0."""
+    return round_digits(snap12(x), 6) + F.lit(0.0)
+
+
+def present(df: DataFrame) -> DataFrame:
+    """Round doubles to 6 decimals; dates and timestamps as text."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double") * F.lit(1e6), 0) / F.lit(1e6)
+            c = round6(c)
         elif isinstance(f.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
