@@ -548,9 +548,9 @@ def _split_last_arg(args: str) -> tuple[str, str]:
 
 
 def _output_rounding(sql: str) -> str:
-    """Rewrite every ``round(e, d)`` as the output rounding of ``queries.round6``:
-    snap ``e`` to 12 significant digits, round to ``d`` decimals, add 0.0
-    (turns -0.0 into 0.0)."""
+    """Rewrite every ``round(e, d)`` as the output rounding of ``queries.present``:
+    round ``e`` to 9 decimals, then to ``d``, then add 0.0 (turns -0.0 into
+    0.0)."""
     out, i = [], 0
     while True:
         j = sql.find("round(", i)
@@ -569,11 +569,8 @@ def _output_rounding(sql: str) -> str:
                     break
             k += 1
         expr, digits = _split_last_arg(_output_rounding(sql[j + 6:k]))
-        e = f"CAST(({expr}) AS DOUBLE)"
-        snapped = (f"(CASE WHEN {e} = 0 OR isnan({e}) OR isinf({e}) THEN {e} "
-                   f"ELSE round({e}, 11 - CAST(floor(log10(abs({e}))) AS INTEGER)) END)")
         out.append(sql[i:j])
-        out.append(f"(round({snapped}, {digits.strip()}) + 0.0)")
+        out.append(f"(round(round(CAST(({expr}) AS DOUBLE), 9), {digits.strip()}) + 0.0)")
         i = k + 1
 
 

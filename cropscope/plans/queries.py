@@ -32,53 +32,45 @@ _TWO_52 = 4503599627370496.0  # from here on every double is an integer
 
 
 def _round_half_away(y: Column) -> Column:
-    """Nearest integer, halves away from zero, in plain double arithmetic
-    (``|y| - floor(|y|)`` is exact), so it stays in generated code."""
+    """Nearest integer, halves away from zero; NaN and infinities pass through."""
     a = F.abs(y)
-    fl = F.floor(a).cast("double")
-    r = F.signum(y) * (fl + F.when(a - fl >= 0.5, F.lit(1.0)).otherwise(F.lit(0.0)))
-    return F.when(a >= _TWO_52, y).otherwise(r)
+    return F.when(a >= _TWO_52, y).otherwise(F.signum(y) * F.floor(a + F.lit(0.5)))
 
 
 def round_digits(x: Column, digits) -> Column:
-    """Round the binary value of ``x`` to ``digits`` decimals (negative digits
-    round to tens, hundreds, ...): scale, round half away from zero, unscale."""
-    x = x.cast("double")
-    k = digits if isinstance(digits, Column) else F.lit(int(digits))
-    up = F.pow(F.lit(10.0), k)
-    down = F.pow(F.lit(10.0), -k)
-    r = F.when(k >= 0, _round_half_away(x * up) / up).otherwise(_round_half_away(x / down) * down)
-    return F.when(F.isnan(r) | (F.abs(r) == float("inf")), x).otherwise(r)
-
-
-def snap12(x: Column) -> Column:
-    """Round to 12 significant digits: removes last-bit differences between
-    engines (summation order, algorithms) before the value is rounded for
-    output, so an exact decimal tie rounds the same way everywhere."""
-    x = x.cast("double")
-    k = F.lit(11) - F.floor(F.log10(F.abs(x)))
-    return F.when((x == 0) | F.isnan(x) | (F.abs(x) == float("inf")), x) \
-        .otherwise(round_digits(x, k))
-
-
-def round6(x: Column) -> Column:
-    """Output rounding: 12 significant digits, then 6 decimals; -0.0 -> 0.0."""
-    return round_digits(snap12(x), 6) + F.lit(0.0)
+    """Round the binary value of ``x`` to ``digits`` >= 0 decimals: scale,
+    round half away from zero, unscale."""
+    p = F.pow(F.lit(10.0), digits if isinstance(digits, Column) else F.lit(int(digits)))
+    return _round_half_away(x.cast("double") * p) / p
 
 
 def present(df: DataFrame) -> DataFrame:
-    """Round doubles to 6 decimals; dates and timestamps as text."""
-    cols = []
-    for f in df.schema.fields:
+    """Output conventions: doubles rounded to 6 decimals after a first rounding
+    to 9 decimals (absorbs last-bit differences between engines and summation
+    orders, so an exact decimal tie rounds the same way everywhere; -0.0
+    becomes 0.0), dates and timestamps as text.
+
+    The rounding runs as small staged projections over plain columns, so every
+    intermediate is computed once and the generated code stays small.
+    """
+    fields = df.schema.fields
+    doubles = [f.name for f in fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    t = {n: f"__r{i}_" for i, n in enumerate(doubles)}
+    cur = df.select("*", *[(F.col(f"`{n}`").cast("double") * F.lit(1e9)).alias(t[n] + "y")
+                           for n in doubles])
+    cur = cur.select("*", *[(_round_half_away(F.col(t[n] + "y")) / F.lit(1e9) * F.lit(1e6))
+                            .alias(t[n] + "z") for n in doubles])
+    out = []
+    for f in fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = round6(c)
+        if f.name in t:
+            c = _round_half_away(F.col(t[f.name] + "z")) / F.lit(1e6) + F.lit(0.0)
         elif isinstance(f.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+        out.append(c.alias(f.name))
+    return cur.select(*out)
 
 
 # --- scene statistics --------------------------------------------------------------
