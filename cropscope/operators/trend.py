@@ -43,12 +43,13 @@ def slope_per(points: DataFrame, field: str, date: str, value: str,
     ``n_points`` counts every row of the field, usable or not.
     """
     v = F.col(value).cast("double")
-    d = day_number(date)
-    ok = v.isNotNull() & d.isNotNull()
-    per_day = points.groupBy(F.col(field).alias(field), d.alias("_day")).agg(
+    ok = v.isNotNull() & F.col(date).isNotNull()
+    # grouped by the date itself (a bijection of the day number), so input that
+    # is already aggregated per (field, date) keeps its partitioning: no shuffle
+    per_day = points.groupBy(field, date).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count(F.when(ok, v)).cast("double").alias("_c"),
-        F.sum(F.when(ok, v)).alias("_s"))
+        F.sum(F.when(ok, v)).alias("_s")).withColumn("_day", day_number(date))
     x = (F.col("_day") - F.min("_day").over(Window.partitionBy(field))).cast("double")
     centred = per_day.withColumn("_x", x)
     use = F.col("_x").isNotNull() & (F.col("_c") > 0)

@@ -37,7 +37,15 @@ def test_filter_on_rule_output_reaches_scan(spark):
 
 def test_first_ten_limits_before_shuffle(spark):
     p = plan(QUERIES["trend_first_ten"](spark, SF_SMALL))
-    assert "WindowGroupLimit" in p
+    # a partial limit runs before the exchange, the final one after it
+    partial = p.find("row_number(), 10, Partial")
+    exchange = p.find("Exchange hashpartitioning(field_id")
+    assert partial > exchange > 0      # tree string lists the child below its parent
+
+
+def test_trend_reuses_image_partitioning(spark):
+    p = plan(QUERIES["trend_per_1000_days"](spark, SF_SMALL))
+    assert p.count("Exchange hashpartitioning") == 2
 
 
 def test_latest_is_an_aggregate_not_a_window(spark):
