@@ -47,10 +47,14 @@ def with_scenarios(fields: DataFrame, scenarios: Sequence[dict]) -> DataFrame:
 
 def scenario_grid(fields: DataFrame, scenarios: Sequence[dict],
                   predicted_yield: Column | None = None,
-                  labor_cost=K.DEFAULT_LABOR_COST, crop_price=K.DEFAULT_CROP_PRICE) -> DataFrame:
+                  labor_cost=K.DEFAULT_LABOR_COST, crop_price=K.DEFAULT_CROP_PRICE,
+                  unit_cost: float = 1.0) -> DataFrame:
     """For each (field, scenario): predicted yield, health, climate stress,
     rule disease risk (field humidity and leaf wetness, scenario temperature),
-    floored profit, guarded ROI and the first matching advice."""
+    floored profit, guarded ROI and the first matching advice.
+
+    The scenario's fertilizer is an amount (kg/ha); its cost is amount x
+    ``unit_cost`` (default 1.0, which reproduces the original page, D11)."""
     grid = with_scenarios(fields.select("field_id", "humidity", "leaf_wetness"), scenarios)
     pred = predicted_yield if predicted_yield is not None else linear_yield()
     out = grid.select(
@@ -59,10 +63,10 @@ def scenario_grid(fields: DataFrame, scenarios: Sequence[dict],
         health_index("ndvi").alias("health_index"),
         water_stress_climate("ndvi", "temperature", "rainfall").alias("water_stress"),
         disease_risk_score("ndvi", "humidity", "leaf_wetness", "temperature").alias("risk_score"),
-        "fertilizer")
+        (F.col("fertilizer") * F.lit(float(unit_cost))).alias("fertilizer_cost"))
     out = out.withColumn("risk_class", disease_risk_class("risk_score"))
-    out = (out.withColumn("profit", profit_floored("predicted_yield", "fertilizer", labor_cost,
-                                                   crop_price))
-           .withColumn("roi", roi_guarded("predicted_yield", "fertilizer", crop_price))
+    out = (out.withColumn("profit", profit_floored("predicted_yield", "fertilizer_cost",
+                                                   labor_cost, crop_price))
+           .withColumn("roi", roi_guarded("predicted_yield", "fertilizer_cost", crop_price))
            .withColumn("advice", scenario_advice("predicted_yield", "water_stress", "risk_class")))
-    return out.drop("fertilizer")
+    return out.drop("fertilizer_cost")

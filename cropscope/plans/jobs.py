@@ -103,9 +103,10 @@ def field_report_raw(band_samples: DataFrame, env: DataFrame, model: PipelineMod
     advice (P9, P10), rule disease risk with advice (P11-P13), floored profit
     and guarded ROI with class (P15, P17, P18) and the cost items (P21).
     ``env`` holds per-scene rainfall, temperature, soil_ph and fertilizer;
-    ``params`` the shared humidity, leaf wetness, price and labor cost.
+    ``params`` the shared humidity, leaf wetness, price and labor cost, and
+    ``unit_cost`` (default 1.0) turns the fertilizer amount into a cost (D11).
     """
-    p = dict(K.DEFAULTS)
+    p = dict(K.DEFAULTS, unit_cost=1.0)
     p.update(params or {})
     stats = scene.scene_health_report(band_samples, key)
     feats = stats.join(env, key, "inner").withColumn("ndvi", F.col("mean_ndvi"))
@@ -115,16 +116,17 @@ def field_report_raw(band_samples: DataFrame, env: DataFrame, model: PipelineMod
     out = scored.select(
         key, "mean_ndvi", "min_ndvi", "max_ndvi", "std_ndvi", "healthy_share",
         "health_index", "predicted_yield", yield_class("predicted_yield").alias("yield_class"),
-        stress.alias("water_stress"), risk.alias("risk_score"), "fertilizer")
+        stress.alias("water_stress"), risk.alias("risk_score"),
+        (F.col("fertilizer") * F.lit(float(p["unit_cost"]))).alias("fertilizer_cost"))
     out = (out.withColumn("stress_class", stress_class("water_stress"))
            .withColumn("stress_advice", stress_advice("water_stress"))
            .withColumn("risk_class", disease_risk_class("risk_score"))
            .withColumn("risk_advice", disease_advice("risk_class"))
-           .withColumn("profit", profit_floored("predicted_yield", "fertilizer",
+           .withColumn("profit", profit_floored("predicted_yield", "fertilizer_cost",
                                                 p["labor_cost"], p["crop_price"]))
-           .withColumn("roi", roi_guarded("predicted_yield", "fertilizer", p["crop_price"]))
+           .withColumn("roi", roi_guarded("predicted_yield", "fertilizer_cost", p["crop_price"]))
            .withColumn("roi_class", roi_class_a("roi")))
-    return out.drop("fertilizer")
+    return out.drop("fertilizer_cost")
 
 
 def field_report_ndvi(ndvi_pixels: DataFrame, model: PipelineModel, env: DataFrame,
@@ -132,8 +134,9 @@ def field_report_ndvi(ndvi_pixels: DataFrame, model: PipelineModel, env: DataFra
     """NDVI image page as one row per scene: clipped statistics with the
     exact median (A3), health and class (P6, P7), yield from the one-feature
     model (M9), basic stress (P8, the two-argument form the page calls) with
-    class, rule risk (P11, P12), floored profit, guarded ROI and class B."""
-    p = dict(K.DEFAULTS)
+    class, rule risk (P11, P12), floored profit, guarded ROI and class B;
+    fertilizer cost = amount x ``unit_cost`` (default 1.0, D11)."""
+    p = dict(K.DEFAULTS, unit_cost=1.0)
     p.update(params or {})
     stats = scene.scene_ndvi_stats_with_median(ndvi_pixels, key)
     scored = model.transform(stats).withColumnRenamed("prediction", "predicted_yield")
@@ -143,15 +146,16 @@ def field_report_ndvi(ndvi_pixels: DataFrame, model: PipelineModel, env: DataFra
         h.alias("health_index"), "predicted_yield",
         water_stress_basic("mean_ndvi", "temperature").alias("water_stress"),
         disease_risk_score("mean_ndvi", p["humidity"], p["leaf_wetness"], "temperature")
-        .alias("risk_score"), "fertilizer"))
+        .alias("risk_score"),
+        (F.col("fertilizer") * F.lit(float(p["unit_cost"]))).alias("fertilizer_cost")))
     out = (out.withColumn("health_class", health_class("health_index"))
            .withColumn("stress_class", stress_class("water_stress"))
            .withColumn("risk_class", disease_risk_class("risk_score"))
-           .withColumn("profit", profit_floored("predicted_yield", "fertilizer",
+           .withColumn("profit", profit_floored("predicted_yield", "fertilizer_cost",
                                                 p["labor_cost"], p["crop_price"]))
-           .withColumn("roi", roi_guarded("predicted_yield", "fertilizer", p["crop_price"]))
+           .withColumn("roi", roi_guarded("predicted_yield", "fertilizer_cost", p["crop_price"]))
            .withColumn("roi_class", roi_class_b("roi")))
-    return out.drop("fertilizer")
+    return out.drop("fertilizer_cost")
 
 
 def history_report(obs: DataFrame, field: str = "field_id") -> DataFrame:

@@ -64,12 +64,13 @@ def latest_state(obs: DataFrame) -> DataFrame:
 
 def run_scored_history(spark: SparkSession, data_dir: str, out_path: str | None = None,
                        params: dict | None = None) -> str:
-    """T1 + K6: stream -> score -> append to a Parquet history table. Returns
-    the table path once every available file is processed."""
+    """T1 + K6: stream -> score -> append to a Parquet history table, with the
+    processing time in ``ingested_at`` (P32). Returns the table path once
+    every available file is processed."""
     out_path = out_path or shared_path(spark, "history")
     ckpt = out_path.rstrip("/") + "_checkpoint"
     scored = score_observations(observations_from_events(read_events_stream(spark, data_dir)),
-                                params)
+                                params).withColumn("ingested_at", F.current_timestamp())
     q = (scored.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out_path))
     q.awaitTermination()
