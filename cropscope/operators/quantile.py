@@ -134,9 +134,10 @@ def group_summary(df: DataFrame, key: str, value: str) -> DataFrame:
     population ``std`` and the exact ``median`` (average of the two middle
     values for an even count). NaN is not skipped (it makes mean/std NaN).
 
-    The bucket histogram (bounded rows per group) is persisted: it feeds the
-    moments, the rank search and the final answer. A lost executor recomputes
-    its cached partitions from the scan.
+    The bucket histogram (bounded rows per group) is persisted while it feeds
+    the moments, the rank search and the answer (a lost executor recomputes
+    its cached partitions from the scan); the result, one row per group, is
+    written once to the shared checkpoint folder and the cache released.
     """
     ensure_checkpoint_dir(df.sparkSession)
     rows = (df.select(F.col(key).alias("_k"), F.col(value).cast("double").alias("_v"))
@@ -170,7 +171,11 @@ def group_summary(df: DataFrame, key: str, value: str) -> DataFrame:
     for r in answered[1:]:
         vals = vals.unionByName(r)
     med = vals.groupBy("_k").agg(F.avg("_val").alias("median"))
-    return stats.join(med, "_k", "left").withColumnRenamed("_k", key)
+    # one row per group: written once to shared storage, then the cache is freed
+    out = materialize(stats.join(med, "_k", "left").withColumnRenamed("_k", key),
+                      "group_summary")
+    h.unpersist()
+    return out
 
 
 def exact_median(df: DataFrame, key: str, value: str, out: str = "median") -> DataFrame:

@@ -290,22 +290,32 @@ def q_ndvi_batch_output(spark, d):
 
 # --- models -----------------------------------------------------------------------------
 
+def fit_cached(pipeline, df: DataFrame):
+    """Fit on a cached copy (Spark ML passes over its input many times), then
+    release the cache; scoring reads the plan again."""
+    cached = df.cache()
+    try:
+        return pipeline.fit(cached)
+    finally:
+        cached.unpersist()
+
+
 def q_yield_linear_1(spark, d):
-    tf = train_frame(spark, d).cache()
-    model = models.linear_yield_pipeline(["mean_ndvi"]).fit(tf)
+    tf = train_frame(spark, d)
+    model = fit_cached(models.linear_yield_pipeline(["mean_ndvi"]), tf)
     return present(models.score(model, tf, ["scene_id"]))
 
 
 def q_yield_linear_5(spark, d):
-    tf = train_frame(spark, d).cache()
+    tf = train_frame(spark, d)
     feats = ["mean_ndvi", "rainfall", "temperature", "soil_ph", "fertilizer"]
-    model = models.linear_yield_pipeline(feats).fit(tf)
+    model = fit_cached(models.linear_yield_pipeline(feats), tf)
     return present(models.score(model, tf, ["scene_id"]))
 
 
 def q_yield_forest(spark, d):
-    tf = train_frame(spark, d).cache()
-    model = models.yield_forest_pipeline().fit(tf)
+    tf = train_frame(spark, d)
+    model = fit_cached(models.yield_forest_pipeline(), tf)
     path = models.save(model, shared_path(spark, "yield_forest"))
     return present(models.score(models.load(path), tf, ["scene_id"]))
 
@@ -318,8 +328,8 @@ def q_disease_forest(spark, d):
     code = (F.when(cls == K.RISK_LABELS[0], 1).when(cls == K.RISK_LABELS[1], 2)
             .when(cls == K.RISK_LABELS[2], 3).otherwise(0))
     train = f.select("field_id", F.col("mean_ndvi").alias("ndvi"), "humidity", "leaf_wetness",
-                     code.alias("disease_risk")).cache()
-    model = models.disease_forest_pipeline().fit(train)
+                     code.alias("disease_risk"))
+    model = fit_cached(models.disease_forest_pipeline(), train)
     path = models.save(model, shared_path(spark, "disease_forest"))
     return present(models.score_risk(models.load(path), train, ["field_id", "disease_risk"]))
 
@@ -360,16 +370,16 @@ def scene_env(spark, d) -> DataFrame:
 def q_field_report_raw(spark, d):
     """5-feature linear yield model fitted on the training frame."""
     from . import jobs
-    tf = train_frame(spark, d).withColumn("ndvi", F.col("mean_ndvi")).cache()
-    model = models.linear_yield_pipeline(list(K.YIELD_FEATURES_5)).fit(tf)
+    tf = train_frame(spark, d).withColumn("ndvi", F.col("mean_ndvi"))
+    model = fit_cached(models.linear_yield_pipeline(list(K.YIELD_FEATURES_5)), tf)
     return present(jobs.field_report_raw(B.band_samples(spark, d), scene_env(spark, d), model))
 
 
 def q_field_report_ndvi(spark, d):
     """Masked NDVI images, 1-feature linear yield model."""
     from . import jobs
-    tf = train_frame(spark, d).cache()
-    model = models.linear_yield_pipeline(["mean_ndvi"]).fit(tf)
+    tf = train_frame(spark, d)
+    model = fit_cached(models.linear_yield_pipeline(["mean_ndvi"]), tf)
     px = scene.with_ndvi_masked(B.band_samples(spark, d))
     return present(jobs.field_report_ndvi(px, model, scene_env(spark, d)))
 
