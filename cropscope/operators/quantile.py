@@ -20,7 +20,7 @@ in a single task. This operator finds the middle value(s) by counting instead:
    filter against a small, size-checked broadcast side), splitting the range
    into equal-width sub-buckets, until a bucket is small enough to sort.
 
-The bounded bucket histogram is persisted; rows kept for a further round are
+The bounded bucket histogram, and the rows kept for a further round, are
 written once to the shared checkpoint folder and read back
 (``session.materialize``), which cuts lineage and keeps a lost executor from
 redoing earlier rounds.
@@ -30,7 +30,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from ..session import ensure_checkpoint_dir, materialize
 
@@ -134,10 +133,9 @@ def group_summary(df: DataFrame, key: str, value: str) -> DataFrame:
     population ``std`` and the exact ``median`` (average of the two middle
     values for an even count). NaN is not skipped (it makes mean/std NaN).
 
-    The bucket histogram (bounded rows per group) is persisted while it feeds
-    the moments, the rank search and the answer (a lost executor recomputes
-    its cached partitions from the scan); the result, one row per group, is
-    written once to the shared checkpoint folder and the cache released.
+    The bucket histogram (bounded rows per group) is written once to the
+    shared checkpoint folder: it feeds the moments, the rank search and the
+    answer without a second scan, survives a lost executor and holds no cache.
     """
     ensure_checkpoint_dir(df.sparkSession)
     rows = (df.select(F.col(key).alias("_k"), F.col(value).cast("double").alias("_v"))
@@ -148,8 +146,8 @@ def group_summary(df: DataFrame, key: str, value: str) -> DataFrame:
     h = (hist.withColumn("_n", F.sum("_c").over(whole))
          .withColumn("_mean", F.sum("_s").over(whole) / F.col("_n"))
          .withColumn("_end", F.sum("_c").over(running))
-         .withColumn("_start", F.col("_end") - F.col("_c"))
-         .persist(StorageLevel.MEMORY_AND_DISK))
+         .withColumn("_start", F.col("_end") - F.col("_c")))
+    h = materialize(h, "median_hist")
 
     dev = F.col("_s") / F.col("_c") - F.col("_mean")
     stats = h.groupBy("_k").agg(
@@ -171,11 +169,7 @@ def group_summary(df: DataFrame, key: str, value: str) -> DataFrame:
     for r in answered[1:]:
         vals = vals.unionByName(r)
     med = vals.groupBy("_k").agg(F.avg("_val").alias("median"))
-    # one row per group: written once to shared storage, then the cache is freed
-    out = materialize(stats.join(med, "_k", "left").withColumnRenamed("_k", key),
-                      "group_summary")
-    h.unpersist()
-    return out
+    return stats.join(med, "_k", "left").withColumnRenamed("_k", key)
 
 
 def exact_median(df: DataFrame, key: str, value: str, out: str = "median") -> DataFrame:
