@@ -159,3 +159,25 @@ def test_scene_date_series_sorted_distinct(spark):
     r = scene.scene_date_series(df).collect()[0]
     assert r.dates == [d, d + dt.timedelta(days=1), d + dt.timedelta(days=2)]
     assert r.n_dates == 3 and r.pixels == 9
+
+
+def test_hot_field_trend_and_latest(spark):
+    # one field holds a third of all observations; results equal brute force
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    obs, eid = [], 0
+    for field, n in [(0, 1500)] + [(k, 30) for k in range(1, 101)]:
+        for _ in range(n):
+            eid += 1
+            obs.append((field, eid, base + dt.timedelta(minutes=rnd.randrange(0, 60 * 24 * 40)),
+                        rnd.uniform(0, 1)))
+    df = spark.createDataFrame(obs, "field_id long, event_id long, ts timestamp, ndvi double")
+    got = {r.field_id: r for r in trend.trend_per_year(df).collect()}
+    latest = {r.field_id: r for r in trend.latest_observation(df).collect()}
+    for field in (0, 1, 50):
+        rows = [o for o in obs if o[0] == field]
+        x = np.array([(o[2].date() - dt.date(1970, 1, 1)).days for o in rows], dtype=float)
+        y = np.array([o[3] for o in rows])
+        assert got[field].trend_per_year == pytest.approx(np.polyfit(x, y, 1)[0] * 365, rel=1e-9)
+        last = max(rows, key=lambda o: (o[2], o[1]))
+        assert latest[field].event_id == last[1] and latest[field].n_obs == len(rows)

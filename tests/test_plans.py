@@ -56,3 +56,8 @@ def test_latest_is_an_aggregate_not_a_window(spark):
 def test_scenarios_are_generated_not_joined(spark):
     p = plan(QUERIES["scenario_grid"](spark, SF_SMALL))
     assert "Generate" in p and "Join" not in p
+
+
+def test_exact_median_uses_no_holistic_aggregate(spark):
+    p = plan(QUERIES["ndvi_masked_stats"](spark, SF_SMALL))
+    assert "percentile(" not in p and "median(" not in p
