@@ -51,12 +51,12 @@ def select_bands(image_bands: DataFrame, pixel_cols: Sequence[str] = ("pixel_row
 def ndvi_batch_job(image_bands: DataFrame, out_path: str,
                    pixel_cols: Sequence[str] = ("pixel_row", "pixel_col"),
                    key: str = "scene_id") -> tuple[DataFrame, DataFrame]:
-    """G1: band choice -> masked NDVI -> Parquet partitioned by scene -> run
-    summary (count per status) and the failed images."""
+    """G1: band choice -> masked NDVI -> Parquet (bounded scene buckets) ->
+    run summary (count per status) and the failed images."""
     wide, st = select_bands(image_bands, pixel_cols, key)
     out = wide.select(key, *pixel_cols, ndvi_masked("red", "nir").alias("ndvi"),
                       ndvi_is_masked("red", "nir").alias("is_masked"))
-    files.write_ndvi(out, out_path, partition_by=key)
+    files.write_ndvi(out, out_path, scene=key)
     return status.run_summary(st), status.failed_images(st, key)
 
 

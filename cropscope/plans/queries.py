@@ -276,13 +276,13 @@ def q_label_sections(spark, d):
 
 
 def q_ndvi_batch_output(spark, d):
-    """G1 + K1: masked NDVI written partitioned by scene, read back, summarised."""
+    """G1 + K1: masked NDVI written in scene buckets, read back, summarised."""
     px = B.band_samples(spark, d)
     out = px.select("scene_id", "pixel_row", "pixel_col",
                     ndvi_masked("red", "nir").alias("ndvi"),
                     scene.ndvi_is_masked("red", "nir").alias("is_masked"))
     path = files.write_ndvi(out, shared_path(spark, "ndvi"))
-    back = spark.read.parquet(path)
+    back = files.read_ndvi(spark, path)
     return present(back.groupBy("scene_id").agg(
         F.count(F.lit(1)).alias("pixels"), F.count_if("is_masked").alias("masked_pixels"),
         F.avg("ndvi").alias("mean_ndvi")))

@@ -92,13 +92,49 @@ def write_label_sections(short: DataFrame, wide: DataFrame, path: str) -> str:
     return path
 
 
-def write_ndvi(pixels: DataFrame, path: str, partition_by: str = "scene_id") -> str:
-    """K1: NDVI pixels as Parquet partitioned by scene (partition pruning on
-    read); the masked flag travels with the value."""
-    pixels.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+NDVI_BUCKETS = 256
+
+
+def scene_bucket(scene, buckets: int = NDVI_BUCKETS):
+    """Directory bucket of a scene: a bounded number of partitions however many
+    scenes there are."""
+    return F.pmod(F.xxhash64(F.col(scene) if isinstance(scene, str) else scene),
+                  F.lit(buckets)).cast("int")
+
+
+def write_ndvi(pixels: DataFrame, path: str, scene: str = "scene_id",
+               buckets: int = NDVI_BUCKETS) -> str:
+    """K1: NDVI pixels as Parquet, partitioned by a hash bucket of the scene.
+
+    Partitioning by the scene itself would create one directory per scene
+    (millions at scale); a bounded bucket keeps directories and files few.
+    No shuffle is needed: each task writes its rows to their buckets, sorted
+    by scene within the task so Parquet row-group statistics let a
+    single-scene read skip the other scenes' row groups. The masked flag
+    travels with the value.
+    """
+    (pixels.withColumn("scene_bucket", scene_bucket(scene, buckets))
+     .sortWithinPartitions("scene_bucket", scene)
+     .write.mode("overwrite").partitionBy("scene_bucket").parquet(path))
     return path
 
 
+def read_ndvi(spark: SparkSession, path: str, scene_ids=None, scene: str = "scene_id",
+              buckets: int = NDVI_BUCKETS) -> DataFrame:
+    """Read NDVI written by ``write_ndvi``; with ``scene_ids`` only their
+    bucket directories are listed (partition pruning) and the scene filter is
+    pushed into the Parquet scan."""
+    df = spark.read.parquet(path)
+    if scene_ids is not None:
+        ids = list(scene_ids)
+        # hash with the stored type: int and long ids hash differently
+        typ = df.schema[scene].dataType.simpleString()
+        bucket_ids = [r[0] for r in spark.createDataFrame([(i,) for i in ids], f"{scene} {typ}")
+                      .select(scene_bucket(scene, buckets)).distinct().collect()]
+        df = df.where(F.col("scene_bucket").isin(bucket_ids) & F.col(scene).isin(ids))
+    return df.drop("scene_bucket")
+
+
 def append_observations(obs: DataFrame, path: str) -> str:
     """K6: append scored observations to the history table."""
     obs.write.mode("append").parquet(path)

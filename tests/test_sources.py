@@ -74,5 +74,17 @@ def test_ndvi_output_partitioned(spark):
     from cropscope.session import shared_path
     df = spark.createDataFrame([(1, 0.5, False), (2, -1.0, True)], "scene_id long, ndvi double, is_masked boolean")
     path = files.write_ndvi(df, shared_path(spark, "test_ndvi"))
-    back = spark.read.parquet(path).where(F.col("scene_id") == 2)
+    back = files.read_ndvi(spark, path, scene_ids=[2])
     assert [(r.ndvi, r.is_masked) for r in back.collect()] == [(-1.0, True)]
+    p = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(scene_bucket" in p and "EqualTo(scene_id,2)" in p
+
+
+def test_ndvi_bucket_read_int_ids(spark):
+    from cropscope.session import shared_path
+    df = spark.createDataFrame([(i, float(i) / 10, False) for i in range(50)],
+                               "scene_id int, ndvi double, is_masked boolean")
+    path = files.write_ndvi(df, shared_path(spark, "test_ndvi_int"))
+    got = sorted(r.scene_id for r in files.read_ndvi(spark, path, scene_ids=[3, 17, 44]).collect())
+    assert got == [3, 17, 44]
+    assert files.read_ndvi(spark, path).count() == 50
