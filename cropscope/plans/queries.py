@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import constants as K
-from ..functions.ndvi import health_class, health_index, ndvi_masked
+from ..functions.ndvi import ndvi_masked
 from ..functions.paths import day_number
 from ..operators import agronomy, economics, models, scenario, scene, status, trend
 from ..session import shared_path
