@@ -88,8 +88,11 @@ def economics_job(spark: SparkSession, path: str, schema=None) -> tuple[DataFram
 def training_job(features: DataFrame, labels: DataFrame, model_path: str,
                  key: str = "scene_id") -> PipelineModel:
     """Join features with labels, fit the yield forest, save it."""
-    train = features.join(labels, key, "inner")
-    model = models.yield_forest_pipeline().fit(train)
+    train = features.join(labels, key, "inner").cache()
+    try:
+        model = models.yield_forest_pipeline().fit(train)
+    finally:
+        train.unpersist()
     models.save(model, model_path)
     return model
 

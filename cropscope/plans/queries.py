@@ -394,6 +394,25 @@ def q_band_diagnostic(spark, d):
     return present(jobs.band_diagnostic(B.band_long(spark, d), B.band_samples(spark, d)))
 
 
+def q_yield_forest_from_labels(spark, d):
+    """G6 end to end: stacked label file (S7) -> join with per-scene features on
+    the file name (J1) -> region index + forest (M1-M3, M7) -> save (K3) ->
+    load (S9) -> score (M9). Labels without environment values are skipped."""
+    from . import jobs
+    short, wide = label_frames(spark, d)
+    labels = files.read_label_sections(spark, files.write_label_sections(
+        short, wide, shared_path(spark, "labels_for_training")))
+    labels = labels.dropna(subset=["rainfall", "temperature", "soil_ph", "fertilizer", "region"])
+    stats = scene.scene_ndvi_stats(scene.with_ndvi_guarded(B.band_samples(spark, d)))
+    feats = stats.select(F.concat(F.col("scene_id").cast("string"), F.lit("_NDVI.tif"))
+                         .alias("filename"), "mean_ndvi")
+    path = shared_path(spark, "advanced_yield_model")
+    jobs.training_job(feats, labels, path, key="filename")
+    scored = models.score(models.load(path), feats.join(labels, "filename", "inner"),
+                          ["filename"])
+    return present(scored)
+
+
 # --- streaming ---------------------------------------------------------------------------
 
 def q_stream_scored_history(spark, d):
@@ -444,6 +463,7 @@ QUERIES: dict[str, Query] = {
     "yield_linear_5": q_yield_linear_5,
     "yield_forest": q_yield_forest,
     "disease_forest": q_disease_forest,
+    "yield_forest_from_labels": q_yield_forest_from_labels,
     "water_stress_csv": q_water_stress_csv,
     "economics_csv": q_economics_csv,
     "field_report_raw": q_field_report_raw,
