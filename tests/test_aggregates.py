@@ -181,3 +181,14 @@ def test_hot_field_trend_and_latest(spark):
         assert got[field].trend_per_year == pytest.approx(np.polyfit(x, y, 1)[0] * 365, rel=1e-9)
         last = max(rows, key=lambda o: (o[2], o[1]))
         assert latest[field].event_id == last[1] and latest[field].n_obs == len(rows)
+
+
+def test_approximate_median_option_close_to_exact(spark):
+    rnd = random.Random(5)
+    pix = [(s, rnd.uniform(0.01, 0.3), rnd.uniform(0.01, 0.3)) for s in range(3) for _ in range(400)]
+    df = scene.with_ndvi_masked(spark.createDataFrame(pix, "scene_id long, red double, nir double"))
+    exact = {r.scene_id: r.median_ndvi for r in scene.scene_ndvi_stats_with_median(df).collect()}
+    approx = {r.scene_id: r.median_ndvi
+              for r in scene.scene_ndvi_stats_with_median(df, approximate=True).collect()}
+    for s in exact:
+        assert abs(exact[s] - approx[s]) < 0.02
