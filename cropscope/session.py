@@ -33,6 +33,11 @@ def build_session(master: str | None = None, app: str = "cropscope",
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CROPSCOPE_DRIVER_MEMORY", "8g"))
     )
+    event_log = os.environ.get("CROPSCOPE_EVENT_LOG")  # stage/task times without the UI
+    if event_log:
+        os.makedirs(event_log, exist_ok=True)
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
