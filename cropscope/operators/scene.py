@@ -111,6 +111,27 @@ def stats_long(stats: DataFrame, key: str = "scene_id",
         .unpivot(key, list(metrics), "metric", "value")
 
 
+# FIXED VALUES: metric names and order of the two pages' statistics tables.
+PAGE_A_METRICS = (("Mean NDVI", "mean_ndvi"), ("Min NDVI", "min_ndvi"),
+                  ("Max NDVI", "max_ndvi"), ("Std Dev", "std_ndvi"),
+                  ("Healthy Pixels", "healthy_share"))
+PAGE_B_METRICS = (("Minimum", "min_ndvi"), ("Maximum", "max_ndvi"), ("Mean", "mean_ndvi"),
+                  ("Median", "median_ndvi"), ("Std Dev", "std_ndvi"))
+
+
+def metric_table(stats: DataFrame, metrics=PAGE_B_METRICS, key: str = "scene_id",
+                 percent=("healthy_share",), decimals: int = 4) -> DataFrame:
+    """A4 as the pages show it: (key, position, Metric, Value text) rows; shares
+    as percent with one decimal, other values with ``decimals`` decimals.
+    A presentation step: the numeric columns stay available in ``stats``."""
+    from ..functions.formatting import fixed
+    from ..functions.formatting import percent as pct
+    rows = [F.struct(F.lit(i).alias("position"), F.lit(label).alias("Metric"),
+                     (pct(col) if col in percent else fixed(col, decimals)).alias("Value"))
+            for i, (label, col) in enumerate(metrics, start=1)]
+    return stats.select(key, F.inline(F.array(*rows)))
+
+
 def band_stats(band_long: DataFrame, key: str = "scene_id") -> DataFrame:
     """A5: NaN-skipping min, max, mean per (scene, band)."""
     x = nan_to_null(F.col("value").cast("double"))

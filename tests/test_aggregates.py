@@ -192,3 +192,15 @@ def test_approximate_median_option_close_to_exact(spark):
               for r in scene.scene_ndvi_stats_with_median(df, approximate=True).collect()}
     for s in exact:
         assert abs(exact[s] - approx[s]) < 0.02
+
+
+def test_metric_tables(spark):
+    stats = spark.createDataFrame([(1, 0.25, 0.0, 0.5, 0.2, 0.625, 0.3)],
+                                  "scene_id long, mean_ndvi double, min_ndvi double, max_ndvi double, "
+                                  "std_ndvi double, healthy_share double, median_ndvi double")
+    a = [(r.Metric, r.Value) for r in scene.metric_table(stats, scene.PAGE_A_METRICS)
+         .orderBy("position").collect()]
+    assert a == [("Mean NDVI", "0.2500"), ("Min NDVI", "0.0000"), ("Max NDVI", "0.5000"),
+                 ("Std Dev", "0.2000"), ("Healthy Pixels", "62.5%")]
+    b = [r.Metric for r in scene.metric_table(stats).orderBy("position").collect()]
+    assert b == ["Minimum", "Maximum", "Mean", "Median", "Std Dev"]
