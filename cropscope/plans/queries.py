@@ -406,7 +406,7 @@ def q_yield_forest_from_labels(spark, d):
     stats = scene.scene_ndvi_stats(scene.with_ndvi_guarded(B.band_samples(spark, d)))
     feats = stats.select(F.concat(F.col("scene_id").cast("string"), F.lit("_NDVI.tif"))
                          .alias("filename"), "mean_ndvi")
-    path = shared_path(spark, "advanced_yield_model")
+    path = shared_path(spark, "yield_forest_model")
     jobs.training_job(feats, labels, path, key="filename")
     scored = models.score(models.load(path), feats.join(labels, "filename", "inner"),
                           ["filename"])

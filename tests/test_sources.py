@@ -25,7 +25,7 @@ filename,yield,rainfall,temperature,soil_ph,fertilizer,region
 
 def test_label_sections_fullest_row(spark):
     d = tempfile.mkdtemp(prefix="labels-")
-    with open(os.path.join(d, "yield_labels.csv"), "w") as fh:
+    with open(os.path.join(d, "labels.csv"), "w") as fh:
         fh.write(LABELS_CSV)
     got = {r.filename: r for r in files.read_label_sections(spark, d).collect()}
     assert len(got) == 5
