@@ -351,8 +351,9 @@ v AS (SELECT field_id, concat_ws(',',
         CASE WHEN NOT coalesce(mean_ndvi BETWEEN -1 AND 1, false) THEN 'ndvi' END) AS violations
       FROM fields)
 SELECT field_id, violations,
-       CASE WHEN violations = '' THEN 0
-            ELSE length(violations) - length(replace(violations, ',', '')) + 1 END AS n_violations
+       CAST(CASE WHEN violations = '' THEN 0
+            ELSE length(violations) - length(replace(violations, ',', '')) + 1 END AS INTEGER)
+         AS n_violations
 FROM v"""
 
 SQL["train_frame"] = _with(BAND_SAMPLES, GUARDED, SCENE_STATS, SCENE_LABELS, CLIMATE,
