@@ -34,3 +34,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "health_class" in df.columns
+
+
+SAME_TYPE = {("bigint", "BIGINT"), ("int", "INTEGER"), ("double", "DOUBLE"),
+             ("string", "VARCHAR"), ("boolean", "BOOLEAN")}
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_column_types_match_sql(spark, con, name):
+    spark_types = {f.name: f.dataType.simpleString()
+                   for f in E.queries()[name](spark, SF_SMALL).schema.fields}
+    rel = con.sql(E.oracle_sql()[name])
+    sql_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: (t, sql_types.get(c)) for c, t in spark_types.items()
+            if (t, sql_types.get(c)) not in SAME_TYPE} == {}
