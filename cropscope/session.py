@@ -64,14 +64,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only when unset.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; that value
-    always wins. Only a session without one (tests, local runs) gets a fresh
-    scratch folder.
+    always wins. Only a local session without one (tests, local runs) gets a
+    fresh scratch folder; a cluster session without one is an error.
     """
     root = checkpoint_root(spark)
     if root:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(root)
         return root
+    if not spark.sparkContext.master.startswith("local"):
+        # a folder on the driver's disk is not visible to executors
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     root = tempfile.mkdtemp(prefix="cropscope-ckpt-")
     spark.conf.set(CHECKPOINT_CONF, root)
     spark.sparkContext.setCheckpointDir(root)
