@@ -18,7 +18,7 @@ from ..functions import constants as K
 from ..functions.ndvi import ndvi_masked
 from ..functions.paths import day_number
 from ..operators import agronomy, economics, models, scenario, scene, status, trend
-from ..session import shared_path
+from ..session import materialize, shared_path
 from ..sources import bindings as B
 from ..sources import files
 from ..streaming import observations as stream
@@ -211,6 +211,12 @@ def q_train_frame(spark, d):
     return present(train_frame(spark, d))
 
 
+def stored_train_frame(spark, d) -> DataFrame:
+    """The training frame (one row per scene) written once to shared storage:
+    fitting and scoring then read it instead of scanning the pixels twice."""
+    return materialize(train_frame(spark, d), "train_frame")
+
+
 def q_scenario_grid(spark, d):
     return present(scenario.scenario_grid(B.fields(spark, d), B.scenario_rows()))
 
@@ -301,20 +307,20 @@ def fit_cached(pipeline, df: DataFrame):
 
 
 def q_yield_linear_1(spark, d):
-    tf = train_frame(spark, d)
+    tf = stored_train_frame(spark, d)
     model = fit_cached(models.linear_yield_pipeline(["mean_ndvi"]), tf)
     return present(models.score(model, tf, ["scene_id"]))
 
 
 def q_yield_linear_5(spark, d):
-    tf = train_frame(spark, d)
+    tf = stored_train_frame(spark, d)
     feats = ["mean_ndvi", "rainfall", "temperature", "soil_ph", "fertilizer"]
     model = fit_cached(models.linear_yield_pipeline(feats), tf)
     return present(models.score(model, tf, ["scene_id"]))
 
 
 def q_yield_forest(spark, d):
-    tf = train_frame(spark, d)
+    tf = stored_train_frame(spark, d)
     model = fit_cached(models.yield_forest_pipeline(), tf)
     path = models.save(model, shared_path(spark, "yield_forest"))
     return present(models.score(models.load(path), tf, ["scene_id"]))
@@ -370,7 +376,7 @@ def scene_env(spark, d) -> DataFrame:
 def q_field_report_raw(spark, d):
     """5-feature linear yield model fitted on the training frame."""
     from . import jobs
-    tf = train_frame(spark, d).withColumn("ndvi", F.col("mean_ndvi"))
+    tf = stored_train_frame(spark, d).withColumn("ndvi", F.col("mean_ndvi"))
     model = fit_cached(models.linear_yield_pipeline(list(K.YIELD_FEATURES_5)), tf)
     return present(jobs.field_report_raw(B.band_samples(spark, d), scene_env(spark, d), model))
 
@@ -378,7 +384,7 @@ def q_field_report_raw(spark, d):
 def q_field_report_ndvi(spark, d):
     """Masked NDVI images, 1-feature linear yield model."""
     from . import jobs
-    tf = train_frame(spark, d)
+    tf = stored_train_frame(spark, d)
     model = fit_cached(models.linear_yield_pipeline(["mean_ndvi"]), tf)
     px = scene.with_ndvi_masked(B.band_samples(spark, d))
     return present(jobs.field_report_ndvi(px, model, scene_env(spark, d)))
