@@ -152,3 +152,47 @@ def test_formatting(spark):
     df = spark.createDataFrame([(0.625, 110.0, 0.12344)], "s double, m double, v double")
     r = df.select(fmt.percent("s").alias("p"), fmt.money("m").alias("d"), fmt.fixed("v").alias("f")).first()
     assert (r.p, r.d, r.f) == ("62.5%", "$110.00", "0.1234")
+
+
+@pytest.mark.parametrize("bad", [None, NAN])
+def test_null_and_nan_in_every_numeric_input(spark, bad):
+    """Each input of each rule set to NULL or NaN in turn: no error; NULL in gives
+    NULL out for the numeric rules; NaN never lands in a top class."""
+    base = {"n": 0.2, "t": 25.0, "r": 100.0, "h": 65.0, "w": 5.0, "y": 2.0, "f": 100.0}
+    exprs = {
+        "basic": lambda: water_stress_basic("n", "t"),
+        "climate": lambda: water_stress_climate("n", "t", "r"),
+        "risk": lambda: disease_risk_score("n", "h", "w", "t"),
+        "profit_plain": lambda: profit_plain("y", "f"),
+        "profit_floored": lambda: profit_floored("y", "f"),
+        "roi_plain": lambda: roi_plain("y", "f"),
+        "roi_guarded": lambda: roi_guarded("y", "f"),
+        "ndvi_g": lambda: ndvi_guarded("r", "n"),
+    }
+    uses = {"basic": "nt", "climate": "ntr", "risk": "nhwt", "profit_plain": "yf",
+            "profit_floored": "yf", "roi_plain": "yf", "roi_guarded": "yf", "ndvi_g": "rn"}
+    schema = ", ".join(f"{k} double" for k in base)
+    for name, make in exprs.items():
+        for col_name in uses[name]:
+            row = dict(base)
+            row[col_name] = bad
+            df = spark.createDataFrame([tuple(row[k] for k in base)], schema)
+            v = df.select(make().alias("v")).first().v
+            if bad is None:
+                assert v is None, (name, col_name, v)
+            elif (name, col_name) == ("risk", "t"):
+                # NaN temperature: no temperature factor applies (Python semantics)
+                assert v == pytest.approx((1 - 0.2) * 0.65 * 0.5)
+            else:
+                assert v is None or math.isnan(v), (name, col_name, v)
+    # classes: NULL -> NULL, NaN -> the last else branch
+    df = spark.createDataFrame([(bad,)], "x double")
+    got = df.select(health_class("x").alias("h"), stress_class("x").alias("s"),
+                    disease_risk_class("x").alias("d"), roi_class_a("x").alias("a"),
+                    roi_class_b("x").alias("b"), yield_class("x").alias("y"),
+                    trend_direction("x").alias("t")).first()
+    if bad is None:
+        assert all(v is None for v in got)
+    else:
+        assert tuple(got) == ("Poor", "normal", "High risk", "excellent", "low",
+                              "Below Average", "declining")
