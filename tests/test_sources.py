@@ -88,3 +88,13 @@ def test_ndvi_bucket_read_int_ids(spark):
     got = sorted(r.scene_id for r in files.read_ndvi(spark, path, scene_ids=[3, 17, 44]).collect())
     assert got == [3, 17, 44]
     assert files.read_ndvi(spark, path).count() == 50
+
+
+def test_ndvi_sink_directories_are_bounded(spark):
+    from cropscope.session import shared_path
+    df = spark.range(5000).select(F.col("id").alias("scene_id"), F.lit(0.1).alias("ndvi"),
+                                  F.lit(False).alias("is_masked"))
+    path = files.write_ndvi(df, shared_path(spark, "test_ndvi_dirs"), buckets=16)
+    dirs = [d for d in os.listdir(path) if d.startswith("scene_bucket=")]
+    assert 0 < len(dirs) <= 16
+    assert files.read_ndvi(spark, path, scene_ids=[4321], buckets=16).count() == 1
