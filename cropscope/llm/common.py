@@ -107,3 +107,49 @@ def pieces(batch: pa.RecordBatch, most_bytes: int = 8 << 20) -> Iterator[pa.Reco
 
 def crc_fold(doc_id: int, folds: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % folds
+
+
+# --- bounded training samples -------------------------------------------------------
+
+def labelled_sample(docs: DataFrame, labels: DataFrame | None, label_col: str, *,
+                    id_col: str, text_col: str, folds: int, held_fold: int,
+                    per_class: int, most_bytes: int) -> tuple[list[tuple], dict]:
+    """At most ``per_class`` (label, text) rows per label value, the ones with the
+    smallest id hash, outside ``held_fold``; together at most ``most_bytes`` of text.
+    Also the count of labelled rows per value over all of them.
+
+    ``labels`` None reads the label from ``docs`` itself. The counts are taken on
+    all rows; they turn the bound into a hash threshold per value, so no class is
+    ever gathered whole.
+    """
+    src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
+                      *([F.col(label_col).alias("_y")] if labels is None else []))
+    src = src.where(F.col("_id").isNotNull() & (fold_of(F.col("_id"), folds) != held_fold))
+    if labels is None:
+        src = src.where(F.col("_y").isNotNull())
+        keyed = src
+    else:
+        keyed = (labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_y"))
+                 .where(F.col("_y").isNotNull() & (fold_of(F.col("_id"), folds) != held_fold))
+                 .distinct())
+    count = {r["_y"]: r["n"] for r in keyed.groupBy("_y").agg(F.count("*").alias("n")).collect()}
+    if not count:
+        return [], {}
+    unit = F.pmod(F.xxhash64(F.lit(11), "_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    share = F.lit(0.0)
+    for y, n in count.items():
+        share = F.when(F.col("_y") == F.lit(y), F.lit(min(1.0, 1.2 * per_class / n))).otherwise(share)
+    picked = keyed.where(unit < share)
+    if labels is not None:
+        picked = picked.join(src, "_id")
+    out: list[tuple] = []
+    for y in sorted(count):
+        left = most_bytes // len(count)
+        best = (picked.where(F.col("_y") == F.lit(y)).orderBy(unit, "_id").limit(per_class)
+                .select("_y", F.coalesce("_text", F.lit("")).alias("_text")))
+        for r in best.toLocalIterator():
+            left -= len(r["_text"])
+            if left < 0:
+                break
+            out.append((r["_y"], r["_text"]))
+    return out, count

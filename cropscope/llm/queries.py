@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import line_dedup
+from . import line_dedup, quality_rules, toxicity
 from .common import table
 
 
@@ -16,7 +16,25 @@ def op4_line_dedup(spark, d):
                       F.sha2(F.col("_kept"), 256).alias("kept_sha256"))
 
 
-QUERIES = {"op4_line_dedup": op4_line_dedup}
+def op8_quality_rules(spark, d):
+    out = quality_rules.apply_rules(table(spark, d, "documents"), table(spark, d, "labels"))
+    return out.select(F.col("_id").alias("doc_id"), *[
+        F.col(f"_{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                          "n_repeat_words", "base_failed", "kept")])
+
+
+def op7_toxicity(spark, d):
+    out = toxicity.score_documents(table(spark, d, "documents"), table(spark, d, "labels"))
+    return out.select(F.col("_id").alias("doc_id"), F.col("_held_out").alias("held_out"),
+                      F.col("_score").alias("score"),
+                      (F.col("_score") >= 0.3).cast("int").alias("predicted"))
+
+
+QUERIES = {
+    "op4_line_dedup": op4_line_dedup,
+    "op7_toxicity": op7_toxicity,
+    "op8_quality_rules": op8_quality_rules,
+}
 
 _A_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WS = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
