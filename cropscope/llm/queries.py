@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality_rules, toxicity
+from . import language_id, line_dedup, quality_classifier, quality_rules, toxicity
 from .common import table
 
 
@@ -30,10 +30,27 @@ def op7_toxicity(spark, d):
                       (F.col("_score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op9_language_id(spark, d):
+    out = language_id.predict_languages(table(spark, d, "documents"))
+    return out.select(F.col("_id").alias("doc_id"), F.col("_held_out").alias("held_out"),
+                      F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"),
+                      F.col("_rejected").alias("rejected"))
+
+
+def op10_quality_classifier(spark, d):
+    out = quality_classifier.score_documents(table(spark, d, "documents"),
+                                             table(spark, d, "labels"))
+    return out.select(F.col("_id").alias("doc_id"), F.col("_held_out").alias("held_out"),
+                      F.col("_score").alias("score"),
+                      (F.col("_score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
+    "op9_language_id": op9_language_id,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 _A_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
