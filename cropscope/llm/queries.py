@@ -4,10 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import language_id, line_dedup, quality_classifier, quality_rules, toxicity
+from . import (
+    language_id,
+    line_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+    toxicity,
+)
 from .common import table
 
 
+def op1_harmonic_packing(spark, d):
+    out = packing.pack(table(spark, d, "documents"))
+    return out.select(F.col("_id").alias("doc_id"), F.col("_start").alias("start"),
+                      F.col("_length").alias("length"), F.crc32("_tokens").alias("ids_crc32"),
+                      F.col("_doc_tokens").alias("doc_tokens"),
+                      F.col("_sequence").alias("sequence_id"), F.col("_offset").alias("offset"))
+
+
 def op4_line_dedup(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     out = line_dedup.dedup_lines(docs)
@@ -23,6 +39,13 @@ def op8_quality_rules(spark, d):
                                           "n_repeat_words", "base_failed", "kept")])
 
 
+def op6_token_counts(spark, d):
+    out = token_counts.count_tokens(table(spark, d, "documents"))
+    return out.select(F.col("_id").alias("doc_id"), *[
+        F.col(f"_{c}").alias(c) for c in ("section", "kind", "start", "end", "tokens",
+                                          "crossing", "doc_tokens")])
+
+
 def op7_toxicity(spark, d):
     out = toxicity.score_documents(table(spark, d, "documents"), table(spark, d, "labels"))
     return out.select(F.col("_id").alias("doc_id"), F.col("_held_out").alias("held_out"),
@@ -46,7 +69,9 @@ def op10_quality_classifier(spark, d):
 
 
 QUERIES = {
+    "op1_harmonic_packing": op1_harmonic_packing,
     "op4_line_dedup": op4_line_dedup,
+    "op6_token_counts": op6_token_counts,
     "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
