@@ -153,3 +153,29 @@ def labelled_sample(docs: DataFrame, labels: DataFrame | None, label_col: str, *
                 break
             out.append((r["_y"], r["_text"]))
     return out, count
+
+
+# --- fixed-size filter over 64-bit hashes -------------------------------------------
+
+FILTER_BITS = 23  # 2**23 bits are 1 MB, whatever the data's size
+
+
+def hash_filter(hashes: DataFrame, col: str) -> np.ndarray:
+    """Packed bit table of all values of a long column; 1 MB at any size of input, so
+    it may be broadcast. A set bit says "perhaps": whoever uses it checks exactly later.
+    Only the at most 2**(FILTER_BITS-6) words of the table reach the driver."""
+    bit = F.col(col).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    words = (hashes.select(F.shiftright(bit, 6).alias("w"),
+                           F.expr(f"shiftleft(1L, cast({col} & 63 as int))").alias("m"))
+             .groupBy("w").agg(F.bit_or("m").alias("m")))
+    table = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    got = words.toPandas()
+    table[got["w"].to_numpy(np.int64)] = got["m"].to_numpy(np.int64)
+    return table.view(np.uint64)
+
+
+def maybe_in(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Mask of the uint64 ``keys`` whose bit is set."""
+    bit = keys & np.uint64((1 << FILTER_BITS) - 1)
+    word = table[(bit >> np.uint64(6)).astype(np.int64)]
+    return (word >> (bit & np.uint64(63))) & np.uint64(1) == 1

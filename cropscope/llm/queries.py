@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import (
+    decontamination,
     language_id,
     line_dedup,
+    ngram_jaccard,
     packing,
     quality_classifier,
     quality_rules,
@@ -24,6 +26,20 @@ def op1_harmonic_packing(spark, d):
                       F.col("_sequence").alias("sequence_id"), F.col("_offset").alias("offset"))
 
 
+def op2_ngram_jaccard(spark, d):
+    out = ngram_jaccard.linked_documents(table(spark, d, "documents"))
+    return out.select(F.col("_id").alias("doc_id"), F.col("_n").alias("n_shingles"),
+                      F.col("_component").alias("component_id"))
+
+
+def op3_decontamination(spark, d):
+    out = decontamination.contained_items(table(spark, d, "documents"),
+                                          table(spark, d, "benchmark"))
+    return out.select(F.col("_doc").alias("doc_id"), F.col("_item").alias("item_id"),
+                      F.col("_n").alias("n_shingles"), F.col("_shared").alias("n_shared"),
+                      F.col("_containment").alias("containment"))
+
+
 def op4_line_dedup(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     out = line_dedup.dedup_lines(docs)
@@ -70,6 +86,8 @@ def op10_quality_classifier(spark, d):
 
 QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_decontamination": op3_decontamination,
     "op4_line_dedup": op4_line_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_toxicity": op7_toxicity,
@@ -81,7 +99,44 @@ QUERIES = {
 _A_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WS = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+_SPACE = r"[ \t\n\x0B\f\r]+"
+
+
+def _shingled(source: str, key: str, width: int) -> str:
+    """Rows (key, g): the distinct ``width``-word shingles of a table's texts."""
+    parts = ", ' ', ".join(f"w[i + {k}]" for k in range(width))
+    return f"""(
+  SELECT DISTINCT {key}, g FROM (
+    SELECT {key}, CASE WHEN len(w) < {width} THEN array_to_string(w, ' ')
+                       ELSE concat({parts}) END AS g
+    FROM (SELECT {key}, w, unnest(range(1, greatest(len(w) - {width - 1}, 1) + 1)) AS i
+          FROM (SELECT {key}, list_filter(regexp_split_to_array(
+                  translate(text, {_A_Z}), '{_SPACE}'), lambda x: x <> '') AS w
+                FROM {source} WHERE text IS NOT NULL) WHERE len(w) > 0)))"""
+
+
 SQL = {
+    "op2_ngram_jaccard": f"""
+WITH RECURSIVE s AS {_shingled("documents", "doc_id", 3)},
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+      FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+      WHERE 100 * common >= 90 * (p.n + q.n - common)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id AS x, doc_id AS y FROM documents
+      UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
+FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x) m USING (doc_id)""",
+    "op3_decontamination": f"""
+WITH s AS {_shingled("documents", "doc_id", 5)},
+b AS {_shingled("benchmark", "item_id", 5)},
+n AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id)
+SELECT doc_id, item_id, any_value(n) AS n_shingles, count(*) AS n_shared,
+       count(*) / any_value(n) AS containment
+FROM s JOIN b USING (g) JOIN n USING (item_id)
+GROUP BY doc_id, item_id HAVING count(*) * 100 >= any_value(n) * 80""",
     "op4_line_dedup": f"""
 WITH l AS (
   SELECT doc_id, u.i AS pos, u.line AS line,
