@@ -10,6 +10,7 @@ from . import (
     line_dedup,
     ngram_jaccard,
     packing,
+    pitman_yor,
     quality_classifier,
     quality_rules,
     token_counts,
@@ -55,6 +56,13 @@ def op8_quality_rules(spark, d):
                                           "n_repeat_words", "base_failed", "kept")])
 
 
+def op5_pitman_yor(spark, d):
+    out = pitman_yor.score_documents(table(spark, d, "documents"))
+    return out.select(F.col("_id").alias("doc_id"), *[
+        F.col(f"_{c}").alias(c) for c in ("held_out", "n_tokens", "n_known", "train_tokens",
+                                          "base_score", "score")])
+
+
 def op6_token_counts(spark, d):
     out = token_counts.count_tokens(table(spark, d, "documents"))
     return out.select(F.col("_id").alias("doc_id"), *[
@@ -89,6 +97,7 @@ QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_decontamination": op3_decontamination,
     "op4_line_dedup": op4_line_dedup,
+    "op5_pitman_yor": op5_pitman_yor,
     "op6_token_counts": op6_token_counts,
     "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
