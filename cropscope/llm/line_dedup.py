@@ -11,7 +11,8 @@ Defined cases: a null or empty text is one empty line; lines shorter than
 document counts as one document; in the keeping document all its copies stay; a
 document that loses every line keeps ``''``; an empty table gives an empty
 result; rows with a null id are ignored as holders and keep every line; rows
-that share an id count as one document for the counting.
+that share an id count as one document for the counting, and each has its own
+line numbers (bitmaps are told apart by a hash of the text).
 """
 
 from __future__ import annotations
@@ -33,16 +34,16 @@ def line_key(line: Column) -> Column:
 def _holders(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """One row (h1, h2, doc, positions) per long line and document."""
     lines = (docs.where(F.col(id_col).isNotNull() & (F.char_length(text_col) >= min_chars))
-             .select(F.col(id_col).alias("_doc"), F.posexplode(lines_of(F.col(text_col)))
-                     .alias("_pos", "_line"))
-             .select("_doc", "_pos", line_key(F.col("_line")).alias("_key"))
+             .select(F.col(id_col).alias("_doc"), F.xxhash64(text_col).alias("_tag"),
+                     F.posexplode(lines_of(F.col(text_col))).alias("_pos", "_line"))
+             .select("_doc", "_tag", "_pos", line_key(F.col("_line")).alias("_key"))
              .where(F.char_length("_key") >= min_chars)
              .select(F.xxhash64("_key").alias("_h1"),
-                     F.xxhash64(F.lit(7), "_key").alias("_h2"), "_doc", "_pos"))
+                     F.xxhash64(F.lit(7), "_key").alias("_h2"), "_doc", "_tag", "_pos"))
     parts = shuffle_partitions(docs.sparkSession)
     return (lines.repartitionByRange(parts, "_h1", "_h2", "_doc")
             .sortWithinPartitions("_h1", "_h2", "_doc", "_pos")
-            .groupBy("_h1", "_h2", "_doc").agg(F.collect_list("_pos").alias("_at")))
+            .groupBy("_h1", "_h2", "_doc").agg(F.collect_list(F.struct("_tag", "_pos")).alias("_at")))
 
 
 def _runs(kept: Column) -> Column:
@@ -59,24 +60,28 @@ def _runs(kept: Column) -> Column:
 
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """(id, dropped) for each document that loses lines: the ascending line numbers
-    to drop as runs ``array<struct<first:int,len:int>>`` (0-based). The complement
-    is the keep bitmap; see :func:`apply_bitmaps`."""
+    """(id, tag, dropped) for each document that loses lines: the ascending line numbers
+    to drop as runs ``array<struct<first:int,len:int>>`` (0-based), whose complement is
+    the keep bitmap; ``tag`` is the text's xxhash64. See :func:`apply_bitmaps`."""
     held = stored(_holders(docs, id_col, text_col, min_chars), "line_holders")
     frequent = stored(held.groupBy("_h1", "_h2")
                       .agg(F.count("*").alias("_n"), F.max("_doc").alias("_keeper"))
                       .where(F.col("_n") >= min_docs).drop("_n"), "frequent_lines")
     drops = (held.join(frequent, ["_h1", "_h2"]).where(F.col("_doc") != F.col("_keeper"))
-             .groupBy("_doc").agg(F.array_sort(F.flatten(F.collect_list("_at"))).alias("_at")))
-    return drops.select(F.col("_doc").alias(id_col), _runs(F.col("_at")).alias("dropped"))
+             .select("_doc", F.inline("_at"))
+             .groupBy("_doc", "_tag").agg(F.array_sort(F.collect_set("_pos")).alias("_at")))
+    return drops.select(F.col("_doc").alias(id_col), F.col("_tag").alias("tag"),
+                        _runs(F.col("_at")).alias("dropped"))
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """``docs`` with ``_n_lines``, ``_n_dropped`` and ``_kept`` (the text that stays)."""
     lines = lines_of(F.col(text_col))
-    b = bitmaps.select(F.col(id_col).alias("_b_id"), F.col("dropped").alias("_dropped"))
-    joined = docs.join(b, F.col(id_col) == F.col("_b_id"), "left").drop("_b_id")
+    b = bitmaps.select(F.col(id_col).alias("_b_id"), F.col("tag").alias("_b_tag"),
+                       F.col("dropped").alias("_dropped"))
+    joined = docs.join(b, (F.col(id_col) == F.col("_b_id"))
+                       & (F.xxhash64(text_col) == F.col("_b_tag")), "left").drop("_b_id", "_b_tag")
     n_lines = F.size(lines).cast("long")
     # kept stretches lie between the dropped runs; slices keep this linear
     bounds = F.concat(F.col("_dropped"), F.array(F.struct(F.size(lines).alias("first"),

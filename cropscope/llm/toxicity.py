@@ -181,17 +181,43 @@ def platt(z: np.ndarray, y: np.ndarray, prior: float) -> tuple[float, float]:
     return float(beta[0] / s), float(beta[1] - beta[0] * m / s)
 
 
+def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
+            folds: int, held_fold: int, per_class: int, most_bytes: int):
+    """The model of a bounded sample, as a broadcast variable (a fixed 0.5 MB)."""
+    sample, count = labelled_sample(
+        docs, labels.where(labels[label_col].isin(0, 1)), label_col, id_col=id_col,
+        text_col=text_col, folds=folds, held_fold=held_fold, per_class=per_class,
+        most_bytes=most_bytes)
+    return docs.sparkSession.sparkContext.broadcast(fit(sample, count))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id",
+               text_col: str = "text", label_col: str = "toxic", folds: int = 4,
+               held_fold: int = 2, per_class: int = 1500,
+               most_bytes: int = 32 << 20) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, all columns as they are."""
+    model = trained(docs, labels, id_col, text_col, label_col, folds, held_fold, per_class,
+                    most_bytes)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = model.value.scorer()
+        for whole in batches:
+            for b in pieces(whole):
+                keep = [score(t) < threshold for t in b.column(at).to_pylist()]
+                yield b.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text", label_col: str = "toxic", folds: int = 4,
                     held_fold: int = 2, per_class: int = 1500,
                     most_bytes: int = 32 << 20) -> DataFrame:
     """(id, held_out, score) for every row of ``docs``; the training bound is
     ``per_class`` rows per label value and ``most_bytes`` of text."""
-    sample, count = labelled_sample(
-        docs, labels.where(labels[label_col].isin(0, 1)), label_col, id_col=id_col,
-        text_col=text_col, folds=folds, held_fold=held_fold, per_class=per_class,
-        most_bytes=most_bytes)
-    model = docs.sparkSession.sparkContext.broadcast(fit(sample, count))
+    model = trained(docs, labels, id_col, text_col, label_col, folds, held_fold, per_class,
+                    most_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = model.value.scorer()
