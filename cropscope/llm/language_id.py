@@ -1,7 +1,7 @@
 """Language id (operator 9): nearest of several centroids per language by cosine.
 
-A text is a TF-IDF vector of its words' character 1- to 3-grams, hashed into a fixed
-number of dimensions and normalised. Each language's training vectors are clustered
+A text is a TF-IDF vector of the 1- to 3-grams (over UTF-8 bytes, edges marked) of its
+words, hashed into a fixed number of dimensions and normalised. Each language's training vectors are clustered
 (spherical k-means), so a language is several centroids. The nearest centroid by
 cosine names the language; a text farther from it than any plausible training text of
 that centroid is flagged as rejected. Training takes a bounded sample of labelled
@@ -16,40 +16,30 @@ language is still reported.
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .bytegrams import Words, separators
 from .common import crc_fold, labelled_sample, pieces
 
 DIMS = 1 << 13
 CENTROIDS = 4
 _LETTER = re.compile(r"[^\W\d_]")
-_OTHER = re.compile(r"[\W\d_]+")
+_KEEP = separators(digits_are_letters=False)
 
 
-class Grams(dict):
-    """word -> dimension numbers of its marked character 1- to 3-grams (letters only)."""
-
-    def __missing__(self, word: str) -> np.ndarray:
-        if len(self) > 200_000:
-            self.clear()
-        ids = []
-        for w in _OTHER.split(word):
-            m = f"<{w}>" if w else ""
-            ids += [m[i:i + k] for k in (1, 2, 3) for i in range(len(m) - k + 1)]
-        g = self[word] = np.fromiter(
-            (zlib.crc32(x.encode("utf-8", "surrogatepass")) % DIMS for x in ids), np.int32, len(ids))
-        return g
-
-
-def term_counts(text: str, grams: Grams) -> np.ndarray:
-    words = text.lower().split()
-    ids = np.concatenate([grams[w] for w in words]) if words else np.empty(0, np.int32)
-    return np.bincount(ids, minlength=DIMS)
+def term_counts(texts: list[str | None]) -> np.ndarray:
+    """Counts of the hashed 1- to 3-grams of each text's words, one row per text."""
+    words = Words(texts, _KEEP)
+    doc = np.repeat(np.arange(len(texts)), words.doc_words)
+    key = []
+    for width in (1, 2, 3):
+        h, w = words.grams(width)
+        key.append(doc[w] * DIMS + ((h >> np.uint64(24)).astype(np.int64) & (DIMS - 1)))
+    return np.bincount(np.concatenate(key), minlength=len(texts) * DIMS).reshape(-1, DIMS)
 
 
 class Model:
@@ -57,17 +47,21 @@ class Model:
         self.idf, self.centroids, self.owner = idf, centroids, owner
         self.names, self.far = names, far
 
-    def vector(self, counts: np.ndarray) -> np.ndarray:
-        v = np.log1p(counts) * self.idf
-        n = np.sqrt(v @ v)
-        return (v / n if n > 0 else v).astype(np.float32)
+    def vectors(self, counts: np.ndarray) -> np.ndarray:
+        v = np.log1p(counts.astype(np.float32)) * self.idf.astype(np.float32)
+        n = np.sqrt((v * v).sum(1, keepdims=True))
+        return v / np.maximum(n, 1e-12)
 
-    def predict(self, text: str | None, grams: Grams) -> tuple[str, float, bool]:
-        if not text or not self.names or not _LETTER.search(text):
-            return "und", 0.0, True
-        cos = self.centroids @ self.vector(term_counts(text, grams))
-        k = int(np.argmax(cos))
-        return self.names[self.owner[k]], float(np.clip(cos[k], 0, 1)), bool(cos[k] < self.far[k])
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
+        out: list[tuple[str, float, bool]] = [("und", 0.0, True)] * len(texts)
+        at = [i for i, t in enumerate(texts) if t and self.names and _LETTER.search(t)]
+        if at:
+            cos = self.vectors(term_counts([texts[i] for i in at])) @ self.centroids.T
+            for i, row in zip(at, cos):
+                k = int(np.argmax(row))
+                out[i] = (self.names[self.owner[k]], float(np.clip(row[k], 0, 1)),
+                          bool(row[k] < self.far[k]))
+        return out
 
 
 def cluster(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
@@ -89,19 +83,19 @@ def cluster(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -
 
 
 def fit(sample: list[tuple[str, str]], seed: int = 5) -> Model:
-    grams = Grams()
-    rows = [(y, term_counts(t, grams)) for y, t in sample if _LETTER.search(t)]
+    rows = [(y, t) for y, t in sample if _LETTER.search(t)]
     names = sorted({y for y, _ in rows})
     if not names:
         return Model(None, None, None, [], None)
-    df = np.zeros(DIMS)
-    for _, c in rows:
-        df += c > 0
-    model = Model(np.log((1 + len(rows)) / (1 + df)) + 0.1, None, None, names, None)
+    counts = np.concatenate([term_counts([t for _, t in rows[i:i + 64]]).astype(np.float32)
+                             for i in range(0, len(rows), 64)])
+    label = np.array([names.index(y) for y, _ in rows])
+    model = Model(np.log((1 + len(rows)) / (1 + (counts > 0).sum(0))) + 0.1, None, None, names,
+                  None)
     rng = np.random.default_rng(seed)
     centers, owner, far = [], [], []
-    for i, y in enumerate(names):
-        x = np.stack([model.vector(c) for z, c in rows if z == y])
+    for i in range(len(names)):
+        x = model.vectors(counts[label == i])
         c = cluster(x, CENTROIDS, rng)
         cos = x @ c.T
         near = cos.argmax(1)
@@ -126,11 +120,12 @@ def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     model = docs.sparkSession.sparkContext.broadcast(fit(sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams()
         for whole in batches:
-            for b in pieces(whole):
+            for b in pieces(whole, 512 << 10):
                 ids = b.column(0).to_pylist()
-                got = [model.value.predict(t, grams) for t in b.column(1).to_pylist()]
+                texts = b.column(1).to_pylist()
+                got = [x for i in range(0, len(texts), 256)
+                       for x in model.value.predict(texts[i:i + 256])]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids, pa.int64()),
                     pa.array([None if i is None else crc_fold(i, folds) == held_fold

@@ -1,6 +1,7 @@
 """Toxicity (operator 7): subword-bag embeddings, averaged, into a linear softmax.
 
-A word is the bag of its character n-grams hashed into a fixed number of buckets.
+A word (a run of letters and digits) is the bag of its 3- and 4-grams over UTF-8 bytes,
+edges marked, hashed into a fixed number of buckets.
 The word vectors of a window are averaged and a linear softmax scores the window;
 the log-mean-exp over all windows of the text is the document's logit, so one hostile
 sentence is not diluted by a long clean text. Embeddings and softmax are trained
@@ -14,41 +15,38 @@ no labels); null labels or ids do not teach; a null id still gets a score.
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .bytegrams import Words, separators, windows
 from .common import crc_fold, labelled_sample, pieces
 
 BUCKETS, DIM = 1 << 17, 16
 WINDOW, HOP = 8, 4
-_EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+_KEEP = separators(digits_are_letters=True)
 
 
-def subwords(word: str) -> np.ndarray:
-    """Bucket numbers of the word and its 3- and 4-grams, with word edges marked."""
-    w = _EDGE.sub("", word)[:64]
-    if not w:
-        return np.zeros(1, np.int64)  # bucket 0: no letters or digits
-    m = f"<{w}>"
-    grams = {m, *(m[i:i + k] for k in (3, 4) for i in range(len(m) - k + 1))}
-    return np.fromiter((1 + zlib.crc32(g.encode("utf-8", "surrogatepass")) % (BUCKETS - 1)
-                        for g in sorted(grams)), np.int64, len(grams))
+def word_bags(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket numbers, number per word), ascending by word; every word has a 3-gram."""
+    h3, w3 = words.grams(3)
+    h4, w4 = words.grams(4)
+    word = np.concatenate((w3, w4))
+    order = np.argsort(word, kind="stable")
+    ids = (np.concatenate((h3, h4)) >> np.uint64(24)).astype(np.int64) & (BUCKETS - 1)
+    return ids[order].astype(np.int32), np.bincount(word, minlength=words.n)
 
 
-def window_starts(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """First and last-plus-one word of every window; the last one may be shorter."""
-    s = np.arange(0, max(1, n - WINDOW + HOP), HOP)
-    return s, np.minimum(s + WINDOW, n)
-
-
-def pooled(scores: np.ndarray, sharp: float) -> float:
-    top = scores.max()
-    return float(top + np.log(np.mean(np.exp(sharp * (scores - top)))) / sharp)
+def pooled(logit: np.ndarray, doc: np.ndarray, docs: int, sharp: float) -> np.ndarray:
+    """Log-mean-exp of the window logits of each text; minus infinity without windows."""
+    top = np.full(docs, -np.inf)
+    np.maximum.at(top, doc, logit)
+    total = np.bincount(doc, np.exp(sharp * (logit - top[doc])), docs)
+    n = np.bincount(doc, minlength=docs)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(n > 0, top + np.log(total / n) / sharp, -np.inf)
 
 
 class Model:
@@ -60,31 +58,24 @@ class Model:
         self.bucket, self.bias = bucket, bias
         self.scale, self.shift, self.prior = scale, shift, prior
 
-    def scorer(self):
-        model = self
-
-        class Cache(dict):
-            def __missing__(self, word: str) -> float:
-                if len(self) > 300_000:
-                    self.clear()
-                v = self[word] = float(model.bucket[subwords(word)].mean())
-                return v
-
-        cache = Cache()
-
-        def score(text: str | None) -> float:
-            words = text.lower().split() if text else []
-            if not words or model.bucket is None:
-                return model.prior
-            z = model.raw(np.fromiter(map(cache.__getitem__, words), np.float64, len(words)))
-            return float(1 / (1 + np.exp(-np.clip(model.scale * z + model.shift, -30, 30))))
-
-        return score
-
-    def raw(self, per_word: np.ndarray) -> float:
-        s, e = window_starts(len(per_word))
+    def raw(self, per_word: np.ndarray, doc_words: np.ndarray) -> np.ndarray:
+        s, e, doc = windows(doc_words, WINDOW, HOP)
         c = np.concatenate(([0.0], np.cumsum(per_word)))
-        return pooled((c[e] - c[s]) / (e - s) + self.bias, self.sharp)
+        return pooled((c[e] - c[s]) / (e - s) + self.bias, doc, len(doc_words), self.sharp)
+
+    def score(self, texts: list[str | None]) -> np.ndarray:
+        if self.bucket is None:
+            return np.full(len(texts), self.prior)
+        words = Words(texts, _KEEP)
+        total, count = np.zeros(words.n), np.zeros(words.n)
+        for width in (3, 4):
+            h, w = words.grams(width)
+            v = self.bucket[(h >> np.uint64(24)).astype(np.int64) & (BUCKETS - 1)]
+            total += np.bincount(w, v, words.n)
+            count += np.bincount(w, minlength=words.n)
+        z = self.raw(total / np.maximum(count, 1), words.doc_words)
+        p = 1 / (1 + np.exp(-np.clip(self.scale * z + self.shift, -30, 30)))
+        return np.where(np.isfinite(z), p, self.prior)
 
 
 def _ragged(at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -99,51 +90,46 @@ def fit(sample: list[tuple[int, str]], count: dict, epochs: int = 6, batch: int
     One row in five is held apart to calibrate the logit (weighted to the labels' own
     class shares)."""
     prior = count.get(1, 0) / max(1, sum(count.values()))
-    vocab: dict[str, int] = {}
-    texts = [(int(y), np.fromiter((vocab.setdefault(w, len(vocab)) for w in t.lower().split()),
-                                  np.int64)) for y, t in sample]
-    texts = [(y, w) for y, w in texts if len(w)]
-    if len({y for y, _ in texts}) < 2:
+    words = Words([t for _, t in sample], _KEEP)
+    label = np.array([int(y) for y, _ in sample])
+    has = np.nonzero(words.doc_words)[0]
+    if len(set(label[has].tolist())) < 2:
         return Model(None, 0.0, 1.0, 0.0, float(prior))
-    bags = [subwords(w).astype(np.int32) for w in vocab]
-    all_ids, all_sizes = np.concatenate(bags), np.fromiter(map(len, bags), np.int64, len(bags))
-    all_at = np.concatenate(([0], np.cumsum(all_sizes)[:-1]))
-    del bags, vocab
+    all_ids, all_sizes = word_bags(words)
+    all_at = np.cumsum(all_sizes) - all_sizes
+    first_word = np.cumsum(words.doc_words) - words.doc_words
+    del words.data, words.sep, words.word
     rng = np.random.default_rng(seed)
     emb = (rng.uniform(-1, 1, (BUCKETS, DIM)) / (20 * DIM)).astype(np.float32)
     soft = rng.normal(0, 0.5, (DIM, 2)).astype(np.float32)
     bias = np.zeros(2)
     seen_e, seen_w, seen_b = np.full(BUCKETS, 1e-7), np.full(DIM, 1e-3), 1e-2
-    order = rng.permutation(len(texts))
+    order = rng.permutation(has)
     calib, train = order[::5], order[np.arange(len(order)) % 5 != 0]
-    n1 = max(1, sum(texts[i][0] for i in train))
+    n1 = max(1, int(label[train].sum()))
     weight = {1: len(train) / (2 * n1), 0: len(train) / (2 * max(1, len(train) - n1))}
     for _ in range(max(epochs, -(-min_steps * batch // len(train)))):
         train = rng.permutation(train)
         for lo in range(0, len(train), batch):
-            part = [texts[i] for i in train[lo:lo + batch]]
-            used, inv = np.unique(np.concatenate([w for _, w in part]), return_inverse=True)
+            part = train[lo:lo + batch]
+            y, doc_words = label[part], words.doc_words[part]
+            used = _ragged(first_word[part], doc_words)
             sizes = all_sizes[used]
             ids = all_ids[_ragged(all_at[used], sizes)]
-            at = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+            at = np.cumsum(sizes) - sizes
             vec = np.add.reduceat(emb[ids], at, axis=0) / sizes[:, None].astype(np.float32)
             diff = soft[:, 1] - soft[:, 0]
-            word = (vec @ diff)[inv]
-            occ = np.zeros(len(inv) + 1)
-            off, g_bias = 0, 0.0
-            for y, ws in part:
-                s, e = window_starts(len(ws))
-                c = np.concatenate(([0.0], np.cumsum(word[off:off + len(ws)])))
-                logit = (c[e] - c[s]) / (e - s) + bias[1] - bias[0]
-                z = pooled(logit, Model.sharp)
-                g = weight[y] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(part)
-                a = np.exp(Model.sharp * (logit - logit.max()))
-                a *= g / a.sum()
-                g_bias += g
-                np.add.at(occ, off + s, a / (e - s))
-                np.add.at(occ, off + e, -a / (e - s))
-                off += len(ws)
-            per_word = np.bincount(inv, np.cumsum(occ)[:-1], len(sizes))
+            c = np.concatenate(([0.0], np.cumsum((vec @ diff).astype(np.float64))))
+            s, e, doc = windows(doc_words, WINDOW, HOP)
+            logit = (c[e] - c[s]) / (e - s) + bias[1] - bias[0]
+            z = pooled(logit, doc, len(part), Model.sharp)
+            g = np.where(y == 1, weight[1], weight[0]) / len(part) * (
+                1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
+            share = np.exp(Model.sharp * (logit - z[doc]))
+            share *= g[doc] / np.bincount(doc, share, len(part))[doc] / (e - s)
+            g_bias = float(g.sum())
+            occ = (np.bincount(s, share, len(used) + 1) - np.bincount(e, share, len(used) + 1))
+            per_word = np.cumsum(occ)[:-1]
             g_diff = per_word @ vec
             hit, where = np.unique(ids, return_inverse=True)
             step = np.bincount(where, np.repeat(per_word / sizes, sizes), len(hit))
@@ -157,9 +143,11 @@ def fit(sample: list[tuple[int, str]], count: dict, epochs: int = 6, batch: int
             bias += np.array([1, -1]) * 0.5 * rate * g_bias / np.sqrt(seen_b) / 2
     bucket = (emb @ (soft[:, 1] - soft[:, 0])).astype(np.float32)
     model = Model(bucket, float(bias[1] - bias[0]), 1.0, 0.0, float(prior))
-    per_word = np.add.reduceat(bucket[all_ids], all_at) / all_sizes
-    z = np.array([model.raw(per_word[texts[i][1]]) for i in calib])
-    model.scale, model.shift = platt(z, np.array([texts[i][0] for i in calib]), prior)
+    used = _ragged(first_word[calib], words.doc_words[calib])
+    sizes = all_sizes[used]
+    v = bucket[all_ids[_ragged(all_at[used], sizes)]]
+    z = model.raw(np.add.reduceat(v, np.cumsum(sizes) - sizes) / sizes, words.doc_words[calib])
+    model.scale, model.shift = platt(z, label[calib], prior)
     return model
 
 
@@ -194,18 +182,16 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id",
                text_col: str = "text", label_col: str = "toxic", folds: int = 4,
                held_fold: int = 2, per_class: int = 1500,
-               most_bytes: int = 32 << 20) -> DataFrame:
+               most_bytes: int = 12 << 20) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, all columns as they are."""
     model = trained(docs, labels, id_col, text_col, label_col, folds, held_fold, per_class,
                     most_bytes)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = model.value.scorer()
         for whole in batches:
-            for b in pieces(whole):
-                keep = [score(t) < threshold for t in b.column(at).to_pylist()]
-                yield b.filter(pa.array(keep, pa.bool_()))
+            for b in pieces(whole, 2 << 20):
+                yield b.filter(pa.array(model.value.score(b.column(at).to_pylist()) < threshold))
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -213,22 +199,21 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_co
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text", label_col: str = "toxic", folds: int = 4,
                     held_fold: int = 2, per_class: int = 1500,
-                    most_bytes: int = 32 << 20) -> DataFrame:
+                    most_bytes: int = 12 << 20) -> DataFrame:
     """(id, held_out, score) for every row of ``docs``; the training bound is
     ``per_class`` rows per label value and ``most_bytes`` of text."""
     model = trained(docs, labels, id_col, text_col, label_col, folds, held_fold, per_class,
                     most_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = model.value.scorer()
         for whole in batches:
-            for b in pieces(whole):
+            for b in pieces(whole, 2 << 20):
                 ids = b.column(0).to_pylist()
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids, pa.int64()),
                     pa.array([None if i is None else crc_fold(i, folds) == held_fold
                               for i in ids], pa.bool_()),
-                    pa.array([score(t) for t in b.column(1).to_pylist()], pa.float64()),
+                    pa.array(model.value.score(b.column(1).to_pylist()), pa.float64()),
                 ], ["_id", "_held_out", "_score"])
 
     return (docs.select(docs[id_col].cast("long").alias("_id"), docs[text_col].alias("_text"))
