@@ -15,8 +15,11 @@ def fixed(x, decimals: int = 4) -> Column:
 
 
 def percent(x, decimals: int = 1) -> Column:
-    """Share as percent text, e.g. 62.5% for 0.625."""
-    return F.concat(F.format_string(f"%.{decimals}f", col(x).cast("double") * 100.0), F.lit("%"))
+    """Share as percent text, e.g. 62.5% for 0.625; an exact half goes to the even
+    digit (6.25% is 6.2%)."""
+    value = col(x).cast("double") * 100.0
+    even = F.bround(value * 10.0 ** decimals) / 10.0 ** decimals
+    return F.concat(F.format_string(f"%.{decimals}f", even), F.lit("%"))
 
 
 def money(x, decimals: int = 2) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,13 +59,10 @@ def valid_ndvi(ndvi) -> Column:
     return F.coalesce((v > K.NDVI_MIN) & (v < K.NDVI_MAX) & ~F.isnan(v), F.lit(False))
 
 
-def band_pair(band_count) -> Column:
-    """Band pair (red, nir) chosen by the number of bands: >= 8 -> (4, 8),
-    4-7 -> (3, 4), 2-3 -> (1, 2), fewer -> NULL (no usable pair)."""
-    n = col(band_count)
-    expr = None
-    for red, nir in K.BAND_PAIRS:
-        need = max(red, nir)
-        pair = F.struct(F.lit(red).alias("red_band"), F.lit(nir).alias("nir_band"))
-        expr = F.when(n >= need, pair) if expr is None else expr.when(n >= need, pair)
-    return expr
+def band_pair(has: Callable[[int], Column]) -> Column:
+    """Band pair (red, nir): the first of (4, 8), (3, 4), (1, 2) whose bands the
+    image both holds; NULL without one. ``has(k)`` tells whether band k is there."""
+    pairs = [F.when(has(red) & has(nir), F.struct(F.lit(red).alias("red_band"),
+                                                  F.lit(nir).alias("nir_band")))
+             for red, nir in K.BAND_PAIRS]
+    return F.coalesce(*pairs)

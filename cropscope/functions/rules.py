@@ -161,7 +161,7 @@ def scenario_advice(predicted_yield, stress, risk_class) -> Column:
     y, s, r = _d(predicted_yield), _d(stress), col(risk_class)
     low_yield, high_stress, high_risk = K.SCENARIO_ADVICE
     return (F.when(y < K.SCENARIO_LOW_YIELD, F.lit(low_yield))
-            .when(s > K.SCENARIO_HIGH_STRESS, F.lit(high_stress))
+            .when((s > K.SCENARIO_HIGH_STRESS) & ~F.isnan(s), F.lit(high_stress))
             .when(r.contains("High"), F.lit(high_risk)))
 
 

@@ -28,13 +28,12 @@ def water_stress_climate_view(fields: DataFrame) -> DataFrame:
 def stress_class_counts(fields: DataFrame) -> DataFrame:
     """Fields per stress class, for both stress forms (the thresholds 7 and 4
     are shared though the scales differ, D13)."""
-    basic = fields.select(F.lit("basic").alias("stress_form"),
-                          stress_class(water_stress_basic("mean_ndvi", "temperature"))
-                          .alias("stress_class"))
-    climate = fields.select(F.lit("climate").alias("stress_form"),
-                            stress_class(water_stress_climate("mean_ndvi", "temperature",
-                                                              "rainfall")).alias("stress_class"))
-    return (basic.unionByName(climate).groupBy("stress_form", "stress_class")
+    forms = (("basic", water_stress_basic("mean_ndvi", "temperature")),
+             ("climate", water_stress_climate("mean_ndvi", "temperature", "rainfall")))
+    both = fields.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("stress_form"), stress_class(s).alias("stress_class"))
+        for name, s in forms])))  # one scan
+    return (both.groupBy("stress_form", "stress_class")
             .agg(F.count(F.lit(1)).alias("n_fields")))
 
 
@@ -71,10 +70,10 @@ def train_frame(scene_stats: DataFrame, labels: DataFrame, climate: DataFrame,
 
     Both scene-level sides hold one row per scene; AQE picks a broadcast at
     run time when one side turns out small and a sort-merge join otherwise.
-    The nation parameter table has a fixed size (25 rows) and is broadcast.
+    The parameter table is joined the same way.
     """
     feats = scene_stats.select(key, "mean_ndvi")
     j = feats.join(labels.select(key, "yield", "region", "nation_id"), key, "inner")
-    j = j.join(F.broadcast(climate), "nation_id", "inner")
+    j = j.join(climate, "nation_id", "inner")
     return j.select(key, "mean_ndvi", "rainfall", "temperature", "soil_ph", "fertilizer",
                     "region", "yield")

@@ -17,7 +17,7 @@ in a single task. This operator finds the middle value(s) by counting instead:
    A bucket whose min equals its max, or a rank at its first or last row, is
    answered from the bucket's min/max.
 3. Still-open ranks are refined on the rows of their bucket only (value range
-   filter against a small, size-checked broadcast side), splitting the range
+   filter; the side of open ranks holds at most two rows per group), splitting the range
    into equal-width sub-buckets, until a bucket is small enough to sort.
 
 The bounded bucket histogram, and the rows kept for a further round, are
@@ -36,7 +36,7 @@ from ..session import ensure_checkpoint_dir, materialize
 MANTISSA_BITS = 11          # coarse buckets per power of two: 2**11
 REFINE_BINS = 2048          # equal-width sub-buckets per refinement round
 FINAL_SORT_ROWS = 4096      # a bucket this small is sorted to pick the rank
-BROADCAST_TARGET_ROWS = 2_000_000  # open ranks joined by broadcast up to this many
+LINEAR_BINS = 1024          # bins of a known value range
 
 
 def coarse_bucket(v: Column) -> Column:
@@ -57,6 +57,14 @@ def coarse_bucket(v: Column) -> Column:
             .otherwise(F.signum(v) * code)).cast("long")
 
 
+def linear_bucket(v: Column, lo: float, hi: float, bins: int = LINEAR_BINS) -> Column:
+    """Equal-width bin of a value known to lie in [lo, hi]; NaN comes last. A group has
+    at most ``bins`` of them, however many pixels and distinct values it holds."""
+    b = F.floor((v - F.lit(lo)) / F.lit(hi - lo) * F.lit(bins - 1))
+    return (F.when(F.isnan(v), F.lit(bins - 1))
+            .otherwise(F.least(F.greatest(b, F.lit(0)), F.lit(bins - 2)))).cast("long")
+
+
 def _bucket_stats(rows: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
     return (rows.withColumn("_b", bucket).groupBy(*keys, "_b")
             .agg(F.count(F.lit(1)).alias("_c"), F.sum("_v").alias("_s"),
@@ -91,8 +99,7 @@ def _refine(rows: DataFrame, open_: DataFrame) -> list[DataFrame]:
     current, keys = rows, ["_k"]
     n_open, max_c = _open_info(open_)
     while n_open:
-        side = F.broadcast(open_) if n_open <= BROADCAST_TARGET_ROWS else open_
-        members = (current.join(side, keys, "inner")
+        members = (current.join(open_, keys, "inner")
                    .where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
                    .select("_k", "_rank", "_v", "_within", "_c", "_lo", "_hi"))
         picked = (members.where(F.col("_c") <= FINAL_SORT_ROWS)
@@ -128,10 +135,13 @@ def _refine(rows: DataFrame, open_: DataFrame) -> list[DataFrame]:
     return results
 
 
-def group_summary(df: DataFrame, key: str, value: str) -> DataFrame:
+def group_summary(df: DataFrame, key: str, value: str,
+                  bounds: tuple[float, float] | None = None) -> DataFrame:
     """Per group, over the non-NULL values: ``n``, ``min``, ``max``, ``mean``,
     population ``std`` and the exact ``median`` (average of the two middle
     values for an even count). NaN is not skipped (it makes mean/std NaN).
+    ``bounds`` names a range that holds every value: the histogram then has
+    ``LINEAR_BINS`` rows per group at most instead of 2**11 per power of two.
 
     The bucket histogram (bounded rows per group) is written once to the
     shared checkpoint folder: it feeds the moments, the rank search and the
@@ -140,7 +150,8 @@ def group_summary(df: DataFrame, key: str, value: str) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     rows = (df.select(F.col(key).alias("_k"), F.col(value).cast("double").alias("_v"))
             .where(F.col("_v").isNotNull()))
-    hist = _bucket_stats(rows, ["_k"], coarse_bucket(F.col("_v")))
+    bucket = linear_bucket(F.col("_v"), *bounds) if bounds else coarse_bucket(F.col("_v"))
+    hist = _bucket_stats(rows, ["_k"], bucket)
     whole = Window.partitionBy("_k")
     running = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     h = (hist.withColumn("_n", F.sum("_c").over(whole))

@@ -80,7 +80,7 @@ def scene_ndvi_stats_with_median(pixels: DataFrame, key: str = "scene_id",
             F.count("_v").alias("pixels"),
             F.percentile_approx("_v", 0.5, 10000).cast("double").alias("median_ndvi"))
     # one scan: moments and the exact median come from the same bucket histogram
-    s = quantile.group_summary(px, key, "_v")
+    s = quantile.group_summary(px, key, "_v", bounds=(K.NDVI_MIN, K.NDVI_MAX))
     return s.select(key, F.col("min").alias("min_ndvi"), F.col("max").alias("max_ndvi"),
                     F.col("mean").alias("mean_ndvi"), F.col("std").alias("std_ndvi"),
                     F.col("n").alias("pixels"), F.col("median").alias("median_ndvi"))
@@ -140,32 +140,41 @@ def band_stats(band_long: DataFrame, key: str = "scene_id") -> DataFrame:
 
 
 def band_pair_choice(image_bands: DataFrame, key: str = "scene_id") -> DataFrame:
-    """P4 + A13: number of bands per image and the (red, nir) pair it gets.
+    """P4 + A13: number of bands per image and the (red, nir) pair it gets: the
+    first pair whose bands are both there.
 
     Counting distinct bands goes through a (scene, band) pre-aggregation, so a
     huge image ships one row per band instead of one per pixel.
     """
     per_band = image_bands.groupBy(key, "band").agg(F.count(F.lit(1)).alias("_px"))
-    counts = per_band.groupBy(key).agg(F.count(F.lit(1)).alias("band_count"),
-                                      F.sum("_px").alias("pixels"))
-    pair = band_pair("band_count")
+    needed = sorted({b for pair in K.BAND_PAIRS for b in pair})
+    counts = per_band.groupBy(key).agg(
+        F.count(F.lit(1)).alias("band_count"), F.sum("_px").alias("pixels"),
+        *[F.coalesce(F.max(F.col("band") == b), F.lit(False)).alias(f"_has{b}") for b in needed])
+    pair = band_pair(lambda b: F.col(f"_has{b}"))
     return counts.select(key, "band_count", "pixels",
                          pair.getField("red_band").alias("red_band"),
                          pair.getField("nir_band").alias("nir_band"))
 
 
 def scene_metadata(pixels: DataFrame, key: str = "scene_id", row: str = "pixel_row",
-                   col: str = "pixel_col", crs: str = "EPSG:4326") -> DataFrame:
-    """Scene header from the pixel table: width, height, CRS and
-    bounds (pixel-edge coordinates) in the nested, non-null header schema."""
+                   col: str = "pixel_col", crs: str | Column = "EPSG:4326",
+                   path: str | Column | None = None) -> DataFrame:
+    """Scene header from the pixel table: path, width, height, CRS and
+    bounds (pixel-edge coordinates, nested). ``crs`` is a text for all scenes or a
+    column of the pixels, ``path`` likewise (default: the scene's key as text)."""
+    as_col = lambda v: v if isinstance(v, Column) else F.lit(v)
+    path = F.col(key).cast("string") if path is None else path
     agg = pixels.groupBy(key).agg(
+        F.min(as_col(path)).alias("_path"), F.min(as_col(crs)).alias("_crs"),
         F.min(col).alias("_c0"), F.max(col).alias("_c1"),
         F.min(row).alias("_r0"), F.max(row).alias("_r1"))
     return agg.select(
         F.col(key).alias(key),
-        (F.col("_c1") - F.col("_c0") + 1).cast("int").alias("width"),
-        (F.col("_r1") - F.col("_r0") + 1).cast("int").alias("height"),
-        F.lit(crs).alias("crs"),
+        F.col("_path").alias("path"),
+        (F.col("_c1").cast("long") - F.col("_c0") + 1).alias("width"),
+        (F.col("_r1").cast("long") - F.col("_r0") + 1).alias("height"),
+        F.col("_crs").alias("crs"),
         F.struct(F.col("_c0").cast("double").alias("left"),
                  F.col("_r0").cast("double").alias("bottom"),
                  (F.col("_c1") + 1).cast("double").alias("right"),
@@ -183,5 +192,5 @@ def scene_date_series(pixels: DataFrame, key: str = "scene_id",
     days = pixels.groupBy(key, date).agg(F.count(F.lit(1)).alias("_px"))
     return days.groupBy(key).agg(
         F.sort_array(F.collect_list(F.col(date))).alias("dates"),
-        F.count(F.lit(1)).alias("n_dates"),
+        F.count(F.col(date)).alias("n_dates"),
         F.sum("_px").alias("pixels"))

@@ -66,9 +66,11 @@ def slope_per(points: DataFrame, field: str, date: str, value: str,
 
 
 def field_trend_per_1000_days(pixels: DataFrame, field: str = "scene_id",
-                              date: str = "capture_date", ndvi: str = "ndvi") -> DataFrame:
-    """A6 -> A7 -> C3/P24: per-field NDVI trend per 1000 days and its bar colour."""
-    pts = image_means(pixels, field, (date,), ndvi)
+                              date: str = "capture_date", ndvi: str = "ndvi",
+                              image=()) -> DataFrame:
+    """A6 -> A7 -> C3/P24: per-field NDVI trend per 1000 days and its bar colour. Every
+    image is one point: ``image`` names the columns that tell images of one day apart."""
+    pts = image_means(pixels, field, (date, *image), ndvi)
     return (slope_per(pts, field, date, "mean_ndvi", K.TREND_DAYS_FIELD, "ndvi_trend")
             .withColumn("colour", trend_colour("ndvi_trend")))
 
@@ -108,10 +110,12 @@ def latest_observation(obs: DataFrame, field: str = "field_id",
 
 
 def history_series(obs: DataFrame, field: str = "field_id", ts: str = "ts") -> DataFrame:
-    """C4: NDVI and health over time, ordered for plotting (range-partitioned
-    global sort on (field, ts), so one hot field still spreads over tasks)."""
+    """C4: NDVI, health and, where ``obs`` has it, predicted yield over time, ordered
+    for plotting (range-partitioned global sort on (field, ts), so one hot field still
+    spreads over tasks)."""
+    extra = [c for c in ("predicted_yield",) if c in obs.columns]
     return (obs.select(field, ts, "event_id", "ndvi",
-                       health_index("ndvi").alias("health_index"))
+                       health_index("ndvi").alias("health_index"), *extra)
             .orderBy(field, ts, "event_id"))
 
 

@@ -152,6 +152,53 @@ def test_band_pair_choice(spark):
                    6: (8, 4, 8), 7: (12, 4, 8)}
 
 
+def test_band_pair_needs_the_bands_themselves(spark):
+    """Presence decides, not the count: five bands without 4 fall back to (1, 2)."""
+    bands = [(1, b) for b in (1, 2, 3, 5, 6)] + [(2, b) for b in (2, 3, 5)] + [(3, b) for b in (4, 8)]
+    df = spark.createDataFrame([(s, b, 1.0) for s, b in bands], "scene_id long, band int, value double")
+    got = {r.scene_id: (r.red_band, r.nir_band) for r in scene.band_pair_choice(df).collect()}
+    assert got == {1: (1, 2), 2: (None, None), 3: (4, 8)}
+
+
+def test_two_images_of_one_day_are_two_points(spark):
+    """A large and a small image of one day weigh the same in the trend (slope 5.0)."""
+    d0, d1 = dt.date(2024, 1, 1), dt.date(2024, 1, 11)
+    rows = ([(1, d0, "a", 0.0)] * 9 + [(1, d0, "b", 0.1)] + [(1, d1, "c", 0.1)] * 3)
+    df = spark.createDataFrame(rows, "scene_id long, capture_date date, image string, ndvi double")
+    got = trend.field_trend_per_1000_days(df, image=("image",)).first()
+    assert got.n_points == 3 and abs(got.ndvi_trend - 5.0) < 1e-9
+
+
+def test_scene_metadata_on_large_keys(spark):
+    df = spark.createDataFrame([(1, 5, 0), (1, 6_000_000_000, 3)],
+                               "scene_id long, pixel_row long, pixel_col int")
+    got = scene.scene_metadata(df).first()
+    assert got.height == 5_999_999_996 and got.width == 4 and got.path == "1"
+
+
+def test_null_date_is_neither_listed_nor_counted(spark):
+    df = spark.createDataFrame([(1, dt.date(2024, 3, 1)), (1, None)],
+                               "scene_id long, capture_date date")
+    got = scene.scene_date_series(df).first()
+    assert len(got.dates) == got.n_dates == 1
+
+
+def test_median_histogram_is_bounded(spark):
+    """Continuous values: at most LINEAR_BINS histogram rows per scene, and the median exact."""
+    import statistics
+
+    from cropscope.operators import quantile
+    df = spark.range(20_000).select((F.col("id") % 2).alias("scene_id"),
+                                    (F.rand(3) * 2 - 1).alias("ndvi")).cache()
+    bins = df.groupBy("scene_id").agg(F.countDistinct(
+        quantile.linear_bucket(F.col("ndvi"), -1.0, 1.0)).alias("n"))
+    assert bins.agg(F.max("n")).first()[0] <= quantile.LINEAR_BINS
+    got = {r.scene_id: r.median_ndvi for r in scene.scene_ndvi_stats_with_median(df).collect()}
+    for k in (0, 1):
+        values = [r.ndvi for r in df.where(f"scene_id = {k}").collect()]
+        assert got[k] == statistics.median(values)
+
+
 def test_scene_date_series_sorted_distinct(spark):
     d = dt.date(2024, 3, 1)
     df = spark.createDataFrame([(1, d + dt.timedelta(days=k % 3)) for k in range(9)],
