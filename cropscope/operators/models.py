@@ -13,18 +13,17 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.rules import risk_code_label
 
 
-def linear_yield_pipeline(features: Sequence[str], label: str = "yield",
-                          handle_invalid: str = "skip") -> Pipeline:
-    """M8: assembler + unregularised least squares (100 iterations, tol 1e-6)."""
-    asm = VectorAssembler(inputCols=list(features), outputCol="features",
-                          handleInvalid=handle_invalid)
+def linear_yield_pipeline(features: Sequence[str], label: str = "yield") -> Pipeline:
+    """M8: assembler + unregularised least squares (100 iterations, tol 1e-6). Fit it
+    with :func:`fit`, which leaves incomplete rows out of the fit only."""
+    asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     lr = LinearRegression(featuresCol="features", labelCol=label, **K.LINEAR)
     return Pipeline(stages=[asm, lr])
 
@@ -69,9 +68,44 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def _complete(columns: Sequence[str], df: DataFrame) -> Column:
+    """Every one of ``columns`` that ``df`` holds is there and not NaN."""
+    ok = F.lit(True)
+    for c in columns:
+        if c in df.columns:
+            v = F.col(c)
+            number = dict(df.dtypes)[c] in ("double", "float")
+            ok = ok & v.isNotNull() & (~F.isnan(v) if number else F.lit(True))
+    return ok
+
+
+def feature_columns(stages) -> list[str]:
+    """Input columns of the assembler in a pipeline or a fitted model."""
+    return [c for s in stages if isinstance(s, VectorAssembler) for c in s.getInputCols()]
+
+
+def fit(pipeline: Pipeline, df: DataFrame, label: str = "yield") -> PipelineModel:
+    """Fit on the rows whose features and label are complete. Those rows are cached for
+    the fit (Spark ML passes over its input many times) and released after it."""
+    train = df.where(_complete([*feature_columns(pipeline.getStages()), label], df)).cache()
+    try:
+        return pipeline.fit(train)
+    finally:
+        train.unpersist()
+
+
+def predict(model: PipelineModel, df: DataFrame, out: str = "prediction") -> DataFrame:
+    """Every row of ``df`` with its prediction; NULL where a feature is missing."""
+    ok = _complete(feature_columns(model.stages), df)
+    made = [c for c in model.transform(df.limit(0)).columns if c not in df.columns]
+    scored = model.transform(df.withColumn("_ok", ok))
+    value = F.when(F.col("_ok"), F.col("prediction").cast("double"))
+    return scored.withColumn("_out", value).drop(*made, "_ok").withColumnRenamed("_out", out)
+
+
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """M9: one ``transform`` over the whole table; keep ``keep`` + prediction."""
-    return model.transform(df).select(*keep, F.col("prediction").cast("double"))
+    """M9: one ``transform`` over the whole table; ``keep`` + prediction of every row."""
+    return predict(model, df).select(*keep, "prediction")
 
 
 def score_risk(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:

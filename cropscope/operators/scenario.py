@@ -1,65 +1,39 @@
-"""What-if scenario grid (J3, G10): every field against every scenario.
+"""What-if scenario scoring (J3, G10): scenario requests against their fields.
 
-The scenario list is a small, size-checked parameter set (the page's sliders,
-one row per click). It is embedded in the plan as a literal array and
-``explode``d per field - a map-side Generate, no join and no shuffle - so the
-output grows as fields x scenarios with no pair-building step.
+A scenario is a row of a request table keyed by its field, as the page sends one
+setting per click. Requests meet their field's humidity and leaf wetness by an
+equi-join, are scored by one ``transform`` of a fitted yield model and then by the
+rules; nothing is paired beyond the join and nothing is embedded in the plan.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.ndvi import health_index
 from ..functions.rules import (disease_risk_class, disease_risk_score, profit_floored,
                                roi_guarded, scenario_advice, water_stress_climate)
-
-MAX_SCENARIOS = 10_000
-SCENARIO_COLUMNS = ("scenario_id", "rainfall", "temperature", "soil_ph", "fertilizer", "ndvi")
-
-# FIXED VALUES: coefficients of the fixed linear yield formula used by the
-# registered scenario query (intercept, then ndvi, rainfall, temperature,
-# soil_ph, fertilizer).
-LINEAR_YIELD = (1.0, 2.0, 0.005, -0.03, 0.1, 0.004)
-
-
-def linear_yield(coefs: Sequence[float] = LINEAR_YIELD,
-                 features: Sequence[str] = K.YIELD_FEATURES_5) -> Column:
-    expr = F.lit(float(coefs[0]))
-    for c, f in zip(coefs[1:], features):
-        expr = expr + F.lit(float(c)) * F.col(f).cast("double")
-    return expr
-
-
-def with_scenarios(fields: DataFrame, scenarios: Sequence[dict]) -> DataFrame:
-    """Attach every scenario to every field row (prefix ``scenario_`` avoided:
-    scenario columns keep their names; field columns must not clash)."""
-    if len(scenarios) > MAX_SCENARIOS:
-        raise ValueError(f"{len(scenarios)} scenarios exceed the limit of {MAX_SCENARIOS}")
-    structs = [F.struct(*[F.lit(s[c]).cast("int" if c == "scenario_id" else "double").alias(c)
-                          for c in SCENARIO_COLUMNS]) for s in scenarios]
-    return fields.select("*", F.inline(F.array(*structs)))
-
-
-def scenario_grid(fields: DataFrame, scenarios: Sequence[dict],
-                  predicted_yield: Column | None = None,
-                  labor_cost=K.DEFAULT_LABOR_COST, crop_price=K.DEFAULT_CROP_PRICE,
-                  unit_cost: float = 1.0) -> DataFrame:
-    """For each (field, scenario): predicted yield, health, climate stress,
-    rule disease risk (field humidity and leaf wetness, scenario temperature),
-    floored profit, guarded ROI and the first matching advice.
-
-    The scenario's fertilizer is an amount (kg/ha); its cost is amount x
-    ``unit_cost`` (default 1.0, which reproduces the original page, D11)."""
-    grid = with_scenarios(fields.select("field_id", "humidity", "leaf_wetness"), scenarios)
-    pred = predicted_yield if predicted_yield is not None else linear_yield()
-    out = grid.select(
-        "field_id", "scenario_id",
-        pred.alias("predicted_yield"),
+from . import models
+
+
+def scenario_report(scenarios: DataFrame, fields: DataFrame, model: PipelineModel,
+                    labor_cost=K.DEFAULT_LABOR_COST, crop_price=K.DEFAULT_CROP_PRICE,
+                    unit_cost: float = 1.0) -> DataFrame:
+    """G10 per request: predicted yield, health, climate stress, rule disease risk (field
+    humidity and leaf wetness, scenario temperature), floored profit, guarded ROI and the
+    first matching advice.
+
+    ``scenarios`` holds field_id, scenario_id, ndvi, rainfall, temperature, fertilizer and
+    whatever else the model's features need. A request for an unknown field stays, with
+    NULL where the field's values would enter. The fertilizer is an amount (kg/ha); its
+    cost is amount x ``unit_cost`` (default 1.0, which reproduces the original page, D11)."""
+    asked = scenarios.join(fields.select("field_id", "humidity", "leaf_wetness"), "field_id",
+                           "left")
+    out = models.predict(model, asked, "predicted_yield").select(
+        "field_id", "scenario_id", "predicted_yield",
         health_index("ndvi").alias("health_index"),
         water_stress_climate("ndvi", "temperature", "rainfall").alias("water_stress"),
         disease_risk_score("ndvi", "humidity", "leaf_wetness", "temperature").alias("risk_score"),

@@ -2,21 +2,6 @@
 
 from pyspark.sql import types as T
 
-BOUNDS = T.StructType([
-    T.StructField("left", T.DoubleType(), False),
-    T.StructField("bottom", T.DoubleType(), False),
-    T.StructField("right", T.DoubleType(), False),
-    T.StructField("top", T.DoubleType(), False),
-])
-
-SCENE_METADATA = T.StructType([
-    T.StructField("path", T.StringType(), False),
-    T.StructField("width", T.IntegerType(), False),
-    T.StructField("height", T.IntegerType(), False),
-    T.StructField("crs", T.StringType(), False),
-    T.StructField("bounds", BOUNDS, False),
-])
-
 # Labels file: two stacked sections; the wider one decides the schema.
 LABELS = T.StructType([
     T.StructField("filename", T.StringType(), True),
@@ -40,15 +25,6 @@ YIELDS = T.StructType([
     T.StructField("fertilizer_cost", T.DoubleType(), True),
 ])
 
-SCENARIO = T.StructType([
-    T.StructField("scenario_id", T.IntegerType(), False),
-    T.StructField("rainfall", T.DoubleType(), True),
-    T.StructField("temperature", T.DoubleType(), True),
-    T.StructField("soil_ph", T.DoubleType(), True),
-    T.StructField("fertilizer", T.DoubleType(), True),
-    T.StructField("ndvi", T.DoubleType(), True),
-])
-
 # Test table read by the streaming operators (explicit: a file stream needs one).
 EVENTS = T.StructType([
     T.StructField("event_id", T.LongType(), True),

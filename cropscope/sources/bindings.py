@@ -14,7 +14,7 @@ column the caller does not use down to the Parquet scan.
 | observations   | events                         | NDVI observations over time          |
 | scene_labels   | supplier, nation, region       | yield label and region per scene     |
 | climate        | nation                         | environment parameters per nation    |
-| scenarios      | literal                        | what-if parameter sets               |
+| scenarios      | lineitem                       | what-if requests per field           |
 """
 
 from __future__ import annotations
@@ -22,8 +22,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import constants as K
-
 
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
@@ -103,16 +101,12 @@ def observations(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def scene_labels(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Yield label per scene (supplier) with its region and nation.
-
-    nation (25 rows) and region (5 rows) are fixed-size dimensions, so
-    broadcasting them is bounded by construction.
-    """
+    """Yield label per scene (supplier) with its region and nation."""
     s = table(spark, data_dir, "supplier")
     n = table(spark, data_dir, "nation")
     r = table(spark, data_dir, "region")
-    return (s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
-            .join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    return (s.join(n, s.s_nationkey == n.n_nationkey)
+            .join(r, n.n_regionkey == r.r_regionkey)
             .select(F.col("s_suppkey").alias("scene_id"),
                     (F.col("s_acctbal") / 3000.0).alias("yield"),
                     F.col("r_name").alias("region"),
@@ -120,31 +114,28 @@ def scene_labels(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def climate(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Environment parameters per nation (a per-field parameter table)."""
+    """Environment parameters per nation (a per-field parameter table); the three
+    weather and soil columns are linearly independent over the nations."""
     n = table(spark, data_dir, "nation")
     k = F.col("n_nationkey").cast("double")
     return n.select(
         F.col("n_nationkey").alias("nation_id"),
         (F.lit(50.0) + k * 10.0).alias("rainfall"),
-        (F.lit(12.0) + k).alias("temperature"),
-        (F.lit(5.0) + k / 10.0).alias("soil_ph"),
+        (F.lit(12.0) + (k * 7.0) % 25.0).alias("temperature"),
+        (F.lit(5.0) + (k * k) % 19.0 / 10.0).alias("soil_ph"),
         (F.lit(80.0) + F.col("n_regionkey").cast("double") * 5.0).alias("fertilizer"),
     )
 
 
-# FIXED VALUES: the what-if scenarios registered as a query (rain, temp, pH, fert, NDVI);
-# the first row is the page's default setting.
-SCENARIO_ROWS = (
-    (1, K.DEFAULTS["rainfall"], K.DEFAULTS["temperature"], K.DEFAULTS["soil_ph"],
-     K.DEFAULTS["fertilizer"], K.DEFAULTS["ndvi"]),
-    (2, 20.0, 35.0, 5.5, 50.0, -0.2),
-    (3, 250.0, 22.0, 7.0, 200.0, 0.8),
-    (4, 0.0, 40.0, 4.0, 0.0, -1.0),
-    (5, 300.0, 10.0, 9.0, 300.0, 1.0),
-    (6, 150.0, 28.0, 6.0, 120.0, 0.1),
-)
-
-
-def scenario_rows() -> list[dict]:
-    cols = ("scenario_id", "rainfall", "temperature", "soil_ph", "fertilizer", "ndvi")
-    return [dict(zip(cols, r)) for r in SCENARIO_ROWS]
+def scenarios(spark: SparkSession, data_dir: str) -> DataFrame:
+    """What-if requests: every line item asks for one scenario of its part (= field)."""
+    li = table(spark, data_dir, "lineitem")
+    q = F.col("l_quantity")
+    return li.select(
+        F.col("l_partkey").alias("field_id"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("scenario_id"),
+        (q * 6.0).alias("rainfall"),
+        (F.lit(10.0) + q % 30.0).alias("temperature"),
+        (F.col("l_discount") * 3000.0).alias("fertilizer"),
+        (F.col("l_tax") * 20.0 - 0.6).alias("ndvi"),
+    )

@@ -23,7 +23,8 @@ def _listing(spark: SparkSession, root: str, recursive: bool) -> DataFrame:
 
 
 def list_rasters(spark: SparkSession, root: str) -> DataFrame:
-    """Raster files directly in ``root``, suffix .tif/.tiff in any case."""
+    """Raster files directly in ``root``, suffix .tif/.tiff in any case. Spark's file
+    sources hide names that start with ``_`` or ``.``; name rasters otherwise."""
     df = _listing(spark, root, recursive=False)
     return rasters(df)
 
@@ -51,8 +52,8 @@ def series_images(listing: DataFrame, path: str = "path") -> DataFrame:
 
 
 def list_series(spark: SparkSession, root: str) -> DataFrame:
-    """S3 over a directory tree."""
-    return series_images(_listing(spark, root, recursive=True))
+    """S3 over a directory tree: ``root/<field>/<file>``, exactly one level deep."""
+    return series_images(_listing(spark, root.rstrip("/") + "/*/*.tif", recursive=False))
 
 
 def read_table_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -107,25 +108,29 @@ def write_ndvi(pixels: DataFrame, path: str, scene: str = "scene_id",
     """K1: NDVI pixels as Parquet, partitioned by a hash bucket of the scene.
 
     Partitioning by the scene itself would create one directory per scene
-    (millions at scale); a bounded bucket keeps directories and files few.
-    No shuffle is needed: each task writes its rows to their buckets, sorted
-    by scene within the task so Parquet row-group statistics let a
-    single-scene read skip the other scenes' row groups. The masked flag
-    travels with the value.
+    (millions at scale). Rows are rebalanced by bucket first, so the number of
+    files follows the data and the buckets, not the number of input tasks, and a
+    large bucket is split over several tasks. Choose ``buckets`` by the size of the
+    table (a few hundred files each). Rows are sorted by scene within a file, so
+    Parquet statistics let a single-scene read skip the rest.
     """
     (pixels.withColumn("scene_bucket", scene_bucket(scene, buckets))
-     .sortWithinPartitions("scene_bucket", scene)
+     .hint("rebalance", "scene_bucket").sortWithinPartitions("scene_bucket", scene)
      .write.mode("overwrite").partitionBy("scene_bucket").parquet(path))
     return path
 
 
 def read_ndvi(spark: SparkSession, path: str, scene_ids=None, scene: str = "scene_id",
               buckets: int = NDVI_BUCKETS) -> DataFrame:
-    """Read NDVI written by ``write_ndvi``; with ``scene_ids`` only their
-    bucket directories are listed (partition pruning) and the scene filter is
-    pushed into the Parquet scan."""
+    """Read NDVI written by ``write_ndvi``. A short list of ``scene_ids`` prunes to their
+    bucket directories and is pushed into the scan; any number of scenes may be given
+    as a DataFrame, which is semi-joined on bucket and scene."""
     df = spark.read.parquet(path)
-    if scene_ids is not None:
+    if isinstance(scene_ids, DataFrame):
+        wanted = scene_ids.select(F.col(scene).cast(df.schema[scene].dataType).alias(scene))
+        wanted = wanted.withColumn("scene_bucket", scene_bucket(scene, buckets))
+        df = df.join(wanted, ["scene_bucket", scene], "left_semi")
+    elif scene_ids is not None:
         ids = list(scene_ids)
         # hash with the stored type: int and long ids hash differently
         typ = df.schema[scene].dataType.simpleString()

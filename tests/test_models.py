@@ -41,3 +41,12 @@ def test_yield_forest_scores_all_rows(spark):
     unseen = df.limit(3).withColumn("region", F.lit("West"))      # unseen region is kept, not an error
     out = models.score(model, df.unionByName(unseen), ["region"])
     assert out.count() == 43 and out.where(F.col("prediction").isNull()).count() == 0
+
+
+def test_scoring_keeps_rows_with_missing_features(spark):
+    train = spark.createDataFrame([(float(i), 1.0 + i) for i in range(10)] + [(None, 3.0)],
+                                  "mean_ndvi double, yield double")
+    model = models.fit(models.linear_yield_pipeline(["mean_ndvi"]), train)
+    rows = spark.createDataFrame([(1, 0.5), (2, None), (3, float("nan"))], "k int, mean_ndvi double")
+    got = {r.k: r.prediction for r in models.score(model, rows, ["k"]).collect()}
+    assert got[1] == pytest.approx(1.5) and got[2] is None and got[3] is None
