@@ -2,7 +2,7 @@
 
 Each job takes DataFrames (or a session plus paths) and returns DataFrames;
 writing is explicit and goes to caller-given paths (on a cluster: shared
-storage). Nothing is collected to the driver.
+storage). Only single-row results (histogram bounds, open-rank counts) reach the driver.
 """
 
 from __future__ import annotations
@@ -17,30 +17,24 @@ from ..functions import constants as K
 from ..functions.ndvi import health_class, health_index, ndvi_is_masked, ndvi_masked
 from ..functions.rules import (disease_advice, disease_risk_class, disease_risk_score,
                                profit_floored, roi_class_a, roi_class_b, roi_guarded,
-                               stress_advice, stress_class, trend_colour, water_stress_basic,
+                               stress_advice, stress_class, water_stress_basic,
                                water_stress_climate, yield_class)
 from ..operators import economics, models, scene, status, trend
+from ..session import materialize
 from ..sources import files
 
-# A per-scene pair table is broadcast to the pixel rows only up to this many
-# scenes (one small row each); beyond it the join is a shuffle join on the
-# scene, where AQE splits a skewed scene across tasks.
-PAIR_BROADCAST_ROWS = 1_000_000
-
-
 def select_bands(image_bands: DataFrame, pixel_cols: Sequence[str] = ("pixel_row", "pixel_col"),
                  key: str = "scene_id") -> tuple[DataFrame, DataFrame]:
-    """P4 + S5: choose (red, nir) per image by its band count and return the
+    """P4 + S5: choose (red, nir) per image by the bands it holds and return the
     wide pixel table ``(key, *pixel_cols, red, nir)`` plus the per-image status.
 
-    The band pivot groups by pixel (at most two rows per group), so no image
+    The status is written once, as the join, the summary and the failures all read
+    it. The band pivot groups by pixel (at most two rows per group), so no image
     is ever gathered in one task.
     """
-    st = status.image_status(image_bands, key)
-    n = st.count()
+    st = materialize(status.image_status(image_bands, key), "image_status")
     pairs = st.where(F.col("red_band").isNotNull()).select(key, "red_band", "nir_band")
-    side = F.broadcast(pairs) if n <= PAIR_BROADCAST_ROWS else pairs
-    chosen = (image_bands.join(side, key, "inner")
+    chosen = (image_bands.join(pairs, key, "inner")
               .where((F.col("band") == F.col("red_band")) | (F.col("band") == F.col("nir_band"))))
     wide = chosen.groupBy(key, *pixel_cols).agg(
         F.max(F.when(F.col("band") == F.col("red_band"), F.col("value"))).alias("red"),
@@ -61,14 +55,15 @@ def ndvi_batch_job(image_bands: DataFrame, out_path: str,
 
 
 def metadata_ingest(pixels: DataFrame, key: str = "scene_id") -> DataFrame:
-    """Scene header table (nested bounds struct, non-null fields)."""
+    """Scene header table (nested bounds struct)."""
     return scene.scene_metadata(pixels, key)
 
 
 def field_trend_job(ndvi_pixels: DataFrame, field: str = "scene_id",
-                    date: str = "capture_date") -> DataFrame:
-    """Mean NDVI per image -> slope per 1000 days -> bar colour."""
-    return trend.field_trend_per_1000_days(ndvi_pixels, field, date)
+                    date: str = "capture_date", image: Sequence[str] = ()) -> DataFrame:
+    """Mean NDVI per image -> slope per 1000 days -> bar colour. ``image`` names
+    what tells images of one field and day apart."""
+    return trend.field_trend_per_1000_days(ndvi_pixels, field, date, image=image)
 
 
 def water_stress_job(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -88,16 +83,12 @@ def economics_job(spark: SparkSession, path: str, schema=None) -> tuple[DataFram
 def training_job(features: DataFrame, labels: DataFrame, model_path: str,
                  key: str = "scene_id") -> PipelineModel:
     """Join features with labels, fit the yield forest, save it."""
-    train = features.join(labels, key, "inner").cache()
-    try:
-        model = models.yield_forest_pipeline().fit(train)
-    finally:
-        train.unpersist()
+    model = models.fit(models.yield_forest_pipeline(), features.join(labels, key, "inner"))
     models.save(model, model_path)
     return model
 
 
-def field_report_raw(band_samples: DataFrame, env: DataFrame, model: PipelineModel,
+def field_report_raw(stats: DataFrame, env: DataFrame, model: PipelineModel,
                      key: str = "scene_id", params: dict | None = None) -> DataFrame:
     """Raw image page as one row per scene.
 
@@ -105,15 +96,14 @@ def field_report_raw(band_samples: DataFrame, env: DataFrame, model: PipelineMod
     yield from the 5-feature model (M9, P20), climate stress with class and
     advice (P9, P10), rule disease risk with advice (P11-P13), floored profit
     and guarded ROI with class (P15, P17, P18) and the cost items (P21).
-    ``env`` holds per-scene rainfall, temperature, soil_ph and fertilizer;
+    ``stats`` is the scene health report of the band samples; ``env`` holds per-scene rainfall, temperature, soil_ph and fertilizer;
     ``params`` the shared humidity, leaf wetness, price and labor cost, and
     ``unit_cost`` (default 1.0) turns the fertilizer amount into a cost (D11).
     """
     p = dict(K.DEFAULTS, unit_cost=1.0)
     p.update(params or {})
-    stats = scene.scene_health_report(band_samples, key)
-    feats = stats.join(env, key, "inner").withColumn("ndvi", F.col("mean_ndvi"))
-    scored = model.transform(feats).withColumnRenamed("prediction", "predicted_yield")
+    feats = stats.join(env, key, "left").withColumn("ndvi", F.col("mean_ndvi"))
+    scored = models.predict(model, feats, "predicted_yield")
     stress = water_stress_climate("mean_ndvi", "temperature", "rainfall")
     risk = disease_risk_score("mean_ndvi", p["humidity"], p["leaf_wetness"], "temperature")
     out = scored.select(
@@ -128,8 +118,10 @@ def field_report_raw(band_samples: DataFrame, env: DataFrame, model: PipelineMod
            .withColumn("profit", profit_floored("predicted_yield", "fertilizer_cost",
                                                 p["labor_cost"], p["crop_price"]))
            .withColumn("roi", roi_guarded("predicted_yield", "fertilizer_cost", p["crop_price"]))
-           .withColumn("roi_class", roi_class_a("roi")))
-    return out.drop("fertilizer_cost")
+           .withColumn("roi_class", roi_class_a("roi"))
+           .withColumn("revenue", F.col("predicted_yield") * F.lit(float(p["crop_price"])))
+           .withColumn("labor_cost", F.lit(float(p["labor_cost"]))))
+    return out
 
 
 def field_report_ndvi(ndvi_pixels: DataFrame, model: PipelineModel, env: DataFrame,
@@ -142,9 +134,9 @@ def field_report_ndvi(ndvi_pixels: DataFrame, model: PipelineModel, env: DataFra
     p = dict(K.DEFAULTS, unit_cost=1.0)
     p.update(params or {})
     stats = scene.scene_ndvi_stats_with_median(ndvi_pixels, key)
-    scored = model.transform(stats).withColumnRenamed("prediction", "predicted_yield")
+    scored = models.predict(model, stats, "predicted_yield")
     h = health_index("mean_ndvi")
-    out = (scored.join(env, key, "inner").select(
+    out = (scored.join(env, key, "left").select(
         key, "min_ndvi", "max_ndvi", "mean_ndvi", "median_ndvi", "std_ndvi",
         h.alias("health_index"), "predicted_yield",
         water_stress_basic("mean_ndvi", "temperature").alias("water_stress"),
@@ -161,10 +153,14 @@ def field_report_ndvi(ndvi_pixels: DataFrame, model: PipelineModel, env: DataFra
     return out.drop("fertilizer_cost")
 
 
-def history_report(obs: DataFrame, field: str = "field_id") -> DataFrame:
+def history_report(obs: DataFrame, model: PipelineModel | None = None,
+                   field: str = "field_id") -> DataFrame:
     """Per field with at least two observations: latest observation (W1),
-    count, yearly trend over all points (A8, P23) and over the first ten (W2)."""
+    count, yearly trend over all points (A8, P23) and over the first ten (W2); with a
+    model also the yield it predicts for the latest observation (C4)."""
     latest = trend.latest_observation(obs, field)
+    if model is not None:
+        latest = models.predict(model, latest, "predicted_yield")
     year = trend.trend_per_year(obs, field).select(field, "trend_per_year", "direction",
                                                    "abs_trend")
     first = trend.trend_first_ten(obs, field).select(
@@ -181,8 +177,3 @@ def band_diagnostic(band_long: DataFrame, pixels: DataFrame, key: str = "scene_i
         .groupBy(key).agg(F.count(F.lit(1)).alias("band_count"))
     meta = scene.scene_metadata(pixels, key).select(key, "width", "height")
     return bands.join(counts, key, "inner").join(meta, key, "left")
-
-
-def trend_bars(trends: DataFrame, value: str = "ndvi_trend") -> DataFrame:
-    """C3 bar data: field, trend and colour."""
-    return trends.withColumn("colour", trend_colour(value))

@@ -56,8 +56,8 @@ SCENE_LABELS = """scene_labels AS (
 CLIMATE = """climate AS (
   SELECT n_nationkey AS nation_id,
          50 + CAST(n_nationkey AS DOUBLE) * 10 AS rainfall,
-         12 + CAST(n_nationkey AS DOUBLE) AS temperature,
-         5 + CAST(n_nationkey AS DOUBLE) / 10 AS soil_ph,
+         12 + CAST((n_nationkey * 7) % 25 AS DOUBLE) AS temperature,
+         5 + CAST((n_nationkey * n_nationkey) % 19 AS DOUBLE) / 10 AS soil_ph,
          80 + CAST(n_regionkey AS DOUBLE) * 5 AS fertilizer
   FROM nation)"""
 
@@ -79,44 +79,34 @@ IMAGE_BANDS = """image_bands AS (
   FROM lineitem)"""
 
 BAND_CHOICE = """band_choice AS (
-  SELECT scene_id, count(DISTINCT band) AS band_count, count(*) AS pixels
+  SELECT scene_id, count(DISTINCT band) AS band_count, count(*) AS pixels,
+         list(DISTINCT band) AS held
   FROM image_bands GROUP BY scene_id),
 chosen AS (
   SELECT scene_id, band_count, pixels,
-         CASE WHEN band_count >= 8 THEN 4 WHEN band_count >= 4 THEN 3
-              WHEN band_count >= 2 THEN 1 END AS red_band,
-         CASE WHEN band_count >= 8 THEN 8 WHEN band_count >= 4 THEN 4
-              WHEN band_count >= 2 THEN 2 END AS nir_band
+         CASE WHEN list_has_all(held, [4, 8]) THEN 4 WHEN list_has_all(held, [3, 4]) THEN 3
+              WHEN list_has_all(held, [1, 2]) THEN 1 END AS red_band,
+         CASE WHEN list_has_all(held, [4, 8]) THEN 8 WHEN list_has_all(held, [3, 4]) THEN 4
+              WHEN list_has_all(held, [1, 2]) THEN 2 END AS nir_band
   FROM band_choice)"""
 
 
 def _slope(name: str, src: str, field: str, day: str, value: str, scale: str) -> str:
-    """CTEs computing ``name(field, n_points, t)``: least-squares slope of value
-    over day (centred per field) times ``scale``; 0 without two usable days."""
-    return f"""{name}_pd AS (
-  SELECT {field} AS field, d AS day, count(*) AS n_rows,
-         CAST(count(CASE WHEN v IS NOT NULL AND d IS NOT NULL THEN v END) AS DOUBLE) AS c,
-         sum(CASE WHEN v IS NOT NULL AND d IS NOT NULL THEN v END) AS s
-  FROM (SELECT *, {day} AS d, CAST({value} AS DOUBLE) AS v FROM {src}) GROUP BY {field}, d),
-{name}_ce AS (
-  SELECT *, CAST(day - min(day) OVER (PARTITION BY field) AS DOUBLE) AS x FROM {name}_pd),
-{name}_su AS (
-  SELECT field, sum(n_rows) AS n_points,
-         sum(CASE WHEN x IS NOT NULL AND c > 0 THEN c END) AS n,
-         sum(CASE WHEN x IS NOT NULL AND c > 0 THEN c * x END) AS sx,
-         sum(CASE WHEN x IS NOT NULL AND c > 0 THEN c * x * x END) AS sxx,
-         sum(CASE WHEN x IS NOT NULL AND c > 0 THEN s END) AS sy,
-         sum(CASE WHEN x IS NOT NULL AND c > 0 THEN s * x END) AS sxy
-  FROM {name}_ce GROUP BY field),
-{name} AS (
-  SELECT field AS {field}, CAST(n_points AS BIGINT) AS n_points,
-         CASE WHEN n * sxx - sx * sx > 0 THEN (n * sxy - sx * sy) / (n * sxx - sx * sx)
-              ELSE 0.0 END * {scale} AS t
-  FROM {name}_su)"""
-
-
-DAY_TS = "datediff('day', DATE '1970-01-01', CAST(ts AS DATE))"
-DAY_CAPTURE = "datediff('day', DATE '1970-01-01', capture_date)"
+    """CTE ``name(field, n_points, t)``: least-squares slope of value over day by the
+    database's own regression aggregate, times ``scale``; 0 without two usable days.
+    Days count from near the data, so that its sums keep their digits."""
+    return f"""{name} AS (
+  SELECT {field}, count(*) AS n_points,
+         CASE WHEN count(DISTINCT CASE WHEN {value} IS NOT NULL THEN {day} END) < 2 THEN 0.0
+              ELSE regr_slope({value}, {day}) END * {scale} AS t
+  FROM {src} GROUP BY {field})"""
+
+
+NDVI_COEF = """coef AS (SELECT regr_slope(yield, mean_ndvi) AS s, regr_intercept(yield, mean_ndvi) AS i
+         FROM train_frame)"""
+
+DAY_TS = "datediff('day', DATE '2020-01-01', CAST(ts AS DATE))"
+DAY_CAPTURE = "datediff('day', DATE '1995-01-01', capture_date)"
 
 
 def _with(*ctes: str) -> str:
@@ -210,9 +200,9 @@ SELECT scene_id, band_count, pixels,
 FROM chosen"""
 
 SQL["scene_metadata"] = _with(BAND_SAMPLES) + """
-SELECT scene_id,
-       CAST(max(pixel_col) - min(pixel_col) + 1 AS INTEGER) AS width,
-       CAST(max(pixel_row) - min(pixel_row) + 1 AS INTEGER) AS height,
+SELECT scene_id, CAST(scene_id AS VARCHAR) AS path,
+       CAST(max(pixel_col) - min(pixel_col) + 1 AS BIGINT) AS width,
+       CAST(max(pixel_row) - min(pixel_row) + 1 AS BIGINT) AS height,
        'EPSG:4326' AS crs,
        round(CAST(min(pixel_col) AS DOUBLE), 6) AS bounds_left,
        round(CAST(min(pixel_row) AS DOUBLE), 6) AS bounds_bottom,
@@ -249,6 +239,20 @@ FROM ty"""
 SQL["trend_per_year"] = _with(OBSERVATIONS, _slope("ty", "observations", "field_id", DAY_TS,
                                                    "ndvi", "365")) + _TREND_YEAR
 
+SQL["trend_per_image"] = _with(BAND_SAMPLES) + """,
+px AS (SELECT l_suppkey % 7 AS field, CAST(l_shipdate AS DATE) AS capture_date,
+              l_orderkey AS image,
+              CASE WHEN l_discount > 0 AND l_tax > 0
+                   THEN greatest(-1.0::DOUBLE, least(1.0::DOUBLE,
+                          (l_tax - l_discount) / (l_tax + l_discount)))
+                   ELSE -1.0::DOUBLE END AS ndvi FROM lineitem),
+pts AS (SELECT field, capture_date, image, avg(ndvi) AS mean_ndvi FROM px
+        GROUP BY field, capture_date, image),
+""" + _slope("tr", "pts", "field", DAY_CAPTURE, "mean_ndvi", "1000") + """
+SELECT field, n_points, round(t, 6) AS ndvi_trend,
+       CASE WHEN t > 0 THEN 'green' ELSE 'red' END AS colour
+FROM tr"""
+
 SQL["trend_first_ten"] = _with(OBSERVATIONS, """first_ten AS (SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY field_id ORDER BY ts, event_id) AS rn
   FROM observations) WHERE rn <= 10)""", _slope("ty", "first_ten", "field_id", DAY_TS,
@@ -260,10 +264,11 @@ FROM (SELECT *, row_number() OVER (PARTITION BY field_id ORDER BY ts DESC, event
              count(*) OVER (PARTITION BY field_id) AS n_obs
       FROM observations) WHERE rn = 1"""
 
-SQL["history_series"] = _with(OBSERVATIONS) + f"""
+SQL["history_series"] = _with(OBSERVATIONS, BAND_SAMPLES, GUARDED, SCENE_STATS, SCENE_LABELS,
+                              CLIMATE, TRAIN_FRAME, NDVI_COEF) + f"""
 SELECT field_id, {_f(TS_TEXT, c='ts')} AS ts, event_id, round(ndvi, 6) AS ndvi,
-       round((ndvi + 1) / 2, 6) AS health_index
-FROM observations ORDER BY field_id, ts, event_id"""
+       round((ndvi + 1) / 2, 6) AS health_index, round(i + s * ndvi, 6) AS predicted_yield
+FROM observations CROSS JOIN coef ORDER BY field_id, ts, event_id"""
 
 SQL["water_stress_basic"] = _with(FIELDS) + f"""
 SELECT field_id, round(mean_ndvi, 6) AS mean_ndvi, round(temperature, 6) AS temperature,
@@ -412,24 +417,33 @@ SELECT scene_id, count(*) AS pixels, count(*) FILTER (WHERE is_masked) AS masked
        round(avg(ndvi), 6) AS mean_ndvi
 FROM masked GROUP BY scene_id"""
 
-_SCEN_VALUES = """scenarios(scenario_id, rainfall, temperature, soil_ph, fertilizer, ndvi) AS (
-  SELECT CAST(c0 AS INTEGER), CAST(c1 AS DOUBLE), CAST(c2 AS DOUBLE), CAST(c3 AS DOUBLE),
-         CAST(c4 AS DOUBLE), CAST(c5 AS DOUBLE)
-  FROM (VALUES (1, 100.0, 25.0, 6.5, 100.0, 0.4), (2, 20.0, 35.0, 5.5, 50.0, -0.2),
-               (3, 250.0, 22.0, 7.0, 200.0, 0.8), (4, 0.0, 40.0, 4.0, 0.0, -1.0),
-               (5, 300.0, 10.0, 9.0, 300.0, 1.0), (6, 150.0, 28.0, 6.0, 120.0, 0.1))
-       AS v(c0, c1, c2, c3, c4, c5))"""
-
-SQL["scenario_grid"] = _with(FIELDS, _SCEN_VALUES) + f""",
-g AS (SELECT f.field_id, s.scenario_id, f.humidity, f.leaf_wetness, s.rainfall,
-             s.temperature, s.soil_ph, s.fertilizer, s.ndvi,
-             1.0 + 2.0 * s.ndvi + 0.005 * s.rainfall - 0.03 * s.temperature
-               + 0.1 * s.soil_ph + 0.004 * s.fertilizer AS pred
-      FROM fields f CROSS JOIN scenarios s),
-r AS (SELECT *, {_f(CLIMATE_STRESS, n='ndvi', t='temperature', r='rainfall')} AS ws,
-             {_f(RISK_SCORE, n='ndvi', h='humidity', w='leaf_wetness', t='temperature')}
+SQL["ndvi_batch_job"] = _with(IMAGE_BANDS, BAND_CHOICE) + """,
+done AS (SELECT c.scene_id, count(*) AS pixels,
+                count(*) FILTER (WHERE NOT (r.value > 0 AND n.value > 0)) AS masked_pixels,
+                avg(CASE WHEN r.value > 0 AND n.value > 0
+                         THEN (n.value - r.value) / (n.value + r.value) ELSE -1.0 END)
+                  AS mean_ndvi
+         FROM chosen c JOIN image_bands r ON r.scene_id = c.scene_id AND r.band = c.red_band
+                       JOIN image_bands n ON n.scene_id = c.scene_id AND n.band = c.nir_band
+         GROUP BY c.scene_id),
+s AS (SELECT c.scene_id, CASE WHEN red_band IS NULL THEN 'failed' ELSE 'done' END AS status,
+             coalesce(d.pixels, 0) AS pixels, coalesce(d.masked_pixels, 0) AS masked_pixels,
+             d.mean_ndvi
+      FROM chosen c LEFT JOIN done d ON d.scene_id = c.scene_id)
+SELECT status, scene_id, pixels, masked_pixels, round(mean_ndvi, 6) AS mean_ndvi,
+       count(*) OVER (PARTITION BY status) AS n_images FROM s"""
+
+SQL["scenario_grid"] = _with(FIELDS, BAND_SAMPLES, GUARDED, SCENE_STATS, SCENE_LABELS, CLIMATE,
+                             TRAIN_FRAME, NDVI_COEF) + f""",
+req AS (SELECT l_partkey AS field_id, l_orderkey * 10 + l_linenumber AS scenario_id,
+               l_quantity * 6 AS rainfall, 10 + l_quantity % 30 AS temperature,
+               l_discount * 3000 AS fertilizer, l_tax * 20 - 0.6::DOUBLE AS ndvi
+        FROM lineitem),
+r AS (SELECT q.*, coef.i + coef.s * q.ndvi AS pred,
+             {_f(CLIMATE_STRESS, n='q.ndvi', t='q.temperature', r='q.rainfall')} AS ws,
+             {_f(RISK_SCORE, n='q.ndvi', h='f.humidity', w='f.leaf_wetness', t='q.temperature')}
                AS score
-      FROM g),
+      FROM req q LEFT JOIN fields f ON f.field_id = q.field_id CROSS JOIN coef),
 c AS (SELECT *, {_f(RISK_CLASS, s='score')} AS risk_class FROM r)
 SELECT field_id, scenario_id, round(pred, 6) AS predicted_yield,
        round((ndvi + 1) / 2, 6) AS health_index, round(ws, 6) AS water_stress,
@@ -448,13 +462,95 @@ coef AS (SELECT regr_slope(yield, mean_ndvi) AS s, regr_intercept(yield, mean_nd
          FROM train_frame)
 SELECT scene_id, round(i + s * mean_ndvi, 6) AS prediction FROM train_frame, coef"""
 
-SQL["stream_scored_history"] = _with(OBSERVATIONS) + f""",
+# least squares by successive orthogonalisation: each feature is freed of the earlier ones
+_ORTHO = """,
+z0 AS (SELECT *, (mean_ndvi - avg(mean_ndvi) OVER ()) AS z1,
+              (rainfall - avg(rainfall) OVER ()) AS a2, (temperature - avg(temperature) OVER ()) AS a3,
+              (soil_ph - avg(soil_ph) OVER ()) AS a4, (fertilizer - avg(fertilizer) OVER ()) AS a5,
+              avg(yield) OVER () AS ybar FROM train_frame),
+z2 AS (SELECT *, a2 - z1 * (sum(a2 * z1) OVER () / sum(z1 * z1) OVER ()) AS z2 FROM z0),
+z3 AS (SELECT *, a3 - z1 * (sum(a3 * z1) OVER () / sum(z1 * z1) OVER ())
+                    - z2 * (sum(a3 * z2) OVER () / sum(z2 * z2) OVER ()) AS z3 FROM z2),
+z4 AS (SELECT *, a4 - z1 * (sum(a4 * z1) OVER () / sum(z1 * z1) OVER ())
+                    - z2 * (sum(a4 * z2) OVER () / sum(z2 * z2) OVER ())
+                    - z3 * (sum(a4 * z3) OVER () / sum(z3 * z3) OVER ()) AS z4 FROM z3),
+z5 AS (SELECT *, a5 - z1 * (sum(a5 * z1) OVER () / sum(z1 * z1) OVER ())
+                    - z2 * (sum(a5 * z2) OVER () / sum(z2 * z2) OVER ())
+                    - z3 * (sum(a5 * z3) OVER () / sum(z3 * z3) OVER ())
+                    - z4 * (sum(a5 * z4) OVER () / sum(z4 * z4) OVER ()) AS z5 FROM z4),
+fitted AS (SELECT *, ybar + z1 * (sum(yield * z1) OVER () / sum(z1 * z1) OVER ())
+                          + z2 * (sum(yield * z2) OVER () / sum(z2 * z2) OVER ())
+                          + z3 * (sum(yield * z3) OVER () / sum(z3 * z3) OVER ())
+                          + z4 * (sum(yield * z4) OVER () / sum(z4 * z4) OVER ())
+                          + z5 * (sum(yield * z5) OVER () / sum(z5 * z5) OVER ()) AS pred
+           FROM z5)"""
+
+SQL["yield_linear_5"] = _with(BAND_SAMPLES, GUARDED, SCENE_STATS, SCENE_LABELS, CLIMATE,
+                              TRAIN_FRAME) + _ORTHO + """
+SELECT scene_id, round(pred, 6) AS prediction FROM fitted"""
+
+SQL["region_index"] = _with(SCENE_LABELS) + """,
+o AS (SELECT region, row_number() OVER (ORDER BY count(*) DESC, region) - 1 AS k
+      FROM scene_labels GROUP BY region)
+SELECT scene_id, region, round(k, 6) AS region_index FROM scene_labels JOIN o USING (region)"""
+
+SQL["disease_scaled_features"] = _with(FIELDS) + """
+SELECT field_id,
+       round((mean_ndvi - avg(mean_ndvi) OVER ()) / stddev_samp(mean_ndvi) OVER (), 6) AS scaled_ndvi,
+       round((humidity - avg(humidity) OVER ()) / stddev_samp(humidity) OVER (), 6)
+         AS scaled_humidity,
+       round((leaf_wetness - avg(leaf_wetness) OVER ()) / stddev_samp(leaf_wetness) OVER (), 6)
+         AS scaled_leaf_wetness
+FROM fields"""
+
+SQL["yield_forest_step"] = _with(BAND_SAMPLES, GUARDED, SCENE_STATS, SCENE_LABELS, CLIMATE,
+                                 TRAIN_FRAME) + """
+SELECT scene_id, rainfall > 165 AS high_yield FROM train_frame"""
+
+SQL["disease_forest_step"] = _with(FIELDS) + """
+SELECT field_id, CASE WHEN leaf_wetness < 6 THEN 'No risk' WHEN leaf_wetness < 12 THEN 'Low risk'
+                      WHEN leaf_wetness < 18 THEN 'Medium risk' ELSE 'High risk' END AS risk_label
+FROM fields"""
+
+SQL["field_report_raw"] = _with(BAND_SAMPLES, GUARDED, SCENE_STATS, SCENE_LABELS, CLIMATE,
+                                TRAIN_FRAME) + _ORTHO + f""",
+r AS (SELECT f.*, s.min_ndvi, s.max_ndvi, s.std_ndvi, s.valid_pixels / s.total_pixels AS share,
+             (f.mean_ndvi + 1) / 2 AS h,
+             {_f(CLIMATE_STRESS, n='f.mean_ndvi', t='f.temperature', r='f.rainfall')} AS ws,
+             {_f(RISK_SCORE, n='f.mean_ndvi', h='65.0', w='5.0', t='f.temperature')} AS score,
+             {_f(ROI_GUARDED, y='f.pred', f='f.fertilizer', p='180')} AS roi
+      FROM fitted f JOIN scene_stats s ON s.scene_id = f.scene_id),
+c AS (SELECT *, {_f(RISK_CLASS, s='score')} AS risk_class FROM r)
+SELECT scene_id, round(mean_ndvi, 6) AS mean_ndvi, round(min_ndvi, 6) AS min_ndvi,
+       round(max_ndvi, 6) AS max_ndvi, round(std_ndvi, 6) AS std_ndvi,
+       round(share, 6) AS healthy_share, round(h, 6) AS health_index,
+       round(pred, 6) AS predicted_yield,
+       CASE WHEN pred > 2.5 THEN 'Optimal' ELSE 'Below Average' END AS yield_class,
+       round(ws, 6) AS water_stress, round(score, 6) AS risk_score,
+       round(fertilizer, 6) AS fertilizer_cost, {_f(STRESS_CLASS, s='ws')} AS stress_class,
+       CASE WHEN ws > 7 THEN 'Severe water stress! Increase irrigation by 30%'
+            WHEN ws > 4 THEN 'Moderate stress - consider 15% irrigation increase'
+            ELSE 'Optimal water conditions' END AS stress_advice,
+       risk_class,
+       CASE WHEN contains(risk_class, 'High') THEN 'Apply fungicide treatment'
+            WHEN contains(risk_class, 'Moderate') THEN 'Monitor closely and improve airflow'
+       END AS risk_advice,
+       round({_f(PROFIT_FLOORED, y='pred', f='fertilizer', l='150', p='180')}, 6) AS profit,
+       round(roi, 6) AS roi,
+       CASE WHEN roi < 50 THEN 'low' WHEN roi < 100 THEN 'moderate' ELSE 'excellent' END
+         AS roi_class,
+       round(pred * 180, 6) AS revenue, round(150.0::DOUBLE, 6) AS labor_cost
+FROM c"""
+
+SQL["stream_scored_history"] = _with(OBSERVATIONS, BAND_SAMPLES, GUARDED, SCENE_STATS,
+                                     SCENE_LABELS, CLIMATE, TRAIN_FRAME, NDVI_COEF) + f""",
 s AS (SELECT field_id, event_id, ts, ndvi, (ndvi + 1) / 2 AS h,
              {_f(CLIMATE_STRESS, n='ndvi', t='25.0', r='100.0')} AS ws,
-             {_f(RISK_SCORE, n='ndvi', h='65.0', w='5.0', t='25.0')} AS score
-      FROM observations)
+             {_f(RISK_SCORE, n='ndvi', h='65.0', w='5.0', t='25.0')} AS score,
+             coef.i + coef.s * ndvi AS pred
+      FROM observations CROSS JOIN coef)
 SELECT field_id, event_id, {_f(TS_TEXT, c='ts')} AS ts, round(ndvi, 6) AS ndvi,
-       round(h, 6) AS health_index, round(ws, 6) AS water_stress,
+       round(pred, 6) AS predicted_yield, round(h, 6) AS health_index, round(ws, 6) AS water_stress,
        round(score, 6) AS risk_score, {_f(HEALTH_CLASS, h='h')} AS health_class,
        {_f(RISK_CLASS, s='score')} AS risk_class
 FROM s"""
@@ -503,7 +599,8 @@ SELECT scene_id, round(min_ndvi, 6) AS min_ndvi, round(max_ndvi, 6) AS max_ndvi,
          AS roi_class
 FROM q"""
 
-SQL["history_report"] = _with(OBSERVATIONS, """first_ten AS (SELECT * FROM (
+SQL["history_report"] = _with(OBSERVATIONS, BAND_SAMPLES, GUARDED, SCENE_STATS, SCENE_LABELS,
+                              CLIMATE, TRAIN_FRAME, NDVI_COEF, """first_ten AS (SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY field_id ORDER BY ts, event_id) AS rn
   FROM observations) WHERE rn <= 10)""",
     _slope("yr", "observations", "field_id", DAY_TS, "ndvi", "365"),
@@ -514,8 +611,9 @@ latest AS (SELECT field_id, n_obs, ts, event_id, ndvi FROM (
 SELECT l.field_id, l.n_obs, {_f(TS_TEXT, c='l.ts')} AS ts, l.event_id, round(l.ndvi, 6) AS ndvi,
        round(yr.t, 6) AS trend_per_year,
        CASE WHEN yr.t > 0 THEN 'improving' ELSE 'declining' END AS direction,
-       round(abs(yr.t), 6) AS abs_trend, round(ft.t, 6) AS trend_first_ten
-FROM latest l JOIN yr ON l.field_id = yr.field_id JOIN ft ON l.field_id = ft.field_id
+       round(abs(yr.t), 6) AS abs_trend, round(ft.t, 6) AS trend_first_ten,
+       round(coef.i + coef.s * l.ndvi, 6) AS predicted_yield
+FROM latest l CROSS JOIN coef JOIN yr ON l.field_id = yr.field_id JOIN ft ON l.field_id = ft.field_id
 WHERE l.n_obs >= 2"""
 
 SQL["band_diagnostic"] = _with(BAND_SAMPLES) + """,
@@ -527,8 +625,8 @@ band_long AS (
 bs AS (SELECT scene_id, band, min(value) AS min_value, max(value) AS max_value,
               avg(value) AS mean_value FROM band_long GROUP BY scene_id, band),
 bc AS (SELECT scene_id, count(DISTINCT band) AS band_count FROM band_long GROUP BY scene_id),
-meta AS (SELECT scene_id, CAST(max(pixel_col) - min(pixel_col) + 1 AS INTEGER) AS width,
-                CAST(max(pixel_row) - min(pixel_row) + 1 AS INTEGER) AS height
+meta AS (SELECT scene_id, CAST(max(pixel_col) - min(pixel_col) + 1 AS BIGINT) AS width,
+                CAST(max(pixel_row) - min(pixel_row) + 1 AS BIGINT) AS height
          FROM band_samples GROUP BY scene_id)
 SELECT bs.scene_id, bs.band, round(min_value, 6) AS min_value, round(max_value, 6) AS max_value,
        round(mean_value, 6) AS mean_value, band_count, width, height

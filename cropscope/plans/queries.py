@@ -112,7 +112,7 @@ def q_band_pair_choice(spark, d):
 
 def q_scene_metadata(spark, d):
     meta = scene.scene_metadata(B.band_samples(spark, d))
-    return present(meta.select("scene_id", "width", "height", "crs",
+    return present(meta.select("scene_id", "path", "width", "height", "crs",
                                *[F.col(f"bounds.{c}").alias(f"bounds_{c}")
                                  for c in ("left", "bottom", "right", "top")]))
 
@@ -136,6 +136,14 @@ def q_trend_per_1000_days(spark, d):
     return present(trend.field_trend_per_1000_days(px))
 
 
+def q_trend_per_image(spark, d):
+    """A6 + A7 where a field has several images a day: nation-wide fields would be too
+    few, so the field is the scene's number modulo 7 and the image its order."""
+    px = trend.with_masked_ndvi(B.band_samples(spark, d)).withColumn(
+        "field", F.col("scene_id") % 7).withColumn("image", F.col("pixel_row"))
+    return present(trend.field_trend_per_1000_days(px, "field", image=("image",)))
+
+
 def q_trend_per_year(spark, d):
     return present(trend.trend_per_year(B.observations(spark, d)))
 
@@ -149,7 +157,10 @@ def q_latest_observation(spark, d):
 
 
 def q_history_series(spark, d):
-    return present(trend.history_series(B.observations(spark, d)))
+    """C4: NDVI, health and predicted yield over time."""
+    scored = models.predict(ndvi_yield_model(spark, d), B.observations(spark, d),
+                            "predicted_yield")
+    return present(trend.history_series(scored))
 
 
 # --- agronomy rules -------------------------------------------------------------------
@@ -217,8 +228,15 @@ def stored_train_frame(spark, d) -> DataFrame:
     return materialize(train_frame(spark, d), "train_frame")
 
 
+def ndvi_yield_model(spark, d):
+    """One-feature linear yield model on the training frame, its feature named ``ndvi``."""
+    frame = stored_train_frame(spark, d).withColumnRenamed("mean_ndvi", "ndvi")
+    return models.fit(models.linear_yield_pipeline(["ndvi"]), frame)
+
+
 def q_scenario_grid(spark, d):
-    return present(scenario.scenario_grid(B.fields(spark, d), B.scenario_rows()))
+    return present(scenario.scenario_report(B.scenarios(spark, d), B.fields(spark, d),
+                                            ndvi_yield_model(spark, d)))
 
 
 def q_run_summary(spark, d):
@@ -270,7 +288,7 @@ def label_frames(spark, d) -> tuple[DataFrame, DataFrame]:
     short = labels.select(fname, "yield")
     s = B.table(spark, d, "supplier").select(F.col("s_suppkey").alias("scene_id"), "s_acctbal")
     wide = (labels.join(s, "scene_id").where(F.col("s_acctbal") > 0)
-            .join(F.broadcast(B.climate(spark, d)), "nation_id")
+            .join(B.climate(spark, d), "nation_id")
             .select(fname, "yield", "rainfall", "temperature", "soil_ph", "fertilizer", "region"))
     return short, wide
 
@@ -294,34 +312,41 @@ def q_ndvi_batch_output(spark, d):
         F.avg("ndvi").alias("mean_ndvi")))
 
 
-# --- models -----------------------------------------------------------------------------
+def q_ndvi_batch_job(spark, d):
+    """G1 on long band rows, one row per image: status and band pair of the run, pixels
+    and mean NDVI of what the job wrote (0 and NULL where the image failed)."""
+    from . import jobs
+    bands = B.image_bands(spark, d).withColumns({"pixel_row": F.lit(0), "pixel_col": F.lit(0)})
+    path = shared_path(spark, "ndvi_batch")
+    summary, failed = jobs.ndvi_batch_job(bands, path)
+    written = files.read_ndvi(spark, path).groupBy("scene_id").agg(
+        F.count(F.lit(1)).alias("pixels"), F.count_if("is_masked").alias("masked_pixels"),
+        F.avg("ndvi").alias("mean_ndvi")).withColumn("status", F.lit("done"))
+    rows = written.unionByName(failed.withColumn("status", F.lit("failed")).drop("band_count"),
+                               allowMissingColumns=True)
+    rows = rows.fillna(0, ["pixels", "masked_pixels"])
+    return present(rows.join(summary, "status"))
+
 
-def fit_cached(pipeline, df: DataFrame):
-    """Fit on a cached copy (Spark ML passes over its input many times), then
-    release the cache; scoring reads the plan again."""
-    cached = df.cache()
-    try:
-        return pipeline.fit(cached)
-    finally:
-        cached.unpersist()
+# --- models -----------------------------------------------------------------------------
 
 
 def q_yield_linear_1(spark, d):
     tf = stored_train_frame(spark, d)
-    model = fit_cached(models.linear_yield_pipeline(["mean_ndvi"]), tf)
+    model = models.fit(models.linear_yield_pipeline(["mean_ndvi"]), tf)
     return present(models.score(model, tf, ["scene_id"]))
 
 
 def q_yield_linear_5(spark, d):
     tf = stored_train_frame(spark, d)
     feats = ["mean_ndvi", "rainfall", "temperature", "soil_ph", "fertilizer"]
-    model = fit_cached(models.linear_yield_pipeline(feats), tf)
+    model = models.fit(models.linear_yield_pipeline(feats), tf)
     return present(models.score(model, tf, ["scene_id"]))
 
 
 def q_yield_forest(spark, d):
     tf = stored_train_frame(spark, d)
-    model = fit_cached(models.yield_forest_pipeline(), tf)
+    model = models.fit(models.yield_forest_pipeline(), tf)
     path = models.save(model, shared_path(spark, "yield_forest"))
     return present(models.score(models.load(path), tf, ["scene_id"]))
 
@@ -331,15 +356,62 @@ def q_disease_forest(spark, d):
     f = B.fields(spark, d)
     cls = disease_risk_class(disease_risk_score("mean_ndvi", "humidity", "leaf_wetness",
                                                 "temperature"))
-    code = (F.when(cls == K.RISK_LABELS[0], 1).when(cls == K.RISK_LABELS[1], 2)
+    code = (F.when(F.col("leaf_wetness") == 0, 0)  # a dry leaf carries no risk
+            .when(cls == K.RISK_LABELS[0], 1).when(cls == K.RISK_LABELS[1], 2)
             .when(cls == K.RISK_LABELS[2], 3).otherwise(0))
     train = f.select("field_id", F.col("mean_ndvi").alias("ndvi"), "humidity", "leaf_wetness",
                      code.alias("disease_risk"))
-    model = fit_cached(models.disease_forest_pipeline(), train)
+    model = models.fit(models.disease_forest_pipeline(), train, "disease_risk")
     path = models.save(model, shared_path(spark, "disease_forest"))
     return present(models.score_risk(models.load(path), train, ["field_id", "disease_risk"]))
 
 
+def q_region_index(spark, d):
+    """M1: index of each scene's region, the most frequent region first."""
+    from pyspark.ml.feature import StringIndexer
+    labels = B.scene_labels(spark, d).select("scene_id", "region")
+    model = StringIndexer(inputCol="region", outputCol="region_index",
+                          handleInvalid="keep").fit(labels)
+    return present(model.transform(labels))
+
+
+def q_disease_scaled_features(spark, d):
+    """M4 + M5: the standardised three-wide vector of the classifier, by component."""
+    from pyspark.ml.functions import vector_to_array
+    f = B.fields(spark, d).withColumnRenamed("mean_ndvi", "ndvi").withColumn(
+        "disease_risk", F.lit(0))
+    stages = models.disease_forest_pipeline().getStages()[:2]
+    from pyspark.ml import Pipeline
+    scaled = Pipeline(stages=stages).fit(f).transform(f)
+    v = vector_to_array("features")
+    return present(scaled.select("field_id", *[v[i].alias(f"scaled_{n}")
+                                               for i, n in enumerate(K.DISEASE_FEATURES)]))
+
+
+def q_yield_forest_step(spark, d):
+    """The forest learns a yield that steps with the region's rainfall
+    nations; after save and load its prediction is on the label's side of the step."""
+    tf = stored_train_frame(spark, d).withColumn(
+        "yield", F.when(F.col("rainfall") > 165.0, 3.0).otherwise(1.0))
+    path = models.save(models.fit(models.yield_forest_pipeline(), tf),
+                       shared_path(spark, "yield_forest_step"))
+    return present(models.score(models.load(path), tf, ["scene_id"]).select(
+        "scene_id", (F.col("prediction") > 2.0).alias("high_yield")))
+
+
+def q_disease_forest_step(spark, d):
+    """The classifier learns four risk codes that step with leaf wetness;
+    after save and load the label text is that of the code."""
+    w = F.col("leaf_wetness")
+    train = B.fields(spark, d).select(
+        "field_id", F.col("mean_ndvi").alias("ndvi"), "humidity", "leaf_wetness",
+        F.when(w < 6, 0).when(w < 12, 1).when(w < 18, 2).otherwise(3).alias("disease_risk"))
+    path = models.save(models.fit(models.disease_forest_pipeline(), train, "disease_risk"),
+                       shared_path(spark, "disease_forest_step"))
+    return present(models.score_risk(models.load(path), train, ["field_id"])
+                   .select("field_id", "risk_label"))
+
+
 # --- CSV jobs (S6): Spark writes the table as CSV, the job reads it back ------------------------
 
 def q_water_stress_csv(spark, d):
@@ -368,8 +440,8 @@ def q_economics_csv(spark, d):
 # --- composite page reports ----------------------------------------------------------------
 
 def scene_env(spark, d) -> DataFrame:
-    """Per-scene environment: the scene's nation parameters (25-row table)."""
-    return (B.scene_labels(spark, d).join(F.broadcast(B.climate(spark, d)), "nation_id")
+    """Per-scene environment: the scene's nation parameters."""
+    return (B.scene_labels(spark, d).join(B.climate(spark, d), "nation_id")
             .select("scene_id", "rainfall", "temperature", "soil_ph", "fertilizer"))
 
 
@@ -377,22 +449,23 @@ def q_field_report_raw(spark, d):
     """5-feature linear yield model fitted on the training frame."""
     from . import jobs
     tf = stored_train_frame(spark, d).withColumn("ndvi", F.col("mean_ndvi"))
-    model = fit_cached(models.linear_yield_pipeline(list(K.YIELD_FEATURES_5)), tf)
-    return present(jobs.field_report_raw(B.band_samples(spark, d), scene_env(spark, d), model))
+    model = models.fit(models.linear_yield_pipeline(list(K.YIELD_FEATURES_5)), tf)
+    report = materialize(scene.scene_health_report(B.band_samples(spark, d)), "health_report")
+    return present(jobs.field_report_raw(report, scene_env(spark, d), model))
 
 
 def q_field_report_ndvi(spark, d):
     """Masked NDVI images, 1-feature linear yield model."""
     from . import jobs
     tf = stored_train_frame(spark, d)
-    model = fit_cached(models.linear_yield_pipeline(["mean_ndvi"]), tf)
+    model = models.fit(models.linear_yield_pipeline(["mean_ndvi"]), tf)
     px = scene.with_ndvi_masked(B.band_samples(spark, d))
     return present(jobs.field_report_ndvi(px, model, scene_env(spark, d)))
 
 
 def q_history_report(spark, d):
     from . import jobs
-    return present(jobs.history_report(B.observations(spark, d)))
+    return present(jobs.history_report(B.observations(spark, d), ndvi_yield_model(spark, d)))
 
 
 def q_band_diagnostic(spark, d):
@@ -403,15 +476,16 @@ def q_band_diagnostic(spark, d):
 def q_yield_forest_from_labels(spark, d):
     """G6 end to end: stacked label file (S7) -> join with per-scene features on
     the file name (J1) -> region index + forest (M1-M3, M7) -> save (K3) ->
-    load (S9) -> score (M9). Labels without environment values are skipped."""
+    load (S9) -> score (M9). Labels without environment values do not train; they are in
+    the result with a NULL prediction."""
     from . import jobs
     short, wide = label_frames(spark, d)
     labels = files.read_label_sections(spark, files.write_label_sections(
         short, wide, shared_path(spark, "labels_for_training")))
-    labels = labels.dropna(subset=["rainfall", "temperature", "soil_ph", "fertilizer", "region"])
     stats = scene.scene_ndvi_stats(scene.with_ndvi_guarded(B.band_samples(spark, d)))
-    feats = stats.select(F.concat(F.col("scene_id").cast("string"), F.lit("_NDVI.tif"))
-                         .alias("filename"), "mean_ndvi")
+    feats = materialize(stats.select(F.concat(F.col("scene_id").cast("string"),
+                                              F.lit("_NDVI.tif")).alias("filename"),
+                                     "mean_ndvi"), "label_features")
     path = shared_path(spark, "yield_forest_model")
     jobs.training_job(feats, labels, path, key="filename")
     scored = models.score(models.load(path), feats.join(labels, "filename", "inner"),
@@ -422,14 +496,13 @@ def q_yield_forest_from_labels(spark, d):
 # --- streaming ---------------------------------------------------------------------------
 
 def q_stream_scored_history(spark, d):
-    path = stream.run_scored_history(spark, d)
+    path = stream.run_scored_history(spark, d, model=ndvi_yield_model(spark, d))
     # ingested_at is processing time: kept in the table, left out of the result
     return present(spark.read.parquet(path).drop("ingested_at"))
 
 
 def q_stream_latest_state(spark, d):
-    path = stream.run_latest_state(spark, d)
-    return present(spark.read.parquet(path))
+    return present(stream.read_latest_state(spark, stream.run_latest_state(spark, d)))
 
 
 QUERIES: dict[str, Query] = {
@@ -444,6 +517,7 @@ QUERIES: dict[str, Query] = {
     "scene_date_series": q_scene_date_series,
     "ndvi_daily_mean": q_ndvi_daily_mean,
     "trend_per_1000_days": q_trend_per_1000_days,
+    "trend_per_image": q_trend_per_image,
     "trend_per_year": q_trend_per_year,
     "trend_first_ten": q_trend_first_ten,
     "latest_observation": q_latest_observation,
@@ -464,11 +538,16 @@ QUERIES: dict[str, Query] = {
     "path_fields": q_path_fields,
     "label_sections": q_label_sections,
     "ndvi_batch_output": q_ndvi_batch_output,
+    "ndvi_batch_job": q_ndvi_batch_job,
     "scenario_grid": q_scenario_grid,
     "yield_linear_1": q_yield_linear_1,
     "yield_linear_5": q_yield_linear_5,
     "yield_forest": q_yield_forest,
     "disease_forest": q_disease_forest,
+    "region_index": q_region_index,
+    "disease_scaled_features": q_disease_scaled_features,
+    "yield_forest_step": q_yield_forest_step,
+    "disease_forest_step": q_disease_forest_step,
     "yield_forest_from_labels": q_yield_forest_from_labels,
     "water_stress_csv": q_water_stress_csv,
     "economics_csv": q_economics_csv,

@@ -11,6 +11,7 @@ Checkpoints and sinks live under the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from .. import schemas
 from ..functions import constants as K
 from ..functions.ndvi import health_class, health_index
 from ..functions.rules import disease_risk_class, disease_risk_score, water_stress_climate
+from ..operators import models
 from ..session import shared_path
 
 
@@ -38,16 +40,23 @@ def observations_from_events(events: DataFrame) -> DataFrame:
                          F.least(F.col("value") / 100.0, F.lit(1.0)).alias("ndvi"))
 
 
-def score_observations(obs: DataFrame, params: dict | None = None) -> DataFrame:
+def score_observations(obs: DataFrame, params: dict | None = None,
+                       model: PipelineModel | None = None) -> DataFrame:
     """T1 projection: health, health class, climate stress and rule risk with
-    one parameter set (the sidebar values; defaults when not given)."""
+    one parameter set (the sidebar values; defaults when not given), and the yield a
+    fitted model predicts (its features are ``ndvi`` and the parameters)."""
     p = dict(K.DEFAULTS)
     p.update(params or {})
+    extra = []
+    if model is not None:
+        feats = models.feature_columns(model.stages)
+        given = obs.withColumns({c: F.lit(float(p[c])) for c in feats if c not in obs.columns})
+        obs, extra = models.predict(model, given, "predicted_yield"), ["predicted_yield"]
     h = health_index("ndvi")
     stress = water_stress_climate("ndvi", F.lit(p["temperature"]), F.lit(p["rainfall"]))
     score = disease_risk_score("ndvi", p["humidity"], p["leaf_wetness"], p["temperature"])
     return (obs.select("field_id", "event_id", "ts", "ndvi", h.alias("health_index"),
-                       stress.alias("water_stress"), score.alias("risk_score"))
+                       stress.alias("water_stress"), score.alias("risk_score"), *extra)
             .withColumn("health_class", health_class("health_index"))
             .withColumn("risk_class", disease_risk_class("risk_score")))
 
@@ -63,14 +72,14 @@ def latest_state(obs: DataFrame) -> DataFrame:
 
 
 def run_scored_history(spark: SparkSession, data_dir: str, out_path: str | None = None,
-                       params: dict | None = None) -> str:
+                       params: dict | None = None, model: PipelineModel | None = None) -> str:
     """T1 + K6: stream -> score -> append to a Parquet history table, with the
     processing time in ``ingested_at`` (P32). Returns the table path once
     every available file is processed."""
     out_path = out_path or shared_path(spark, "history")
     ckpt = out_path.rstrip("/") + "_checkpoint"
     scored = score_observations(observations_from_events(read_events_stream(spark, data_dir)),
-                                params).withColumn("ingested_at", F.current_timestamp())
+                                params, model).withColumn("ingested_at", F.current_timestamp())
     q = (scored.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out_path))
     q.awaitTermination()
@@ -78,16 +87,30 @@ def run_scored_history(spark: SparkSession, data_dir: str, out_path: str | None
 
 
 def run_latest_state(spark: SparkSession, data_dir: str, out_path: str | None = None) -> str:
-    """Complete-mode aggregation; each micro-batch rewrites the (one row
-    per field) state table through ``foreachBatch``."""
+    """The fields that a micro-batch changed, written to a folder of their own per
+    epoch (update mode); nothing a reader sees is ever overwritten. An epoch counts once
+    its number is in ``<out>_commits``, so a restart between write and commit is unseen
+    and its epoch is simply written again."""
     out_path = out_path or shared_path(spark, "latest_state")
     ckpt = out_path.rstrip("/") + "_checkpoint"
     agg = latest_state(observations_from_events(read_events_stream(spark, data_dir)))
 
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch}")
+        (batch.sparkSession.range(1).select(F.lit(epoch).cast("long").alias("epoch"))
+         .write.mode("overwrite").parquet(f"{out_path}_commits/of={epoch}"))
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(write_batch)
+    q = (agg.writeStream.outputMode("update").foreachBatch(write_batch)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     return out_path
+
+
+def read_latest_state(spark: SparkSession, path: str) -> DataFrame:
+    """The state after the last committed epoch: each field's row of its newest one."""
+    commits = spark.read.parquet(f"{path}_commits").select("epoch")
+    rows = spark.read.parquet(path).withColumn("epoch", F.col("epoch").cast("long"))
+    cols = [c for c in rows.columns if c not in ("epoch", "field_id")]
+    newest = F.max_by(F.struct(*cols), "epoch").alias("_s")
+    return (rows.join(commits, "epoch", "left_semi").groupBy("field_id").agg(newest)
+            .select("field_id", *[F.col(f"_s.{c}").alias(c) for c in cols]))

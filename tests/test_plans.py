@@ -8,9 +8,9 @@ from cropscope.plans import QUERIES
 from cropscope.plans import queries as Q
 
 LAZY = [k for k in QUERIES if k not in {
-    "ndvi_masked_stats", "roi_histogram", "label_sections", "ndvi_batch_output",
-    "yield_linear_1", "yield_linear_5", "yield_forest", "disease_forest",
-    "stream_scored_history", "stream_latest_state"}]
+    "ndvi_masked_stats", "roi_histogram", "label_sections", "ndvi_batch_output", "ndvi_batch_job",
+    "yield_linear_1", "yield_linear_5", "yield_forest", "disease_forest", "yield_forest_step",
+    "disease_forest_step", "stream_scored_history", "stream_latest_state"}]
 
 
 def plan(df) -> str:
@@ -53,9 +53,14 @@ def test_latest_is_an_aggregate_not_a_window(spark):
     assert "partial_max_by" in p and "Window" not in p
 
 
-def test_scenarios_are_generated_not_joined(spark):
+def test_scenarios_meet_their_field_by_one_equi_join(spark):
     p = plan(QUERIES["scenario_grid"](spark, SF_SMALL))
-    assert "Generate" in p and "Join" not in p
+    assert p.count("Join") == 1 and "Generate" not in p
+
+
+def test_stress_counts_scan_once(spark):
+    p = plan(QUERIES["stress_class_counts"](spark, SF_SMALL))
+    assert p.count("FileScan parquet") == 1
 
 
 def test_exact_median_uses_no_holistic_aggregate(spark):

@@ -18,12 +18,22 @@ def test_scored_history_stream_equals_batch(spark):
 
 
 def test_latest_state_stream_equals_batch(spark):
-    streamed = spark.read.parquet(S.run_latest_state(spark, SF_SMALL))
+    streamed = S.read_latest_state(spark, S.run_latest_state(spark, SF_SMALL))
     batch = S.latest_state(B.observations(spark, SF_SMALL))
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
 
 
+def test_uncommitted_epoch_is_unseen(spark):
+    """A folder without its commit (a restart between the two writes) changes nothing."""
+    path = S.run_latest_state(spark, SF_SMALL)
+    before = S.read_latest_state(spark, path)
+    n = before.count()
+    before.withColumn("ndvi", F.lit(9.0)).write.parquet(f"{path}/epoch=99")
+    assert S.read_latest_state(spark, path).where("ndvi = 9.0").count() == 0
+    assert S.read_latest_state(spark, path).count() == n
+
+
 def test_stream_query_registered(spark):
     df = QUERIES["stream_latest_state"](spark, SF_SMALL)
     assert df.where(F.col("n_obs") < 1).count() == 0
