@@ -86,15 +86,38 @@ def words_of(text: str | None) -> list[bytes]:
 def shingles(word_hashes: np.ndarray, width: int) -> np.ndarray:
     """Hash of every ``width``-word window in text order; a shorter, non-empty
     sequence is one shingle of its own; no words, no shingles."""
-    n = len(word_hashes)
-    if n == 0:
+    return window_hashes(word_hashes, min(width, len(word_hashes)))
+
+
+#: Odd multipliers, one per place in a window (any distinct odd numbers do).
+PLACES = np.random.default_rng(31).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) \
+    + np.uint64(1)
+
+
+def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
+    """Hash of every window of ``k`` word hashes: a weighted sum, mixed once."""
+    m = len(h) - k + 1
+    if k == 0 or m <= 0:
         return np.empty(0, np.uint64)
-    k = min(width, n)
     with np.errstate(over="ignore"):
-        acc = np.full(n - k + 1, 0x9E3779B97F4A7C15 + k, np.uint64)
+        acc = np.full(m, k, np.uint64)
         for i in range(k):
-            acc = mix64(acc * np.uint64(0xD6E8FEB86659FD93) + word_hashes[i:n - k + 1 + i])
-    return acc
+            acc += h[i:m + i] * PLACES[i]
+        return mix64(acc)
+
+
+def shingles_of(texts: list[str | None], width: int, cache: "HashCache") -> list[np.ndarray]:
+    """:func:`shingles` of many texts, with the hashing done once for all of them."""
+    parts = [words_of(t) for t in texts]
+    sizes = [len(p) for p in parts]
+    h = cache.of([w for p in parts for w in p])
+    whole = window_hashes(h, width)
+    out, at = [], 0
+    for n in sizes:
+        out.append(whole[at:at + n - width + 1] if n >= width
+                   else window_hashes(h[at:at + n], n))
+        at += n
+    return out
 
 
 def pieces(batch: pa.RecordBatch, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
@@ -113,9 +136,9 @@ def crc_fold(doc_id: int, folds: int) -> int:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame | None, label_col: str, *,
                     id_col: str, text_col: str, folds: int, held_fold: int,
-                    per_class: int, most_bytes: int) -> tuple[list[tuple], dict]:
-    """At most ``per_class`` (label, text) rows per label value, the ones with the
-    smallest id hash, outside ``held_fold``; together at most ``most_bytes`` of text.
+                    per_class: int | dict, most_bytes: int) -> tuple[list[tuple], dict]:
+    """At most ``per_class`` (label, text) rows per label value (a number, or one for each
+    value), the ones with the smallest id hash, outside ``held_fold``; together at most ``most_bytes`` of text.
     Also the count of labelled rows per value over all of them.
 
     ``labels`` None reads the label from ``docs`` itself. The counts are taken on
@@ -137,15 +160,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame | None, label_col: str, *
         return [], {}
     unit = F.pmod(F.xxhash64(F.lit(11), "_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = F.lit(0.0)
+    most = {y: per_class[y] if isinstance(per_class, dict) else per_class for y in count}
     for y, n in count.items():
-        share = F.when(F.col("_y") == F.lit(y), F.lit(min(1.0, 1.2 * per_class / n))).otherwise(share)
+        share = F.when(F.col("_y") == F.lit(y), F.lit(min(1.0, 1.2 * most[y] / n))).otherwise(share)
     picked = keyed.where(unit < share)
     if labels is not None:
         picked = picked.join(src, "_id")
     out: list[tuple] = []
     for y in sorted(count):
         left = most_bytes // len(count)
-        best = (picked.where(F.col("_y") == F.lit(y)).orderBy(unit, "_id").limit(per_class)
+        best = (picked.where(F.col("_y") == F.lit(y)).orderBy(unit, "_id").limit(most[y])
                 .select("_y", F.coalesce("_text", F.lit("")).alias("_text")))
         for r in best.toLocalIterator():
             left -= len(r["_text"])

@@ -29,7 +29,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HashCache, hash_filter, maybe_in, mix64, pieces, shingles, stored, words_of
+from .common import (
+    HashCache,
+    hash_filter,
+    maybe_in,
+    mix64,
+    pieces,
+    shingles,
+    shingles_of,
+    stored,
+    words_of,
+)
 
 PERMS = 16
 _RNG = np.random.default_rng(20)
@@ -105,11 +115,12 @@ def _document_rows(docs: DataFrame, id_col: str, text_col: str, width: int,
         for whole in batches:
             for b in pieces(whole):
                 ids, kinds, keys = [], [], []
-                for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    h = shingles(cache.of(words_of(text)), width)
-                    if len(h) == 0:
-                        continue
-                    own = np.unique(h[maybe_in(grams.value, h)])
+                made = shingles_of(b.column(1).to_pylist(), width, cache)
+                hit = maybe_in(grams.value, np.concatenate(made))
+                at = 0
+                for doc, h in zip(b.column(0).to_pylist(), made):
+                    own = np.unique(h[hit[at:at + len(h)]])
+                    at += len(h)
                     if len(own) == 0:  # no item shingle, so no item minimum either
                         continue
                     key = document_keys(h, classes, lambda k: maybe_in(sketches.value, k))

@@ -25,7 +25,9 @@ from .bytegrams import Words, separators, windows
 from .common import crc_fold, labelled_sample, pieces
 
 BUCKETS, DIM = 1 << 17, 16
-WINDOW, HOP = 8, 4
+WINDOW, HOP = 4, 2
+#: Training rows at most per label value.
+SAMPLE = {1: 1500, 0: 5000}
 _KEEP = separators(digits_are_letters=True)
 
 
@@ -52,7 +54,7 @@ def pooled(logit: np.ndarray, doc: np.ndarray, docs: int, sharp: float) -> np.nd
 class Model:
     """``bucket`` holds each bucket's contribution to the toxic-minus-clean logit."""
 
-    sharp = 2.0
+    sharp = 16.0
 
     def __init__(self, bucket: np.ndarray, bias: float, scale: float, shift: float, prior: float):
         self.bucket, self.bias = bucket, bias
@@ -90,15 +92,20 @@ def fit(sample: list[tuple[int, str]], count: dict, epochs: int = 6, batch: int
     One row in five is held apart to calibrate the logit (weighted to the labels' own
     class shares)."""
     prior = count.get(1, 0) / max(1, sum(count.values()))
-    words = Words([t for _, t in sample], _KEEP)
-    label = np.array([int(y) for y, _ in sample])
-    has = np.nonzero(words.doc_words)[0]
+    label = np.array([int(y) for y, _ in sample], np.int64)
+    made = []
+    for lo in range(0, len(sample), 256):  # a slice at a time bounds the scratch arrays
+        words = Words([t for _, t in sample[lo:lo + 256]], _KEEP)
+        made.append((words.doc_words, *word_bags(words)))
+    doc_words_of = np.concatenate([m[0] for m in made]) if made else np.empty(0, np.int64)
+    has = np.nonzero(doc_words_of)[0]
     if len(set(label[has].tolist())) < 2:
         return Model(None, 0.0, 1.0, 0.0, float(prior))
-    all_ids, all_sizes = word_bags(words)
+    all_ids = np.concatenate([m[1] for m in made])
+    all_sizes = np.concatenate([m[2] for m in made])
+    del made
     all_at = np.cumsum(all_sizes) - all_sizes
-    first_word = np.cumsum(words.doc_words) - words.doc_words
-    del words.data, words.sep, words.word
+    first_word = np.cumsum(doc_words_of) - doc_words_of
     rng = np.random.default_rng(seed)
     emb = (rng.uniform(-1, 1, (BUCKETS, DIM)) / (20 * DIM)).astype(np.float32)
     soft = rng.normal(0, 0.5, (DIM, 2)).astype(np.float32)
@@ -112,7 +119,7 @@ def fit(sample: list[tuple[int, str]], count: dict, epochs: int = 6, batch: int
         train = rng.permutation(train)
         for lo in range(0, len(train), batch):
             part = train[lo:lo + batch]
-            y, doc_words = label[part], words.doc_words[part]
+            y, doc_words = label[part], doc_words_of[part]
             used = _ragged(first_word[part], doc_words)
             sizes = all_sizes[used]
             ids = all_ids[_ragged(all_at[used], sizes)]
@@ -143,10 +150,10 @@ def fit(sample: list[tuple[int, str]], count: dict, epochs: int = 6, batch: int
             bias += np.array([1, -1]) * 0.5 * rate * g_bias / np.sqrt(seen_b) / 2
     bucket = (emb @ (soft[:, 1] - soft[:, 0])).astype(np.float32)
     model = Model(bucket, float(bias[1] - bias[0]), 1.0, 0.0, float(prior))
-    used = _ragged(first_word[calib], words.doc_words[calib])
+    used = _ragged(first_word[calib], doc_words_of[calib])
     sizes = all_sizes[used]
     v = bucket[all_ids[_ragged(all_at[used], sizes)]]
-    z = model.raw(np.add.reduceat(v, np.cumsum(sizes) - sizes) / sizes, words.doc_words[calib])
+    z = model.raw(np.add.reduceat(v, np.cumsum(sizes) - sizes) / sizes, doc_words_of[calib])
     model.scale, model.shift = platt(z, label[calib], prior)
     return model
 
@@ -170,7 +177,7 @@ def platt(z: np.ndarray, y: np.ndarray, prior: float) -> tuple[float, float]:
 
 
 def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
-            folds: int, held_fold: int, per_class: int, most_bytes: int):
+            folds: int, held_fold: int, per_class: dict | int, most_bytes: int):
     """The model of a bounded sample, as a broadcast variable (a fixed 0.5 MB)."""
     sample, count = labelled_sample(
         docs, labels.where(labels[label_col].isin(0, 1)), label_col, id_col=id_col,
@@ -181,8 +188,8 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id",
                text_col: str = "text", label_col: str = "toxic", folds: int = 4,
-               held_fold: int = 2, per_class: int = 1500,
-               most_bytes: int = 12 << 20) -> DataFrame:
+               held_fold: int = 2, per_class: dict | int = SAMPLE,
+               most_bytes: int = 40 << 20) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, all columns as they are."""
     model = trained(docs, labels, id_col, text_col, label_col, folds, held_fold, per_class,
                     most_bytes)
@@ -198,8 +205,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_co
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text", label_col: str = "toxic", folds: int = 4,
-                    held_fold: int = 2, per_class: int = 1500,
-                    most_bytes: int = 12 << 20) -> DataFrame:
+                    held_fold: int = 2, per_class: dict | int = SAMPLE,
+                    most_bytes: int = 40 << 20) -> DataFrame:
     """(id, held_out, score) for every row of ``docs``; the training bound is
     ``per_class`` rows per label value and ``most_bytes`` of text."""
     model = trained(docs, labels, id_col, text_col, label_col, folds, held_fold, per_class,
