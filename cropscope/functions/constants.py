@@ -10,7 +10,6 @@ NDVI_MIN = -1.0
 NDVI_MAX = 1.0
 NDVI_MASKED_FILL = -1.0          # masked / undefined pixel value after the fill
 NDVI_ZERO_DENOMINATOR = 0.01     # guarded form replaces a zero denominator
-NDVI_NODATA = -9999.0            # declared nodata of the written NDVI band
 
 # --- health index and class (health = (ndvi + 1) / 2) ---------------------
 HEALTH_EXCELLENT = 0.7           # > 0.7
@@ -108,7 +107,6 @@ DEFAULTS = {
 }
 
 # --- raster file names -----------------------------------------------------
-RASTER_SUFFIX_PATTERN = r"(?i)\.tiff?$"
 NDVI_OUTPUT_MARKER = "_NDVI"
 
 # --- band pairs (red, nir), tried in this order by band count ---------------

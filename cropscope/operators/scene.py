@@ -139,6 +139,27 @@ def band_stats(band_long: DataFrame, key: str = "scene_id") -> DataFrame:
         F.min(x).alias("min_value"), F.max(x).alias("max_value"), F.avg(x).alias("mean_value"))
 
 
+def band_stats_wide(pixels: DataFrame, bands: dict[int, str], key: str = "scene_id",
+                    header: tuple[str, str] | None = None) -> DataFrame:
+    """A5 on a pixel table with a column per band: one aggregate over the pixels, one row
+    per (scene, band) afterwards, so no pixel is multiplied by its bands. ``header`` names
+    the (row, column) position columns and adds band_count, width and height (G12)."""
+    aggs = []
+    for b, c in bands.items():
+        x = nan_to_null(F.col(c).cast("double"))
+        aggs += [F.min(x).alias(f"_lo{b}"), F.max(x).alias(f"_hi{b}"), F.avg(x).alias(f"_avg{b}")]
+    extra = []
+    if header:
+        for name, c in zip(("height", "width"), header):
+            aggs.append((F.max(c).cast("long") - F.min(c) + 1).alias(name))
+        extra = [F.lit(len(bands)).cast("long").alias("band_count"), "width", "height"]
+    per_scene = pixels.groupBy(key).agg(*aggs)
+    return per_scene.select(key, *extra, F.inline(F.array(*[
+        F.struct(F.lit(b).alias("band"), F.col(f"_lo{b}").alias("min_value"),
+                 F.col(f"_hi{b}").alias("max_value"), F.col(f"_avg{b}").alias("mean_value"))
+        for b in bands])))
+
+
 def band_pair_choice(image_bands: DataFrame, key: str = "scene_id") -> DataFrame:
     """P4 + A13: number of bands per image and the (red, nir) pair it gets: the
     first pair whose bands are both there.

@@ -169,11 +169,8 @@ def history_report(obs: DataFrame, model: PipelineModel | None = None,
             .join(year, field, "inner").join(first, field, "inner"))
 
 
-def band_diagnostic(band_long: DataFrame, pixels: DataFrame, key: str = "scene_id") -> DataFrame:
+def band_diagnostic(pixels: DataFrame, bands: dict[int, str], key: str = "scene_id") -> DataFrame:
     """Per scene and band min / max / mean, with the scene's band count and
-    header (width, height). A bad band never stops the other scenes."""
-    bands = scene.band_stats(band_long, key)
-    counts = band_long.groupBy(key, "band").agg(F.count(F.lit(1)).alias("_n")) \
-        .groupBy(key).agg(F.count(F.lit(1)).alias("band_count"))
-    meta = scene.scene_metadata(pixels, key).select(key, "width", "height")
-    return bands.join(counts, key, "inner").join(meta, key, "left")
+    header (width, height), in one aggregate over the pixels. ``bands`` maps band numbers
+    to columns. A bad band never stops the other scenes."""
+    return scene.band_stats_wide(pixels, bands, key, header=("pixel_row", "pixel_col"))

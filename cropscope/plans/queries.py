@@ -100,7 +100,7 @@ def q_scene_stats_long(spark, d):
 
 
 def q_band_stats(spark, d):
-    return present(scene.band_stats(B.band_long(spark, d)))
+    return present(scene.band_stats_wide(*B.band_columns(spark, d)))
 
 
 def q_band_pair_choice(spark, d):
@@ -470,7 +470,7 @@ def q_history_report(spark, d):
 
 def q_band_diagnostic(spark, d):
     from . import jobs
-    return present(jobs.band_diagnostic(B.band_long(spark, d), B.band_samples(spark, d)))
+    return present(jobs.band_diagnostic(*B.band_columns(spark, d)))
 
 
 def q_yield_forest_from_labels(spark, d):

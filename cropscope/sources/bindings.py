@@ -55,6 +55,15 @@ def band_long(spark: SparkSession, data_dir: str) -> DataFrame:
                     "value"))
 
 
+def band_columns(spark: SparkSession, data_dir: str) -> tuple[DataFrame, dict[int, str]]:
+    """The same pixels with a column per band and their positions, and band -> column."""
+    li = table(spark, data_dir, "lineitem")
+    wide = li.select(F.col("l_suppkey").alias("scene_id"), F.col("l_orderkey").alias("pixel_row"),
+                     F.col("l_linenumber").alias("pixel_col"),
+                     *[F.col(c).alias(f"b{b}") for c, b in BAND_COLUMNS])
+    return wide, {b: f"b{b}" for _, b in BAND_COLUMNS}
+
+
 def image_bands(spark: SparkSession, data_dir: str) -> DataFrame:
     """Images with a varying number of bands: order = image, line number = band,
     extended price = value. Orders hold 1 to 7 lines, so band counts vary."""
