@@ -12,8 +12,11 @@ the leader, so such lists are skipped whole.
 
 *Skipping inside lists.* Lists with several labels are cut into blocks by size class and
 position. Two sets whose first common shingle stands at positions p and q differ in at
-least p + q shingles, so a set joins only the blocks that leave enough overlap. Every
-remaining pair with different labels is verified exactly; no cap is set anywhere.
+least p + q shingles, so a set joins only the blocks that leave enough overlap. A pair
+that remains is dropped only on proof: the parity sketches of two sets (about one bit
+per shingle) differ in no more bits than the sets differ in shingles. What survives is
+verified exactly, first one pair for each two labels, then all pairs whose labels are
+still apart; no cap is set anywhere.
 
 Defined cases: null, empty and blank texts have an empty set and link with nothing; a
 shorter text is one shingle; rows that share an id are linked if their sets are (the
@@ -36,18 +39,37 @@ from .common import (
     maybe_in,
     mix64,
     pieces,
-    shingles,
+    shingles_of,
     shuffle_partitions,
     stored,
-    words_of,
 )
 from .components import components
 
 COUNT_BITS, CHUNK = 20, 1 << 12
 
 
-def shingle_set(text: str | None, width: int, cache: HashCache) -> np.ndarray:
-    return np.unique(shingles(cache.of(words_of(text)), width))
+def shingle_sets(texts: list[str | None], width: int, cache: HashCache) -> list[np.ndarray]:
+    """The set of each text, ascending."""
+    return [np.unique(h) for h in shingles_of(texts, width, cache)]
+
+
+def parity_sketch(h: np.ndarray) -> bytes:
+    """Bit k: whether an odd number of shingles falls to k; a power of two of bits, one to
+    two per shingle."""
+    bits = 1 << max(6, int(len(h) - 1).bit_length())
+    odd = np.bincount((h >> np.uint64(24)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def sketch_difference(x: bytes, y: bytes) -> int:
+    """At most the number of shingles the two sets differ in. Sketches of different length
+    are compared at the shorter one's, to which the longer folds."""
+    u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    if len(u) > len(v):
+        u, v = v, u
+    if len(v) > len(u):
+        v = np.bitwise_xor.reduce(v.reshape(-1, len(u)), axis=0)
+    return int(np.bitwise_count(u ^ v).sum())
 
 
 def fingerprint(h: np.ndarray) -> int:
@@ -68,15 +90,15 @@ def can_have_partner(n: int, percent: int) -> bool:
 
 
 def _sets_and_counts(docs: DataFrame, width: int) -> DataFrame:
-    """One row (kind 0) per document with size and set id, and (kind 1) per task and
-    chunk of the fixed table of shingle counts."""
+    """One row (kind 0) per document with size, set id and sketch, and (kind 1) per task
+    and chunk of the fixed table of shingle counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, total = HashCache(), np.zeros(1 << COUNT_BITS, np.int64)
-        names = ["_kind", "_id", "_n", "_set", "_chunk", "_counts"]
+        names = ["_kind", "_id", "_n", "_set", "_chunk", "_data"]
         for whole in batches:
             for b in pieces(whole):
-                sets = [shingle_set(t, width, cache) for t in b.column(1).to_pylist()]
+                sets = shingle_sets(b.column(1).to_pylist(), width, cache)
                 if any(map(len, sets)):
                     total += np.bincount(
                         (np.concatenate(sets) & np.uint64((1 << COUNT_BITS) - 1)).astype(np.int64),
@@ -87,7 +109,9 @@ def _sets_and_counts(docs: DataFrame, width: int) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(np.array([fingerprint(s) if len(s) else 0 for s in sets], np.uint64)
                              .view(np.int64)),
-                    pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
+                    pa.nulls(m, pa.int32()),
+                    pa.array([parity_sketch(s) if len(s) else None for s in sets],
+                             pa.binary())], names)
         chunks = total.reshape(-1, CHUNK)
         m = len(chunks)
         yield pa.RecordBatch.from_arrays([
@@ -96,7 +120,7 @@ def _sets_and_counts(docs: DataFrame, width: int) -> DataFrame:
             pa.array([c.tobytes() for c in chunks], pa.binary())], names)
 
     return docs.mapInArrow(run, "_kind int, _id long, _n long, _set long, _chunk int, "
-                                "_counts binary")
+                                "_data binary")
 
 
 def _count_table(rows: DataFrame) -> np.ndarray:
@@ -115,7 +139,7 @@ def _count_table(rows: DataFrame) -> np.ndarray:
                           for c in sums.values()], pa.binary())], ["_chunk", "_counts"])
 
     parts = min((1 << COUNT_BITS) // CHUNK, shuffle_partitions(rows.sparkSession))
-    summed = (rows.where("_kind = 1").select("_chunk", "_counts").repartition(parts, "_chunk")
+    summed = (rows.where("_kind = 1").select("_chunk", "_data").repartition(parts, "_chunk")
               .mapInArrow(add, "_chunk int, _counts binary"))
     table = np.zeros(((1 << COUNT_BITS) // CHUNK, CHUNK), np.int32)
     for r in summed.collect():
@@ -131,8 +155,7 @@ def _postings(docs: DataFrame, width: int, percent: int, counts) -> DataFrame:
         for whole in batches:
             for b in pieces(whole):
                 tok, sid, size, pos, seen = [], [], [], [], set()
-                for text in b.column(1).to_pylist():
-                    h = shingle_set(text, width, cache)
+                for h in shingle_sets(b.column(1).to_pylist(), width, cache):
                     n = len(h)
                     if n == 0 or not can_have_partner(n, percent):
                         continue
@@ -169,6 +192,35 @@ def _may_link(nx: Column, px: Column, ny: Column, py: Column, percent: int) -> C
             & (px + py <= nx + ny - 2 * _least_overlap(nx, ny, percent)))
 
 
+def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b, ...) that their sketches do not rule out, with ``_gap``."""
+    extra = [c for c in pairs.columns if c not in ("a", "b")]
+    kinds = dict(pairs.dtypes)
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in pieces(whole):
+                n = b.num_columns - 4
+                gap, at = [], []
+                rows = zip(*[b.column(n + k).to_pylist() for k in range(4)])
+                for k, (x, nx, y, ny) in enumerate(rows):
+                    g = sketch_difference(x, y)
+                    if g <= nx + ny - 2 * -(-percent * (nx + ny) // (100 + percent)):
+                        gap.append(g)
+                        at.append(k)
+                take = pa.array(at, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [*[b.column(k).take(take) for k in range(n)], pa.array(gap, pa.int64())],
+                    ["a", "b", *extra, "_gap"])
+
+    side = lambda of, x, n: sketches.select(F.col("_set").alias(of), F.col("_odd").alias(x),
+                                            F.col("_n").alias(n))
+    return (pairs.join(side("a", "_x", "_nx"), "a").join(side("b", "_y", "_ny"), "b")
+            .select("a", "b", *extra, "_x", "_nx", "_y", "_ny")
+            .mapInArrow(check, ", ".join(f"{c} {kinds[c]}" for c in ("a", "b", *extra))
+                        + ", _gap long"))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, holder: DataFrame, width: int,
               percent: int) -> DataFrame:
     """The pairs (a, b) of set ids that link, by exact intersection. Set contents are
@@ -188,7 +240,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, holder: DataFrame, width: int,
                                          .astype(np.int64).view(np.uint64)))[0]
                 if len(at):
                     part = b.take(pa.array(at))
-                    sets = [shingle_set(t, width, cache) for t in part.column(1).to_pylist()]
+                    sets = shingle_sets(part.column(1).to_pylist(), width, cache)
                     yield pa.RecordBatch.from_arrays([
                         part.column(0),
                         pa.array([s.tobytes() for s in sets], pa.binary())], ["_id", "_items"])
@@ -232,7 +284,7 @@ def _star_pairs(posts: DataFrame, percent: int) -> DataFrame:
 
 
 def _cross_pairs(posts: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different labels that some index list leaves possible."""
+    """Pairs (a, b, la, lb) of different labels that some index list leaves possible."""
     tagged = stored(posts.join(labels, "_set", "left")
                     .withColumn("_label", F.coalesce("_label", "_set")), "tagged")
     open_lists = stored(tagged.groupBy("_token").agg(
@@ -261,7 +313,12 @@ def _cross_pairs(posts: DataFrame, labels: DataFrame, percent: int) -> DataFrame
     return (x.join(y, ["_token", "_k", "_block"])
             .where((F.col("la") != F.col("lb")) & smaller
                    & _may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent))
-            .select("a", "b").distinct())
+            .select("a", "b", "la", "lb").distinct())
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    found = components(links)
+    return found.select(F.col("node").alias("_set"), F.col("label").alias("_label"))
 
 
 def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -271,17 +328,35 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_t"))
     rows = stored(_sets_and_counts(src, width), "sets_and_counts")
     own = rows.where("_kind = 0").select("_id", "_n", "_set")
-    holder = stored(own.where("_n > 0").groupBy("_set").agg(F.min("_id").alias("_id")), "holders")
+    sketches = stored(rows.where("_kind = 0 and _n > 0").groupBy("_set").agg(
+        F.min("_id").alias("_id"), F.max("_n").alias("_n"), F.max("_data").alias("_odd")),
+        "sketches")
+    holder = sketches.select("_set", "_id")
     counts = src.sparkSession.sparkContext.broadcast(_count_table(rows))
     posts = stored(_postings(src, width, percent, counts), "postings")
     shared = stored(posts.groupBy("_token").agg(F.count("*").alias("_c")).where("_c > 1")
                     .select("_token"), "shared_tokens")
     posts = stored(posts.join(shared, "_token"), "shared_postings")
-    star = _verified(_star_pairs(posts, percent), src, holder, width, percent)
-    labels = star.groupBy(F.col("b").alias("_set")).agg(F.min("a").alias("_label"))
-    cross = _verified(_cross_pairs(posts, stored(labels, "star_labels"), percent), src, holder,
-                      width, percent)
-    label = components(star.unionByName(cross))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return _verified(pairs, src, holder, width, percent)
+
+    star = verified(_near(_star_pairs(posts, percent), sketches, percent).select("a", "b"))
+    cross = stored(_near(_cross_pairs(posts, _labels(star), percent), sketches, percent), "cross")
+    # one pair for each two labels, then whatever is still apart
+    first = verified(cross.groupBy("la", "lb").agg(F.min(F.struct("_gap", "a", "b")).alias("_m"))
+                     .select("_m.a", "_m.b"))
+    links = star.unionByName(first)
+    label = _labels(links)
+    at = lambda c: label.select(F.col("_set").alias(c), F.col("_label").alias(f"_{c}"))
+    apart = stored(cross.select("a", "b").join(at("a"), "a", "left").join(at("b"), "b", "left")
+                   .where(~F.coalesce("_a", "a").eqNullSafe(F.coalesce("_b", "b")))
+                   .select("a", "b"), "apart")
+    if not apart.isEmpty():
+        more = verified(apart)
+        if not more.isEmpty():
+            label = _labels(links.unionByName(more))
+    label = label.select(F.col("_set").alias("node"), F.col("_label").alias("label"))
     named = label.join(holder, label["node"] == holder["_set"]).select("_set", "label", "_id")
     named = stored(named, "named")
     smallest = stored(named.groupBy("label").agg(F.min("_id").alias("_least")), "smallest")
