@@ -418,14 +418,14 @@ SELECT scene_id, count(*) AS pixels, count(*) FILTER (WHERE is_masked) AS masked
 FROM masked GROUP BY scene_id"""
 
 SQL["ndvi_batch_job"] = _with(IMAGE_BANDS, BAND_CHOICE) + """,
-done AS (SELECT c.scene_id, count(*) AS pixels,
-                count(*) FILTER (WHERE NOT (r.value > 0 AND n.value > 0)) AS masked_pixels,
-                avg(CASE WHEN r.value > 0 AND n.value > 0
-                         THEN (n.value - r.value) / (n.value + r.value) ELSE -1.0 END)
-                  AS mean_ndvi
-         FROM chosen c JOIN image_bands r ON r.scene_id = c.scene_id AND r.band = c.red_band
-                       JOIN image_bands n ON n.scene_id = c.scene_id AND n.band = c.nir_band
-         GROUP BY c.scene_id),
+px AS (SELECT c.scene_id, max(value) FILTER (WHERE band = red_band) AS r,
+              max(value) FILTER (WHERE band = nir_band) AS n
+       FROM chosen c JOIN image_bands i ON i.scene_id = c.scene_id
+       WHERE red_band IS NOT NULL GROUP BY c.scene_id),
+done AS (SELECT scene_id, count(*) AS pixels,
+                count(*) FILTER (WHERE NOT (r > 0 AND n > 0)) AS masked_pixels,
+                avg(CASE WHEN r > 0 AND n > 0 THEN (n - r) / (n + r) ELSE -1.0 END) AS mean_ndvi
+         FROM px GROUP BY scene_id),
 s AS (SELECT c.scene_id, CASE WHEN red_band IS NULL THEN 'failed' ELSE 'done' END AS status,
              coalesce(d.pixels, 0) AS pixels, coalesce(d.masked_pixels, 0) AS masked_pixels,
              d.mean_ndvi
