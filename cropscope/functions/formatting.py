@@ -15,11 +15,18 @@ def fixed(x, decimals: int = 4) -> Column:
 
 
 def percent(x, decimals: int = 1) -> Column:
-    """Share as percent text, e.g. 62.5% for 0.625; an exact half goes to the even
-    digit (6.25% is 6.2%)."""
+    """Share as percent text, e.g. 62.5% for 0.625, rounded by the binary value; an exact
+    half goes to the even digit (6.25% is 6.2%)."""
     value = col(x).cast("double") * 100.0
-    even = F.bround(value * 10.0 ** decimals) / 10.0 ** decimals
-    return F.concat(F.format_string(f"%.{decimals}f", even), F.lit("%"))
+    ten = 10.0 ** decimals
+    p = value * ten
+    # what the product lost, from the two halves of the value's digits
+    high = value * 134217729.0 - (value * 134217729.0 - value)
+    lost = (high * ten - p) + (value - high) * ten
+    low = F.floor(p).cast("double")
+    up = (p - low > 0.5) | ((p - low == 0.5) & ((lost > 0) | ((lost == 0) & (low % 2 != 0))))
+    rounded = (low + up.cast("double")) / ten
+    return F.concat(F.format_string(f"%.{decimals}f", rounded), F.lit("%"))
 
 
 def money(x, decimals: int = 2) -> Column:

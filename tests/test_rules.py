@@ -152,9 +152,10 @@ def test_formatting(spark):
     df = spark.createDataFrame([(0.625, 110.0, 0.12344)], "s double, m double, v double")
     r = df.select(fmt.percent("s").alias("p"), fmt.money("m").alias("d"), fmt.fixed("v").alias("f")).first()
     assert (r.p, r.d, r.f) == ("62.5%", "$110.00", "0.1234")
-    ties = spark.createDataFrame([(0.0625,), (0.1875,), (0.0635,)], "s double")
-    assert [x.p for x in ties.select(fmt.percent("s").alias("p")).collect()] == ["6.2%", "18.8%", "6.3%"]
-    assert [f"{x:.1%}" for x in (0.0625, 0.1875)] == ["6.2%", "18.8%"]
+    ties = [0.0625, 0.1875, 0.0635, 0.0645, 0.0, 1.0, -0.0625, 0.12345, 0.9995]
+    frame = spark.createDataFrame([(x,) for x in ties], "s double")
+    assert [r.p for r in frame.select(fmt.percent("s").alias("p")).collect()] == \
+        [f"{x:.1%}" for x in ties]
 
 
 @pytest.mark.parametrize("bad", [None, NAN])
