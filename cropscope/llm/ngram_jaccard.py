@@ -61,6 +61,12 @@ def parity_sketch(h: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def short_sketch(h: np.ndarray) -> list[int]:
+    """A parity sketch of 256 bits as four signed 64-bit numbers."""
+    odd = np.bincount((h >> np.uint64(24)).astype(np.int64) & 255, minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).tolist()
+
+
 def sketch_difference(x: bytes, y: bytes) -> int:
     """At most the number of shingles the two sets differ in. Sketches of different length
     are compared at the shorter one's, to which the longer folds."""
@@ -95,7 +101,7 @@ def _sets_and_counts(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, total = HashCache(), np.zeros(1 << COUNT_BITS, np.int64)
-        names = ["_kind", "_id", "_n", "_set", "_chunk", "_data"]
+        names = ["_kind", "_id", "_n", "_set", "_chunk", "_data", "_short"]
         for whole in batches:
             for b in pieces(whole):
                 sets = shingle_sets(b.column(1).to_pylist(), width, cache)
@@ -111,16 +117,19 @@ def _sets_and_counts(docs: DataFrame, width: int) -> DataFrame:
                              .view(np.int64)),
                     pa.nulls(m, pa.int32()),
                     pa.array([parity_sketch(s) if len(s) else None for s in sets],
-                             pa.binary())], names)
+                             pa.binary()),
+                    pa.array([short_sketch(s) if len(s) else None for s in sets],
+                             pa.list_(pa.int64()))], names)
         chunks = total.reshape(-1, CHUNK)
         m = len(chunks)
         yield pa.RecordBatch.from_arrays([
             pa.array(np.ones(m, np.int32)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
             pa.nulls(m, pa.int64()), pa.array(np.arange(m), pa.int32()),
-            pa.array([c.tobytes() for c in chunks], pa.binary())], names)
+            pa.array([c.tobytes() for c in chunks], pa.binary()),
+            pa.nulls(m, pa.list_(pa.int64()))], names)
 
     return docs.mapInArrow(run, "_kind int, _id long, _n long, _set long, _chunk int, "
-                                "_data binary")
+                                "_data binary, _short array<bigint>")
 
 
 def _count_table(rows: DataFrame) -> np.ndarray:
@@ -283,36 +292,46 @@ def _star_pairs(posts: DataFrame, percent: int) -> DataFrame:
             .select(F.col("_m._ls").alias("a"), F.col("_set").alias("b")))
 
 
-def _cross_pairs(posts: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, la, lb) of different labels that some index list leaves possible."""
+def _cross_pairs(posts: DataFrame, labels: DataFrame, sketches: DataFrame,
+                 percent: int) -> DataFrame:
+    """Pairs (a, b, la, lb) of different labels that some index list and the 256-bit
+    sketches leave possible; the join itself applies both bounds."""
     tagged = stored(posts.join(labels, "_set", "left")
                     .withColumn("_label", F.coalesce("_label", "_set")), "tagged")
     open_lists = stored(tagged.groupBy("_token").agg(
         F.min("_label").alias("_lo"), F.max("_label").alias("_hi"))
         .where("_lo <> _hi").select("_token"), "open_lists")
-    rest = stored(tagged.join(open_lists, "_token"), "open_postings")
+    bits = [F.get("_short", F.lit(i)).alias(f"_s{i}") for i in range(4)]
+    rest = stored(tagged.join(open_lists, "_token").join(
+        sketches.select("_set", *bits), "_set"), "open_postings")
+    sketch = [f"_s{i}" for i in range(4)]
     # size classes are one similarity step wide, so a partner's is the same or the next
     step = float(np.log(100 / percent))
     cls = F.floor(F.log(F.col("_n").cast("double")) / step + 1e-9).cast("int")
     # positions differ by at most the spread of the class's largest set; four blocks to it
     most = F.ceil(F.exp((F.col("_k") + 1) * step) * 2 * (100 - percent) / (100 + percent)) + 1
     width = F.ceil(most / 4)
-    index = rest.select("_token", cls.alias("_k"), "_set", "_n", "_pos", "_label").select(
+    index = rest.select("_token", cls.alias("_k"), "_set", "_n", "_pos", "_label", *sketch).select(
         "*", F.floor(F.col("_pos") / width).cast("int").alias("_block"))
-    probe = (rest.select("_token", "_set", "_n", "_pos", "_label",
+    probe = (rest.select("_token", "_set", "_n", "_pos", "_label", *sketch,
                          F.explode(F.array(cls, cls + 1)).alias("_k"))
              .where(F.col("_pos") <= most)
              .select("*", F.explode(F.sequence(F.lit(0), F.floor(
                  (most - F.col("_pos")) / width).cast("int"))).alias("_block")))
     x = probe.select("_token", "_k", "_block", F.col("_set").alias("a"), F.col("_n").alias("na"),
-                     F.col("_pos").alias("pa"), F.col("_label").alias("la"))
+                     F.col("_pos").alias("pa"), F.col("_label").alias("la"),
+                     *[F.col(c).alias(f"x{c}") for c in sketch])
     y = index.select("_token", "_k", "_block", F.col("_set").alias("b"), F.col("_n").alias("nb"),
-                     F.col("_pos").alias("pb"), F.col("_label").alias("lb"))
+                     F.col("_pos").alias("pb"), F.col("_label").alias("lb"),
+                     *[F.col(c).alias(f"y{c}") for c in sketch])
+    gap = sum((F.bit_count(F.col(f"x{c}").bitwiseXOR(F.col(f"y{c}"))) for c in sketch), F.lit(0))
+    na, nb = F.col("na"), F.col("nb")
     smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb"))
                                              & (F.col("a") < F.col("b")))
     return (x.join(y, ["_token", "_k", "_block"])
             .where((F.col("la") != F.col("lb")) & smaller
-                   & _may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent))
+                   & _may_link(na, F.col("pa"), nb, F.col("pb"), percent)
+                   & (gap <= na + nb - 2 * _least_overlap(na, nb, percent)))
             .select("a", "b", "la", "lb").distinct())
 
 
@@ -329,7 +348,8 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = stored(_sets_and_counts(src, width), "sets_and_counts")
     own = rows.where("_kind = 0").select("_id", "_n", "_set")
     sketches = stored(rows.where("_kind = 0 and _n > 0").groupBy("_set").agg(
-        F.min("_id").alias("_id"), F.max("_n").alias("_n"), F.max("_data").alias("_odd")),
+        F.min("_id").alias("_id"), F.max("_n").alias("_n"), F.max("_data").alias("_odd"),
+        F.max("_short").alias("_short")),
         "sketches")
     holder = sketches.select("_set", "_id")
     counts = src.sparkSession.sparkContext.broadcast(_count_table(rows))
@@ -342,7 +362,8 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         return _verified(pairs, src, holder, width, percent)
 
     star = verified(_near(_star_pairs(posts, percent), sketches, percent).select("a", "b"))
-    cross = stored(_near(_cross_pairs(posts, _labels(star), percent), sketches, percent), "cross")
+    cross = stored(_near(_cross_pairs(posts, _labels(star), sketches, percent), sketches,
+                         percent), "cross")
     # one pair for each two labels, then whatever is still apart
     first = verified(cross.groupBy("la", "lb").agg(F.min(F.struct("_gap", "a", "b")).alias("_m"))
                      .select("_m.a", "_m.b"))
