@@ -28,7 +28,7 @@ BUCKETS, DIM = 1 << 17, 16
 WINDOW, HOP = 4, 2
 START = -2.0  # logit of a window whose words carry no evidence
 #: Training rows at most per label value.
-SAMPLE = {1: 1500, 0: 5000}
+SAMPLE = {1: 1500, 0: 2500}
 _KEEP = separators(digits_are_letters=True)
 
 
@@ -95,8 +95,8 @@ def fit(sample: list[tuple[int, str]], count: dict, epochs: int = 6, batch: int
     prior = count.get(1, 0) / max(1, sum(count.values()))
     label = np.array([int(y) for y, _ in sample], np.int64)
     made = []
-    for lo in range(0, len(sample), 256):  # a slice at a time bounds the scratch arrays
-        words = Words([t for _, t in sample[lo:lo + 256]], _KEEP)
+    for lo in range(0, len(sample), 64):  # a slice at a time bounds the scratch arrays
+        words = Words([t for _, t in sample[lo:lo + 64]], _KEEP)
         made.append((words.doc_words, *word_bags(words)))
     doc_words_of = np.concatenate([m[0] for m in made]) if made else np.empty(0, np.int64)
     has = np.nonzero(doc_words_of)[0]
@@ -188,7 +188,7 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id",
                text_col: str = "text", label_col: str = "toxic", folds: int = 4,
                held_fold: int = 2, per_class: dict | int = SAMPLE,
-               most_bytes: int = 40 << 20) -> DataFrame:
+               most_bytes: int = 16 << 20) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, all columns as they are."""
     model = trained(docs, labels, id_col, text_col, label_col, folds, held_fold, per_class,
                     most_bytes)
@@ -205,7 +205,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_co
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text", label_col: str = "toxic", folds: int = 4,
                     held_fold: int = 2, per_class: dict | int = SAMPLE,
-                    most_bytes: int = 40 << 20) -> DataFrame:
+                    most_bytes: int = 16 << 20) -> DataFrame:
     """(id, held_out, score) for every row of ``docs``; the training bound is
     ``per_class`` rows per label value and ``most_bytes`` of text."""
     model = trained(docs, labels, id_col, text_col, label_col, folds, held_fold, per_class,
