@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from cropscope.plans import QUERIES  # noqa: E402
 from cropscope.session import build_session  # noqa: E402
 
 
@@ -40,7 +40,7 @@ def main() -> None:
           "queries with an iterative or eager part show the plan of their final step).\n")
     print("| query | shuffles | broadcasts | joins | partial aggs | notes | scanned columns |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         df = q(spark, sf)
         s = summarize(df._jdf.queryExecution().executedPlan().toString())
         notes = []
