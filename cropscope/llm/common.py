@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_path
@@ -153,6 +153,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame | None, label_col: str, *
     value), the ones with the smallest id hash, outside ``held_fold``; together at most ``most_bytes`` of text.
     Also the count of labelled rows per value over all of them.
 
+    Each value has an equal part of ``most_bytes`` (its room, in characters). Texts longer
+    than a sixteenth of the room come after all others, shortest first, so a long text
+    never takes the place of shorter rows; a value none of whose texts fits is taught by
+    the shortest of them alone, whole.
+
     ``labels`` None reads the label from ``docs`` itself. The counts are taken on
     all rows; they turn the bound into a hash threshold per value, so no class is
     ever gathered whole.
@@ -171,23 +176,39 @@ def labelled_sample(docs: DataFrame, labels: DataFrame | None, label_col: str, *
     if not count:
         return [], {}
     unit = F.pmod(F.xxhash64(F.lit(11), "_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    share = F.lit(0.0)
     most = {y: per_class[y] if isinstance(per_class, dict) else per_class for y in count}
-    for y, n in count.items():
-        share = F.when(F.col("_y") == F.lit(y), F.lit(min(1.0, 1.2 * most[y] / n))).otherwise(share)
-    picked = keyed.where(unit < share)
-    if labels is not None:
-        picked = picked.join(src, "_id")
+    room = most_bytes // len(count)
+    size = F.char_length("_text")
+    late = F.when(size > room // 16, size).otherwise(0)
+
+    def rows(y, share: float) -> DataFrame:
+        mine = keyed.where(F.col("_y") == F.lit(y))
+        if share < 1:
+            mine = mine.where(unit < share)
+        if labels is not None:
+            mine = mine.join(src, "_id")
+        return mine.withColumn("_text", F.coalesce("_text", F.lit("")))
+
+    def chosen(y, share: float) -> list[str]:
+        best = (rows(y, share).where(size <= room).select("_id", "_y", "_text", late.alias("_late"),
+                                                          unit.alias("_unit"))
+                .orderBy("_late", "_unit", "_id").limit(most[y]))
+        upto = Window.partitionBy("_y").orderBy("_late", "_unit", "_id").rowsBetween(
+            Window.unboundedPreceding, 0)
+        return [r["_text"] for r in best.withColumn("_sum", F.sum(size).over(upto))
+                .where(F.col("_sum") <= room).orderBy("_late", "_unit", "_id")
+                .select("_text").collect()]
+
     out: list[tuple] = []
     for y in sorted(count):
-        left = most_bytes // len(count)
-        best = (picked.where(F.col("_y") == F.lit(y)).orderBy(unit, "_id").limit(most[y])
-                .select("_y", F.coalesce("_text", F.lit("")).alias("_text")))
-        for r in best.toLocalIterator():
-            left -= len(r["_text"])
-            if left < 0:
-                break
-            out.append((r["_y"], r["_text"]))
+        share = min(1.0, 1.2 * most[y] / count[y])
+        got = chosen(y, share)
+        if share < 1 and len(got) < most[y] and 2 * sum(map(len, got)) < room:
+            got = chosen(y, 1.0)  # rows set aside for their length left both bounds open
+        if not any(t.strip() for t in got):
+            got += [r["_text"] for r in rows(y, 1.0).where(F.col("_text").rlike(r"\S"))
+                    .orderBy(size, unit, "_id").limit(1).select("_text").collect()]
+        out += [(y, t) for t in got]
     return out, count
 
 

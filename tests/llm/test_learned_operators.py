@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cropscope.llm import (
     language_id,
@@ -17,6 +18,7 @@ from cropscope.llm import (
     toxicity,
 )
 from cropscope.llm.bytegrams import Words, separators, windows
+from cropscope.llm.common import labelled_sample
 
 from .helpers import docs_frame, words
 
@@ -31,6 +33,39 @@ def label_frame(spark, rows, name):
     return spark.createDataFrame(rows, f"doc_id long, {name} int")
 
 
+# --- training samples ----------------------------------------------------------------
+
+def hash_first(spark, ids):
+    return spark.createDataFrame([(i,) for i in ids], "i long").orderBy(
+        F.pmod(F.xxhash64(F.lit(11), "i"), F.lit(1 << 30))).first().i
+
+
+def test_a_text_beyond_the_budget_cuts_off_no_other_row(spark):
+    ids = {y: [i for i in range(y * 100, y * 100 + 40) if fold(i, 4) != 2] for y in (0, 1)}
+    rows = [(i, f"text of row {i}", y) for y in (0, 1) for i in ids[y]]
+    long_ids = {hash_first(spark, ids[0]): "long " * 10_000, hash_first(spark, ids[1]): "late " * 300}
+    docs = spark.createDataFrame([(i, long_ids.get(i, t), y) for i, t, y in rows],
+                                 "doc_id long, text string, y int")
+    for labels in (None, docs.select("doc_id", "y")):
+        got, count = labelled_sample(docs if labels is None else docs.drop("y"), labels, "y",
+                                     id_col="doc_id", text_col="text", folds=4, held_fold=2,
+                                     per_class=100, most_bytes=5000)
+        assert count == {y: len(ids[y]) for y in (0, 1)}
+        want = sorted((y, t) for i, t, y in rows if i not in long_ids)
+        assert sorted(r for r in got if len(r[1]) < 100) == want
+        assert {t for _, t in got} - {t for _, t in want} == {"late " * 300}
+
+
+def test_a_class_of_long_texts_only_is_taught_by_its_shortest(spark):
+    docs = spark.createDataFrame([(i, "x " * (900 + i), 0) for i in range(20)]
+                                 + [(i, "y", 1) for i in range(20, 40)],
+                                 "doc_id long, text string, y int")
+    got, _ = labelled_sample(docs, None, "y", id_col="doc_id", text_col="text", folds=4, held_fold=2,
+                             per_class=2, most_bytes=1000)
+    shortest = min(i for i in range(20) if fold(i, 4) != 2)
+    assert got == [(0, "x " * (900 + shortest)), (1, "y"), (1, "y")]
+
+
 # --- language model ------------------------------------------------------------------
 
 def lm_rows():
