@@ -177,6 +177,36 @@ def test_words_to_spread_keep_their_scores(spark):
     assert a == {k: pytest.approx(v, abs=1e-6) for k, v in b.items()}
 
 
+def same_group():
+    """Two words of one suffix class and hash part."""
+    seen = {}
+    for w in (f"n{k}ing" for k in range(100)):
+        first = seen.setdefault(zlib.crc32(w.encode(), 7) % pitman_yor.SUBS, w)
+        if first != w:
+            return first, w
+
+
+def test_each_previous_word_has_its_own_restaurant(spark):
+    a, b = same_group()
+    rng = random.Random(4)
+    train = [i for i in range(400) if fold(i, 5) != 1][:100]
+    held = iter([i for i in range(100_000) if fold(i, 5) == 1])
+    rows = [(i, " ".join(rng.choice([f"{a} x", f"{b} y", "c d"]) for _ in range(20)))
+            for i in train]
+    names = [a, b, "x", "y", "c", "d", "unseen"]
+    texts = ["", *names, *(f"{u} {w}" for u in names for w in names)]
+    ids = {next(held): t for t in texts}
+    got = pitman_yor.score_documents(docs_frame(spark, rows + list(ids.items()))).collect()
+    score = {ids[r._id]: r._score for r in got if r._id in ids}
+    # the same words but for the order: each follows its own word, not the group's
+    assert score[f"{a} x"] > score[f"{a} y"] + 1 and score[f"{b} y"] > score[f"{b} x"] + 1
+    # P(w | u) P(end | w) / P(end | u): its largest eigenvalue is 1 if every row of P sums to 1
+    part = lambda u, w: 10 ** (score[f"{u} {w}"] - score[u])
+    m = np.array([[part(u, w) for w in names] + [10 ** score[""]] for u in names]
+                 + [[10 ** (score[w] - score[""]) for w in names] + [10 ** score[""]]])
+    assert max(abs(np.linalg.eigvals(m))) == pytest.approx(1, abs=1e-4)
+
+
 # --- classifiers ---------------------------------------------------------------------
 
 def test_words_of_a_buffer():
