@@ -28,7 +28,7 @@ BUCKETS, DIM = 1 << 17, 16
 WINDOW, HOP = 4, 2
 START = -2.0  # logit of a window whose words carry no evidence
 #: Training rows at most per label value.
-SAMPLE = {1: 1500, 0: 2500}
+SAMPLE = {1: 1500, 0: 5000}
 _KEEP = separators(digits_are_letters=True)
 
 
@@ -102,9 +102,13 @@ def fit(sample: list[tuple[int, str]], count: dict, epochs: int = 6, batch: int
     has = np.nonzero(doc_words_of)[0]
     if len(set(label[has].tolist())) < 2:
         return Model(None, 0.0, 1.0, 0.0, float(prior))
-    all_ids = np.concatenate([m[1] for m in made])
     all_sizes = np.concatenate([m[2] for m in made])
-    del made
+    all_ids, at = np.empty(all_sizes.sum(), np.int32), 0
+    for k, (_, ids, _) in enumerate(made):  # each slice is freed once it is copied
+        all_ids[at:at + len(ids)] = ids
+        at += len(ids)
+        made[k] = None
+    del made, ids
     all_at = np.cumsum(all_sizes) - all_sizes
     first_word = np.cumsum(doc_words_of) - doc_words_of
     rng = np.random.default_rng(seed)
@@ -188,7 +192,7 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id",
                text_col: str = "text", label_col: str = "toxic", folds: int = 4,
                held_fold: int = 2, per_class: dict | int = SAMPLE,
-               most_bytes: int = 16 << 20) -> DataFrame:
+               most_bytes: int = 40 << 20) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, all columns as they are."""
     model = trained(docs, labels, id_col, text_col, label_col, folds, held_fold, per_class,
                     most_bytes)
@@ -205,7 +209,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_co
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text", label_col: str = "toxic", folds: int = 4,
                     held_fold: int = 2, per_class: dict | int = SAMPLE,
-                    most_bytes: int = 16 << 20) -> DataFrame:
+                    most_bytes: int = 40 << 20) -> DataFrame:
     """(id, held_out, score) for every row of ``docs``; the training bound is
     ``per_class`` rows per label value and ``most_bytes`` of text."""
     model = trained(docs, labels, id_col, text_col, label_col, folds, held_fold, per_class,

@@ -1,6 +1,7 @@
 """Language model, classifiers and rules: counts by brute force, learning by held-out rows."""
 
 import collections
+import inspect
 import math
 import random
 import re
@@ -243,6 +244,12 @@ def test_toxicity_finds_unseen_spellings(spark):
     assert kept.count() == sum(r._score < 0.3 for r in out)
 
 
+def test_toxicity_trains_on_the_documented_rows():
+    for f in (toxicity.drop_toxic, toxicity.score_documents):
+        bound = {k: v.default for k, v in inspect.signature(f).parameters.items()}
+        assert bound["per_class"] == {1: 1500, 0: 5000} and bound["most_bytes"] == 40 << 20
+
+
 def test_toxicity_without_labels(spark):
     none = label_frame(spark, [], "toxic")
     out = toxicity.score_documents(docs_frame(spark, [(1, "a"), (2, None)]), none).collect()
