@@ -114,10 +114,16 @@ def _foil(p0: float, n0: float, p: float, n: float) -> float:
     return p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0)))
 
 
-def learn(labelled: DataFrame, max_rules: int = 8, max_literals: int = 3,
+def learn(labelled: DataFrame, max_literals: int = 3,
           bins: int = 16, min_gain: float = 1.0) -> list[list[Literal]]:
     """Ordered rules for label ``_bad`` = 1 over a frame with the statistics, ``_bad``
-    and ``_grow`` (rows that grow rules; the others prune them)."""
+    and ``_grow`` (rows that grow rules; the others prune them).
+
+    Covering goes on until no literal gains on the uncovered rows. A rule that fails
+    pruning is set aside: its first literal opens no further rule until one is added, and
+    the next best is tried; one that covers no bad pruning row is not tried at all, as no
+    rule from it can pass. Every rule covers a pruning row, every failure takes a literal,
+    so it ends."""
     names = list(FEATURES)
     quant = [(i + 1) / (bins + 1) for i in range(bins)]
     cuts: dict[str, list[float]] = {n: [] for n in names}
@@ -135,15 +141,25 @@ def learn(labelled: DataFrame, max_rules: int = 8, max_literals: int = 3,
     base = labelled.withColumn("_bins", F.array(*[bin_of(n) for n in names]))
     rules: list[list[Literal]] = []
     uncovered = F.lit(True)
-    while len(rules) < max_rules:
+    aside: set[Literal] = set()  # first literals whose rule failed on the rows left now
+    first = None  # counts per first literal, of rows that grow and rows that prune
+    while True:
         rest = base.where(uncovered)
+
+        def counted(rows: DataFrame) -> dict:
+            got = (rows.select("_grow", "_bad", F.posexplode("_bins").alias("_f", "_b"))
+                   .groupBy("_grow", "_f", "_b").agg(F.sum("_bad").alias("p"),
+                                                     F.count("*").alias("all")).collect())
+            out: dict = {True: {}, False: {}}
+            for r in got:
+                out[r["_grow"]][(r["_f"], r["_b"])] = (r["p"], r["all"] - r["p"])
+            return out
+
+        first = first or counted(rest)
+        hopeful = {k: p for k, (p, _) in first[False].items() if p}  # bad pruning rows by bin
         conj: list[Literal] = []
         for _ in range(max_literals):
-            got = (rest.where(F.col("_grow") & condition(conj))
-                   .select("_bad", F.posexplode("_bins").alias("_f", "_b"))
-                   .groupBy("_f", "_b").agg(F.sum("_bad").alias("p"), F.count("*").alias("all"))
-                   .collect())
-            count = {(r["_f"], r["_b"]): (r["p"], r["all"] - r["p"]) for r in got}
+            count = (counted(rest.where(F.col("_grow") & condition(conj))) if conj else first)[True]
             p0, n0 = (sum(v[i] for (f, _), v in count.items() if f == 0) for i in (0, 1))
             if p0 == 0 or n0 == 0:
                 break
@@ -156,7 +172,9 @@ def learn(labelled: DataFrame, max_rules: int = 8, max_literals: int = 3,
                     for above, (p, q) in ((True, (p0 - below[0], n0 - below[1])),
                                           (False, tuple(below))):
                         gain = _foil(p0, n0, p, q)
-                        if gain > best[0] + 1e-9:
+                        if gain > best[0] + 1e-9 and (
+                                conj or ((n, above, t) not in aside and any(
+                                    g == f and (k > b) == above for g, k in hopeful))):
                             best = (gain, (n, above, t))
             if best[1] is None:
                 break
@@ -173,8 +191,11 @@ def learn(labelled: DataFrame, max_rules: int = 8, max_literals: int = 3,
                  for k in range(len(conj))]
         k = max(range(len(conj)), key=lambda i: (round(worth[i], 9), -i))
         if worth[k] <= 0:  # no better than even on rows it was not grown on
-            break
+            aside.add(conj[0])
+            continue
         rules.append(conj[:k + 1])
+        aside.clear()
+        first = None
         uncovered = uncovered & ~condition(conj[:k + 1])
     return rules
 

@@ -1,6 +1,7 @@
 """Language model, classifiers and rules: counts by brute force, learning by held-out rows."""
 
 import collections
+import functools
 import inspect
 import math
 import random
@@ -359,6 +360,40 @@ def test_rules_learn_what_is_bad(spark):
     assert quality_rules.apply_rules(docs_frame(spark, []), label_frame(spark, [], "quality")).count() == 0
 
 
+def statistics_frame(spark, rows):
+    """Rows (changed statistics, bad, grow) over statistics that vary around one text's."""
+    rng = random.Random(6)
+    base = {"_n_symbols": 20, "_n_words": 200, "_n_bangs": 20, "_n_repeat_words": 20,
+            "_n_distinct": 120, "_n_dup_lines": 10, "_n_lines": 40, "_n_upper": 50,
+            "_word_chars": 1000, "_n_digits": 50}
+    vary = [c for c in base if c not in ("_n_words", "_n_lines", "_word_chars")]
+    made = [tuple({**{c: v + (rng.randrange(-3, 4) if c in vary else 0) for c, v in base.items()},
+                   **new}.values()) + (bad, grow) for new, bad, grow in rows]
+    return spark.createDataFrame(made, ", ".join(f"{c} long" for c in base)
+                                 + ", _bad int, _grow boolean")
+
+
+def test_rules_cover_more_kinds_than_eight(spark):
+    kinds = [{"_n_symbols": 90}, {"_n_symbols": 1}, {"_n_bangs": 90}, {"_n_bangs": 1},
+             {"_n_repeat_words": 90}, {"_n_repeat_words": 1}, {"_n_distinct": 180},
+             {"_n_distinct": 40}, {"_n_upper": 400}, {"_n_upper": 1}, {"_n_digits": 400}]
+    rows = [({}, 0, k % 3 != 0) for k in range(330)]
+    rows += [(new, 1, k % 3 != 0) for new in kinds for k in range(30)]
+    df = statistics_frame(spark, rows).cache()
+    rules = quality_rules.learn(df)
+    kept = df.where(~functools.reduce(lambda a, b: a | b, map(quality_rules.condition, rules)))
+    assert len(rules) >= len(kinds)
+    assert kept.where("_bad = 1").count() == 0 and kept.count() > 300
+
+
+def test_a_rule_that_fails_pruning_ends_nothing(spark):
+    rows = [({}, 0, k % 3 != 0) for k in range(300)]
+    rows += [({"_n_bangs": 90}, int(k % 3 != 0), k % 3 != 0) for k in range(120)]
+    rows += [({"_n_digits": 400}, 1, k % 3 != 0) for k in range(30)]
+    rules = quality_rules.learn(statistics_frame(spark, rows).cache())
+    assert any(name == "digit_share" and above for conj in rules for name, above, _ in conj)
+
+
 def test_rules_run_no_python(spark):
     rows, labels = quality_rows()
     df = quality_rules.apply_rules(docs_frame(spark, rows), label_frame(spark, labels, "quality"))
