@@ -233,30 +233,37 @@ def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, holder: DataFrame, width: int,
               percent: int) -> DataFrame:
     """The pairs (a, b) of set ids that link, by exact intersection. Set contents are
-    made again from one document of each set that occurs in a pair."""
+    made again from a document of each set that occurs in a pair; ids (null ones too) only
+    narrow the documents down, a set is told by its own id."""
     spark = docs.sparkSession
     pairs = stored(pairs, "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("_set")).distinct()
     ids = stored(holder.join(wanted, "_set").select("_id", "_set"), "wanted")
     bits = spark.sparkContext.broadcast(
-        hash_filter(ids.select(F.xxhash64("_id").alias("_h")), "_h"))
+        (hash_filter(ids.select(F.xxhash64("_id").alias("_h")), "_h"), hash_filter(ids, "_set")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = HashCache()
+        cache, sent = HashCache(), set()
+        of_id, of_set = bits.value
         for whole in batches:
             for b in pieces(whole):
-                at = np.nonzero(maybe_in(bits.value, b.column(2).to_numpy()
+                at = np.nonzero(maybe_in(of_id, b.column(2).to_numpy()
                                          .astype(np.int64).view(np.uint64)))[0]
                 if len(at):
                     part = b.take(pa.array(at))
-                    sets = shingle_sets(part.column(1).to_pylist(), width, cache)
+                    made = {fingerprint(x): x for x in shingle_sets(
+                        part.column(1).to_pylist(), width, cache) if len(x)}
+                    key = np.array([k for k in made if k not in sent], np.uint64)
+                    key = key[maybe_in(of_set, key)]
+                    sent.update(key.tolist())
                     yield pa.RecordBatch.from_arrays([
-                        part.column(0),
-                        pa.array([s.tobytes() for s in sets], pa.binary())], ["_id", "_items"])
+                        pa.array(key.view(np.int64)),
+                        pa.array([made[k].tobytes() for k in key.tolist()], pa.binary())],
+                        ["_set", "_items"])
 
-    made = (docs.select("_id", "_t", F.xxhash64("_id").alias("_h")).where("_id is not null")
-            .mapInArrow(run, "_id long, _items binary"))
-    sets = stored(made.join(ids, "_id").select("_set", "_items"), "sets")
+    made = (docs.select("_id", "_t", F.xxhash64("_id").alias("_h"))
+            .mapInArrow(run, "_set long, _items binary"))
+    sets = stored(made.join(wanted, "_set").dropDuplicates(["_set"]), "sets")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

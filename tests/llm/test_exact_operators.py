@@ -90,6 +90,19 @@ def test_border_pairs_link_exactly(spark):
     assert got == {1: 1, 2: 1, 3: 3}
 
 
+def test_links_through_null_and_shared_ids(spark):
+    """A chain runs through a set held by a null id only; an id's two texts stay apart."""
+    base = [f"k{i}" for i in range(21)]
+    chain = [base, base[:-1] + ["z"], ["q"] + base[1:-1] + ["z"]]
+    other = [f"m{i}" for i in range(21)]
+    rows = [(1, " ".join(chain[0])), (None, " ".join(chain[1])), (None, "nothing like it at all"),
+            (None, " ".join(chain[1])), (3, " ".join(chain[2])), (3, " ".join(other)),
+            (9, " ".join(other[:-1] + ["z"]))]
+    got = collections.Counter((r._id, r._component) for r in ngram_jaccard.linked_documents(
+        docs_frame(spark, rows)).collect())
+    assert got == {(1, 1): 1, (None, 1): 2, (None, None): 1, (3, 1): 1, (3, 3): 1, (9, 3): 1}
+
+
 def test_near_duplicates_of_nothing(spark):
     assert ngram_jaccard.linked_documents(docs_frame(spark, [])).count() == 0
 
