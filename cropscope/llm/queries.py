@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import (
+    bpe_transducer,
     decontamination,
+    hard_negatives,
     language_id,
     line_dedup,
     ngram_jaccard,
     packing,
+    periodic_runs,
     pitman_yor,
     quality_classifier,
     quality_rules,
@@ -92,6 +95,38 @@ def op10_quality_classifier(spark, d):
                       (F.col("_score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_hard_negatives(spark, d):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    out = hard_negatives.mine(table(spark, d, "embeddings"), label=label,
+                              anchor=F.col("vec_id") % 100 == 0)
+    return out.select(*[F.col(f"_{a}").alias(b) for a, b in (
+        ("anchor", "anchor_id"), ("positive", "positive_id"), ("rank", "rank"),
+        ("negative", "negative_id"), ("positive_score", "positive_score"),
+        ("negative_score", "negative_score"))])
+
+
+def op12_bpe_transducer(spark, d):
+    out = bpe_transducer.encode_documents(table(spark, d, "documents"))
+    return out.select(F.col("_id").alias("doc_id"),
+                      F.expr("octet_length(_ids) div 4").alias("n_tokens"),
+                      F.sha2("_ids", 256).alias("ids_sha256"),
+                      F.sha2(F.col("_decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_periodic_runs(spark, d):
+    out = periodic_runs.find_runs(table(spark, d, "documents"),
+                                  arrange=periodic_runs.periodic_from)
+    best = periodic_runs.strongest(F.col("_runs"))
+    lines = F.transform("_runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return out.select(F.col("_id").alias("doc_id"), F.size("_runs").cast("long").alias("n_runs"),
+                      "_runs", "_collapsed", best.alias("_best")).select(
+        "doc_id", "n_runs", *[F.col("_best")[c].alias(c) for c in ("start", "length", "period")],
+        F.expr("_best.length * 1000 div _best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("_collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -103,6 +138,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_bpe_transducer": op12_bpe_transducer,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _A_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -162,4 +200,24 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INT)) AS BIGINT) AS n_
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), ''))
          AS kept_sha256
 FROM m GROUP BY doc_id""",
+    "op11_hard_negatives": """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS y,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.y = b.y AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id OR a.y <> b.y WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT a, b, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b) AS INT) AS rank,
+       n.b AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.a = p.a AND NOT n.same
+  AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5""",
 }
