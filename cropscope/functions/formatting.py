@@ -9,26 +9,37 @@ from pyspark.sql import functions as F
 from .guards import col
 
 
-def fixed(x, decimals: int = 4) -> Column:
-    """Fixed decimals, e.g. 0.1234 for the statistics table."""
-    return F.format_string(f"%.{decimals}f", col(x).cast("double"))
+_TWO_52 = 4503599627370496.0  # from here on every double is an integer
 
 
-def percent(x, decimals: int = 1) -> Column:
-    """Share as percent text, e.g. 62.5% for 0.625, rounded by the binary value; an exact
-    half goes to the even digit (6.25% is 6.2%)."""
-    value = col(x).cast("double") * 100.0
+def _decimals(value: Column, decimals: int) -> Column:
+    """Text of a double with ``decimals`` places, rounded by its binary value; an exact half
+    goes to the even digit. ``nan`` and ``inf`` as words."""
     ten = 10.0 ** decimals
-    p = value * ten
+    a = F.abs(value)
+    p = a * ten
     # what the product lost, from the two halves of the value's digits
-    high = value * 134217729.0 - (value * 134217729.0 - value)
-    lost = (high * ten - p) + (value - high) * ten
+    high = a * 134217729.0 - (a * 134217729.0 - a)
+    lost = (high * ten - p) + (a - high) * ten
     low = F.floor(p).cast("double")
     up = (p - low > 0.5) | ((p - low == 0.5) & ((lost > 0) | ((lost == 0) & (low % 2 != 0))))
-    rounded = (low + up.cast("double")) / ten
-    return F.concat(F.format_string(f"%.{decimals}f", rounded), F.lit("%"))
+    rounded = F.when(p < _TWO_52, (low + up.cast("double")) / ten).otherwise(a)
+    minus = F.when((value < 0) | (value.cast("string") == "-0.0"), F.lit("-")).otherwise(F.lit(""))
+    return (F.when(value.isNull(), None).when(F.isnan(value), F.lit("nan"))
+            .when(a == float("inf"), F.concat(minus, F.lit("inf")))
+            .otherwise(F.concat(minus, F.format_string(f"%.{decimals}f", rounded))))
+
+
+def fixed(x, decimals: int = 4) -> Column:
+    """Fixed decimals, e.g. 0.1234 for the statistics table."""
+    return _decimals(col(x).cast("double"), decimals)
+
+
+def percent(x, decimals: int = 1) -> Column:
+    """Share as percent text, e.g. 62.5% for 0.625."""
+    return F.concat(_decimals(col(x).cast("double") * 100.0, decimals), F.lit("%"))
 
 
 def money(x, decimals: int = 2) -> Column:
     """Amount with a dollar sign, e.g. $110.00."""
-    return F.concat(F.lit("$"), F.format_string(f"%.{decimals}f", col(x).cast("double")))
+    return F.concat(F.lit("$"), _decimals(col(x).cast("double"), decimals))

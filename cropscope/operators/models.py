@@ -13,11 +13,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.rules import risk_code_label
+from ..sources import commits
 
 
 def linear_yield_pipeline(features: Sequence[str], label: str = "yield") -> Pipeline:
@@ -68,6 +69,27 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def save_version(spark: SparkSession, model: PipelineModel, root: str) -> int:
+    """K3 for a model that is read while it is renewed: a folder of its own per version,
+    ``root/v=N``, which counts once its number is committed. Nothing is overwritten; a
+    save that broke off leaves a folder without a record, and its number is not used again."""
+    used = [int(n[2:]) for n in commits.names(spark, root) if n.startswith("v=")]
+    version = max(used, default=0) + 1
+    model.write().save(f"{root}/v={version}")
+    commits.commit(spark, f"{root}/_versions", version)
+    return version
+
+
+def load_version(spark: SparkSession, root: str, version: int | None = None) -> PipelineModel:
+    """A committed version of a model, the last one unless another is named."""
+    known = commits.committed(spark, f"{root}/_versions")
+    if version is None and known:
+        version = known[-1]
+    if version not in known:
+        raise FileNotFoundError(f"no committed version {version or ''} of a model in {root}")
+    return PipelineModel.load(f"{root}/v={version}")
+
+
 def _complete(columns: Sequence[str], df: DataFrame) -> Column:
     """Every one of ``columns`` that ``df`` holds is there and not NaN."""
     ok = F.lit(True)

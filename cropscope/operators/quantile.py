@@ -67,9 +67,9 @@ def linear_bucket(v: Column, lo: float, hi: float, bins: int = LINEAR_BINS) -> C
 
 def _bucket_stats(rows: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
     return (rows.withColumn("_b", bucket).groupBy(*keys, "_b")
-            .agg(F.count(F.lit(1)).alias("_c"), F.sum("_v").alias("_s"),
+            .agg(F.count("_v").alias("_c"), F.sum("_v").alias("_s"),
                  F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
-                 (F.var_pop("_v") * F.count(F.lit(1))).alias("_m2")))
+                 (F.var_pop("_v") * F.count("_v")).alias("_m2")))
 
 
 def _resolve(state: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -139,7 +139,8 @@ def group_summary(df: DataFrame, key: str, value: str,
                   bounds: tuple[float, float] | None = None) -> DataFrame:
     """Per group, over the non-NULL values: ``n``, ``min``, ``max``, ``mean``,
     population ``std`` and the exact ``median`` (average of the two middle
-    values for an even count). NaN is not skipped (it makes mean/std NaN).
+    values for an even count). NaN is not skipped (it makes mean/std NaN). A group
+    without values is kept: ``n`` 0, the rest NULL.
     ``bounds`` names a range that holds every value: the histogram then has
     ``LINEAR_BINS`` rows per group at most instead of 2**11 per power of two.
 
@@ -148,23 +149,25 @@ def group_summary(df: DataFrame, key: str, value: str,
     answer without a second scan, survives a lost executor and holds no cache.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    rows = (df.select(F.col(key).alias("_k"), F.col(value).cast("double").alias("_v"))
-            .where(F.col("_v").isNotNull()))
+    rows = df.select(F.col(key).alias("_k"), F.col(value).cast("double").alias("_v"))
     bucket = linear_bucket(F.col("_v"), *bounds) if bounds else coarse_bucket(F.col("_v"))
-    hist = _bucket_stats(rows, ["_k"], bucket)
+    # NULL values are a bucket of their own that counts none
+    hist = _bucket_stats(rows, ["_k"], F.when(F.col("_v").isNotNull(), bucket))
+    rows = rows.where(F.col("_v").isNotNull())
     whole = Window.partitionBy("_k")
     running = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     h = (hist.withColumn("_n", F.sum("_c").over(whole))
-         .withColumn("_mean", F.sum("_s").over(whole) / F.col("_n"))
+         .withColumn("_mean", F.try_divide(F.sum("_s").over(whole), F.col("_n")))
          .withColumn("_end", F.sum("_c").over(running))
          .withColumn("_start", F.col("_end") - F.col("_c")))
     h = materialize(h, "median_hist")
 
-    dev = F.col("_s") / F.col("_c") - F.col("_mean")
+    dev = F.try_divide("_s", "_c") - F.col("_mean")
     stats = h.groupBy("_k").agg(
         F.first("_n").alias("n"), F.min("_lo").alias("min"), F.max("_hi").alias("max"),
         F.first("_mean").alias("mean"),
-        F.sqrt(F.sum(F.col("_m2") + F.col("_c") * dev * dev) / F.first("_n")).alias("std"))
+        F.sqrt(F.try_divide(F.sum(F.col("_m2") + F.col("_c") * dev * dev), F.first("_n")))
+        .alias("std"))
 
     lo_rank = F.floor((F.col("_n") - 1) / 2)
     hi_rank = F.floor(F.col("_n") / 2)

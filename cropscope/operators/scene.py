@@ -142,22 +142,26 @@ def band_stats(band_long: DataFrame, key: str = "scene_id") -> DataFrame:
 def band_stats_wide(pixels: DataFrame, bands: dict[int, str], key: str = "scene_id",
                     header: tuple[str, str] | None = None) -> DataFrame:
     """A5 on a pixel table with a column per band: one aggregate over the pixels, one row
-    per (scene, band) afterwards, so no pixel is multiplied by its bands. ``header`` names
-    the (row, column) position columns and adds band_count, width and height (G12)."""
+    per (scene, band) afterwards, so no pixel is multiplied by its bands. A band without a
+    value in a scene is not one of its bands (NaN counts as a value). ``header`` names the
+    (row, column) position columns and adds band_count, width and height (G12)."""
     aggs = []
     for b, c in bands.items():
         x = nan_to_null(F.col(c).cast("double"))
-        aggs += [F.min(x).alias(f"_lo{b}"), F.max(x).alias(f"_hi{b}"), F.avg(x).alias(f"_avg{b}")]
+        aggs += [F.min(x).alias(f"_lo{b}"), F.max(x).alias(f"_hi{b}"), F.avg(x).alias(f"_avg{b}"),
+                 F.count(c).alias(f"_n{b}")]
     extra = []
     if header:
         for name, c in zip(("height", "width"), header):
             aggs.append((F.max(c).cast("long") - F.min(c) + 1).alias(name))
-        extra = [F.lit(len(bands)).cast("long").alias("band_count"), "width", "height"]
+        count = sum(((F.col(f"_n{b}") > 0).cast("long") for b in bands), F.lit(0).cast("long"))
+        extra = [count.alias("band_count"), "width", "height"]
     per_scene = pixels.groupBy(key).agg(*aggs)
-    return per_scene.select(key, *extra, F.inline(F.array(*[
+    held = F.filter(F.array(*[
         F.struct(F.lit(b).alias("band"), F.col(f"_lo{b}").alias("min_value"),
-                 F.col(f"_hi{b}").alias("max_value"), F.col(f"_avg{b}").alias("mean_value"))
-        for b in bands])))
+                 F.col(f"_hi{b}").alias("max_value"), F.col(f"_avg{b}").alias("mean_value"),
+                 (F.col(f"_n{b}") > 0).alias("_held")) for b in bands]), lambda x: x["_held"])
+    return per_scene.select(key, *extra, F.inline(held)).drop("_held")
 
 
 def band_pair_choice(image_bands: DataFrame, key: str = "scene_id") -> DataFrame:
@@ -183,13 +187,20 @@ def scene_metadata(pixels: DataFrame, key: str = "scene_id", row: str = "pixel_r
                    path: str | Column | None = None) -> DataFrame:
     """Scene header from the pixel table: path, width, height, CRS and
     bounds (pixel-edge coordinates, nested). ``crs`` is a text for all scenes or a
-    column of the pixels, ``path`` likewise (default: the scene's key as text)."""
-    as_col = lambda v: v if isinstance(v, Column) else F.lit(v)
-    path = F.col(key).cast("string") if path is None else path
+    column of the pixels, ``path`` likewise (default: the scene's key as text).
+
+    A text never enters the pixel aggregate as ``min``, which would sort every pixel: one
+    for all scenes is added afterwards, a column is gathered as the set of a scene's texts
+    (one, or the few that differ; the first in order is taken)."""
+    gathered = {n: v for n, v in (("_path", path), ("_crs", crs)) if isinstance(v, Column)}
     agg = pixels.groupBy(key).agg(
-        F.min(as_col(path)).alias("_path"), F.min(as_col(crs)).alias("_crs"),
+        *[F.array_min(F.collect_set(v)).alias(n) for n, v in gathered.items()],
         F.min(col).alias("_c0"), F.max(col).alias("_c1"),
         F.min(row).alias("_r0"), F.max(row).alias("_r1"))
+    if "_path" not in gathered:
+        agg = agg.withColumn("_path", F.col(key).cast("string") if path is None else F.lit(path))
+    if "_crs" not in gathered:
+        agg = agg.withColumn("_crs", F.lit(crs))
     return agg.select(
         F.col(key).alias(key),
         F.col("_path").alias("path"),

@@ -1,18 +1,20 @@
 """Trends and observation history.
 
-Least-squares slopes are solved from per-(field, day) partial sums with the
-days centred per field, so a field with a third of all observations still
-folds its points in every task before the shuffle, and day numbers near
-20,000 do not cancel the significant digits. "Latest" uses ``max_by`` (also
-algebraic); "first N" uses ``row_number() <= N``, which Spark plans with a
+Least-squares slopes are ``regr_slope`` aggregates over centred moments, so a field
+with a third of all observations still folds its points in every task before the
+shuffle, and day numbers near 20,000 do not cancel the significant digits. "Latest"
+uses ``max_by`` (also algebraic); "first N" uses ``row_number() <= N``, which Spark plans with a
 partial WindowGroupLimit before the shuffle, so at most N rows per field and
 task ever cross the network.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..functions.guards import clip
@@ -35,34 +37,14 @@ def slope_per(points: DataFrame, field: str, date: str, value: str,
     """Least-squares slope of ``value`` over the day number of ``date``, scaled
     to ``days``; fewer than two usable points, or all on one day -> 0.0.
 
-    Points are first folded per (field, day) - partial aggregation, so a hot
-    field ships one row per day and task. Days are then centred on the
-    field's first day (a window over that field's distinct days, bounded by
-    the calendar) and the normal equations are solved from the centred sums:
-    day numbers around 20,000 would otherwise cancel most of the digits.
-    ``n_points`` counts every row of the field, usable or not.
+    ``regr_slope`` merges centred moments, so a hot field ships one row per task, and
+    day numbers near 20,000 cost no digits. ``n_points`` counts every row of the field,
+    usable or not.
     """
-    v = F.col(value).cast("double")
-    ok = v.isNotNull() & F.col(date).isNotNull()
-    # grouped by the date itself (a bijection of the day number), so input that
-    # is already aggregated per (field, date) keeps its partitioning: no shuffle
-    per_day = points.groupBy(field, date).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count(F.when(ok, v)).cast("double").alias("_c"),
-        F.sum(F.when(ok, v)).alias("_s")).withColumn("_day", day_number(date))
-    x = (F.col("_day") - F.min("_day").over(Window.partitionBy(field))).cast("double")
-    centred = per_day.withColumn("_x", x)
-    use = F.col("_x").isNotNull() & (F.col("_c") > 0)
-    c, s, xx = F.col("_c"), F.col("_s"), F.col("_x")
-    sums = centred.groupBy(field).agg(
-        F.sum("_rows").alias("n_points"),
-        F.sum(F.when(use, c)).alias("_n"), F.sum(F.when(use, c * xx)).alias("_sx"),
-        F.sum(F.when(use, c * xx * xx)).alias("_sxx"), F.sum(F.when(use, s)).alias("_sy"),
-        F.sum(F.when(use, s * xx)).alias("_sxy"))
-    den = F.col("_n") * F.col("_sxx") - F.col("_sx") * F.col("_sx")
-    num = F.col("_n") * F.col("_sxy") - F.col("_sx") * F.col("_sy")
-    slope = F.when(den > 0, num / den).otherwise(F.lit(0.0))
-    return sums.select(field, "n_points", (slope * days).alias(out))
+    slope = F.regr_slope(F.col(value).cast("double"), day_number(date).cast("double"))
+    return points.groupBy(field).agg(
+        F.count(F.lit(1)).alias("n_points"),
+        (F.coalesce(slope, F.lit(0.0)) * days).alias(out))
 
 
 def field_trend_per_1000_days(pixels: DataFrame, field: str = "scene_id",
@@ -99,14 +81,31 @@ def trend_first_ten(obs: DataFrame, field: str = "field_id") -> DataFrame:
     return trend_per_year(first_n(obs, K.TREND_FIRST_N, field), field)
 
 
+def time_order(obs: DataFrame, ts: str = "ts", event_id: str = "event_id") -> Column:
+    """(time, id) as one number that orders alike: microseconds times 10^19 plus the id, NULL
+    first. A buffer of fixed width, so aggregates over it hash instead of sorting rows."""
+    t = F.col(ts)
+    if isinstance(obs.schema[ts].dataType, T.TimestampNTZType):
+        # by its own fields: no time zone comes in
+        seconds = ((day_number(t.cast("date")).cast("long") * 24 + F.hour(t)) * 60 + F.minute(t)) * 60
+        part = (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("long")
+        micros = seconds * 1_000_000 + part
+    else:
+        micros = F.unix_micros(t.cast("timestamp"))
+    wide = lambda c: c.cast("decimal(38,0)")
+    return (wide(F.coalesce(micros, F.lit(-(10 ** 18)))) * F.lit(Decimal(10 ** 19))
+            + wide(F.coalesce(F.col(event_id).cast("long"), F.lit(-(1 << 63)))))
+
+
 def latest_observation(obs: DataFrame, field: str = "field_id",
-                       order=("ts", "event_id"), values=("ndvi",)) -> DataFrame:
+                       values=("ndvi",)) -> DataFrame:
     """W1 + F5: latest observation per field (ties broken by the later id) and
     the number of observations; fields without history do not appear."""
-    key = F.struct(*[F.col(c) for c in order])
-    latest = F.max_by(F.struct(*[F.col(c) for c in (*order, *values)]), key)
-    out = obs.groupBy(field).agg(latest.alias("_l"), F.count(F.lit(1)).alias("n_obs"))
-    return out.select(field, "n_obs", *[F.col(f"_l.{c}").alias(c) for c in (*order, *values)])
+    key = F.col("_order")
+    out = obs.withColumn("_order", time_order(obs)).groupBy(field).agg(
+        F.count(F.lit(1)).alias("n_obs"),
+        *[F.max_by(c, key).alias(c) for c in ("ts", "event_id", *values)])
+    return out.select(field, "n_obs", "ts", "event_id", *values)
 
 
 def history_series(obs: DataFrame, field: str = "field_id", ts: str = "ts") -> DataFrame:

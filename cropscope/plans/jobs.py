@@ -10,18 +10,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..functions.guards import clip
 from ..functions.ndvi import health_class, health_index, ndvi_is_masked, ndvi_masked
 from ..functions.rules import (disease_advice, disease_risk_class, disease_risk_score,
                                profit_floored, roi_class_a, roi_class_b, roi_guarded,
-                               stress_advice, stress_class, water_stress_basic,
+                               stress_advice, stress_class, trend_colour, water_stress_basic,
                                water_stress_climate, yield_class)
-from ..operators import economics, models, scene, status, trend
+from ..operators import economics, models, scene, status, tiles, trend
 from ..session import materialize
 from ..sources import files
+from ..streaming import field_state
 
 def select_bands(image_bands: DataFrame, pixel_cols: Sequence[str] = ("pixel_row", "pixel_col"),
                  key: str = "scene_id") -> tuple[DataFrame, DataFrame]:
@@ -44,16 +46,39 @@ def select_bands(image_bands: DataFrame, pixel_cols: Sequence[str] = ("pixel_row
 
 def ndvi_batch_job(image_bands: DataFrame, out_path: str,
                    pixel_cols: Sequence[str] = ("pixel_row", "pixel_col"),
-                   key: str = "scene_id") -> tuple[DataFrame, DataFrame]:
+                   key: str = "scene_id", observed: Observation | None = None
+                   ) -> tuple[DataFrame, DataFrame]:
     """G1: band choice -> masked NDVI -> Parquet (bounded scene buckets) ->
-    run summary (count per status) and the failed images."""
+    run summary (count per status) and the failed images. ``observed`` receives the
+    written ``pixels`` and ``masked_pixels`` (K7)."""
     wide, st = select_bands(image_bands, pixel_cols, key)
     out = wide.select(key, *pixel_cols, ndvi_masked("red", "nir").alias("ndvi"),
                       ndvi_is_masked("red", "nir").alias("is_masked"))
-    files.write_ndvi(out, out_path, scene=key)
+    files.write_ndvi(out, out_path, scene=key, observed=observed)
     return status.run_summary(st), status.failed_images(st, key)
 
 
+def ndvi_tile_job(image_bands: DataFrame, out_path: str, key: str = "scene_id",
+                  observed: Observation | None = None) -> DataFrame:
+    """G1 on tiles: the same pixels written, with the bands meeting as arrays of a tile.
+    Returns the statistics per scene, taken from the tiles."""
+    st = status.image_status(image_bands, key)
+    made = materialize(tiles.tile_ndvi(tiles.tile_pairs(tiles.make_tiles(image_bands, key), st, key)),
+                       "ndvi_tiles")
+    files.write_ndvi(tiles.pixels(made, key), out_path, scene=key, observed=observed)
+    return tiles.scene_stats(made, key)
+
+
+def run_metrics(summary: DataFrame, observed: Observation) -> DataFrame:
+    """K7, A12, F1 as one row: images done and failed, and the pixels and masked pixels that
+    the write itself counted. ``observed`` holds four numbers; nothing else is on the driver."""
+    got = observed.get
+    n = lambda s: F.coalesce(F.sum(F.when(F.col("status") == s, F.col("n_images"))),
+                             F.lit(0).cast("long"))
+    return summary.agg(n("done").alias("done"), n("failed").alias("failed")).select(
+        "done", "failed", *[F.lit(got[c]).cast("long").alias(c) for c in ("pixels", "masked_pixels")])
+
+
 def metadata_ingest(pixels: DataFrame, key: str = "scene_id") -> DataFrame:
     """Scene header table (nested bounds struct)."""
     return scene.scene_metadata(pixels, key)
@@ -66,6 +91,27 @@ def field_trend_job(ndvi_pixels: DataFrame, field: str = "scene_id",
     return trend.field_trend_per_1000_days(ndvi_pixels, field, date, image=image)
 
 
+def series_trend_job(listing: DataFrame, ndvi_pixels: DataFrame, path: str = "path"
+                     ) -> tuple[DataFrame, DataFrame]:
+    """S3 -> G3: a folder tree's listing joined to the pixels of its images on the path, and
+    the trend of every field from them. Also what did not take part: ``(path, field_id,
+    reason)`` of images without pixels, images whose name holds no date, and pixel rows of
+    a path that is not listed. Pixels are folded to one row per image before they meet
+    the listing."""
+    images = files.series_images(listing.select(path).distinct(), path)
+    means = ndvi_pixels.groupBy(path).agg(
+        F.avg(clip(F.col("ndvi"), K.NDVI_MIN, K.NDVI_MAX)).alias("mean_ndvi"),
+        F.count(F.lit(1)).alias("pixels"))
+    met = images.join(means, path, "full_outer")
+    dated = met.where(F.col("capture_date").isNotNull() & F.col("pixels").isNotNull())
+    out = trend.slope_per(dated, "field_id", "capture_date", "mean_ndvi", K.TREND_DAYS_FIELD,
+                          "ndvi_trend").withColumn("colour", trend_colour("ndvi_trend"))
+    reason = (F.when(F.col("field_id").isNull(), "pixels of no listed image")
+              .when(F.col("pixels").isNull(), "image without pixels")
+              .when(F.col("capture_date").isNull(), "name without a date"))
+    return out, met.select(path, "field_id", reason.alias("reason")).where("reason is not null")
+
+
 def water_stress_job(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """CSV field table -> basic stress per field."""
     df = files.read_table_csv(spark, path, schema)
@@ -157,16 +203,14 @@ def history_report(obs: DataFrame, model: PipelineModel | None = None,
                    field: str = "field_id") -> DataFrame:
     """Per field with at least two observations: latest observation (W1),
     count, yearly trend over all points (A8, P23) and over the first ten (W2); with a
-    model also the yield it predicts for the latest observation (C4)."""
-    latest = trend.latest_observation(obs, field)
-    if model is not None:
-        latest = models.predict(model, latest, "predicted_yield")
-    year = trend.trend_per_year(obs, field).select(field, "trend_per_year", "direction",
-                                                   "abs_trend")
-    first = trend.trend_first_ten(obs, field).select(
-        field, F.col("trend_per_year").alias("trend_first_ten"))
-    return (latest.where(F.col("n_obs") >= 2)
-            .join(year, field, "inner").join(first, field, "inner"))
+    model also the yield it predicts for the latest observation (C4). One aggregate over
+    the observations gives all but the first ten, which a limited window gives before any
+    shuffle of rows (``streaming.field_state.fold``)."""
+    state = field_state.fold(obs, field).where(F.col("n_obs") >= 2)
+    out = field_state.trends(state, field, keep=("latest",)).select(
+        field, "n_obs", "latest.ts", "latest.event_id", "latest.ndvi", "trend_per_year",
+        "direction", F.abs("trend_per_year").alias("abs_trend"), "trend_first_ten")
+    return out if model is None else models.predict(model, out, "predicted_yield")
 
 
 def band_diagnostic(pixels: DataFrame, bands: dict[int, str], key: str = "scene_id") -> DataFrame:

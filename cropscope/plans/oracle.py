@@ -621,7 +621,7 @@ band_long AS (
   SELECT l_suppkey AS scene_id, 1 AS band, l_discount AS value FROM lineitem
   UNION ALL SELECT l_suppkey, 2, l_tax FROM lineitem
   UNION ALL SELECT l_suppkey, 3, l_quantity FROM lineitem
-  UNION ALL SELECT l_suppkey, 4, l_extendedprice FROM lineitem),
+  UNION ALL SELECT l_suppkey, 4, l_extendedprice FROM lineitem WHERE l_suppkey % 5 <> 0),
 bs AS (SELECT scene_id, band, min(value) AS min_value, max(value) AS max_value,
               avg(value) AS mean_value FROM band_long GROUP BY scene_id, band),
 bc AS (SELECT scene_id, count(DISTINCT band) AS band_count FROM band_long GROUP BY scene_id),
@@ -633,6 +633,127 @@ SELECT bs.scene_id, bs.band, round(min_value, 6) AS min_value, round(max_value,
 FROM bs JOIN bc ON bs.scene_id = bc.scene_id LEFT JOIN meta ON bs.scene_id = meta.scene_id"""
 
 
+# --- failure records, tiles, run metrics, series, versions, trends on the stream ---------
+
+BAD_YIELDS = """bad_yields AS (
+  SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS id, l_orderkey % 13 = 0 AS short_line,
+         l_linenumber = 3 AND l_orderkey % 5 = 0 AS bad_yield, l_orderkey % 11 = 0 AS bad_cost,
+         (l_quantity - 5) / 10 AS yield, l_tax * 3000 AS fertilizer_cost
+  FROM lineitem)"""
+
+SQL["failure_records"] = _with(BAD_YIELDS, SCENE_LABELS, IMAGE_BANDS, BAND_CHOICE) + """,
+wide_labels AS (SELECT scene_id FROM scene_labels JOIN supplier ON s_suppkey = scene_id
+                WHERE s_acctbal > 0),
+bad_labels AS (
+  SELECT scene_id, 'yield' AS name, 'bad' AS value FROM scene_labels WHERE scene_id % 4 = 0
+  UNION ALL SELECT scene_id, 'yield', 'bad' FROM wide_labels WHERE scene_id % 4 = 0
+  UNION ALL SELECT scene_id, 'rainfall', 'wet' FROM wide_labels WHERE scene_id % 6 = 0)
+SELECT 'yields' AS source, id AS key, 'read' AS stage, CAST(NULL AS VARCHAR) AS name,
+       id || ',short' AS value, 'wrong number of columns' AS reason FROM bad_yields WHERE short_line
+UNION ALL SELECT 'yields', id, 'parse', 'yield', 'n/a', 'not a double'
+FROM bad_yields WHERE bad_yield AND NOT short_line
+UNION ALL SELECT 'yields', id, 'parse', 'fertilizer_cost', 'unknown', 'not a double'
+FROM bad_yields WHERE bad_cost AND NOT short_line
+UNION ALL SELECT 'labels', CAST(scene_id AS VARCHAR) || '_NDVI.tif', 'parse', name, value, 'not a double'
+FROM bad_labels
+UNION ALL SELECT 'images', CAST(scene_id AS VARCHAR), 'bands', 'band_count',
+       CAST(band_count AS VARCHAR), 'no red and near-infrared band' FROM chosen WHERE red_band IS NULL
+UNION ALL SELECT 'images', CAST(scene_id AS VARCHAR), 'bands', 'band', '3', 'band without a number'
+FROM chosen WHERE red_band = 3 AND scene_id % 3 = 0"""
+
+SQL["economics_good_rows"] = _with(BAD_YIELDS) + """
+SELECT id AS field_id, round(yield, 6) AS yield, round(fertilizer_cost, 6) AS fertilizer_cost,
+       round(yield * 180 - (fertilizer_cost + 150), 6) AS profit,
+       round(CASE WHEN fertilizer_cost = 0 THEN NULL
+                  ELSE (yield * 180 - fertilizer_cost) / fertilizer_cost * 100 END, 6) AS roi
+FROM bad_yields WHERE NOT (short_line OR bad_yield OR bad_cost)"""
+
+SQL["labels_good_rows"] = _with(SCENE_LABELS, CLIMATE) + """,
+rows AS (
+  SELECT l.*, c.*, s.s_acctbal > 0 AND l.scene_id % 6 <> 0 AS wide
+  FROM scene_labels l JOIN supplier s ON l.scene_id = s.s_suppkey
+                      JOIN climate c ON l.nation_id = c.nation_id
+  WHERE l.scene_id % 4 <> 0)
+SELECT CAST(scene_id AS VARCHAR) || '_NDVI.tif' AS filename, round(yield, 6) AS yield,
+       round(CASE WHEN wide THEN rainfall END, 6) AS rainfall,
+       round(CASE WHEN wide THEN temperature END, 6) AS temperature,
+       round(CASE WHEN wide THEN soil_ph END, 6) AS soil_ph,
+       round(CASE WHEN wide THEN fertilizer END, 6) AS fertilizer,
+       CASE WHEN wide THEN region END AS region
+FROM rows"""
+
+SQL["tile_ndvi_stats"] = _with(BAND_SAMPLES) + """,
+px AS (SELECT scene_id, pixel_row, pixel_col, max(red) AS red, max(nir) AS nir
+       FROM band_samples GROUP BY scene_id, pixel_row, pixel_col),
+masked AS (
+  SELECT scene_id, NOT (red > 0 AND nir > 0) AS is_masked,
+         CASE WHEN red > 0 AND nir > 0 THEN (nir - red) / (nir + red) ELSE -1.0::DOUBLE END AS ndvi
+  FROM px)
+SELECT scene_id, count(*) AS total_pixels, count(*) FILTER (WHERE is_masked) AS masked_pixels,
+       count(*) FILTER (WHERE ndvi > -1 AND ndvi < 1) AS valid_pixels,
+       round(min(ndvi), 6) AS min_ndvi, round(max(ndvi), 6) AS max_ndvi,
+       round(avg(ndvi), 6) AS mean_ndvi, count(*) AS written_pixels,
+       round(sum(ndvi), 6) AS written_sum
+FROM masked GROUP BY scene_id"""
+
+SQL["ndvi_run_metrics"] = """
+WITH image_bands AS (
+  SELECT l_orderkey % 1000 AS scene_id, l_linenumber AS band, l_orderkey AS pixel_row,
+         l_discount - 0.02 AS value FROM lineitem),""" + BAND_CHOICE + """,
+px AS (SELECT i.scene_id, pixel_row, max(value) FILTER (WHERE band = red_band) AS r,
+              max(value) FILTER (WHERE band = nir_band) AS n
+       FROM image_bands i JOIN chosen c ON c.scene_id = i.scene_id
+       WHERE band = red_band OR band = nir_band GROUP BY i.scene_id, pixel_row)
+SELECT (SELECT count(*) FROM chosen WHERE red_band IS NOT NULL) AS done,
+       (SELECT count(*) FROM chosen WHERE red_band IS NULL) AS failed,
+       count(*) AS pixels,
+       count(*) FILTER (WHERE NOT coalesce(r > 0 AND n > 0, false)) AS masked_pixels
+FROM px"""
+
+SERIES = """li AS (
+  SELECT l_orderkey, l_linenumber, l_discount AS red, l_tax AS nir, CAST(l_suppkey AS VARCHAR) AS field,
+         CASE WHEN l_linenumber <> 7 THEN CAST(l_shipdate AS DATE) END AS day,
+         '/data/time_series/' || CAST(l_suppkey AS VARCHAR) || '/' ||
+         CASE WHEN l_linenumber = 7 THEN 'unknown' ELSE strftime(l_shipdate, '%Y%m%d') END ||
+         '_' || CAST(l_linenumber AS VARCHAR) ||
+         CASE WHEN l_returnflag = 'R' THEN '.TIF' WHEN l_returnflag = 'A' THEN '_NDVI.tif'
+              WHEN l_linestatus = 'F' THEN '.tiff' WHEN l_linenumber = 6 THEN '.png'
+              ELSE '.tif' END AS path
+  FROM lineitem),
+images AS (SELECT DISTINCT path, field, day FROM li
+           WHERE ends_with(path, '.tif') AND NOT (l_linenumber = 1 AND l_orderkey % 7 = 0)),
+means AS (SELECT path, avg(CASE WHEN red > 0 AND nir > 0 THEN (nir - red) / (nir + red) ELSE -1.0 END) AS v
+          FROM li WHERE ends_with(path, '.tif') AND l_linenumber <= 5 GROUP BY path)"""
+
+SQL["series_trend"] = _with(SERIES, """pts AS (
+  SELECT field AS field_id, day, v FROM images JOIN means USING (path) WHERE day IS NOT NULL)""",
+    _slope("tr", "pts", "field_id", "datediff('day', DATE '1995-01-01', day)", "v", "1000")) + """
+SELECT field_id, n_points, round(t, 6) AS ndvi_trend,
+       CASE WHEN t > 0 THEN 'green' ELSE 'red' END AS colour FROM tr"""
+
+SQL["series_unmatched"] = _with(SERIES) + """
+SELECT path, field AS field_id, CASE WHEN v IS NULL THEN 'image without pixels'
+                                     ELSE 'name without a date' END AS reason
+FROM images LEFT JOIN means USING (path) WHERE v IS NULL OR day IS NULL
+UNION ALL SELECT path, NULL, 'pixels of no listed image'
+FROM means WHERE path NOT IN (SELECT path FROM images)"""
+
+SQL["yield_linear_versioned"] = SQL["yield_linear_1"].replace(
+    "SELECT scene_id, round(i", "SELECT CAST(2 AS BIGINT) AS version, scene_id, round(i")
+
+SQL["roi_histogram_csv"] = SQL["roi_histogram"]
+
+SQL["stream_trends"] = _with(OBSERVATIONS, """first_ten AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY field_id ORDER BY ts, event_id) AS rn
+  FROM observations) WHERE rn <= 10)""",
+    _slope("yr", "observations", "field_id", DAY_TS, "ndvi", "365"),
+    _slope("ft", "first_ten", "field_id", DAY_TS, "ndvi", "365")) + """
+SELECT yr.field_id, yr.n_points AS n_obs, round(yr.t, 6) AS trend_per_year,
+       round(ft.t, 6) AS trend_first_ten,
+       CASE WHEN yr.t > 0 THEN 'improving' ELSE 'declining' END AS direction
+FROM yr JOIN ft ON yr.field_id = ft.field_id"""
+
+
 def _split_last_arg(args: str) -> tuple[str, str]:
     depth = 0
     for i in range(len(args) - 1, -1, -1):

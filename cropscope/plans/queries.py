@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,7 @@ from ..functions.paths import day_number
 from ..operators import agronomy, economics, models, scenario, scene, status, trend
 from ..session import materialize, shared_path
 from ..sources import bindings as B
-from ..sources import files
+from ..sources import checked, files
 from ..streaming import observations as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -247,9 +247,10 @@ def q_failed_images(spark, d):
     return present(status.failed_images(status.image_status(B.image_bands(spark, d))))
 
 
-def path_listing(spark, d) -> DataFrame:
+def path_listing(spark, d, keep=()) -> DataFrame:
     """Raster path text made from lineitem: field = supplier, date = ship date,
-    suffix and name varied by the return flag / line status / line number."""
+    suffix and name varied by the return flag / line status / line number. ``keep`` names
+    columns to keep."""
     li = B.table(spark, d, "lineitem")
     date_txt = F.when(F.col("l_linenumber") == 7, F.lit("unknown")) \
         .otherwise(F.date_format("l_shipdate", "yyyyMMdd"))
@@ -260,7 +261,7 @@ def path_listing(spark, d) -> DataFrame:
               .otherwise(F.lit(".tif")))
     path = F.concat(F.lit("/data/time_series/"), F.col("l_suppkey").cast("string"), F.lit("/"),
                     date_txt, F.lit("_"), F.col("l_linenumber").cast("string"), suffix)
-    return li.select(path.alias("path"))
+    return li.select(path.alias("path"), *keep)
 
 
 def q_path_fields(spark, d):
@@ -337,6 +338,19 @@ def q_yield_linear_1(spark, d):
     return present(models.score(model, tf, ["scene_id"]))
 
 
+def q_yield_linear_versioned(spark, d):
+    """A model store with an older version and a save that broke off; the reader
+    scores with the last committed version."""
+    tf = stored_train_frame(spark, d)
+    root = shared_path(spark, "yield_models")
+    pipe = models.linear_yield_pipeline(["mean_ndvi"])
+    models.save_version(spark, models.fit(pipe, tf.withColumn("yield", F.col("yield") * 2)), root)
+    version = models.save_version(spark, models.fit(pipe, tf), root)
+    models.save(models.fit(pipe, tf.withColumn("yield", F.col("yield") + 1)), f"{root}/v={version + 1}")
+    got = models.score(models.load_version(spark, root), tf, ["scene_id"])
+    return present(got.withColumn("version", F.lit(version).cast("long")))
+
+
 def q_yield_linear_5(spark, d):
     tf = stored_train_frame(spark, d)
     feats = ["mean_ndvi", "rainfall", "temperature", "soil_ph", "fertilizer"]
@@ -437,6 +451,133 @@ def q_economics_csv(spark, d):
     return present(econ)
 
 
+def bad_yield_lines(spark, d) -> str:
+    """A CSV yield table with planted faults; its path. Orders divisible by 13 have short
+    lines, third lines of orders divisible by 5 a yield that is no number, orders divisible by 11
+    a cost that is none."""
+    li = B.table(spark, d, "lineitem")
+    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    key = (order * 10 + line).cast("string")
+    whole = F.concat_ws(
+        ",", key,
+        F.when((line == 3) & (order % 5 == 0), "n/a")
+        .otherwise(((F.col("l_quantity") - 5.0) / 10.0).cast("string")),
+        F.when(order % 11 == 0, "unknown").otherwise((F.col("l_tax") * 3000.0).cast("string")))
+    path = shared_path(spark, "bad_yields_csv")
+    (li.select(F.when(order % 13 == 0, F.concat(key, F.lit(",short"))).otherwise(whole).alias("value"))
+     .write.text(path))
+    return path
+
+
+def bad_label_lines(spark, d) -> str:
+    """Stacked label sections with planted faults; the path. Scenes divisible by 4 have a
+    yield, and wide rows of scenes divisible by 6 a rainfall, that is no number."""
+    short, wide = label_frames(spark, d)
+    n = F.regexp_extract("filename", r"^(\d+)", 1).cast("long")
+    text = lambda c, every, bad: F.when(n % every == 0, bad).otherwise(
+        F.col(c).cast("string")).alias(c)
+    return files.write_label_sections(
+        short.select("filename", text("yield", 4, "bad")),
+        wide.select("filename", text("yield", 4, "bad"), text("rainfall", 6, "wet"),
+                    "temperature", "soil_ph", "fertilizer", "region"),
+        shared_path(spark, "bad_labels_csv"))
+
+
+def checked_yields(spark, d) -> tuple[DataFrame, DataFrame]:
+    from .. import schemas
+    return checked.read_table_csv(spark, bad_yield_lines(spark, d), schemas.YIELDS, "field_id",
+                                  header=False)
+
+
+def q_failure_records(spark, d):
+    """Everything that failed in a run over faulty inputs, and why."""
+    bands = B.image_bands(spark, d).withColumn("value", F.when(
+        ~((F.col("band") == 3) & (F.col("scene_id") % 3 == 0)), F.col("value")))
+    parts = {"yields": checked_yields(spark, d)[1],
+             "labels": checked.read_label_sections(spark, bad_label_lines(spark, d))[1],
+             "images": checked.image_failures(bands)}
+    out = None
+    for name, bad in parts.items():
+        bad = bad.withColumn("source", F.lit(name))
+        out = bad if out is None else out.unionByName(bad)
+    return present(out)
+
+
+def q_economics_good_rows(spark, d):
+    """G5 over the same faulty CSV: the good rows give what they always give."""
+    return present(economics.economics_plain(checked_yields(spark, d)[0]))
+
+
+def q_labels_good_rows(spark, d):
+    """S7 over the faulty label file: its good rows, the fullest of each file name."""
+    return present(checked.read_label_sections(spark, bad_label_lines(spark, d))[0])
+
+
+def q_roi_histogram_csv(spark, d):
+    """The histogram and mean that the CSV job returns beside its rows."""
+    from . import jobs
+    from .. import schemas
+    path = shared_path(spark, "yield_data_csv")
+    (B.yields(spark, d).select(F.col("field_id").cast("string").alias("field_id"),
+                               "yield", "fertilizer_cost")
+     .write.mode("overwrite").option("header", True).csv(path))
+    return present(jobs.economics_job(spark, path, schemas.YIELDS)[1])
+
+
+# --- tiles, run metrics, series ------------------------------------------------------------
+
+def tile_bands(spark, d) -> DataFrame:
+    """The pixel table as long band rows: red is band 3, near infrared band 4."""
+    px = B.band_samples(spark, d)
+    return px.select("scene_id", F.col("pixel_row"), F.col("pixel_col"), F.inline(F.array(
+        F.struct(F.lit(3).alias("band"), F.col("red").alias("value")),
+        F.struct(F.lit(4).alias("band"), F.col("nir").alias("value")))))
+
+
+def q_tile_ndvi_stats(spark, d):
+    """S5, P4, P1 on tiles: what the tiles of each scene give and what was written from them."""
+    from . import jobs
+    path = shared_path(spark, "tile_ndvi")
+    stats = jobs.ndvi_tile_job(tile_bands(spark, d), path)
+    written = files.read_ndvi(spark, path).groupBy("scene_id").agg(
+        F.count(F.lit(1)).alias("written_pixels"), F.sum("ndvi").alias("written_sum"))
+    return present(stats.join(written, "scene_id"))
+
+
+def q_ndvi_run_metrics(spark, d):
+    """Images done and failed, pixels and masked pixels as the write saw them.
+    Images are orders, their pixels the parts of a band's line."""
+    from . import jobs
+    li = B.table(spark, d, "lineitem")
+    bands = li.select((F.col("l_orderkey") % 1000).alias("scene_id"), F.col("l_linenumber").alias("band"),
+                      F.col("l_orderkey").alias("pixel_row"), F.lit(0).alias("pixel_col"),
+                      (F.col("l_discount") - 0.02).alias("value"))
+    seen = Observation()
+    summary, _ = jobs.ndvi_batch_job(bands, shared_path(spark, "run_metrics"), observed=seen)
+    return present(jobs.run_metrics(summary, seen))
+
+
+def series_tables(spark, d) -> tuple[DataFrame, DataFrame]:
+    """A listing and a pixel table that name the same images but for some: line numbers above
+    5 have no pixels, and first lines of orders divisible by 7 are not listed."""
+    li = path_listing(spark, d, ("l_orderkey", "l_linenumber", "l_discount", "l_tax"))
+    listing = li.where((F.col("l_linenumber") != 1) | (F.col("l_orderkey") % 7 != 0)).select("path")
+    px = li.where(F.col("l_linenumber") <= 5).where(F.col("path").endswith(".tif"))
+    return listing, px.select("path", ndvi_masked("l_discount", "l_tax").alias("ndvi"))
+
+
+def q_series_trend(spark, d):
+    """S3 -> G3: the trend of every field from the images of its folder."""
+    from . import jobs
+    return present(jobs.series_trend_job(*series_tables(spark, d))[0])
+
+
+def q_series_unmatched(spark, d):
+    """Images without pixels or date, and pixels of images not listed."""
+    from . import jobs
+    return present(jobs.series_trend_job(*series_tables(spark, d))[1])
+
+
 # --- composite page reports ----------------------------------------------------------------
 
 def scene_env(spark, d) -> DataFrame:
@@ -470,7 +611,10 @@ def q_history_report(spark, d):
 
 def q_band_diagnostic(spark, d):
     from . import jobs
-    return present(jobs.band_diagnostic(*B.band_columns(spark, d)))
+    wide, bands = B.band_columns(spark, d)
+    # every fifth scene lacks its fourth band
+    wide = wide.withColumn("b4", F.when(F.col("scene_id") % 5 != 0, F.col("b4")))
+    return present(jobs.band_diagnostic(wide, bands))
 
 
 def q_yield_forest_from_labels(spark, d):
@@ -498,13 +642,23 @@ def q_yield_forest_from_labels(spark, d):
 def q_stream_scored_history(spark, d):
     path = stream.run_scored_history(spark, d, model=ndvi_yield_model(spark, d))
     # ingested_at is processing time: kept in the table, left out of the result
-    return present(spark.read.parquet(path).drop("ingested_at"))
+    return present(stream.read_history(spark, path, with_yield=True).drop("ingested_at"))
 
 
 def q_stream_latest_state(spark, d):
     return present(stream.read_latest_state(spark, stream.run_latest_state(spark, d)))
 
 
+def q_stream_trends(spark, d):
+    """A8, W2 on the stream: the events as several files, one micro-batch each, folded into
+    the mergeable state and compacted on the way."""
+    src = shared_path(spark, "event_files")
+    B.table(spark, d, "events").repartition(6, F.xxhash64("event_id")).write.parquet(src)
+    path = stream.run_latest_state(spark, src, file_glob="*.parquet", max_files_per_trigger=1,
+                                   compact_every=4)
+    return present(stream.read_trends(spark, path))
+
+
 QUERIES: dict[str, Query] = {
     "scene_health_report": q_scene_health_report,
     "health_class": q_health_class,
@@ -557,4 +711,14 @@ QUERIES: dict[str, Query] = {
     "band_diagnostic": q_band_diagnostic,
     "stream_scored_history": q_stream_scored_history,
     "stream_latest_state": q_stream_latest_state,
+    "stream_trends": q_stream_trends,
+    "failure_records": q_failure_records,
+    "economics_good_rows": q_economics_good_rows,
+    "labels_good_rows": q_labels_good_rows,
+    "roi_histogram_csv": q_roi_histogram_csv,
+    "tile_ndvi_stats": q_tile_ndvi_stats,
+    "ndvi_run_metrics": q_ndvi_run_metrics,
+    "series_trend": q_series_trend,
+    "series_unmatched": q_series_unmatched,
+    "yield_linear_versioned": q_yield_linear_versioned,
 }

@@ -34,3 +34,19 @@ EVENTS = T.StructType([
     T.StructField("value", T.DoubleType(), True),
     T.StructField("props", T.StringType(), True),
 ])
+
+# The scored history that the observation stream appends to.
+HISTORY_WITHOUT_YIELD = T.StructType([
+    T.StructField("field_id", T.LongType(), True),
+    T.StructField("event_id", T.LongType(), True),
+    T.StructField("ts", T.TimestampNTZType(), True),
+    T.StructField("ndvi", T.DoubleType(), True),
+    T.StructField("health_index", T.DoubleType(), True),
+    T.StructField("water_stress", T.DoubleType(), True),
+    T.StructField("risk_score", T.DoubleType(), True),
+    T.StructField("ingested_at", T.TimestampType(), True),
+    T.StructField("health_class", T.StringType(), True),
+    T.StructField("risk_class", T.StringType(), True),
+])
+HISTORY = T.StructType([*HISTORY_WITHOUT_YIELD.fields,
+                        T.StructField("predicted_yield", T.DoubleType(), True)])

@@ -7,12 +7,14 @@ selected, so file contents are never read; the path rules of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.paths import (base_name, date_text, is_ndvi_output, is_raster,
                                is_series_raster, ndvi_output_path, parent_name, parse_date_text)
+from . import commits
+from .checked import fullest_rows
 
 
 def _listing(spark: SparkSession, root: str, recursive: bool) -> DataFrame:
@@ -52,8 +54,15 @@ def series_images(listing: DataFrame, path: str = "path") -> DataFrame:
 
 
 def list_series(spark: SparkSession, root: str) -> DataFrame:
-    """S3 over a directory tree: ``root/<field>/<file>``, exactly one level deep."""
-    return series_images(_listing(spark, root.rstrip("/") + "/*/*.tif", recursive=False))
+    """S3 over a directory tree: ``root/<field>/<file>``, exactly one level deep. A tree
+    without such a file, or none at all, has no row."""
+    return series_images(_tree(spark, root.rstrip("/") + "/*/*.tif"))
+
+
+def _tree(spark: SparkSession, pattern: str) -> DataFrame:
+    if not commits.matches(spark, pattern):
+        return spark.createDataFrame([], "path string, length long, modificationTime timestamp")
+    return _listing(spark, pattern, recursive=False)
 
 
 def read_table_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -71,18 +80,12 @@ def read_label_sections(spark: SparkSession, path: str) -> DataFrame:
 
     Read with the widest (7-column) schema and no header: short rows are
     padded with NULL, header lines are dropped by their text. Repeated file
-    names keep their fullest row - a partially aggregated ``max`` over
-    (non-null count, values), so a name repeated many times never gathers
-    its copies in one task.
+    names keep their fullest row. A bad number is NULL here; ``checked`` reports it.
     """
     raw = (spark.read.schema(schemas.LABELS).option("header", False)
            .option("mode", "PERMISSIVE").csv(path))
     rows = raw.where(F.col("filename").isNotNull() & (F.col("filename") != "filename"))
-    value_cols = [f.name for f in schemas.LABELS.fields if f.name != "filename"]
-    filled = sum((F.col(c).isNotNull().cast("int") for c in value_cols), F.lit(0))
-    best = F.max(F.struct(filled.alias("_filled"), *[F.col(c) for c in value_cols]))
-    return (rows.groupBy("filename").agg(best.alias("_b"))
-            .select("filename", *[F.col(f"_b.{c}").alias(c) for c in value_cols]))
+    return fullest_rows(rows)
 
 
 def write_label_sections(short: DataFrame, wide: DataFrame, path: str) -> str:
@@ -104,8 +107,10 @@ def scene_bucket(scene, buckets: int = NDVI_BUCKETS):
 
 
 def write_ndvi(pixels: DataFrame, path: str, scene: str = "scene_id",
-               buckets: int = NDVI_BUCKETS) -> str:
-    """K1: NDVI pixels as Parquet, partitioned by a hash bucket of the scene.
+               buckets: int = NDVI_BUCKETS, observed: Observation | None = None) -> str:
+    """K1: NDVI pixels as Parquet, partitioned by a hash bucket of the scene. ``observed``
+    receives ``pixels`` and ``masked_pixels`` from the write itself (K7). A run without a
+    pixel leaves a table without rows.
 
     Partitioning by the scene itself would create one directory per scene
     (millions at scale). Rows are rebalanced by bucket first, so the number of
@@ -114,9 +119,15 @@ def write_ndvi(pixels: DataFrame, path: str, scene: str = "scene_id",
     table (a few hundred files each). Rows are sorted by scene within a file, so
     Parquet statistics let a single-scene read skip the rest.
     """
+    observed = observed or Observation()
+    masked = F.count_if("is_masked") if "is_masked" in pixels.columns else F.lit(0).cast("long")
     (pixels.withColumn("scene_bucket", scene_bucket(scene, buckets))
      .hint("rebalance", "scene_bucket").sortWithinPartitions("scene_bucket", scene)
+     .observe(observed, F.count(F.lit(1)).alias("pixels"), masked.alias("masked_pixels"))
      .write.mode("overwrite").partitionBy("scene_bucket").parquet(path))
+    if not observed.get["pixels"]:  # a file without rows tells readers the columns
+        (pixels.sparkSession.createDataFrame([], pixels.schema).coalesce(1)
+         .write.mode("overwrite").parquet(f"{path}/scene_bucket=0"))
     return path
 
 

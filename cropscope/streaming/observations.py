@@ -2,9 +2,10 @@
 
 T1 scores each arriving observation with the crop-health, stress and risk
 rules and appends it to the history table (file sink, exactly-once through
-its checkpoint). T2 keeps the running count and latest NDVI per field as
-streaming aggregation state (``max_by`` is algebraic, so state stays one row
-per field). Both run with ``trigger(availableNow=True)``: everything present
+its checkpoint). A file that is delivered again under another name adds
+nothing: event ids are remembered for a stated time. T2 folds each micro-batch
+into a mergeable state per field (``field_state``): count, latest NDVI, trends.
+Both run with ``trigger(availableNow=True)``: everything present
 is processed, then the query stops, which makes batch and stream comparable.
 Checkpoints and sinks live under the shared ``spark.checkpoint.dir``.
 """
@@ -21,6 +22,8 @@ from ..functions.ndvi import health_class, health_index
 from ..functions.rules import disease_risk_class, disease_risk_score, water_stress_climate
 from ..operators import models
 from ..session import shared_path
+from ..sources import commits
+from . import field_state
 
 
 def read_events_stream(spark: SparkSession, data_dir: str,
@@ -41,7 +44,7 @@ def observations_from_events(events: DataFrame) -> DataFrame:
 
 
 def score_observations(obs: DataFrame, params: dict | None = None,
-                       model: PipelineModel | None = None) -> DataFrame:
+                       model: PipelineModel | None = None, keep=()) -> DataFrame:
     """T1 projection: health, health class, climate stress and rule risk with
     one parameter set (the sidebar values; defaults when not given), and the yield a
     fitted model predicts (its features are ``ndvi`` and the parameters)."""
@@ -56,61 +59,75 @@ def score_observations(obs: DataFrame, params: dict | None = None,
     stress = water_stress_climate("ndvi", F.lit(p["temperature"]), F.lit(p["rainfall"]))
     score = disease_risk_score("ndvi", p["humidity"], p["leaf_wetness"], p["temperature"])
     return (obs.select("field_id", "event_id", "ts", "ndvi", h.alias("health_index"),
-                       stress.alias("water_stress"), score.alias("risk_score"), *extra)
+                       stress.alias("water_stress"), score.alias("risk_score"), *extra, *keep)
             .withColumn("health_class", health_class("health_index"))
             .withColumn("risk_class", disease_risk_class("risk_score")))
 
 
 def latest_state(obs: DataFrame) -> DataFrame:
-    """T2 aggregation: observations and latest NDVI per field."""
-    key = F.struct("ts", "event_id")
-    return obs.groupBy("field_id").agg(
-        F.count(F.lit(1)).alias("n_obs"),
-        F.max_by(F.struct("ts", "event_id", "ndvi"), key).alias("_l")
-    ).select("field_id", "n_obs", F.col("_l.ts").alias("ts"),
-             F.col("_l.event_id").alias("event_id"), F.col("_l.ndvi").alias("ndvi"))
+    """T2 in one batch: observations and latest NDVI per field."""
+    return field_state.latest(field_state.fold(obs))
+
+
+def once_per_event(obs: DataFrame, horizon: str = "7 days") -> DataFrame:
+    """Each event id once (T1, K6). An id is remembered for ``horizon`` of processing time
+    after it came, so no event is too late to be taken, however old its ``ts``; a delivery
+    repeated later than that is appended again. Rows without an id are told apart by
+    all their values."""
+    row = F.sha2(F.to_json(F.struct(*[c for c in obs.columns if c != "ingested_at"])), 256)
+    key = F.coalesce(F.col("event_id").cast("string"), F.concat(F.lit("row "), row))
+    return (obs.withColumn("_event", key).withWatermark("ingested_at", horizon)
+            .dropDuplicatesWithinWatermark(["_event"]).drop("_event"))
 
 
 def run_scored_history(spark: SparkSession, data_dir: str, out_path: str | None = None,
-                       params: dict | None = None, model: PipelineModel | None = None) -> str:
-    """T1 + K6: stream -> score -> append to a Parquet history table, with the
-    processing time in ``ingested_at`` (P32). Returns the table path once
+                       params: dict | None = None, model: PipelineModel | None = None,
+                       file_glob: str = "events.parquet", max_files_per_trigger: int | None = None,
+                       horizon: str = "7 days") -> str:
+    """T1 + K6: stream -> one row per event -> score -> append to a Parquet history table,
+    with the processing time in ``ingested_at`` (P32). Returns the table path once
     every available file is processed."""
     out_path = out_path or shared_path(spark, "history")
     ckpt = out_path.rstrip("/") + "_checkpoint"
-    scored = score_observations(observations_from_events(read_events_stream(spark, data_dir)),
-                                params, model).withColumn("ingested_at", F.current_timestamp())
+    events = read_events_stream(spark, data_dir, file_glob, max_files_per_trigger)
+    obs = once_per_event(observations_from_events(events).withColumn(
+        "ingested_at", F.current_timestamp()), horizon)
+    scored = score_observations(obs, params, model, keep=("ingested_at",))
     q = (scored.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out_path))
     q.awaitTermination()
     return out_path
 
 
-def run_latest_state(spark: SparkSession, data_dir: str, out_path: str | None = None) -> str:
-    """The fields that a micro-batch changed, written to a folder of their own per
-    epoch (update mode); nothing a reader sees is ever overwritten. An epoch counts once
-    its number is in ``<out>_commits``, so a restart between write and commit is unseen
-    and its epoch is simply written again."""
-    out_path = out_path or shared_path(spark, "latest_state")
-    ckpt = out_path.rstrip("/") + "_checkpoint"
-    agg = latest_state(observations_from_events(read_events_stream(spark, data_dir)))
+def read_history(spark: SparkSession, path: str, with_yield: bool = False) -> DataFrame:
+    """The history table; empty when no file has come yet."""
+    kind = schemas.HISTORY if with_yield else schemas.HISTORY_WITHOUT_YIELD
+    if not commits.names(spark, path):
+        return spark.createDataFrame([], kind)
+    return spark.read.schema(kind).parquet(path)
 
-    def write_batch(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch}")
-        (batch.sparkSession.range(1).select(F.lit(epoch).cast("long").alias("epoch"))
-         .write.mode("overwrite").parquet(f"{out_path}_commits/of={epoch}"))
 
-    q = (agg.writeStream.outputMode("update").foreachBatch(write_batch)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+def run_latest_state(spark: SparkSession, data_dir: str, out_path: str | None = None,
+                     file_glob: str = "events.parquet", max_files_per_trigger: int | None = None,
+                     compact_every: int = 10) -> str:
+    """Every micro-batch folded into the state table at ``out_path`` (its path is
+    returned). Nothing a reader sees is ever overwritten with other content."""
+    out_path = out_path or shared_path(spark, "latest_state")
+    obs = observations_from_events(
+        read_events_stream(spark, data_dir, file_glob, max_files_per_trigger))
+    q = (obs.writeStream
+         .foreachBatch(lambda b, n: field_state.write_epoch(b, n, out_path, compact_every))
+         .option("checkpointLocation", out_path.rstrip("/") + "_checkpoint")
+         .trigger(availableNow=True).start())
     q.awaitTermination()
     return out_path
 
 
 def read_latest_state(spark: SparkSession, path: str) -> DataFrame:
-    """The state after the last committed epoch: each field's row of its newest one."""
-    commits = spark.read.parquet(f"{path}_commits").select("epoch")
-    rows = spark.read.parquet(path).withColumn("epoch", F.col("epoch").cast("long"))
-    cols = [c for c in rows.columns if c not in ("epoch", "field_id")]
-    newest = F.max_by(F.struct(*cols), "epoch").alias("_s")
-    return (rows.join(commits, "epoch", "left_semi").groupBy("field_id").agg(newest)
-            .select("field_id", *[F.col(f"_s.{c}").alias(c) for c in cols]))
+    """Count and latest observation per field after the last committed epoch."""
+    return field_state.latest(field_state.read(spark, path))
+
+
+def read_trends(spark: SparkSession, path: str) -> DataFrame:
+    """A8, W2 on the stream: yearly trends per field after the last committed epoch."""
+    return field_state.trends(field_state.read(spark, path))

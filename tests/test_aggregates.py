@@ -20,7 +20,8 @@ def _median_check(spark, data):
     for k, v in data:
         if v is not None:
             groups.setdefault(k, []).append(v)
-    assert set(got) == set(groups)
+    assert set(got) == {k for k, _ in data}
+    assert all(got[k].n == 0 and got[k].median is None for k in set(got) - set(groups))
     for k, vals in groups.items():
         a = np.array(vals)
         r = got[k]
@@ -251,3 +252,25 @@ def test_metric_tables(spark):
                  ("Std Dev", "0.2000"), ("Healthy Pixels", "62.5%")]
     b = [r.Metric for r in scene.metric_table(stats).orderBy("position").collect()]
     assert b == ["Minimum", "Maximum", "Mean", "Median", "Std Dev"]
+
+
+def test_scene_of_null_pixels_is_kept(spark):
+    """A3: a scene without a value has 0 pixels and NULL statistics on both paths."""
+    df = spark.createDataFrame([(1, 0.5), (1, None), (1, 0.1), (2, None), (2, None)],
+                               "scene_id long, ndvi double")
+    for approximate in (False, True):
+        got = {r.scene_id: r for r in scene.scene_ndvi_stats_with_median(
+            df, approximate=approximate).collect()}
+        assert (got[2].pixels, got[2].mean_ndvi, got[2].median_ndvi, got[2].std_ndvi) == (0, None, None, None)
+        assert got[1].pixels == 2 and got[1].mean_ndvi == pytest.approx(0.3)
+    exact = {r.scene_id: r.median_ndvi for r in scene.scene_ndvi_stats_with_median(df).collect()}
+    assert exact == {1: pytest.approx(0.3), 2: None}
+
+
+def test_band_count_is_that_of_the_scene(spark):
+    rows = [(1, 0, 0, 1.0, 2.0, 3.0), (1, 0, 1, 2.0, None, 4.0), (2, 0, 0, 1.0, None, float("nan")),
+            (3, 0, 0, None, None, None)]
+    df = spark.createDataFrame(rows, "scene_id long, pixel_row int, pixel_col int, a double, b double, c double")
+    got = scene.band_stats_wide(df, {1: "a", 2: "b", 3: "c"}, header=("pixel_row", "pixel_col")).collect()
+    assert {(r.scene_id, r.band): r.band_count for r in got} == {
+        (1, 1): 3, (1, 2): 3, (1, 3): 3, (2, 1): 2, (2, 3): 2}

@@ -50,3 +50,23 @@ def test_scoring_keeps_rows_with_missing_features(spark):
     rows = spark.createDataFrame([(1, 0.5), (2, None), (3, float("nan"))], "k int, mean_ndvi double")
     got = {r.k: r.prediction for r in models.score(model, rows, ["k"]).collect()}
     assert got[1] == pytest.approx(1.5) and got[2] is None and got[3] is None
+
+
+def test_reader_gets_the_last_committed_version(spark):
+    from cropscope.session import shared_path
+    df = spark.createDataFrame([(0.1, 1.0), (0.2, 2.0), (0.3, 3.0)], "ndvi double, yield double")
+    make = lambda k: models.fit(models.linear_yield_pipeline(["ndvi"]),
+                                df.withColumn("yield", df["yield"] * k))
+    at = lambda m: round(models.score(m, df, ["ndvi"]).first().prediction, 6)
+    root = shared_path(spark, "model_store")
+    with pytest.raises(FileNotFoundError):
+        models.load_version(spark, root)
+    assert models.save_version(spark, make(1.0), root) == 1
+    assert models.save_version(spark, make(2.0), root) == 2
+    make(9.0).write().save(f"{root}/v=3")              # a save that broke off before its record
+    assert at(models.load_version(spark, root)) == 2.0
+    assert at(models.load_version(spark, root, 1)) == 1.0
+    assert models.save_version(spark, make(4.0), root) == 4
+    assert at(models.load_version(spark, root)) == 4.0
+    with pytest.raises(FileNotFoundError):
+        models.load_version(spark, root, 3)

@@ -10,7 +10,8 @@ from cropscope.plans import queries as Q
 LAZY = [k for k in QUERIES if k not in {
     "ndvi_masked_stats", "roi_histogram", "label_sections", "ndvi_batch_output", "ndvi_batch_job",
     "yield_linear_1", "yield_linear_5", "yield_forest", "disease_forest", "yield_forest_step",
-    "disease_forest_step", "stream_scored_history", "stream_latest_state"}]
+    "disease_forest_step", "stream_scored_history", "stream_latest_state", "stream_trends",
+    "tile_ndvi_stats", "ndvi_run_metrics", "yield_linear_versioned"}]
 
 
 def plan(df) -> str:
@@ -50,7 +51,7 @@ def test_trend_reuses_image_partitioning(spark):
 
 def test_latest_is_an_aggregate_not_a_window(spark):
     p = plan(QUERIES["latest_observation"](spark, SF_SMALL))
-    assert "partial_max_by" in p and "Window" not in p
+    assert "partial_max_by" in p and "Window" not in p and "SortAggregate" not in p
 
 
 def test_scenarios_meet_their_field_by_one_equi_join(spark):
@@ -66,3 +67,13 @@ def test_stress_counts_scan_once(spark):
 def test_exact_median_uses_no_holistic_aggregate(spark):
     p = plan(QUERIES["ndvi_masked_stats"](spark, SF_SMALL))
     assert "percentile(" not in p and "median(" not in p
+
+
+def test_scene_header_sorts_no_pixel(spark):
+    p = plan(QUERIES["scene_metadata"](spark, SF_SMALL))
+    assert "SortAggregate" not in p and "Sort " not in p
+
+
+def test_year_trend_shuffles_once(spark):
+    p = plan(QUERIES["trend_per_year"](spark, SF_SMALL))
+    assert p.count("Exchange") == 1 and "Window" not in p and "SortAggregate" not in p

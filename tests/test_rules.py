@@ -158,6 +158,24 @@ def test_formatting(spark):
         [f"{x:.1%}" for x in ties]
 
 
+def test_number_text_rounds_the_binary_value(spark):
+    import random
+
+    from cropscope.functions import formatting as fmt
+    rng = random.Random(3)
+    xs = [1.005, 0.00015, 2.675, 0.125, 0.375, -0.125, 0.5, 2.5, -0.001, -0.0, 0.0, 1e15, 123456789.125,
+          NAN, float("inf"), float("-inf"), 0.99995, 9.9999999, 1e-300]
+    xs += [rng.uniform(-10, 10) for _ in range(300)]
+    xs += [rng.randrange(-10**6, 10**6) / 10 ** rng.randrange(1, 7) for _ in range(500)]
+    xs += [(2 * rng.randrange(10**5) + 1) / 2 ** rng.randrange(1, 12) for _ in range(200)]
+    frame = spark.createDataFrame([(float(x),) for x in xs], "x double")
+    got = frame.select("x", fmt.fixed("x").alias("f"), fmt.money("x").alias("m"),
+                       fmt.percent("x").alias("p")).collect()
+    assert [(r.f, r.m, r.p) for r in got] == [(f"{x:.4f}", f"${x:.2f}", f"{x:.1%}") for x in xs]
+    none = spark.createDataFrame([(None,)], "x double").select(fmt.money("x").alias("m")).first()
+    assert none.m is None
+
+
 @pytest.mark.parametrize("bad", [None, NAN])
 def test_null_and_nan_in_every_numeric_input(spark, bad):
     """Each input of each rule set to NULL or NaN in turn: no error; NULL in gives

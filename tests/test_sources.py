@@ -6,7 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from cropscope.functions import paths as P
-from cropscope.sources import files
+from cropscope.sources import checked, files
 
 # Two sections with different headers stacked in one file.
 LABELS_CSV = """filename,yield
@@ -119,3 +119,74 @@ def test_ndvi_read_by_a_table_of_scenes(spark):
     path = files.write_ndvi(df, shared_path(spark, "test_ndvi_semi"))
     wanted = spark.range(0, 100, 3).select(F.col("id").alias("scene_id"))
     assert files.read_ndvi(spark, path, scene_ids=wanted).count() == 34
+
+
+def test_series_of_an_empty_tree(spark):
+    root = tempfile.mkdtemp(prefix="series-")
+    for tree in (root, root + "/missing"):
+        got = files.list_series(spark, tree)
+        assert got.count() == 0 and "capture_date" in got.columns
+
+
+# --- failure records ------------------------------------------------------------------
+
+def reasons(bad):
+    return sorted((r.key, r.stage, r.name, r.value, r.reason) for r in bad.collect())
+
+
+def test_csv_failures_are_recorded(spark):
+    from cropscope import schemas
+    d = tempfile.mkdtemp(prefix="bad-")
+    with open(os.path.join(d, "y.csv"), "w") as fh:
+        fh.write("field_id,yield,fertilizer_cost\na,1.5,10\nb,x,20\nc,,\nd,1\ne,1,2,3\nf,NaN,1e3\ng,x,y\n")
+    good, bad = checked.read_table_csv(spark, d, schemas.YIELDS, "field_id")
+    assert sorted(r.field_id for r in good.collect()) == ["a", "c", "f"]
+    assert [f.dataType.simpleString() for f in good.schema] == ["string", "double", "double"]
+    assert reasons(bad) == [
+        ("b", "parse", "yield", "x", "not a double"),
+        ("d", "read", None, "d,1", "wrong number of columns"),
+        ("e", "read", None, "e,1,2,3", "wrong number of columns"),
+        ("g", "parse", "fertilizer_cost", "y", "not a double"),
+        ("g", "parse", "yield", "x", "not a double")]
+    assert all(r.source.endswith("y.csv") for r in bad.collect())
+    plain = files.read_table_csv(spark, d, schemas.YIELDS).where("field_id in ('a', 'c', 'f')")
+    assert good.count() == plain.count() and good.exceptAll(plain).count() == 0
+
+
+def test_label_failures_are_recorded(spark):
+    d = tempfile.mkdtemp(prefix="labels-")
+    with open(os.path.join(d, "labels.csv"), "w") as fh:
+        fh.write(LABELS_CSV + "plot_d.tif,2,wet,1,1,1,Hill\nplot_e.tif,two\n"
+                 "plot_f.tif,1,2,3,4,5,Hill,extra\n")
+    good, bad = checked.read_label_sections(spark, d)
+    assert good.exceptAll(files.read_label_sections(spark, d).where(
+        "filename not in ('plot_d.tif', 'plot_e.tif', 'plot_f.tif')")).count() == 0
+    assert good.count() == 3
+    assert reasons(bad) == [
+        ("plot_d.tif", "parse", "rainfall", "wet", "not a double"),
+        ("plot_e.tif", "parse", "yield", "two", "not a double"),
+        ("plot_f.tif", "read", None, "plot_f.tif,1,2,3,4,5,Hill,extra", "wrong number of columns")]
+
+
+def test_unreadable_files_are_recorded(spark):
+    d = tempfile.mkdtemp(prefix="files-")
+    spark.createDataFrame([(1, 2.0)], "a long, b double").coalesce(1).write.parquet(d + "/ok dir")
+    spark.createDataFrame([], "a long, b double").coalesce(1).write.parquet(d + "/none")
+    with open(os.path.join(d, "ok dir", "bad.parquet"), "wb") as fh:
+        fh.write(b"PAR1 nonsense")
+    rows, bad = checked.read_files(spark, d + "/*", "a long, b double")
+    assert [(r.a, r.b) for r in rows.collect()] == [(1, 2.0)]
+    got = {(r.key.split("-")[0], r.stage, r.reason) for r in bad.collect()}
+    assert got == {("bad.parquet", "read", "no readable row"), ("part", "read", "no readable row")}
+
+
+def test_image_failures(spark):
+    nan = float("nan")
+    rows = [(1, 1, 0.1), (1, 2, 0.2), (2, 1, 0.1), (3, 3, None), (3, 4, nan), (4, 3, nan), (4, 3, 1.0),
+            (4, 4, 1.0), (5, 4, 1.0), (5, 8, None)]
+    got = checked.image_failures(spark.createDataFrame(rows, "scene_id long, band int, value double"))
+    assert reasons(got) == [
+        ("2", "bands", "band_count", "1", "no red and near-infrared band"),
+        ("3", "bands", "band", "3", "band without a number"),
+        ("3", "bands", "band", "4", "band without a number"),
+        ("5", "bands", "band", "8", "band without a number")]
