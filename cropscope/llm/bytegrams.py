@@ -39,6 +39,17 @@ class Words:
         self.word = np.cumsum(self.sep) - 1  # of the bytes between separators
         self.n = int(self.sep.sum()) - 1
 
+    @classmethod
+    def each(cls, words: list[bytes]) -> "Words":
+        """Words given one by one, as runs of kept bytes."""
+        self = cls.__new__(cls)
+        self.data = np.frombuffer(b" " + b"".join(w + b" " for w in words), np.uint8)
+        self.sep = self.data == SEP
+        self.word = np.cumsum(self.sep) - 1
+        self.n = len(words)
+        self.doc_words = np.ones(self.n, np.int64)
+        return self
+
     def grams(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash, word number) of every ``width``-gram that crosses no word edge inside;
         ascending by word."""
@@ -74,3 +85,19 @@ def windows(doc_words: np.ndarray, width: int, hop: int
     base = np.cumsum(doc_words) - doc_words
     first = base[doc] + nth * hop
     return first, np.minimum(first + width, base[doc] + doc_words[doc]), doc
+
+
+class Numbers(dict):
+    """Numbers words in the order they first come."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
+def numbered(texts: list[str | None], keep: np.ndarray, number: Numbers
+             ) -> tuple[np.ndarray, np.ndarray]:
+    """(words of each text, number of every word in text order)."""
+    words = Words(texts, keep)
+    each = words.data.tobytes().split()
+    return words.doc_words, np.fromiter(map(number.__getitem__, each), np.int32, len(each))

@@ -46,10 +46,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(taken: list[str], name: str) -> str:
+    """``name``, with underscores before it until no column of ``taken`` has it (in any case)."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name = "_" + name
+    return name
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def part_labels(spark: SparkSession, parts: int) -> list[int]:
+    """For each of ``parts`` shuffle partitions a number that Spark's hash sends there, so
+    that groups and partitions match one to one."""
+    got: dict[int, int] = {}
+    at = 0
+    while len(got) < parts:
+        step = 16 * parts
+        for r in (spark.range(at, at + step).select("id", F.pmod(F.hash("id"), F.lit(parts))
+                                                    .alias("p"))
+                  .groupBy("p").agg(F.min("id").alias("id")).collect()):
+            got.setdefault(r["p"], r["id"])
+        at += step
+    return [got[p] for p in range(parts)]
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only; the plain ``lower`` serves pure ASCII text."""
     return (F.when(F.octet_length(c) == F.char_length(c), F.lower(c))
@@ -146,12 +169,13 @@ def crc_fold(doc_id: int, folds: int) -> int:
 
 # --- bounded training samples -------------------------------------------------------
 
-def labelled_sample(docs: DataFrame, labels: DataFrame | None, label_col: str, *,
-                    id_col: str, text_col: str, folds: int, held_fold: int,
-                    per_class: int | dict, most_bytes: int) -> tuple[list[tuple], dict]:
-    """At most ``per_class`` (label, text) rows per label value (a number, or one for each
-    value), the ones with the smallest id hash, outside ``held_fold``; together at most ``most_bytes`` of text.
-    Also the count of labelled rows per value over all of them.
+def labelled_rows(docs: DataFrame, labels: DataFrame | None, label_col: str, *,
+                  id_col: str, text_col: str, folds: int, held_fold: int,
+                  per_class: int | dict, most_bytes: int) -> tuple[DataFrame | None, dict]:
+    """At most ``per_class`` rows per label value (a number, or one for each value), the ones
+    with the smallest id hash, outside ``held_fold``; together at most ``most_bytes`` of text.
+    A written table (_y, _at, _text), ``_at`` counting from 1 in each value; None without
+    labels. Also the count of labelled rows per value over all of them.
 
     Each value has an equal part of ``most_bytes`` (its room, in characters). Texts longer
     than a sixteenth of the room come after all others, shortest first, so a long text
@@ -160,7 +184,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame | None, label_col: str, *
 
     ``labels`` None reads the label from ``docs`` itself. The counts are taken on
     all rows; they turn the bound into a hash threshold per value, so no class is
-    ever gathered whole.
+    ever gathered whole, and one scan of the texts serves all values. Only values that it
+    leaves short are looked for again.
     """
     src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
                       *([F.col(label_col).alias("_y")] if labels is None else []))
@@ -174,44 +199,69 @@ def labelled_sample(docs: DataFrame, labels: DataFrame | None, label_col: str, *
                  .distinct())
     count = {r["_y"]: r["n"] for r in keyed.groupBy("_y").agg(F.count("*").alias("n")).collect()}
     if not count:
-        return [], {}
+        return None, {}
     unit = F.pmod(F.xxhash64(F.lit(11), "_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     most = {y: per_class[y] if isinstance(per_class, dict) else per_class for y in count}
     room = most_bytes // len(count)
     size = F.char_length("_text")
     late = F.when(size > room // 16, size).otherwise(0)
 
-    def rows(y, share: float) -> DataFrame:
-        mine = keyed.where(F.col("_y") == F.lit(y))
-        if share < 1:
-            mine = mine.where(unit < share)
+    def per_value(values: dict) -> Column:
+        return F.element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]),
+                            F.col("_y"))
+
+    def rows(share: dict) -> DataFrame:
+        mine = keyed.where(F.col("_y").isin(list(share)) & (unit < per_value(share)))
         if labels is not None:
             mine = mine.join(src, "_id")
         return mine.withColumn("_text", F.coalesce("_text", F.lit("")))
 
-    def chosen(y, share: float) -> list[str]:
-        best = (rows(y, share).where(size <= room).select("_id", "_y", "_text", late.alias("_late"),
-                                                          unit.alias("_unit"))
-                .orderBy("_late", "_unit", "_id").limit(most[y]))
-        upto = Window.partitionBy("_y").orderBy("_late", "_unit", "_id").rowsBetween(
-            Window.unboundedPreceding, 0)
-        return [r["_text"] for r in best.withColumn("_sum", F.sum(size).over(upto))
-                .where(F.col("_sum") <= room).orderBy("_late", "_unit", "_id")
-                .select("_text").collect()]
-
-    out: list[tuple] = []
-    for y in sorted(count):
-        share = min(1.0, 1.2 * most[y] / count[y])
-        got = chosen(y, share)
-        if share < 1 and len(got) < most[y] and 2 * sum(map(len, got)) < room:
-            got = chosen(y, 1.0)  # rows set aside for their length left both bounds open
-        if not any(t.strip() for t in got):
-            got += [r["_text"] for r in rows(y, 1.0).where(F.col("_text").rlike(r"\S"))
-                    .orderBy(size, unit, "_id").limit(1).select("_text").collect()]
-        out += [(y, t) for t in got]
+    def chosen(share: dict) -> DataFrame:
+        best = Window.partitionBy("_y").orderBy("_late", "_unit", "_id")
+        ranked = (rows(share).where(size <= room)
+                  .select("_id", "_y", "_text", late.alias("_late"), unit.alias("_unit"))
+                  .withColumn("_at", F.row_number().over(best)))
+        bounds = F.lit(False)
+        for y in share:  # a plain bound on the rank lets tasks drop rows before the shuffle
+            bounds = bounds | ((F.col("_y") == F.lit(y)) & (F.col("_at") <= most[y]))
+        return stored(ranked.where((F.col("_at") <= max(most.values())) & bounds)
+                      .withColumn("_sum", F.sum(size).over(best.rowsBetween(
+                          Window.unboundedPreceding, 0)))
+                      .where(F.col("_sum") <= room).select("_y", "_at", "_text"), "sample")
+
+    def found(df: DataFrame) -> dict:
+        return {r["_y"]: r for r in df.groupBy("_y").agg(
+            F.count("*").alias("n"), F.sum(size).alias("chars"),
+            F.max(F.col("_text").rlike(r"\S")).alias("some")).collect()}
+
+    share = {y: min(1.0, 1.2 * most[y] / count[y]) for y in count}
+    out = chosen(share)
+    have = found(out)
+    n, chars = (lambda y: have[y]["n"] if y in have else 0), (lambda y: have[y]["chars"] if y in have else 0)
+    again = {y: 1.0 for y in count if share[y] < 1 and n(y) < most[y] and 2 * chars(y) < room}
+    if again:  # rows set aside for their length left both bounds open
+        more = chosen(again)
+        out = out.where(~F.col("_y").isin(list(again))).unionByName(more)
+        have = {**{y: h for y, h in have.items() if y not in again}, **found(more)}
+    blank = {y: 1.0 for y in count if not (y in have and have[y]["some"])}
+    if blank:
+        shortest = Window.partitionBy("_y").orderBy(size, unit, "_id")
+        more = (rows(blank).where(F.col("_text").rlike(r"\S"))
+                .withColumn("_first", F.row_number().over(shortest)).where(F.col("_first") == 1)
+                .select("_y", F.lit(max(most.values()) + 1).alias("_at"), "_text"))
+        out = out.unionByName(stored(more, "sample"))
     return out, count
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame | None, label_col: str, **bounds
+                    ) -> tuple[list[tuple], dict]:
+    """The (label, text) pairs of :func:`labelled_rows` on the driver, in order."""
+    rows, count = labelled_rows(docs, labels, label_col, **bounds)
+    if rows is None:
+        return [], count
+    return [(r["_y"], r["_text"]) for r in rows.orderBy("_y", "_at").collect()], count
+
+
 # --- fixed-size filter over 64-bit hashes -------------------------------------------
 
 FILTER_BITS = 23  # 2**23 bits are 1 MB, whatever the data's size
