@@ -741,6 +741,12 @@ FROM means WHERE path NOT IN (SELECT path FROM images)"""
 SQL["yield_linear_versioned"] = SQL["yield_linear_1"].replace(
     "SELECT scene_id, round(i", "SELECT CAST(2 AS BIGINT) AS version, scene_id, round(i")
 
+SQL["yield_forest_from_labels"] = _with(SCENE_LABELS, CLIMATE) + """
+SELECT CAST(scene_id AS VARCHAR) || '_NDVI.tif' AS filename,
+       CASE WHEN s_acctbal > 0 THEN CAST(rainfall > 165 AS VARCHAR) END AS high_yield
+FROM scene_labels l JOIN supplier ON s_suppkey = scene_id
+                    JOIN climate c ON l.nation_id = c.nation_id"""
+
 SQL["roi_histogram_csv"] = SQL["roi_histogram"]
 
 SQL["stream_trends"] = _with(OBSERVATIONS, """first_ten AS (SELECT * FROM (

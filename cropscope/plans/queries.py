@@ -620,10 +620,13 @@ def q_band_diagnostic(spark, d):
 def q_yield_forest_from_labels(spark, d):
     """G6 end to end: stacked label file (S7) -> join with per-scene features on
     the file name (J1) -> region index + forest (M1-M3, M7) -> save (K3) ->
-    load (S9) -> score (M9). Labels without environment values do not train; they are in
-    the result with a NULL prediction."""
+    load (S9) -> score (M9). The labels step with the rainfall, so the prediction's side of
+    the step can be told. Labels without environment values do not train; they are in
+    the result with NULL."""
     from . import jobs
     short, wide = label_frames(spark, d)
+    short = short.withColumn("yield", F.lit(1.0))
+    wide = wide.withColumn("yield", F.when(F.col("rainfall") > 165.0, 3.0).otherwise(1.0))
     labels = files.read_label_sections(spark, files.write_label_sections(
         short, wide, shared_path(spark, "labels_for_training")))
     stats = scene.scene_ndvi_stats(scene.with_ndvi_guarded(B.band_samples(spark, d)))
@@ -634,7 +637,8 @@ def q_yield_forest_from_labels(spark, d):
     jobs.training_job(feats, labels, path, key="filename")
     scored = models.score(models.load(path), feats.join(labels, "filename", "inner"),
                           ["filename"])
-    return present(scored)
+    high = F.when(F.col("prediction").isNotNull(), (F.col("prediction") > 2.0).cast("string"))
+    return present(scored.select("filename", high.alias("high_yield")))
 
 
 # --- streaming ---------------------------------------------------------------------------
