@@ -17,7 +17,8 @@ Shingles are ``width`` words, A-Z lower-cased. Defined cases: an item or documen
 fewer words is one shingle, its whole sequence, so a short item is found only as such a
 whole text; null and empty texts have none and never match; rows sharing a document id
 are searched as one document; rows sharing an item id are separate items reported by
-their best match; null ids are left out; equal items all match.
+their best match; null ids are left out; equal items all match; an empty table on either
+side gives no row; a very long text is cut into blocks and searched whole.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from .common import (
     HashCache,
     hash_filter,
+    importable,
     maybe_in,
     mix64,
     pieces,
@@ -148,6 +150,7 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     """(_doc, _item, _n, _shared, _containment) for every item of whose shingles at least
     ``percent`` % lie in the document."""
     spark = docs.sparkSession
+    importable(spark)
     item_rows = stored(_item_rows(items, item_col, item_text_col, width), "items")
     classes = sorted(r["_cls"] for r in item_rows.select("_cls").distinct().collect())
     sketches = item_rows.where("_kind = 0").select("_row", "_key")

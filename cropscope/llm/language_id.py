@@ -10,7 +10,8 @@ rows; prediction reads whole texts.
 Defined cases: a null text and a text without letters get ``und`` with score 0; with
 no labelled rows at all every text does. Null labels and ids do not teach; ties go to
 the language first in sorted order. ``rejected`` marks far texts, whose nearest
-language is still reported.
+language is still reported. Rows that share an id are predicted separately; a very long text
+is read whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .bytegrams import Words, separators
-from .common import crc_fold, labelled_sample, pieces
+from .common import crc_fold, importable, labelled_sample, pieces
 
 DIMS = 1 << 13
 CENTROIDS = 4
@@ -114,6 +115,7 @@ def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       per_class: int = 400, most_bytes: int = 16 << 20) -> DataFrame:
     """(id, held_out, lang_pred, score, rejected) for every row; the training bound is
     ``per_class`` rows per language and ``most_bytes`` of text."""
+    importable(docs.sparkSession)
     sample, _ = labelled_sample(docs, None, label_col, id_col=id_col, text_col=text_col,
                                 folds=folds, held_fold=held_fold, per_class=per_class,
                                 most_bytes=most_bytes)

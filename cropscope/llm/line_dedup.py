@@ -12,7 +12,9 @@ document counts as one document; in the keeping document all its copies stay; a
 document that loses every line keeps ``''``; an empty table gives an empty
 result; rows with a null id are ignored as holders and keep every line; rows
 that share an id count as one document for the counting, and each has its own
-line numbers (bitmaps are told apart by a hash of the text).
+line numbers (bitmaps are told apart by a hash of the text); a very long text is split
+whole, and a line of any length is one line. Columns whose names clash with those added are
+kept if other ``names`` are given.
 """
 
 from __future__ import annotations
@@ -20,7 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, ascii_lower, shuffle_partitions, stored
+from .common import SPACE, ascii_lower, fresh, shuffle_partitions, stored
+
+NAMES = ("_n_lines", "_n_dropped", "_kept")
 
 
 def lines_of(text: Column) -> Column:
@@ -75,34 +79,37 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_n_lines``, ``_n_dropped`` and ``_kept`` (the text that stays)."""
+                  text_col: str = "text", names=NAMES) -> DataFrame:
+    """``docs`` with three columns more, ``names``: lines, dropped lines and the text that
+    stays. They may be any that ``docs`` has not; its own columns are left as they are."""
     lines = lines_of(F.col(text_col))
-    b = bitmaps.select(F.col(id_col).alias("_b_id"), F.col("tag").alias("_b_tag"),
-                       F.col("dropped").alias("_dropped"))
-    joined = docs.join(b, (F.col(id_col) == F.col("_b_id"))
-                       & (F.xxhash64(text_col) == F.col("_b_tag")), "left").drop("_b_id", "_b_tag")
+    b_id, b_tag, dropped = (fresh([*docs.columns, *names], c) for c in ("_b_id", "_b_tag", "_dropped"))
+    b = bitmaps.select(F.col(id_col).alias(b_id), F.col("tag").alias(b_tag),
+                       F.col("dropped").alias(dropped))
+    joined = docs.join(b, (F.col(id_col) == F.col(b_id))
+                       & (F.xxhash64(text_col) == F.col(b_tag)), "left").drop(b_id, b_tag)
     n_lines = F.size(lines).cast("long")
     # kept stretches lie between the dropped runs; slices keep this linear
-    bounds = F.concat(F.col("_dropped"), F.array(F.struct(F.size(lines).alias("first"),
-                                                          F.lit(0).alias("len"))))
-    before = F.concat(F.array(F.lit(0)), F.transform("_dropped", lambda r: r["first"] + r["len"]))
+    bounds = F.concat(F.col(dropped), F.array(F.struct(F.size(lines).alias("first"),
+                                                       F.lit(0).alias("len"))))
+    before = F.concat(F.array(F.lit(0)), F.transform(dropped, lambda r: r["first"] + r["len"]))
     gaps = F.zip_with(before, bounds, lambda s, r: F.struct(s.alias("s"),
                                                             (r["first"] - s).alias("n")))
-    staged = joined.withColumn("_n_lines", n_lines).withColumn(
-        "_n_dropped", F.coalesce(F.aggregate("_dropped", F.lit(0).cast("long"),
-                                             lambda a, r: a + r["len"]), F.lit(0).cast("long")))
+    staged = joined.withColumn(names[0], n_lines).withColumn(
+        names[1], F.coalesce(F.aggregate(dropped, F.lit(0).cast("long"),
+                                         lambda a, r: a + r["len"]), F.lit(0).cast("long")))
     # text between two line numbers: cut the array once per gap
-    return staged.withColumn("_kept", F.when(
-        F.col("_dropped").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(
+    return staged.withColumn(names[2], F.when(
+        F.col(dropped).isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(
         F.array_join(F.flatten(F.zip_with(
             F.array_repeat(lines, 1), F.array(gaps), lambda ls, gs: F.flatten(F.transform(
                 F.filter(gs, lambda g: g["n"] > 0),
-                lambda g: F.slice(ls, g["s"] + 1, g["n"]))))), "\n"))).drop("_dropped")
+                lambda g: F.slice(ls, g["s"] + 1, g["n"]))))), "\n"))).drop(dropped)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """``docs`` plus ``_n_lines``, ``_n_dropped`` and ``_kept``."""
-    return apply_bitmaps(docs, keep_bitmaps(docs, id_col, text_col, min_chars, min_docs),
-                         id_col, text_col)
+                min_chars: int = 20, min_docs: int = 3, names=NAMES) -> DataFrame:
+    """``docs`` plus ``_n_lines``, ``_n_dropped`` and ``_kept``, or other ``names``."""
+    narrow = docs.select(id_col, text_col)
+    return apply_bitmaps(docs, keep_bitmaps(narrow, id_col, text_col, min_chars, min_docs),
+                         id_col, text_col, names)

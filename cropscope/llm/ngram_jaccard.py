@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from .common import (
     HashCache,
     hash_filter,
+    importable,
     maybe_in,
     mix64,
     pieces,
@@ -79,7 +80,7 @@ def sketch_difference(x: bytes, y: bytes) -> int:
 
 
 def fingerprint(h: np.ndarray) -> int:
-    """64-bit id of a set (its size is compared as well)."""
+    """64-bit id of a set, of its shingles and their number."""
     with np.errstate(over="ignore"):
         a = mix64(h).sum(dtype=np.uint64) + np.uint64(len(h))
         b = np.bitwise_xor.reduce(mix64(h + np.uint64(0x632BE59BD9B4E019)))
@@ -351,6 +352,7 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      width: int = 3, percent: int = 90) -> DataFrame:
     """(_id, _n, _set, _component) per document: set size, class of equal sets and the
     smallest id reachable by links."""
+    importable(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_t"))
     rows = stored(_sets_and_counts(src, width), "sets_and_counts")
     own = rows.where("_kind = 0").select("_id", "_n", "_set")

@@ -10,7 +10,8 @@ The one open bin per class that then remains (a fixed number of bins) is placed
 first-fit by decreasing length.
 
 Defined cases: null and empty texts are their end token alone; rows that share an id
-are packed as separate documents; an empty table packs nothing.
+are packed as separate documents, a null id is kept; an empty table packs nothing; a very
+long text is encoded whole and cut into as many pieces as it needs.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from .common import pieces
+from .common import importable, pieces
 from .tokens import encode, vocabulary_paths
 
 _SCHEMA = ("_id long, _start long, _length long, _doc_tokens long, _tokens binary, "
@@ -92,6 +93,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per piece: ``_id, _start, _length, _doc_tokens, _tokens`` (little-endian
     uint32 ids), ``_sequence, _offset``. Sequences hold at most ``capacity`` tokens."""
     spark = docs.sparkSession
+    importable(spark)
     paths = paths or vocabulary_paths()
     path = shared_path(spark, "llm", "packed")
     (docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))

@@ -8,7 +8,8 @@ of the risk falls below zero the step ascends it instead, which stops overfittin
 
 The inputs of a score are character and word statistics of the whole text. Defined
 cases: empty and null text score 0; without positives or without text every score is
-the prior (0 with no labels); null labels or ids do not teach.
+the prior (0 with no labels); null labels or ids do not teach; rows that share an id are
+scored separately; a very long text is read whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_fold, fold_of, labelled_sample, pieces
+from .common import crc_fold, fold_of, importable, labelled_sample, pieces
 
 ASCII = 128
 HIDDEN = 16
@@ -121,6 +122,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     is the share of label 1 among labelled rows outside the held-out fold, or
     ``default_prior`` where the labels hold positives only, times ``caution``: a prior
     set too high would let the risk write negatives off as positives."""
+    importable(docs.sparkSession)
     known = labels.where(F.col(label_col).isin(0, 1))
     sample, count = labelled_sample(
         docs, known.where(F.col(label_col) == 1), label_col, id_col=id_col, text_col=text_col,

@@ -8,7 +8,9 @@ Spark conditional expression.
 
 Defined cases: null text has no words; with no labelled rows of both classes the
 list is empty and only the base test speaks; rows whose label or id is null do not
-teach; ties between literals go to the earlier statistic, then lower threshold.
+teach; ties between literals go to the earlier statistic, then lower threshold; rows that
+share an id are judged separately; a very long text is read whole; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations

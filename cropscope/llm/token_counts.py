@@ -1,7 +1,7 @@
 """Token counts (operator 6): offset-mapped attribution to fields and sections.
 
 A record is rendered once (its fields, then its text) and encoded whole, so counts are
-those of the sequence a model would see. Token character spans are interval-joined to
+those of the sequence a model would see; a special token spelt in it is one token. Token character spans are interval-joined to
 the sections' spans, which tile the rendered text; a token that crosses a boundary goes
 to one section by an explicit rule:
 
@@ -12,7 +12,8 @@ to one section by an explicit rule:
 Every token is counted exactly once, so a document's sections sum to its tokens.
 
 Defined cases: a null field or text is empty; an empty section gets a row with 0
-tokens; an empty record gives only such rows; an empty table gives none.
+tokens; an empty record gives only such rows; an empty table gives none; rows that share
+an id are counted separately, a null id is kept; a very long text is encoded whole.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import importable, pieces
 from .tokens import encode_spans, vocabulary_paths
 
 RULES = ("first", "last", "most")
@@ -56,6 +57,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rendered record."""
     if rule not in RULES:
         raise ValueError(f"rule is one of {RULES}")
+    importable(docs.sparkSession)
     paths = paths or vocabulary_paths()
     kinds = list(field_cols)
 

@@ -54,11 +54,23 @@ def encode(text: str | None, paths: tuple[str, str]) -> np.ndarray:
 
 def encode_spans(text: str | None, paths: tuple[str, str]
                  ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, first character, character after the last) of each token. Special tokens are
-    ordinary text here. A token that holds part of a character's bytes spans it whole."""
+    """(ids, first character, character after the last) of each token, the ids of
+    :func:`encode`. A special token spans its spelling; a token that holds part of a
+    character's bytes spans it whole."""
     if not text:
         e = np.empty(0, np.int64)
         return np.empty(0, np.uint32), e, e
+    if SPECIAL in text:
+        special = np.array([_exact(paths[1]).token_to_id(SPECIAL)], np.uint32)
+        out, at = [], 0
+        for k, part in enumerate(text.split(SPECIAL)):
+            if k:
+                out.append((special, np.array([at]), np.array([at + len(SPECIAL)])))
+                at += len(SPECIAL)
+            ids, first, last = encode_spans(part, paths)
+            out.append((ids, first + at, last + at))
+            at += len(part)
+        return tuple(np.concatenate(x) for x in zip(*out))
     codec, size = _ranks(paths[0])
     ids = np.array(codec.encode_ordinary(text), np.uint32)
     ends = np.cumsum(size[ids])

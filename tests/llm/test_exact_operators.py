@@ -282,6 +282,37 @@ def test_spans_of_split_characters():
     assert {(int(x), int(y)) for x, y in zip(s, e)} == {(0, 1), (1, 2), (2, 3)}
 
 
+def test_special_tokens_are_counted_as_a_model_sees_them(spark):
+    from cropscope.llm.tokens import SPECIAL, encode
+    texts = [f"a{SPECIAL}b", SPECIAL, f"{SPECIAL}{SPECIAL}\nx\u00e9{SPECIAL} y", "a<|endof text|>b"]
+    for t in texts:
+        ids, s, e = encode_spans(t, vocabulary_paths())
+        assert ids.tolist() == encode(t, vocabulary_paths()).tolist()
+        assert (s[1:] >= s[:-1]).all() and s[0] == 0 and e[-1] == len(t)
+    got = token_counts.count_tokens(docs_frame(spark, list(enumerate(texts))), field_cols=())
+    total = {r["_id"]: r["n"] for r in got.groupBy("_id").agg(F.sum("_tokens").alias("n")).collect()}
+    assert total == {i: len(encode(t, vocabulary_paths())) for i, t in enumerate(texts)}
+    assert total[0] == 3
+
+
+def test_token_counts_of_null_and_repeated_ids(spark):
+    rows = [(None, "a b"), (1, "c d"), (1, "c d"), (2, "x" * 70_000)]
+    got = token_counts.count_tokens(docs_frame(spark, rows), field_cols=()).collect()
+    assert sorted((r["_id"] is None, r["_id"]) for r in got) == [
+        (False, 1), (False, 1), (False, 2), (True, None)]
+
+
+def test_line_dedup_keeps_columns_that_clash(spark):
+    """Input columns named like those the operator adds or joins on."""
+    line = "a line that is long enough to be counted"
+    frame = docs_frame(spark, [(i, f"{line}\nown {i}") for i in range(4)]).withColumns({
+        "_dropped": F.lit("mine"), "_kept": F.lit("also mine"), "_b_id": F.lit(7)})
+    names = ("_lines", "_gone", "_left")
+    got = line_dedup.dedup_lines(frame, names=names).orderBy("doc_id").collect()
+    assert [r["_left"] for r in got] == ["own 0", "own 1", "own 2", f"{line}\nown 3"]
+    assert {(r["_dropped"], r["_kept"], r["_b_id"]) for r in got} == {("mine", "also mine", 7)}
+
+
 def test_registered_queries_import_and_name_all_operators():
     from cropscope.llm.queries import QUERIES, SQL
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
