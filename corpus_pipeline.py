@@ -3,7 +3,9 @@
 Each stage takes ``(spark, docs, sf_dir)``; all but the last return the columns of
 ``documents``. What a stage returns is written as Parquet and read again as the next
 one's ``docs``. Empty tables pass through every stage; rows with a null text are kept
-until packing, where they are their end token.
+until packing, where they are their end token. Rows that share an id are kept or dropped
+alike but for the line bitmaps, which go by text; a very long text is one row all the way;
+columns beyond those of ``documents`` are kept until packing, whatever their names.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cropscope.llm import decontamination, line_dedup, ngram_jaccard, packing, toxicity
-from cropscope.llm.common import stored, table
+from cropscope.llm.common import fresh, stored, table
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,11 +25,12 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of 20 or more characters held by three or more documents stay in one of them;
     ``n_chars`` follows the text."""
-    out = line_dedup.dedup_lines(docs)
-    changed = F.col("_n_dropped") > 0
+    names = [fresh(docs.columns, c) for c in line_dedup.NAMES]
+    out = line_dedup.dedup_lines(docs, names=names)
+    changed, kept = F.col(names[1]) > 0, F.col(names[2])
     return out.withColumns({
-        "text": F.when(changed, F.col("_kept")).otherwise(F.col("text")),
-        "n_chars": F.when(changed, F.char_length("_kept").cast("long")).otherwise(F.col("n_chars")),
+        "text": F.when(changed, kept).otherwise(F.col("text")),
+        "n_chars": F.when(changed, F.char_length(kept).cast("long")).otherwise(F.col("n_chars")),
     }).select(*docs.columns)
 
 
