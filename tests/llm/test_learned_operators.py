@@ -118,35 +118,49 @@ def test_language_model_without_training_rows(spark):
 
 def one_partition(seed=3):
     rng = np.random.default_rng(seed)
-    keys = rng.choice(30 * pitman_yor.CONTEXTS, 500, replace=False)
-    keys.sort()
-    word, ctx = keys // pitman_yor.CONTEXTS, keys % pitman_yor.CONTEXTS
-    count = rng.integers(1, 400, len(keys))
-    return pitman_yor.Partition({
-        "_words": np.unique(word).astype("<u8").tobytes(),
-        "_sizes": np.unique(word, return_counts=True)[1].astype("<u4").tobytes(),
-        "_ctx": ctx.astype("<u2").tobytes(), "_val": count.astype("<i8").tobytes()})
+    words = np.sort(rng.integers(1, 1 << 63, 30, dtype=np.uint64))
+    before = np.sort(rng.integers(1, 1 << 63, 90, dtype=np.uint64))
+    keys = np.sort(rng.choice(30 * 90, 500, replace=False))
+    word, ctx = keys // 90, before[keys % 90]
+    held, word = np.unique(word, return_inverse=True)
+    return pitman_yor.Seating({
+        "_words": words[held].astype("<u8").tobytes(),
+        "_sizes": np.bincount(word).astype("<u4").tobytes(), "_ctx": ctx.astype("<u8").tobytes(),
+        "_val": rng.integers(1, 400, len(keys)).astype("<u4").tobytes()}, 4)
+
+
+def consistent(level):
+    busy = level.busy
+    assert (np.bincount(level.own, minlength=len(busy))[busy] == level.t[busy]).all()
+    assert (np.bincount(level.own, level.size, len(busy))[busy] == level.c[busy]).all()
+    assert busy[level.own].all() and (level.c[~busy] == 1).all() and (level.t[~busy] == 1).all()
+    assert (level.size >= 1).all() and (np.diff(level.own) >= 0).all() and (level.t >= 1).all()
 
 
 def test_predictive_probabilities_sum_to_one():
     part = one_partition()
     rng = np.random.default_rng(1)
     tot = part.totals()
-    tot.types, tot.tokens = len(part.words), int(part.count.sum())
     for _ in range(3):
-        part.sweep(tot, rng)
-        types, tokens = tot.types, tot.tokens
+        tot.types, tot.tokens = len(part.words), int(part.levels[3].c.sum())
+        mine = np.bincount(part.number, part.levels[3].t)[part.number]
+        part.sweep(tot, mine, rng)
+        group, cls, root, leaf = part.levels
+        for level in part.levels:
+            consistent(level)
+        assert (np.bincount(part.up3, leaf.t) == group.c).all()
+        assert (np.bincount(part.up2, group.t) == cls.c).all()
+        assert (np.bincount(part.up1, cls.t, len(part.words)) == root.c).all()
         tot = part.totals()
-        tot.types, tot.tokens = types, tokens
-        assert (part.t2 >= 1).all() and (part.t2 <= part.count).all()
-        assert (part.t1 <= part.c1).all() and (part.t0 <= part.c0).all()
+    tot.types, tot.tokens = len(part.words), int(part.levels[3].c.sum())
     p0, p1, p2 = part.probabilities(tot)
     b2, b1 = tot.back_off(0), tot.back_off(1)
     unk = tot.back_off(2)[0] / (tot.types + 1)
     assert p0.sum() + unk == pytest.approx(1)
-    seen1 = dict(zip(zip(part.up_word, part.up_cls), p1))
-    seen2 = dict(zip(zip(part.word, part.ctx), p2))
-    for u in part.ctx[:20]:
+    word = part.up1[part.up2]
+    seen1 = dict(zip(zip(part.up1, part.cls), p1))
+    seen2 = dict(zip(zip(word, part.group), p2))
+    for u in part.group[:20]:
         c = u // pitman_yor.SUBS
         total = b2[u] * b1[c] * unk
         for w in range(len(part.words)):
@@ -154,14 +168,119 @@ def test_predictive_probabilities_sum_to_one():
         assert total == pytest.approx(1)
 
 
+def test_seating_is_carried_on():
+    part = one_partition()
+    rng = np.random.default_rng(1)
+    tot = part.totals()
+    tot.types = len(part.words)
+    part.sweep(tot, np.zeros(len(part.ctx)), rng)
+    leaf = part.levels[3]
+    row = {"_words": part.words.tobytes(), "_sizes": part.sizes.astype("<u4").tobytes(),
+           "_ctx": part.ctx.tobytes(), "_val": leaf.c.astype("<u4").tobytes()}
+    again = pitman_yor.Seating(row, 4, part.state())
+    for x, y in zip(part.levels, again.levels):
+        assert (x.c == y.c).all() and (x.t == y.t).all()
+        assert (x.size[x.c[x.own] > 1] == y.size).all()
+
+
 def test_seating_follows_the_process():
-    """Second customer: a new table with weight a against 1 - d."""
+    """Three customers at tables that open with weight a: partitions have the chances of
+    a ** tables times the product of (1 - d) ... (n - 1 - d) over tables of n."""
+    a, d, n = 0.8, 0.5, 40_000
     rng = np.random.default_rng(0)
-    t = pitman_yor.seat(np.full(40_000, 2), np.full(40_000, 0.8), 0.5, rng)
-    assert (t == 2).mean() == pytest.approx(0.8 / 1.3, abs=0.01)
-    big = pitman_yor.seat(np.full(200, 5000), np.full(200, 2.0), 0.5, rng)
-    slow = pitman_yor.seat(np.full(200, 5000), np.full(200, 2.0), 0.5, rng, one_by_one=10_000)
-    assert big.mean() == pytest.approx(slow.mean(), rel=0.05)
+    tables = pitman_yor.Tables(np.full(n, 3))
+    tables.gibbs(np.full(n, a), d, rng, moves=30)
+    consistent(tables)
+    weight = np.array([a * (1 - d) * (2 - d), 3 * a * a * (1 - d), a ** 3])
+    assert np.bincount(tables.t, minlength=4)[1:] / n == pytest.approx(weight / weight.sum(), abs=0.01)
+    tables.follow(np.full(n, 2), np.full(n, a), d, rng)
+    tables.gibbs(np.full(n, a), d, rng, moves=5)
+    assert (tables.t == 2).mean() == pytest.approx(a / (a + 1 - d), abs=0.01)
+    tables.follow(np.arange(n) % 5 + 1, np.full(n, a), d, rng)
+    consistent(tables)
+
+
+def test_word_numbers_tell_words_apart():
+    rng = random.Random(2)
+    some = {bytes(rng.randrange(33, 127) for _ in range(rng.randrange(1, 12))) for _ in range(30_000)}
+    some |= {b"a" * n for n in range(1, 400)} | {b"x" * 64 + w for w in (b"y", b"z", b"yx")} | {b"ab", b"ba"}
+    some = sorted(some)
+    got = pitman_yor.word_numbers(some)
+    assert len(np.unique(got)) == len(some) and (got != pitman_yor.END).all()
+    assert (got == [pitman_yor.word_numbers([w])[0] for w in some[:50]] + list(got[50:])).all()
+    group = (got >> np.uint64(pitman_yor.GROUP_SHIFT)).astype(int)
+    assert group.min() >= pitman_yor.SUBS and group.max() < pitman_yor.CONTEXTS
+    same = [k for k, w in enumerate(some) if len(w) > 3 and w.endswith(b"aaa")]
+    assert len({g // pitman_yor.SUBS for g in group[same]}) == 1
+    assert len(np.unique(group // pitman_yor.SUBS)) > 400
+
+
+def test_auxiliary_trials():
+    rng = np.random.default_rng(5)
+    sizes = rng.integers(1, 60, 3000)
+    want = sum((0.5 / np.arange(1, k)).sum() for k in sizes)
+    assert pitman_yor.trials(sizes, lambda j: 0.5 / j, rng) == pytest.approx(want, rel=0.05)
+    assert pitman_yor.trials(sizes, lambda j: 0.5 / j, rng, step=7) == pytest.approx(want, rel=0.05)
+    assert pitman_yor.trials(np.empty(0, int), lambda j: j, rng) == 0
+
+
+def test_scores_equal_a_brute_force_model(spark, monkeypatch):
+    """Every token's probability by recursion over plain dictionaries of the same seating."""
+    kept = {}
+    bucketed, scorer = pitman_yor._bucketed, pitman_yor._scorer
+
+    def keep_model(df, name, parts):
+        kept[name] = bucketed(df, name, parts)
+        return kept[name]
+
+    def keep_totals(tot, parts, labels):
+        kept["tot"] = tot.value
+        return scorer(tot, parts, labels)
+
+    monkeypatch.setattr(pitman_yor, "_bucketed", keep_model)
+    monkeypatch.setattr(pitman_yor, "_scorer", keep_totals)
+    rows = lm_rows()
+    got = pitman_yor.score_documents(docs_frame(spark, rows)).collect()
+    tot, root, cls, group, leaf, count, tables = kept["tot"], {}, {}, {}, {}, {}, collections.Counter()
+    for r in kept["model"][0].collect():
+        a = {c: np.frombuffer(r[c], k) for c, k in pitman_yor._KIND.items()}
+        e = g = c = 0
+        for i, w in enumerate(a["_words"].tolist()):
+            root[w], count[w] = (a["_c0"][i], a["_t0"][i]), a["_count"][i]
+            for _ in range(a["_sizes"][i]):
+                leaf[w, int(a["_ctx"][e])] = (a["_val"][e], a["_tw"][e])
+                tables[int(a["_ctx"][e])] += float(a["_tw"][e])
+                e += 1
+            for _ in range(a["_group_sizes"][i]):
+                group[w, int(a["_group"][g])] = (a["_c2"][g], a["_t2"][g])
+                g += 1
+            for _ in range(a["_up_sizes"][i]):
+                cls[w, int(a["_cls"][c])] = (a["_c1"][c], a["_t1"][c])
+                c += 1
+
+    def at(entry, level, c, t, parent):
+        d, s = tot.discount[level], tot.strength[level]
+        n, m = (float(x) for x in entry)
+        return (max(0.0, n - d * m) + (s + d * t) * parent) / (s + c)
+
+    def chance(w, u):
+        k = u >> pitman_yor.GROUP_SHIFT
+        p = at(root.get(w, (0, 0)), 2, tot.c[2][0], tot.t[2][0], 1 / (tot.types + 1))
+        p = at(cls.get((w, k // pitman_yor.SUBS), (0, 0)), 1, tot.c[1][k // pitman_yor.SUBS],
+               tot.t[1][k // pitman_yor.SUBS], p)
+        p = at(group.get((w, k), (0, 0)), 0, tot.c[0][k], tot.t[0][k], p)
+        return at(leaf.get((w, u), (0, 0)), 3, count.get(u, 0), tables[u], p)
+
+    end = int(pitman_yor.END)
+    number = lambda x: int(pitman_yor.word_numbers([x])[0])
+    want = collections.Counter()
+    for i, t in rows:
+        w = [number(x) for x in (t or "").encode().lower().split()] + [end]
+        want[i, round(sum(math.log10(chance(x, u)) for u, x in zip([end, *w], w)), 3)] += 1
+    have = collections.Counter((r._id, round(r._score, 3)) for r in got)
+    close = sum((want & have).values())
+    assert close >= len(rows) - 2  # a third decimal may round either way
+    assert sum(abs(r._score) for r in got) == pytest.approx(sum(-k[1] * n for k, n in want.items()), rel=1e-5)
 
 
 def test_words_to_spread_keep_their_scores(spark):
@@ -171,7 +290,7 @@ def test_words_to_spread_keep_their_scores(spark):
          for r in pitman_yor.score_documents(docs_frame(spark, rows)).collect()}
     gather = pitman_yor._gather
     try:
-        pitman_yor._gather = lambda sums, parts: (gather(sums, parts)[0], {})
+        pitman_yor._gather = lambda *a, **k: (gather(*a, **k)[0], {})
         b = {(r._id, r._n_tokens): r._score
              for r in pitman_yor.score_documents(docs_frame(spark, rows)).collect()}
     finally:
@@ -183,7 +302,8 @@ def same_group():
     """Two words of one suffix class and hash part."""
     seen = {}
     for w in (f"n{k}ing" for k in range(100)):
-        first = seen.setdefault(zlib.crc32(w.encode(), 7) % pitman_yor.SUBS, w)
+        group = int(pitman_yor.word_numbers([w.encode()])[0]) >> pitman_yor.GROUP_SHIFT
+        first = seen.setdefault(group, w)
         if first != w:
             return first, w
 
@@ -245,6 +365,80 @@ def test_toxicity_finds_unseen_spellings(spark):
     assert kept.count() == sum(r._score < 0.3 for r in out)
 
 
+def plain_toxicity(model, text):
+    """The score of one text by loops over its words' n-grams."""
+    def hashed(gram):
+        h = len(gram)
+        for b in gram:
+            h = ((h ^ b) * 0x9E3779B97F4A7C15) % 2 ** 64
+            h ^= h >> 29
+        return (h >> 24) % toxicity.BUCKETS
+
+    found = re.findall(rb"(?:[a-z0-9]|[\x80-\xff])+", (text or "").lower().encode())
+    value = []
+    for w in found:
+        edged = b" " + w + b" "
+        grams = [edged[i:i + n] for n in toxicity.WIDTHS for i in range(len(edged) - n + 1)]
+        value.append(sum(float(model.bucket[hashed(g)]) for g in grams) / len(grams))
+    if not value:
+        return model.prior
+    at, z = 0, []
+    while True:
+        part = value[at:at + toxicity.WINDOW]
+        z.append(sum(part) / len(part) + model.bias)
+        if at + toxicity.WINDOW >= len(value):
+            break
+        at += toxicity.HOP
+    top = max(z)
+    pooled = top + math.log(sum(math.exp(model.sharp * (x - top)) for x in z) / len(z)) / model.sharp
+    return 1 / (1 + math.exp(-min(30, max(-30, model.scale * pooled + model.shift))))
+
+
+def toxic_sample(seed=4):
+    rng = random.Random(seed)
+    out = []
+    for i in range(120):
+        w = words(rng, rng.randrange(5, 60), 900)
+        if i % 6 == 0:
+            w[rng.randrange(len(w))] = "gr\u00e4umblox"
+            w[rng.randrange(len(w))] = "snarkwit"
+        out.append((int(i % 6 == 0), " ".join(w)))
+    return out
+
+
+def test_toxicity_scores_equal_plain_python():
+    sample = toxic_sample()
+    model = toxicity.fit(sample, {0: 100, 1: 20})
+    texts = [t for _, t in sample[:30]] + [None, "", " !! ", "a", "Gr\u00c4umbloxx word", "ab cd ef gh ij",
+                                           "x" * 3000, "\u65e5\u672c\u8a9e \U0001f600 ok"]
+    got = model.score(texts)
+    assert got == pytest.approx([plain_toxicity(model, t) for t in texts], abs=1e-5)
+    assert np.mean(model.score([t for y, t in sample if y]) >= 0.3) > 0.9
+
+
+def test_toxicity_parts_leave_out_every_row_once():
+    sample = toxic_sample()
+    label, texts = np.array([y for y, _ in sample]), [t for _, t in sample]
+    held = [toxicity.fit_part(label, texts, k, toxicity.PARTS, 0.2) for k in range(toxicity.PARTS)]
+    assert sum(len(z) for _, z, _ in held) == len(sample)
+    assert sum(int(y.sum()) for _, _, y in held) == sum(label)
+    assert all(m is None for m, _, _ in held)
+
+
+def test_toxicity_words_are_encoded_once():
+    """Texts as numbers of distinct words give the same windows as words one by one."""
+    texts = ["idle words idle", None, "other words!", ""]
+    data = toxicity.Encoded(texts)
+    assert data.doc_words.tolist() == [3, 0, 2, 0] and len(data.sizes) == 3
+    words_of = Words(texts, separators(digits_are_letters=True))
+    h = np.concatenate([words_of.grams(n)[0] for n in toxicity.WIDTHS])
+    w = np.concatenate([words_of.grams(n)[1] for n in toxicity.WIDTHS])
+    for k in range(words_of.n):
+        one = sorted(((h[w == k] >> np.uint64(24)) & np.uint64(toxicity.BUCKETS - 1)).tolist())
+        e = data.word[k]
+        assert one == sorted(data.ids[data.at[e]:data.at[e] + data.sizes[e]].tolist())
+
+
 def test_toxicity_trains_on_the_documented_rows():
     for f in (toxicity.drop_toxic, toxicity.score_documents):
         bound = {k: v.default for k, v in inspect.signature(f).parameters.items()}
@@ -258,6 +452,42 @@ def test_toxicity_without_labels(spark):
     assert toxicity.score_documents(docs_frame(spark, []), none).count() == 0
 
 
+def plain_language(model, text):
+    """(language, cosine) of one text by loops over its words' n-grams."""
+    def hashed(gram):
+        h = len(gram)
+        for b in gram:
+            h = ((h ^ b) * 0x9E3779B97F4A7C15) % 2 ** 64
+            h ^= h >> 29
+        return (h >> 24) % language_id.DIMS
+
+    count = collections.Counter()
+    for w in re.findall(rb"(?:[a-z]|[\x80-\xff])+", text.lower().encode()):
+        edged = b" " + w + b" "
+        for b in w:
+            count[hashed(bytes([b]))] += 1
+        for n in (2, 3):
+            for i in range(len(edged) - n + 1):
+                count[hashed(edged[i:i + n])] += 1
+    v = {k: math.log1p(c) * float(model.idf[k]) for k, c in count.items()}
+    norm = math.sqrt(sum(x * x for x in v.values()))
+    cos = [sum(x * float(c[k]) for k, x in v.items()) / norm for c in model.centroids]
+    best = max(range(len(cos)), key=cos.__getitem__)
+    return model.names[model.owner[best]], min(1.0, max(0.0, cos[best]))
+
+
+def test_languages_equal_plain_python():
+    rng = random.Random(5)
+    made = {"aa": ["ka", "ko", "ri", "mu"], "bb": ["sch", "el", "\u00fcng", "pf"], "cc": ["oux", "eau", "vi"]}
+    sample = [(y, " ".join("".join(rng.choice(s) for _ in range(rng.randrange(1, 4))) for _ in range(30)))
+              for y, s in made.items() for _ in range(20)]
+    model = language_id.fit(sample)
+    texts = [t for _, t in sample[::7]] + ["ka", "Schel 12 \u00fcng!", "oux-eau", "zzz qqq", "mu " * 4000]
+    for got, t in zip(model.predict(texts), texts):
+        name, cos = plain_language(model, t)
+        assert got[0] == name and got[1] == pytest.approx(cos, abs=1e-4)
+
+
 def language_rows():
     rng = random.Random(5)
     syllables = {"aa": ["ka", "ko", "ri", "mu"], "bb": ["sch", "el", "ung", "pf"], "cc": ["oux", "eau", "vi"]}
@@ -316,6 +546,27 @@ def test_quality_from_positives_and_unlabelled(spark):
     assert quality_classifier.score_documents(docs_frame(spark, []), none).count() == 0
 
 
+def test_quality_scores_equal_plain_python():
+    """A text's score by loops over the network's weights."""
+    rng = random.Random(3)
+    good = [" ".join(words(rng, 40)) for _ in range(60)]
+    junk = ["### $$$ ###" * rng.randrange(1, 9) for _ in range(15)]
+    m = quality_classifier.fit(good, good + junk, 0.7)
+    texts = [*good[:10], *junk[:5], None, "", " \n", "\u00e9\u00e9 x", "word " * 5000]
+    want = []
+    for t in texts:
+        if not t or t.isspace():
+            want.append(0.0)
+            continue
+        x = [min(8.0, max(-8.0, (v - a) / s)) for v, a, s in zip(
+            quality_classifier.text_features(t), m.mean, m.std)]
+        z = float(m.b2[0])
+        for j in range(len(m.w2)):
+            z += m.w2[j] * math.tanh(m.b1[j] + sum(x[i] * m.w1[i][j] for i in range(len(x))))
+        want.append(1 / (1 + math.exp(-min(30, max(-30, z)))))
+    assert m.score(texts) == pytest.approx(want, abs=1e-9)
+
+
 def test_quality_labels_of_zero_are_never_examples():
     """The fit sees positives and unlabelled texts; zeros enter by the prior alone."""
     good, junk = ["plain words in a line"] * 50, ["### ### $$$ ###"] * 10
@@ -347,6 +598,29 @@ def test_rule_statistics_equal_brute_force(spark):
     assert have == collections.Counter((i, *statistics_by_hand(t)) for i, t in rows)
 
 
+def test_kept_equals_the_rules_by_hand(spark, monkeypatch):
+    """The verdict of every row by loops over the learned rules and its statistics."""
+    rules = []
+    learn = quality_rules.learn
+    monkeypatch.setattr(quality_rules, "learn", lambda df: rules.extend(learn(df)) or rules)
+    rows, labels = quality_rows()
+    out = quality_rules.apply_rules(docs_frame(spark, rows), label_frame(spark, labels, "quality")).collect()
+    assert rules
+    kept = 0
+    for r in out:
+        fails = r._n_words < 50 or 100 * r._n_repeat_words > 50 * r._n_words
+        for conj in rules:
+            hit = True
+            for name, above, t in conj:
+                a, b = quality_rules.FEATURES[name]
+                value = r[a] / max(r[b], 1)
+                hit = hit and (value > t if above else value <= t)
+            fails = fails or hit
+        assert r._kept == (not fails)
+        kept += r._kept
+    assert 0 < kept < len(out)
+
+
 def test_rules_learn_what_is_bad(spark):
     rows, labels = quality_rows()
     rows += [(900, None), (901, "short")]
