@@ -14,7 +14,8 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
 
     Each round every node moves to the neighbour of highest degree (ties by a hash that
     changes with the round, itself included) and links are renamed; a star collapses in
-    one round, a path shrinks by a constant factor. Tables are written every round, so
+    one round, a path shrinks by a constant factor, so ``rounds`` would be used up only by paths
+    beyond any number of rows a table can hold; it raises then. Tables are written every round, so
     the lineage stays short and joins on busy nodes can be split by size.
     """
     edges = stored(links.select("a", "b").where("a <> b")
