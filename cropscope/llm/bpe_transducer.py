@@ -1,6 +1,6 @@
 """BPE encoding and decoding (operator 12): a minimal acyclic transducer of frequent words.
 
-Words are counted over all documents. The most frequent ones (a stated number) are merged
+Words are counted over all documents. The most frequent ones (up to a stated number) are merged
 once, on the driver, and compiled into a minimal acyclic automaton: words are added in
 order, and a state whose arcs equal those of an earlier one is shared, so common endings
 are stored once. Every arc carries a number; their sum along a word is the word's place in
@@ -8,8 +8,8 @@ the table of id sequences. The file is written below the shared folder, handed t
 executor by Spark, and memory-mapped by its workers, who share its pages.
 
 Tasks look the distinct words of a slice up together, one byte a step. Words that are not
-in the automaton are merged exactly, lowest rank first and then leftmost, on a heap with
-linked symbols (n log n for a word of n bytes); so the lexicon changes the speed only.
+in the automaton are merged exactly, lowest rank first and then leftmost, long ones on a heap
+with linked symbols (n log n for n bytes); so the lexicon changes the speed only.
 
 Text is prepared as the vocabulary file states: composed, lower-cased, split into letter
 runs, single digits, contractions and other runs, white space dropped. Latin-1 parts go
@@ -28,6 +28,7 @@ import heapq
 import json
 import re
 import uuid
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -38,10 +39,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from .common import importable, pieces
+from .common import importable, pieces, stored
 
 #: Words in the lexicon at most, and the longest of them in bytes; all others are merged.
 LEXICON_WORDS, LONGEST_WORD = 1 << 15, 64
+#: Bytes up to which a word is merged on a plain list, beyond on a heap.
+SHORT_WORD = 40
+
+_BITS = 20
+_ID, _NONE = (1 << _BITS) - 1, 1 << 62
 
 _LATIN_LETTERS = "a-zªµºß-öø-ÿ"
 _LATIN_DIGITS = "0-9²³¹¼-¾"
@@ -83,7 +89,10 @@ class Vocabulary:
         self.inner = [vocab[c] for c in letters]
         self.last = [vocab[c + end] for c in letters]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b])
+        if max(vocab.values()) >> _BITS or len(model["merges"]) >> _BITS:
+            raise ValueError(f"{path} has more than {1 << _BITS} ids or merges")
+        # pair of ids -> rank and merged id, each packed into one number
+        self.merges = {vocab[a] << _BITS | vocab[b]: rank << _BITS | vocab[a + b]
                        for rank, (a, b) in enumerate(pairs)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
@@ -122,29 +131,52 @@ class Vocabulary:
         return out
 
     def merge(self, word: str) -> bytes:
-        """Ids (little-endian uint32) of one prepared word, by merging."""
+        """Ids (uint32) of one prepared word, by merging the pair of lowest rank, the leftmost
+        of equal ones, until none is left."""
         raw = word.encode("utf-8")
-        tok = [self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]]
-        n = len(tok)
+        tok = [self.inner[b] for b in raw[:-1]]
+        tok.append(self.last[raw[-1]])
+        return array("I", self._short(tok) if len(tok) <= SHORT_WORD else self._long(tok)).tobytes()
+
+    def _short(self, tok: list[int]) -> list[int]:
+        find = self.merges.get
+        best = [find(a << _BITS | b, _NONE) for a, b in zip(tok, tok[1:])]
+        while best:
+            m = min(best)
+            if m == _NONE:
+                break
+            i = best.index(m)
+            new = m & _ID
+            tok[i:i + 2] = [new]
+            del best[i]
+            if i:
+                best[i - 1] = find(tok[i - 1] << _BITS | new, _NONE)
+            if i < len(best):
+                best[i] = find(new << _BITS | tok[i + 1], _NONE)
+        return tok
+
+    def _long(self, tok: list[int]) -> list[int]:
+        n, find = len(tok), self.merges.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        merges = self.merges
-        heap = [(*m, i) for i in range(n - 1) if (m := merges.get((tok[i], tok[i + 1])))]
+        heap = [(m, i) for i in range(n - 1)
+                if (m := find(tok[i] << _BITS | tok[i + 1], _NONE)) != _NONE]
         heapq.heapify(heap)
         while heap:
-            _, new, i = heapq.heappop(heap)
+            m, i = heapq.heappop(heap)
             j = after[i]
-            if tok[i] < 0 or j >= n or merges.get((tok[i], tok[j]), (0, -1))[1] != new:
+            if tok[i] < 0 or j >= n or find(tok[i] << _BITS | tok[j], _NONE) != m:
                 continue  # one of its symbols has been merged since
-            tok[i], tok[j] = new, -1
-            k = after[i] = after[j]
+            new = tok[i] = m & _ID
+            tok[j] = -1
+            k, h = after[j], before[i]
+            after[i] = k
             if k < n:
                 before[k] = i
-                if m := merges.get((new, tok[k])):
-                    heapq.heappush(heap, (*m, i))
-            h = before[i]
-            if h >= 0 and (m := merges.get((tok[h], new))):
-                heapq.heappush(heap, (*m, h))
-        return np.array([t for t in tok if t >= 0], "<u4").tobytes()
+                if (m := find(new << _BITS | tok[k], _NONE)) != _NONE:
+                    heapq.heappush(heap, (m, i))
+            if h >= 0 and (m := find(tok[h] << _BITS | new, _NONE)) != _NONE:
+                heapq.heappush(heap, (m, h))
+        return [t for t in tok if t >= 0]
 
     def merged(self, word: str) -> bytes:
         got = self.cache.get(word)
@@ -356,10 +388,23 @@ def shared_lexicon(spark: SparkSession, block: bytes) -> str:
 
 def lexicon_of(docs: DataFrame, path: str, text_col: str = "text",
                most_words: int = LEXICON_WORDS) -> bytes:
-    """The compiled lexicon of the ``most_words`` most frequent words (ties: by word)."""
-    top = (word_counts(docs, path, text_col).where(F.octet_length("word") <= LONGEST_WORD)
-           .orderBy(F.desc("n"), "word").limit(most_words))
+    """The compiled lexicon of the most frequent words, at most ``most_words``. Counts are
+    gathered into classes an eighth of a power of two wide, and as many whole classes are
+    taken as fit: only their few sizes and the words taken reach the driver."""
+    counts = stored(word_counts(docs, path, text_col).where(
+        F.octet_length("word") <= LONGEST_WORD), "word_counts").withColumn(
+        "class", F.floor(8 * F.log2("n")).cast("int"))
+    sizes = counts.groupBy("class").agg(F.count("*").alias("words")).orderBy(F.desc("class"))
+    least, total = None, 0
+    for r in sizes.collect():
+        total += r["words"]
+        if total > most_words:
+            break
+        least = r["class"]
     vocab = vocabulary(path)
+    if least is None:
+        return compile_lexicon({})
+    top = counts.where(F.col("class") >= least).select("word")
     return compile_lexicon({r["word"]: vocab.merge(r["word"]) for r in top.collect()})
 
 
@@ -382,10 +427,10 @@ def encode_slice(texts: list[str | None], vocab: Vocabulary, lexicon: Lexicon) -
     known = place >= 0
     size = np.zeros(len(words), np.int64)
     size[known] = lexicon.at[place[known] + 1] - lexicon.at[place[known]]
-    rest = {int(k): np.frombuffer(vocab.merged(words[k]), "<u4") if type(words[k]) is str
-            else np.array([words[k]], "<u4") for k in np.nonzero(~known)[0]}
-    own = np.concatenate([np.empty(0, "<u4"), *rest.values()])
-    size[~known] = np.fromiter(map(len, rest.values()), np.int64, len(rest))
+    rest = [vocab.merged(words[k]) if type(words[k]) is str else array("I", [words[k]]).tobytes()
+            for k in np.nonzero(~known)[0].tolist()]
+    own = np.frombuffer(b"".join(rest), "<u4")
+    size[~known] = np.fromiter(map(len, rest), np.int64, len(rest)) // 4
     # one table: the lexicon's ids of this slice's words, then those merged here
     first = np.concatenate(([0], np.cumsum(size)))[:-1]
     table = np.empty(int(size.sum()), "<u4")
