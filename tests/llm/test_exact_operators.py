@@ -252,8 +252,7 @@ def test_cuts_are_class_tops():
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_token_counts_equal_brute_force(spark, rule):
     rows = [(i, t) for i, t in packing_rows() if i is not None and i < 106 and i != 102]
-    tok = exact_tokenizer()
-    tok.encode_special_tokens = True
+    tok = exact_tokenizer()  # special tokens are told as such, as in the sequence a model sees
     got = token_counts.count_tokens(docs_frame(spark, rows), rule=rule).collect()
     by = collections.defaultdict(list)
     for r in got:
