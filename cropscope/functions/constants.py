@@ -109,7 +109,7 @@ DEFAULTS = {
 # --- raster file names -----------------------------------------------------
 NDVI_OUTPUT_MARKER = "_NDVI"
 
-# --- band pairs (red, nir), tried in this order by band count ---------------
+# --- band pairs (red, nir); an image gets the first whose bands it holds -------
 BAND_PAIRS = ((4, 8), (3, 4), (1, 2))
 
 # --- models ----------------------------------------------------------------
