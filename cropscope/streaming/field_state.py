@@ -50,7 +50,8 @@ def fold(obs: DataFrame, field: str = "field_id") -> DataFrame:
     early = first_n(obs, K.TREND_FIRST_N, field).groupBy(field).agg(
         F.sort_array(F.collect_list(seen)).alias("first"))
     same = sums[field].eqNullSafe(early[field])
-    return sums.join(early, same).select(sums[field], "n_obs", "latest", "line", "first")
+    # both sides grow with the fields: a merge join, or every epoch is gathered on the driver
+    return sums.join(early.hint("merge"), same).select(sums[field], "n_obs", "latest", "line", "first")
 
 
 def _joined_line(a: Column, b: Column) -> Column:

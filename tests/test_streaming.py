@@ -133,3 +133,9 @@ def test_streams_over_an_empty_folder(spark):
     state = S.run_latest_state(spark, src)
     assert S.read_latest_state(spark, state).count() == 0
     assert S.read_trends(spark, state).columns[0] == "field_id"
+
+
+def test_fold_gathers_no_fields_on_the_driver(spark):
+    state = field_state.fold(B.observations(spark, SF_SMALL))
+    state.collect()
+    assert "Broadcast" not in state._jdf.queryExecution().executedPlan().toString()
