@@ -20,6 +20,8 @@ from ..functions import constants as K
 from ..functions.rules import risk_code_label
 from ..sources import commits
 
+TASK_ROWS = 1 << 15  # training rows of one task
+
 
 def linear_yield_pipeline(features: Sequence[str], label: str = "yield") -> Pipeline:
     """M8: assembler + unregularised least squares (100 iterations, tol 1e-6). Fit it
@@ -108,8 +110,14 @@ def feature_columns(stages) -> list[str]:
 
 def fit(pipeline: Pipeline, df: DataFrame, label: str = "yield") -> PipelineModel:
     """Fit on the rows whose features and label are complete. Those rows are cached for
-    the fit (Spark ML passes over its input many times) and released after it."""
-    train = df.where(_complete([*feature_columns(pipeline.getStages()), label], df)).cache()
+    the fit (Spark ML passes over its input many times) and released after it. More than
+    ``TASK_ROWS`` are dealt out evenly first: a file of few row groups is few partitions, and
+    a forest reads each of its partitions whole in one task, at every level."""
+    train = df.where(_complete([*feature_columns(pipeline.getStages()), label], df))
+    rows = train.count()
+    if rows > TASK_ROWS:
+        train = train.repartition(-(-rows // TASK_ROWS))
+    train = train.cache()
     try:
         return pipeline.fit(train)
     finally:

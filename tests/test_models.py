@@ -70,3 +70,15 @@ def test_reader_gets_the_last_committed_version(spark):
     assert at(models.load_version(spark, root)) == 4.0
     with pytest.raises(FileNotFoundError):
         models.load_version(spark, root, 3)
+
+
+def test_training_rows_are_dealt_out(spark, monkeypatch):
+    """Whatever partitions the rows came in, no task of a fit has more than its share."""
+    monkeypatch.setattr(models, "TASK_ROWS", 100)
+    df = spark.range(1000).coalesce(1).select((F.col("id") / 10).alias("ndvi"), F.col("id").alias("yield"))
+    pipe, seen = models.linear_yield_pipeline(["ndvi"]), []
+    fit = pipe.fit
+    monkeypatch.setattr(pipe, "fit", lambda train: seen.append(train.rdd.glom().map(len).collect()) or fit(train))
+    model = models.fit(pipe, df)
+    assert sum(seen[0]) == 1000 and len(seen[0]) == 10 and max(seen[0]) <= 200
+    assert model.stages[-1].coefficients[0] == pytest.approx(10.0)
