@@ -673,3 +673,22 @@ def test_rules_run_no_python(spark):
     df = quality_rules.apply_rules(docs_frame(spark, rows), label_frame(spark, labels, "quality"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CASE WHEN" in plan
+
+
+def test_language_model_makes_all_its_sweeps():
+    import inspect
+    n = {k: p.default for k, p in inspect.signature(pitman_yor.score_documents).parameters.items()}
+    assert (n["rounds"] - 1) * n["sweeps"] + n["burn_in"] + n["samples"] >= 10 and n["samples"] >= 4
+
+
+def test_pairs_with_and_without_the_text_in_the_key():
+    texts = ["b a b a", None, "a b", "", "c c c"] * 3
+    part = lambda w: pitman_yor.part_of(w, 3)
+    got = pitman_yor.Pairs(texts, part, True)
+    assert len(got.docs) == got.count.sum() == sum(len((t or "").split()) + 1 for t in texts)
+    plain = pitman_yor.Pairs(texts, part, False)
+    assert (plain.count == got.count).all() and (plain.before == got.before).all()
+    for r in got.rows(3, [0, 1, 2]).to_pylist():
+        some = np.frombuffer(r["_some"], "<u8")
+        assert (np.unique(some) == np.sort(some)).all()
+        assert pitman_yor._places(r["_some"], r["_place"]).max() == len(some) - 1
