@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.ndvi import ndvi_is_masked, ndvi_masked, valid_ndvi
 
 ROWS, COLS = 64, 64
+TASK_ROWS = 1 << 19  # band rows of one task
 CELL = "struct<pos: int, value: double>"
 _TILE = ("tile_row", "tile_col")
 
@@ -23,15 +24,21 @@ def make_tiles(image_bands: DataFrame, key: str = "scene_id", row: str = "pixel_
                col: str = "pixel_col", rows: int = ROWS, cols: int = COLS) -> DataFrame:
     """Tiles of long band rows ``(key, band, row, col, value)``. A tile is a bounded group,
     so a scene of any size is spread over many tasks. A band that holds a pixel twice
-    keeps the greater value."""
+    keeps the greater value. More than ``TASK_ROWS`` are dealt by tile first, in as many
+    parts as they fill: lists do not shrink what a task of the scan holds, and a fixed number of
+    parts would hold more the more pixels come."""
     at = lambda c, n: F.floor(F.col(c) / n).cast("long")
     pos = (F.pmod(F.col(row), F.lit(rows)) * cols + F.pmod(F.col(col), F.lit(cols))).cast("int")
-    cells = F.sort_array(F.collect_list(F.struct(pos.alias("pos"), F.col("value").cast("double")
+    cells = F.sort_array(F.collect_list(F.struct(F.col("pos"), F.col("value").cast("double")
                                                  .alias("value"))))
     last = F.filter("cells", lambda c, i: F.coalesce(
         F.get("cells", i + 1)["pos"] != c["pos"], F.lit(True)))
-    return (image_bands.groupBy(key, at(row, rows).alias("tile_row"), at(col, cols).alias("tile_col"),
-                                "band").agg(cells.alias("cells")).withColumn("cells", last))
+    placed = image_bands.select(key, at(row, rows).alias("tile_row"), at(col, cols).alias("tile_col"),
+                                "band", pos.alias("pos"), "value")
+    n = image_bands.count()
+    if n > TASK_ROWS:
+        placed = placed.repartition(-(-n // TASK_ROWS), key, *_TILE)
+    return placed.groupBy(key, *_TILE, "band").agg(cells.alias("cells")).withColumn("cells", last)
 
 
 def tile_pairs(tiles: DataFrame, pairs: DataFrame, key: str = "scene_id") -> DataFrame:

@@ -140,3 +140,13 @@ def test_history_report_reads_twice_and_shuffles_no_sorted_rows(spark):
     df = QUERIES["history_report"](spark, SF_SMALL)
     p = df._jdf.queryExecution().executedPlan().toString()
     assert p.count("events.parquet") == 2 and "SortAggregate" not in p
+
+
+def test_tiles_are_dealt_by_their_rows(spark, monkeypatch):
+    from cropscope.operators import tiles
+    px = spark.range(300).selectExpr("id % 3 scene_id", "id pixel_row", "0L pixel_col", "3 band", "double(id) value")
+    plain = sorted(map(str, tiles.make_tiles(px).collect()))
+    monkeypatch.setattr(tiles, "TASK_ROWS", 30)
+    dealt = tiles.make_tiles(px)
+    assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, dealt.collect())) == plain
