@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -692,3 +693,60 @@ def test_pairs_with_and_without_the_text_in_the_key():
         some = np.frombuffer(r["_some"], "<u8")
         assert (np.unique(some) == np.sort(some)).all()
         assert pitman_yor._places(r["_some"], r["_place"]).max() == len(some) - 1
+
+
+def test_rows_between_partitions_are_packed(spark):
+    """What tokens send to the model is well below its plain numbers, and comes out the same."""
+    from cropscope.llm.common import part_labels
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.3, 400) % 5000)) for i in range(300)]
+    part = lambda w: pitman_yor.part_of(w, 4)
+    plain = pitman_yor.Pairs([t for _, t in rows], part, True).rows(4, [0, 1, 2, 3])
+    names = ["_words", "_sizes", "_some", "_place", "_val", "_docs"]
+    src = spark.createDataFrame(rows, "_id long, _t string").coalesce(1)
+    for got in (pitman_yor._occurrences(src, spark.sparkContext.broadcast({}), 4, part_labels(spark, 4), 5, 1),
+                pitman_yor._counts(src, 4, part_labels(spark, 4), 5, -1)):
+        used = [c for c in names if c in got.columns]
+        sent = sum(len(r[c]) for r in got.collect() for c in used if r[c] is not None)
+        assert sent < 0.7 * sum(len(x) for c in used for x in plain.column(c).to_pylist())
+    tight = pitman_yor.sealed(plain)
+    for c in names:
+        for x, y in zip(plain.column(c).to_pylist(), tight.column(c).to_pylist()):
+            assert pitman_yor.unseal(y).tobytes() == x
+    for width, a in ((2, []), (8, [0, (1 << 64) - 1]), (4, [7] * 1000)):
+        x = np.array(a, f"<u{width}").tobytes()
+        assert pitman_yor.unseal(pitman_yor.seal(x, width, True)).tobytes() == x
+        assert pitman_yor.unseal(pitman_yor.seal(x, width)).tobytes() == x
+
+
+def test_sweep_works_on_entries_that_move(monkeypatch):
+    """Entries of one customer have no choice: no chances are worked out for them."""
+    rng = np.random.default_rng(5)
+    words, ctx = (np.sort(rng.integers(1, 1 << 63, n, dtype=np.uint64)) for n in (400, 8000))
+    part = pitman_yor.Seating({
+        "_words": words.astype("<u8").tobytes(), "_sizes": np.full(400, 20).astype("<u4").tobytes(),
+        "_ctx": np.sort(ctx.reshape(400, 20)).astype("<u8").tobytes(),
+        "_val": np.where(np.arange(8000) % 100, 1, 5).astype("<u4").tobytes()}, 4)
+    tot, asked = part.totals(), []
+    tot.types = 400
+    plain = pitman_yor.Totals.predictive
+    monkeypatch.setattr(pitman_yor.Totals, "predictive", lambda self, level, at, c, t, parent: (
+        asked.append((level, len(c))), plain(self, level, at, c, t, parent))[1])
+    part.sweep(tot, np.ones(8000), rng)
+    assert 0 < sum(n for level, n in asked if level == 0) < 2000 < len(part.group)
+    for level in part.levels:
+        consistent(level)
+
+
+def test_words_in_a_buffer_equal_words_of():
+    from cropscope.llm.common import words_of
+    texts = ["B a\tb", None, "", "a", "b", " \x0b\x0c\r\n ", "x" * 64 + " " + "Y" * 65 + "\x1f" + "Ä" * 300,
+             "  wide \xa0", "end "]
+    for some in (texts, pa.array(texts, pa.string()), pa.array(["cut", *texts], pa.string()).slice(1),
+                 pa.array(texts, pa.large_string())):
+        data, start, size, n = pitman_yor.words_in(some)
+        got = [bytes(data[a:a + k]) for a, k in zip(start, size)]
+        assert got == [w for t in texts for w in words_of(t)] and n.tolist() == [len(words_of(t)) for t in texts]
+        numbers = pitman_yor._numbers(data, start, size, pitman_yor._sums(data, start, size))
+        assert (numbers == [pitman_yor.word_numbers([w])[0] for w in got]).all()
+    assert [x.tolist() for x in pitman_yor.words_in(["", None])] == [[], [], [], [0, 0]]
